@@ -24,8 +24,11 @@ def tokenize(text: Column, min_length: int = 3) -> Column:
     A word is a maximal run of word characters, so one regex pass that asks for long enough
     runs does the work of replace, split and filter. NULL or empty text gives an empty list.
     """
-    found = F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}{{{min_length},}}"), 0)
-    return F.coalesce(found, F.array().cast("array<string>"))
+    return F.coalesce(_words(F.lower(text), min_length), F.array().cast("array<string>"))
+
+
+def _words(lowered: Column, min_length: int = 3) -> Column:
+    return F.regexp_extract_all(lowered, F.lit(f"{WORD}{{{min_length},}}"), 0)
 
 
 def _word_hit(joined: Column, word: str) -> Column:
@@ -100,7 +103,7 @@ def enrich_text(
     """
     return (
         df.withColumn("_lowered", F.lower(analysis_text()))
-        .withColumn("keywords", F.concat_ws(",", tokenize(F.col("_lowered"))))
+        .withColumn("keywords", F.concat_ws(",", _words(F.col("_lowered"))))
         .withColumn("_joined", F.concat(F.lit(","), F.col("keywords"), F.lit(",")))
         .withColumn("_scores", topic_scores(F.col("_lowered"), F.col("_joined"), topics, match))
         .withColumn("entities", entity_list(F.col("_lowered"), entities))
@@ -114,7 +117,9 @@ def split_list(joined: Column, max_items: int | None = None, min_length: int = 3
     items = F.split(joined, ",")
     if max_items is not None:
         items = F.slice(items, 1, max_items)
-    return F.filter(F.transform(items, F.trim), lambda item: F.length(item) >= min_length)
+    # A lambda of one argument: F.trim itself takes two, and would get the position as the second.
+    trimmed = F.transform(items, lambda item: F.trim(item))
+    return F.filter(trimmed, lambda item: F.length(item) >= min_length)
 
 
 def normalize_url(url: Column) -> Column:

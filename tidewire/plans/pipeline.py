@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewire.fixed_values import ENTITY_NAMES, SITE_ACTIVITY_WIDTHS, STAGING_WIDTHS, TOPIC_KEYWORDS, TOPIC_TREND_WIDTHS
 from tidewire.functions.text import TopicWords
-from tidewire.operators.content import cut_to_widths, enrich, to_silver, typed_staging
+from tidewire.operators.content import enrich, to_silver, typed_staging
 from tidewire.operators.dimensions import topic_dimension, upsert_sites
 from tidewire.operators.insights import daily_insights
 from tidewire.operators.quality import record_content_checks, record_runs
@@ -94,9 +94,8 @@ def trends_job(spark: SparkSession, lake: Lake, ingest_date: str, csv: bool = Fa
 
 
 def core_batch(gold: DataFrame) -> DataFrame:
-    """Gold rows with the core table's columns and text widths."""
-    cut = cut_to_widths(gold, {c: n for c, n in STAGING_WIDTHS.items() if dict(gold.dtypes).get(c) == "string"})
-    return cut.select(*[c for c in CORE_COLUMNS if c in gold.columns])
+    """Gold rows with the core table's columns, texts whole."""
+    return gold.select(*[c for c in CORE_COLUMNS if c in gold.columns])
 
 
 def staged_batch(spark: SparkSession, csv_path: str) -> DataFrame:
