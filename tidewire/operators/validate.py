@@ -97,12 +97,14 @@ def ingest_reason(endpoint: str, record: Column) -> Column:
 
 
 def validate_raw(lines: DataFrame, endpoint: str, line: str = "value") -> DataFrame:
-    """Add ``_error_reason`` to a frame of raw JSON lines."""
-    return (
-        lines.withColumn("_record", F.try_parse_json(F.col(line)))
-        .withColumn(REASON, ingest_reason(endpoint, F.col("_record")))
-        .drop("_record")
-    )
+    """Add ``_error_reason`` to a frame of raw JSON lines.
+
+    The parsed record is bound as the item of a one-element array: a filter on the reason moves
+    below a projection and takes the expression with it, and a plain column would then be parsed
+    again for every rule that looks at it.
+    """
+    parsed = F.array(F.try_parse_json(F.col(line)))
+    return lines.withColumn(REASON, F.transform(parsed, lambda record: ingest_reason(endpoint, record))[0])
 
 
 def validate_batch(

@@ -52,15 +52,20 @@ def read_partitions(
 def write_with_stats(
     df: DataFrame, path: str, mode: str = "overwrite", format: str = "parquet",
     partition_by: list[str] | None = None, sort_within: list[str] | None = None, metrics: dict | None = None,
+    rebalance: bool = False,
 ) -> dict:
     """Write and return the row count (and further metrics) observed during that same write.
 
     Overwriting a partitioned table replaces only the partitions that the frame contains.
     ``sort_within`` orders rows inside each task so that Parquet row groups can be skipped.
+    ``rebalance`` first gathers each folder's rows into few tasks, splitting a folder that is
+    too large for one; worth its shuffle when rows of many folders lie mixed in every task.
     """
     seen = Observation()
     measured = {"records": F.count(F.lit(1)), **(metrics or {})}
     observed = df.observe(seen, *[column.alias(name) for name, column in measured.items()])
+    if rebalance and partition_by:
+        observed = observed.hint("rebalance", *partition_by)
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)
     writer = observed.write.mode(mode).format(format)
@@ -84,11 +89,12 @@ def read_staging_csv(spark: SparkSession, path: str, widths: dict[str, int] = ST
 
     Columns are found by name in the header, so files of different column order load alike;
     missing trailing columns are NULL and unreadable bytes become replacement characters.
+    A bare empty field is NULL and a quoted one is ''; with the default null marker both would be NULL.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in widths])
     raw = (
         spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+        .option("quote", '"').option("escape", '"').option("nullValue", "\\N").option("mode", "PERMISSIVE").csv(path)
     )
     return cut_to_widths(raw, widths)
 

@@ -12,24 +12,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewire.fixed_values import CONTENT_TYPES, ENTITY_NAMES, TOPIC_KEYWORDS
 from tidewire.functions.measures import record_hash
 from tidewire.functions.text import TopicWords
-from tidewire.fixed_values import ENTITY_NAMES, TOPIC_KEYWORDS
 from tidewire.operators.content import enrich, with_lineage, with_parsed_times
 from tidewire.operators.validate import REASON, silver_reason, to_quarantine
 from tidewire.schemas import BRONZE_CONTENT, CORRUPT, SILVER_COLUMNS
+from tidewire.session import path_exists
 
 
-def stream_content(spark: SparkSession, root: str, content_type: str, max_files: int = 1000) -> DataFrame:
-    """New records of one type as they land below ``{root}/{type}/ingest_date=...``."""
+def stream_content(
+    spark: SparkSession, root: str, content_types: list[str] = CONTENT_TYPES, max_files: int = 1000
+) -> DataFrame:
+    """New records of all types as they land below ``{root}/{type}/ingest_date=...``.
+
+    One stream for all types: a file sink keeps one log of batches per folder, which two
+    queries must not share.
+    """
     schema = T.StructType(
         [*BRONZE_CONTENT.fields, T.StructField("ingest_date", T.DateType()), T.StructField(CORRUPT, T.StringType())]
     )
-    return (
+    streams = [
         spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", max_files).json(f"{root}/{content_type}")
-        .withColumn("content_type", F.lit(content_type))
-    )
+        .option("maxFilesPerTrigger", max_files).json(f"{root}/{kind}").withColumn("content_type", F.lit(kind))
+        for kind in content_types
+        if path_exists(spark, f"{root}/{kind}")
+    ]
+    combined = streams[0]
+    for stream in streams[1:]:
+        combined = combined.unionByName(stream)
+    return combined
 
 
 def valid_and_invalid(stream: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -55,15 +67,13 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, partition_by: list[
     return writer.trigger(availableNow=True).start(path)
 
 
-def ingest_once(spark: SparkSession, root: str, content_type: str, out: str, run_id: str) -> None:
-    """One incremental pass for a type: valid rows to gold, the others to quarantine."""
-    valid, invalid = valid_and_invalid(stream_content(spark, root, content_type))
+def ingest_once(spark: SparkSession, root: str, out: str, run_id: str) -> None:
+    """One incremental pass: valid rows to gold, the others to quarantine."""
+    valid, invalid = valid_and_invalid(stream_content(spark, root))
     parts = ["content_type", "ingest_date"]
     queries = [
-        append_to(enriched_stream(valid, run_id), f"{out}/gold", f"{out}/_checkpoints/{content_type}/gold", parts),
-        append_to(
-            to_quarantine(invalid), f"{out}/quarantine", f"{out}/_checkpoints/{content_type}/quarantine", parts
-        ),
+        append_to(enriched_stream(valid, run_id), f"{out}/gold", f"{out}/_checkpoints/gold", parts),
+        append_to(to_quarantine(invalid), f"{out}/quarantine", f"{out}/_checkpoints/quarantine", parts),
     ]
     for query in queries:
         query.awaitTermination()
