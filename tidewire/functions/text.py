@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,34 +92,54 @@ def entity_records(lowered: Column, entities: TopicWords = ENTITY_NAMES) -> Colu
     return F.array_compact(F.array(*hits))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it.
+
+    A filter on a derived column moves below the projection that derives it and takes the whole
+    expression along; named columns would then be copied into every place that refers to them.
+    The item of a one-element array stays a variable wherever the expression goes.
+    """
+    return F.transform(F.array(value), lambda item: use(item))[0]
+
+
+def text_facts(
+    text: Column, topics: TopicWords = TOPIC_KEYWORDS, entities: TopicWords = ENTITY_NAMES, match: str = "substring"
+) -> Column:
+    """Struct of keywords, entities and topic_name of one text."""
+
+    def with_keywords(lowered: Column, keywords: Column) -> Column:
+        joined = F.concat(F.lit(","), keywords, F.lit(","))
+        topic = bound(
+            joined,
+            lambda words: bound(topic_scores(lowered, words, topics, match), lambda scores: best_topic(scores, topics)),
+        )
+        return F.struct(
+            keywords.alias("keywords"), entity_list(lowered, entities).alias("entities"), topic.alias("topic_name")
+        )
+
+    return bound(
+        F.lower(text),
+        lambda lowered: bound(F.concat_ws(",", _words(lowered)), lambda keywords: with_keywords(lowered, keywords)),
+    )
+
+
 def enrich_text(
     df: DataFrame, topics: TopicWords = TOPIC_KEYWORDS, entities: TopicWords = ENTITY_NAMES,
     match: str = "substring",
 ) -> DataFrame:
-    """Add keywords, entities and topic_name from title and summary.
-
-    Built in narrow steps, so that the lowered text, the token list and the scores are each
-    computed once per row and then only searched.
-    """
-    return (
-        df.withColumn("_lowered", F.lower(analysis_text()))
-        .withColumn("keywords", F.concat_ws(",", _words(F.col("_lowered"))))
-        .withColumn("_joined", F.concat(F.lit(","), F.col("keywords"), F.lit(",")))
-        .withColumn("_scores", topic_scores(F.col("_lowered"), F.col("_joined"), topics, match))
-        .withColumn("entities", entity_list(F.col("_lowered"), entities))
-        .withColumn("topic_name", best_topic(F.col("_scores"), topics))
-        .drop("_lowered", "_joined", "_scores")
-    )
+    """Add keywords, entities and topic_name from title and summary."""
+    facts = df.withColumn("_facts", text_facts(analysis_text(), topics, entities, match))
+    names = ("keywords", "entities", "topic_name")
+    return facts.withColumns({name: F.col(f"_facts.{name}") for name in names}).drop("_facts")
 
 
-def split_list(joined: Column, max_items: int | None = None, min_length: int = 3) -> Column:
-    """Trimmed items of comma-joined text that are long enough; all of them unless ``max_items`` is set."""
+def split_list(joined: Column, max_items: int | None = None) -> Column:
+    """Trimmed items of comma-joined text; all of them unless ``max_items`` is set."""
     items = F.split(joined, ",")
     if max_items is not None:
         items = F.slice(items, 1, max_items)
     # A lambda of one argument: F.trim itself takes two, and would get the position as the second.
-    trimmed = F.transform(items, lambda item: F.trim(item))
-    return F.filter(trimmed, lambda item: F.length(item) >= min_length)
+    return F.when(joined.contains(" "), F.transform(items, lambda item: F.trim(item))).otherwise(items)
 
 
 def normalize_url(url: Column) -> Column:

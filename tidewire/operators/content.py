@@ -99,8 +99,9 @@ def relation_rows(silver: DataFrame, column: str) -> DataFrame:
 
 def exploded_items(
     content: DataFrame, joined: str, item: str, keep: list[str], max_items: int | None = None, distinct: bool = True,
+    min_length: int = 3,
 ) -> DataFrame:
-    """One row per list item of comma-joined text, with only the ``keep`` columns beside it.
+    """One row per long enough list item of comma-joined text, with only the ``keep`` columns beside it.
 
     With ``distinct`` an item counts once per content row, which is what a distinct count over
     the row key asks for, without shuffling the row keys.
@@ -108,7 +109,8 @@ def exploded_items(
     items = split_list(F.col(joined), max_items)
     if distinct:
         items = F.array_distinct(items)
-    return content.where(F.col(joined).isNotNull()).select(*keep, F.explode(items).alias(item))
+    rows = content.where(F.col(joined).isNotNull()).select(*keep, F.explode(items).alias(item))
+    return rows.where(F.length(item) >= min_length)
 
 
 def year_like_topics(gold: DataFrame, limit: int = 10) -> DataFrame:

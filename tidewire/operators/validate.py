@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.clock import AsOf, as_date, as_moment, parse_timestamp
-from tidewire.functions.text import is_web_address, normalize_url
+from tidewire.functions.text import bound, is_web_address, normalize_url
 
 REASON = "_error_reason"
 MALFORMED = "Malformed record"
@@ -99,12 +99,10 @@ def ingest_reason(endpoint: str, record: Column) -> Column:
 def validate_raw(lines: DataFrame, endpoint: str, line: str = "value") -> DataFrame:
     """Add ``_error_reason`` to a frame of raw JSON lines.
 
-    The parsed record is bound as the item of a one-element array: a filter on the reason moves
-    below a projection and takes the expression with it, and a plain column would then be parsed
-    again for every rule that looks at it.
+    Each line is parsed once, however many rules look at the record.
     """
-    parsed = F.array(F.try_parse_json(F.col(line)))
-    return lines.withColumn(REASON, F.transform(parsed, lambda record: ingest_reason(endpoint, record))[0])
+    reason = bound(F.try_parse_json(F.col(line)), lambda record: ingest_reason(endpoint, record))
+    return lines.withColumn(REASON, reason)
 
 
 def validate_batch(

@@ -45,15 +45,17 @@ def keywords_by_topic(content: DataFrame, min_count: int = 5, max_items: int | N
 
 
 def entity_pairs(
-    content: DataFrame, min_count: int = 5, limit: int = 100, max_items: int | None = None, canonical: bool = False
+    content: DataFrame, min_count: int = 5, limit: int = 100, max_items: int | None = None, canonical: bool = False,
+    min_length: int = 3,
 ) -> DataFrame:
     """5.4 Entities named together in a row.
 
     Pairs are built inside the row from its entity list, which the dictionary bounds (24 names
     by default). With ``canonical`` each pair is put in name order.
     """
+    long_enough = F.filter(split_list(F.col("entities"), max_items), lambda name: F.length(name) >= min_length)
     listed = current_rows(content).where(F.col("entities").isNotNull()).select(
-        F.array_distinct(split_list(F.col("entities"), max_items)).alias("names")
+        F.array_distinct(long_enough).alias("names")
     )
     if canonical:
         listed = listed.select(F.array_sort("names").alias("names"))
