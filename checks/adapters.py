@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.operators.content import enrich, to_silver
 from tidewire.operators.dedup import deduplicate_by_key
@@ -35,9 +36,16 @@ SCD_LOADS = [("1997-01-01", "1997-01-01 06:00:00"), ("1999-01-01", "1999-01-01 0
              ("2001-08-02", "2001-08-02 06:00:00")]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, whole. Its schema is looked up once per path, as each lookup is a Spark job."""
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def orders_content(spark: SparkSession, sf_dir: str) -> DataFrame:

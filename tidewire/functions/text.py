@@ -102,35 +102,30 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), lambda item: use(item))[0]
 
 
-def text_facts(
-    text: Column, topics: TopicWords = TOPIC_KEYWORDS, entities: TopicWords = ENTITY_NAMES, match: str = "substring"
-) -> Column:
-    """Struct of keywords, entities and topic_name of one text."""
-
-    def with_keywords(lowered: Column, keywords: Column) -> Column:
-        joined = F.concat(F.lit(","), keywords, F.lit(","))
-        topic = bound(
-            joined,
-            lambda words: bound(topic_scores(lowered, words, topics, match), lambda scores: best_topic(scores, topics)),
-        )
-        return F.struct(
-            keywords.alias("keywords"), entity_list(lowered, entities).alias("entities"), topic.alias("topic_name")
-        )
-
-    return bound(
-        F.lower(text),
-        lambda lowered: bound(F.concat_ws(",", _words(lowered)), lambda keywords: with_keywords(lowered, keywords)),
-    )
-
-
 def enrich_text(
     df: DataFrame, topics: TopicWords = TOPIC_KEYWORDS, entities: TopicWords = ENTITY_NAMES,
     match: str = "substring",
 ) -> DataFrame:
-    """Add keywords, entities and topic_name from title and summary."""
-    facts = df.withColumn("_facts", text_facts(analysis_text(), topics, entities, match))
-    names = ("keywords", "entities", "topic_name")
-    return facts.withColumns({name: F.col(f"_facts.{name}") for name in names}).drop("_facts")
+    """Add keywords, entities and topic_name from title and summary.
+
+    Built in narrow steps, so that the lowered text, the token list and the scores are each
+    computed once per row and then only searched. The results leave through ``inline`` of a
+    one-row array: a filter on a generated column stays above the generator, while a filter on
+    a projected column would move below and repeat the whole text work for every mention.
+    """
+    lowered, joined, scores = F.col("_lowered"), F.col("_joined"), F.col("_scores")
+    steps = (
+        df.withColumn("_lowered", F.lower(analysis_text()))
+        .withColumn("_words", F.concat_ws(",", _words(lowered)))
+        .withColumn("_joined", F.concat(F.lit(","), F.col("_words"), F.lit(",")))
+        .withColumn("_scores", topic_scores(lowered, joined, topics, match))
+    )
+    facts = F.struct(
+        F.col("_words").alias("keywords"),
+        entity_list(lowered, entities).alias("entities"),
+        best_topic(scores, topics).alias("topic_name"),
+    )
+    return steps.select(*df.columns, F.inline(F.array(facts)))
 
 
 def split_list(joined: Column, max_items: int | None = None) -> Column:

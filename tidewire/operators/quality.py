@@ -47,8 +47,8 @@ def layer_loss(counts: DataFrame, max_loss_pct: float = 10.0) -> DataFrame:
     """Loss between two layers per group (bronze_count, silver_count): acceptable below the limit."""
     bronze, silver = F.col("bronze_count"), F.col("silver_count")
     loss = percent(bronze - silver, bronze)
-    sound = (silver <= bronze) & ((bronze - silver) * 100.0 < bronze * max_loss_pct)
-    return counts.withColumns({"loss_pct": loss, "acceptable": F.coalesce(sound, bronze == silver)})
+    small = (bronze == silver) | ((bronze - silver) * 100.0 < bronze * max_loss_pct)
+    return counts.withColumns({"loss_pct": loss, "acceptable": (silver <= bronze) & small})
 
 
 def null_fields(df: DataFrame, fields: list[str] | None = None, key: str = "id") -> DataFrame:

@@ -56,16 +56,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, filesystem = _filesystem(spark, path)
     return bool(filesystem.exists(hadoop_path))
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder (one listing call; used for a handful of snapshot folders)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    hadoop_path, filesystem = _filesystem(spark, path)
     if not filesystem.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is about to be written anew."""
+    hadoop_path, filesystem = _filesystem(spark, path)
+    filesystem.delete(hadoop_path, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 
 from tidewire.fixed_values import STAGING_WIDTHS
 from tidewire.operators.content import cut_to_widths
-from tidewire.operators.scd2 import first_versions, merge_current
-from tidewire.session import child_names, path_exists
+from tidewire.operators.dedup import deduplicate_by_key
+from tidewire.operators.scd2 import KEYS, first_versions, merge_current
+from tidewire.session import child_names, path_exists, remove
 from tidewire.sources.bronze import Dates, on_dates
 
 
@@ -108,25 +110,44 @@ class CoreTable:
     snapshot counts when its write is complete; a load that dies half-way changes nothing and
     a repeated load replaces just its own folder. Snapshots are ISO load dates, which sort as
     text; to redo an old date, redo the later ones after it.
+
+    With ``buckets`` the slices are stored hash-bucketed and sorted by key. The next load then
+    joins the old slice where it lies: only the batch is shuffled, never the (far larger)
+    slice. One task handles one bucket, so choose the number for buckets of a gigabyte or two.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path, self.buckets = spark, path, buckets
 
     def _part(self, snapshot: str, current: bool) -> str:
         return f"{self.path}/snapshot={snapshot}/is_current={str(current).lower()}"
 
+    def _table_name(self, snapshot: str) -> str:
+        return "core_" + hashlib.md5(f"{self.path}|{snapshot}".encode()).hexdigest()
+
     def snapshots(self, before: str | None = None) -> list[str]:
         names = [n.split("=", 1)[1] for n in child_names(self.spark, self.path) if n.startswith("snapshot=")]
         complete = [n for n in names if path_exists(self.spark, f"{self.path}/snapshot={n}/_SUCCESS")]
         return sorted(n for n in complete if before is None or n < before)
 
+    def _slice(self, snapshot: str) -> DataFrame:
+        folder = self._part(snapshot, True)
+        files = self.spark.read.parquet(folder)
+        if not self.buckets:
+            return files
+        # Parquet files do not say how they are bucketed; an external table definition does.
+        name, keys = self._table_name(snapshot), ", ".join(KEYS)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({files._jdf.schema().toDDL()}) USING parquet "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{folder}'"
+        )
+        return self.spark.table(name)
+
     def current(self, before: str | None = None) -> DataFrame | None:
         """Current slice of the newest complete snapshot (older than ``before``)."""
         known = self.snapshots(before)
-        if not known:
-            return None
-        return self.spark.read.parquet(self._part(known[-1], True)).withColumn("is_current", F.lit(True))
+        return self._slice(known[-1]).withColumn("is_current", F.lit(True)) if known else None
 
     def state(self) -> DataFrame:
         """All versions: the newest current slice and everything closed up to it."""
@@ -138,22 +159,43 @@ class CoreTable:
             return current
         return current.unionByName(self.spark.read.parquet(*closed).withColumn("is_current", F.lit(False)))
 
-    def load(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> dict:
-        """Merge one batch, keyed by load date. Returns rows written, opened and closed."""
+    def next_versions(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> DataFrame:
+        """Rows that load ``snapshot`` has to write: the merged slice and the versions it closes."""
         before = self.current(before=snapshot)
-        merged = first_versions(batch, now) if before is None else merge_current(before, batch, now, latest_by)
+        if before is not None:
+            return merge_current(before, batch, now, latest_by)
+        if latest_by is not None:
+            batch = deduplicate_by_key(batch, KEYS, latest_by, tie_breaks=["record_hash"])
+        return first_versions(batch, now)
+
+    def load(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> dict:
+        """Merge one batch, keyed by load date. Returns rows current, opened and closed."""
         seen = Observation()
-        observed = merged.observe(
+        rows = self.next_versions(batch, snapshot, now, latest_by).observe(
             seen,
             F.count_if("is_current").alias("current"),
             F.count_if(F.col("is_current") & (F.col("valid_from") == F.lit(now).cast("timestamp"))).alias("opened"),
             F.count_if(~F.col("is_current")).alias("closed"),
         )
-        (
-            observed.sortWithinPartitions("is_current", "content_type", "published_at")
-            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_current")
-            .parquet(f"{self.path}/snapshot={snapshot}")
-        )
+        folder = f"{self.path}/snapshot={snapshot}"
+        if self.buckets:
+            # A join with the bucketed slice leaves one bucket per task; a first load has no such join.
+            if not self.snapshots(before=snapshot):
+                rows = rows.repartition(self.buckets, *KEYS)
+            name = self._table_name(f"{snapshot}|write")
+            remove(self.spark, folder)
+            (
+                rows.write.partitionBy("is_current")
+                .bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", folder)
+                .option("partitionOverwriteMode", "static").saveAsTable(name)
+            )
+            self.spark.sql(f"DROP TABLE {name}")
+        else:
+            (
+                rows.sortWithinPartitions("is_current", "content_type", "published_at")
+                .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_current")
+                .parquet(folder)
+            )
         return seen.get
 
 
