@@ -176,7 +176,7 @@ def extraction_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def list_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "meta")
-    bronze.write_extraction_metadata(_metadata(spark, sf_dir).repartition("endpoint"), root)
+    bronze.write_extraction_metadata(_metadata(spark, sf_dir), root)
     return bronze.list_extractions(spark, root).select("endpoint", "records")
 
 

@@ -82,14 +82,15 @@ def trends_job(spark: SparkSession, lake: Lake, ingest_date: str, csv: bool = Fa
     """Monthly aggregates of one load date, or of all loaded rows under that date."""
     gold = read_partitions(spark, lake.gold(), None if whole_history else [ingest_date])
     counts = {}
-    for table, frame in (
-        ("topic_counts", topic_trends(gold, ingest_date)), ("source_activity", site_activity(gold, ingest_date)),
+    for table, frame, columns in (
+        ("topic_counts", topic_trends(gold, ingest_date), TOPIC_TREND_WIDTHS),
+        ("source_activity", site_activity(gold, ingest_date), SITE_ACTIVITY_WIDTHS),
     ):
         path = lake.gold(f"trends/{table}")
         counts[table] = replace_dates(frame, path)["records"]
         if csv:
             rows = read_partitions(spark, path, [ingest_date])
-            write_csv(rows, f"{lake.gold(f'trends/{table}_csv')}/{ingest_date}")
+            write_csv(rows.select(*columns), f"{lake.gold(f'trends/{table}_csv')}/{ingest_date}")
     return counts
 
 

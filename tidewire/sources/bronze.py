@@ -115,17 +115,20 @@ def extraction_metadata(
 
 
 def write_extraction_metadata(metadata: DataFrame, root: str) -> None:
-    """Metadata as JSON below ``{root}/_meta/ingest_date=...``; the date also stays in the record."""
-    with_folder = metadata.withColumn("_day", F.col("ingest_date"))
-    # The partition column is renamed so that the record keeps its own ingest_date.
-    with_folder.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day").json(
+    """Metadata as one JSON file per load date and endpoint below ``{root}/_meta``.
+
+    The folder columns are copies, so that the record keeps its own date and endpoint.
+    """
+    copies = metadata.withColumns({"_day": F.col("ingest_date"), "_endpoint": F.col("endpoint")})
+    copies.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day", "_endpoint").json(
         f"{root}/_meta"
     )
 
 
 def list_extractions(spark: SparkSession, root: str, limit: int = 20) -> DataFrame:
-    """Latest metadata files, newest first, with endpoint and record count."""
-    files = spark.read.schema(EXTRACTION_META).option("recursiveFileLookup", True).json(f"{root}/_meta")
+    """Latest metadata files (one record each, over one or more lines), newest first."""
+    reader = spark.read.schema(EXTRACTION_META).option("recursiveFileLookup", True).option("multiLine", True)
+    files = reader.json(f"{root}/_meta")
     return (
         files.select(
             F.col("_metadata.file_modification_time").alias("modified"),

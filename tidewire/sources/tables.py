@@ -89,16 +89,17 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, s
 def read_staging_csv(spark: SparkSession, path: str, widths: dict[str, int] = STAGING_WIDTHS) -> DataFrame:
     """CSV into all-text staging columns, cut to their widths.
 
-    Columns are found by name in the header, so files of different column order load alike;
-    missing trailing columns are NULL and unreadable bytes become replacement characters.
-    A bare empty field is NULL and a quoted one is ''; with the default null marker both would be NULL.
+    Columns go by the names in the header, whatever their order; columns the files lack and
+    missing trailing fields are NULL, and unreadable bytes become replacement characters. A bare
+    empty field is NULL and a quoted one is ''; with the default null marker both would be NULL.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in widths])
     raw = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("nullValue", "\\N").option("mode", "PERMISSIVE").csv(path)
+        spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+        .option("nullValue", "\\N").option("mode", "PERMISSIVE").csv(path)
     )
-    return cut_to_widths(raw, widths)
+    present = set(raw.columns)
+    named = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in widths]
+    return cut_to_widths(raw.select(*named), widths)
 
 
 class CoreTable:
