@@ -32,7 +32,9 @@ SITES = """
     late as (select site, min(d) a, max(d) b, count(*) n from named where d > date '1999-12-31' group by 1)"""
 
 OFFICIAL = """
-    official as (select source from documents group by 1 having count(*) filter (lang = 'en') * 3 >= count(*) * 2)"""
+    official as (select source from documents group by 1
+                 having count(*) filter (lang = 'en') * (select count(*) from documents)
+                        >= count(*) * (select count(*) from documents where lang = 'en'))"""
 
 DOC_WORDS = f"""
     docs as (select doc_id, lower("text") lowered, regexp_extract_all(lower("text"), {WORDS}) tokens from documents)"""

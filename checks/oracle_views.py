@@ -139,10 +139,10 @@ VIEWS: dict[str, str] = {
         from ord_loads group by all""",
     "runs": """
         select cast(o_orderdate as date) run_date, 'daily_load' pipeline_name,
-               case when count(*) filter (o_orderstatus = 'P') * 2 >= count(*) then 'failed' else 'completed' end status,
+               case when count(*) filter (o_orderstatus = 'P') * 3 >= count(*) then 'failed' else 'completed' end status,
                count(*) records_processed, count(*) filter (o_orderstatus = 'P') records_failed,
                count(*) filter (o_orderpriority = '1-URGENT') execution_time_seconds,
-               case when count(*) filter (o_orderstatus = 'P') * 2 >= count(*) then 'too many pending orders'
+               case when count(*) filter (o_orderstatus = 'P') * 3 >= count(*) then 'too many pending orders'
                end error_message,
                cast(o_orderdate as date) + to_days(1) + to_minutes(count(*)) created_at
         from orders group by cast(o_orderdate as date)""",

@@ -77,6 +77,8 @@ def test_stored_table_equals_the_pure_merge(spark, buckets):
     core.load(batch(spark, b="h1"), "2026-01-03", T3)
     assert history(core.state()) == EXPECTED_2
     assert core.snapshots() == ["2026-01-01", "2026-01-02", "2026-01-03"]
+    assert core.expire_slices(keep=1) == ["2026-01-01", "2026-01-02"]
+    assert history(core.state()) == EXPECTED_2
 
 
 def test_unfinished_snapshot_is_not_read(spark):

@@ -46,6 +46,16 @@ def month_label(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM")
 
 
+def month_start(moment: str) -> Column:
+    """First day of the month: the cheap grouping key; format it as a label once rows are aggregated."""
+    return F.trunc(moment, "month").alias("month_start")
+
+
+def on_day(moment: Column, day: Column) -> Column:
+    """Is the time on that day? A range on the bare column, which reaches the Parquet scan."""
+    return (moment >= day.cast("timestamp")) & (moment < F.date_add(day, 1).cast("timestamp"))
+
+
 def days_between(start: Column, end: Column) -> Column:
     """Calendar days crossed from start to end (23:00 to 01:00 is one day)."""
     return F.datediff(F.to_date(end), F.to_date(start)).cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.clock import AsOf, as_date
+from tidewire.functions.clock import AsOf, as_date, on_day
 
 
 def _top(aggregate: DataFrame, dimension: str, label: str, day, limit: int) -> DataFrame:
@@ -26,7 +26,7 @@ def daily_insights(
 ) -> DataFrame:
     """One nested row: totals of the rows opened on the day, top topics and top sources of its aggregates."""
     day = as_date(ingest_date)
-    opened = state.where(F.col("is_current") & (F.to_date("valid_from") == day))
+    opened = state.where(F.col("is_current") & on_day(F.col("valid_from"), day))
     # Sites and types first, so that the distinct counts run over few rows.
     groups = opened.groupBy("news_site", "content_type").agg(F.count(F.lit(1)).alias("n"))
     stats = groups.agg(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.clock import AsOf, as_date, as_moment
+from tidewire.functions.clock import AsOf, as_date, as_moment, on_day
 from tidewire.functions.measures import percent, run_identifier
 
 REQUIRED_FIELDS = ["id", "title", "url", "published_at"]
@@ -104,6 +104,12 @@ def run_events(runs: DataFrame) -> DataFrame:
     )
 
 
+def _opened(state: DataFrame, ingest_date: AsOf) -> DataFrame:
+    """Current rows, those opened on one day if a day is given."""
+    current = state.where(F.col("is_current"))
+    return current if ingest_date is None else current.where(on_day(F.col("valid_from"), as_date(ingest_date)))
+
+
 def record_runs(
     state: DataFrame, completed_at: dt.datetime | str | Column | None = None,
     started_at: dt.datetime | str | Column | None = None, failed: DataFrame | None = None,
@@ -114,10 +120,7 @@ def record_runs(
     Give ``ingest_date`` for a single day; otherwise every day in the state is reported.
     ``failed`` holds ``ingest_date`` and ``records_failed``.
     """
-    current = state.where("is_current").withColumn("_day", F.to_date("valid_from"))
-    if ingest_date is not None:
-        current = current.where(F.col("_day") == as_date(ingest_date))
-    processed = current.groupBy(F.col("_day").alias("ingest_date")).agg(
+    processed = _opened(state, ingest_date).groupBy(F.to_date("valid_from").alias("ingest_date")).agg(
         F.count(F.lit(1)).alias("records_processed")
     )
     if failed is not None:
@@ -145,12 +148,11 @@ def record_content_checks(
     state: DataFrame, now: dt.datetime | str | Column | None = None, ingest_date: AsOf = None, minimum: int = 100
 ) -> DataFrame:
     """Check rows ``daily_content_count``: PASS from ``minimum`` current rows a load day, else WARNING."""
-    current = state.where("is_current").withColumn("_day", F.to_date("valid_from"))
+    opened = _opened(state, ingest_date)
     if ingest_date is not None:
-        current = current.where(F.col("_day") == as_date(ingest_date))
-        rows = current.agg(F.count(F.lit(1)).alias("n")).withColumn("ingest_date", as_date(ingest_date))
+        rows = opened.agg(F.count(F.lit(1)).alias("n")).withColumn("ingest_date", as_date(ingest_date))
     else:
-        rows = current.groupBy(F.col("_day").alias("ingest_date")).agg(F.count(F.lit(1)).alias("n"))
+        rows = opened.groupBy(F.to_date("valid_from").alias("ingest_date")).agg(F.count(F.lit(1)).alias("n"))
     return rows.select(
         F.lit("daily_content_count").alias("check_name"),
         F.lit("row_count").alias("check_type"),

@@ -90,7 +90,11 @@ def merge_current(
 def scd2_merge(
     state: DataFrame, batch: DataFrame, now: dt.datetime | str | Column, latest_by: str | None = None
 ) -> DataFrame:
-    """Whole next state: untouched history and the merged current slice."""
+    """Whole next state: untouched history and the merged current slice.
+
+    The state is read for both parts, so write it between loads (the stored table does) when
+    several loads follow one another; chained in one plan the work would double with each load.
+    """
     history = state.where(~F.col("is_current"))
     return history.unionByName(merge_current(state.where("is_current"), batch, now, latest_by))
 

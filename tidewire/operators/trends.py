@@ -7,15 +7,18 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.clock import AsOf, as_date, as_moment, month_label
+from tidewire.functions.clock import AsOf, as_date, as_moment, month_label, month_start
 from tidewire.functions.measures import cast_or_null
 
 
 def _monthly(content: DataFrame, dimension: str, ingest_date: AsOf, now) -> DataFrame:
-    counts = content.groupBy(
-        month_label(F.col("published_at")).alias("year_month"), dimension, "content_type"
-    ).agg(F.count(F.lit(1)).alias("content_count"))
-    return counts.withColumns({"ingest_date": as_date(ingest_date), "calculated_at": as_moment(now)})
+    counts = content.groupBy(month_start("published_at"), dimension, "content_type").agg(
+        F.count(F.lit(1)).alias("content_count")
+    )
+    return counts.select(
+        month_label(F.col("month_start")).alias("year_month"), dimension, "content_type", "content_count",
+        as_date(ingest_date).alias("ingest_date"), as_moment(now).alias("calculated_at"),
+    )
 
 
 def topic_trends(

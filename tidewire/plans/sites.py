@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.clock import AsOf, days_between, month_label, months_before
+from tidewire.functions.clock import AsOf, days_between, month_label, month_start, months_before
 from tidewire.functions.measures import named_topic, rounded_ratio, with_share
 from tidewire.plans.volume import current_rows, rows
 
@@ -45,11 +45,10 @@ def top_sites(content: DataFrame, limit: int = 20) -> DataFrame:
 def site_months(content: DataFrame, as_of: AsOf = None, months: int = 12) -> DataFrame:
     """2.2 Items per month and site in the last months."""
     recent = _named_sites(content).where(F.col("published_at") >= months_before(as_of, months))
-    return (
-        recent.groupBy(month_label(F.col("published_at")).alias("year_month"), "news_site")
-        .agg(rows().alias("content_count"))
-        .orderBy(F.desc("year_month"), F.desc("content_count"), "news_site")
-    )
+    groups = recent.groupBy(month_start("published_at"), "news_site").agg(rows().alias("content_count"))
+    return groups.select(
+        month_label(F.col("month_start")).alias("year_month"), "news_site", "content_count"
+    ).orderBy(F.desc("year_month"), F.desc("content_count"), "news_site")
 
 
 def site_specialization(content: DataFrame, min_count: int = 5) -> DataFrame:

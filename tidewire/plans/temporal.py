@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.functions.clock import AsOf, month_label, months_before
+from tidewire.functions.clock import AsOf, month_label, month_start, months_before
 from tidewire.functions.measures import growth_percent, rounded_ratio, with_share
 from tidewire.plans.volume import current_rows, rows, since_days
 
@@ -16,14 +16,17 @@ def _since_months(content: DataFrame, as_of: AsOf, months: int) -> DataFrame:
 
 def monthly_volume(content: DataFrame, as_of: AsOf = None, months: int = 24) -> DataFrame:
     """4.1 Items, active sites and topics per month and type."""
-    month = month_label(F.col("published_at")).alias("year_month")
-    fine = _since_months(content, as_of, months).groupBy(month, "content_type", "news_site", "topic_name").agg(
-        rows().alias("n")
-    )
-    return fine.groupBy("year_month", "content_type").agg(
+    fine = _since_months(content, as_of, months).groupBy(
+        month_start("published_at"), "content_type", "news_site", "topic_name"
+    ).agg(rows().alias("n"))
+    groups = fine.groupBy("month_start", "content_type").agg(
         F.sum("n").alias("content_count"),
         F.count_distinct("news_site").alias("active_sources"),
         F.count_distinct("topic_name").alias("topics_covered"),
+    )
+    return groups.select(
+        month_label(F.col("month_start")).alias("year_month"), "content_type", "content_count", "active_sources",
+        "topics_covered",
     ).orderBy(F.desc("year_month"), "content_type")
 
 
@@ -63,8 +66,10 @@ def hourly_pattern(content: DataFrame, as_of: AsOf = None, days: int = 90) -> Da
 
 def monthly_growth(content: DataFrame, as_of: AsOf = None, months: int = 12) -> DataFrame:
     """4.5 Month over month growth."""
-    month = month_label(F.col("published_at")).alias("year_month")
-    counts = _since_months(content, as_of, months).groupBy(month).agg(rows().alias("current_month"))
+    monthly = _since_months(content, as_of, months).groupBy(month_start("published_at")).agg(
+        rows().alias("current_month")
+    )
+    counts = monthly.select(month_label(F.col("month_start")).alias("year_month"), "current_month")
     before = F.lag("current_month", 1).over(Window.orderBy("year_month"))
     now, previous = F.col("current_month"), F.col("previous_month")
     return counts.withColumn("previous_month", before).withColumns(

@@ -160,6 +160,16 @@ class CoreTable:
             return current
         return current.unionByName(self.spark.read.parquet(*closed).withColumn("is_current", F.lit(False)))
 
+    def expire_slices(self, keep: int = 2) -> list[str]:
+        """Delete current slices but the newest ``keep``; the history stays. Returns the dates concerned.
+
+        Dates up to those can no longer be loaded anew.
+        """
+        old = self.snapshots()[:-keep]
+        for snapshot in old:
+            remove(self.spark, self._part(snapshot, True))
+        return old
+
     def next_versions(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> DataFrame:
         """Rows that load ``snapshot`` has to write: the merged slice and the versions it closes."""
         before = self.current(before=snapshot)
