@@ -195,6 +195,15 @@ def order_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_activity(early, "1999-12-31", FIXED_NOW).unionByName(site_activity(content, "2001-08-01", FIXED_NOW))
 
 
+def stored_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic aggregate as the reports find it: a written table."""
+    return materialized(spark, order_trends(spark, sf_dir), "trends")
+
+
+def stored_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialized(spark, order_activity(spark, sf_dir), "activity")
+
+
 def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per order day under the run table's columns: pending orders count as failed records."""
     orders = table(spark, sf_dir, "orders")

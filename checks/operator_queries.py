@@ -411,7 +411,7 @@ def _trend_columns(df: DataFrame) -> DataFrame:
 
 
 def latest_month_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.latest_month_top(A.order_trends(spark, sf_dir), "topic_name")
+    return trends.latest_month_top(A.stored_trends(spark, sf_dir), "topic_name")
 
 
 def replaced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,7 +516,7 @@ def insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily record written as JSON and read back as nested data."""
     path = scratch_path(spark, "insights")
     record = daily_insights(
-        A.orders_content(spark, sf_dir), A.order_trends(spark, sf_dir), A.order_activity(spark, sf_dir), "2001-08-01"
+        A.orders_content(spark, sf_dir), A.stored_trends(spark, sf_dir), A.stored_activity(spark, sf_dir), "2001-08-01"
     )
     record.write.mode("overwrite").json(path)
     back = spark.read.schema(record.schema).json(path)

@@ -71,8 +71,8 @@ OPERATORS: dict[str, str] = {
         select id, content_id, content_type, title, url, news_site, published_at, updated_at, featured, topic_name,
                entities, cast(year(published_at) as integer) published_year,
                cast(month(published_at) as integer) published_month, cast(day(published_at) as integer) published_day,
-               authors_json, ingest_date, record_hash, md5(substr(summary, 1, 20000)) summary_md5,
-               md5(substr(keywords, 1, 10000)) keywords_md5 from doc_gold"""),
+               authors_json, ingest_date, record_hash, md5(summary) summary_md5,
+               md5(keywords) keywords_md5 from doc_gold"""),
     "a10_aggregate_staging": with_views("trends", "select * from trends"),
     "a12_land_valid_lines": with_views("doc_raw", f"""
         with {RAW_CHECKED} select content_type endpoint, count(*) records from raw_checked

@@ -57,10 +57,10 @@ REPORT_QUERIES = {
     "k06_4_version_histogram": _on(A.customer_state, health.version_histogram),
     "k06_5_ingest_quality": _on(A.raw_lineitems, health.ingest_quality, as_of="2001-06-01"),
     "k06_6_version_audit": _on(A.customer_state, health.version_audit, as_of="2001-08-05"),
-    "k07_1_topic_trend_report": _on(A.order_trends, aggregates.topic_trend_report, **ord_day),
-    "k07_2_site_activity_report": _on(A.order_activity, aggregates.site_activity_report, **ord_day),
-    "k07_3_topic_growth": _on(A.order_trends, aggregates.topic_growth, **ord_day),
-    "k07_4_best_months": _on(A.order_trends, aggregates.best_months),
+    "k07_1_topic_trend_report": _on(A.stored_trends, aggregates.topic_trend_report, **ord_day),
+    "k07_2_site_activity_report": _on(A.stored_activity, aggregates.site_activity_report, **ord_day),
+    "k07_3_topic_growth": _on(A.stored_trends, aggregates.topic_growth, **ord_day),
+    "k07_4_best_months": _on(A.stored_trends, aggregates.best_months),
     "k08_1_executive_summary": _on(ORD, dashboard.executive_summary, **ord_day),
     "k08_2_week_in_days": _on(EVT, dashboard.week_in_days, **evt_day),
     "k08_3_type_distribution": _on(ORD, dashboard.type_distribution),

@@ -114,10 +114,12 @@ def test_staging_cuts_fills_and_survives_bad_bytes(spark):
     os.makedirs(path)
     with open(f"{path}/a.csv", "wb") as out:
         out.write(b'id,content_id,content_type\n1,x,articles\n2,"a ""b"" c\nd",blogs\n3\n4,caf\xff,' + b"r" * 40 + b"\n")
-    found = read_staging_csv(spark, path, {"id": 50, "content_id": 50, "content_type": 20, "title": 5000})
+    widths = {"id": 50, "content_id": 50, "content_type": 20, "title": 5000}
+    found = read_staging_csv(spark, path, widths, widths)
     assert rows(found, "id", "content_id", "content_type", "title") == [
         ("1", "x", "articles", None), ("2", 'a "b" c\nd', "blogs", None), ("3", None, None, None),
         ("4", "caf�", "r" * 20, None)]
+    assert read_staging_csv(spark, path, widths).where("id = 4").first().content_type == "r" * 40
 
 
 def test_csv_keeps_null_and_empty_apart(spark):
@@ -125,7 +127,7 @@ def test_csv_keeps_null_and_empty_apart(spark):
     df = spark.createDataFrame([("1", None, "x"), ("2", "", "y")], "id string, content_id string, content_type string")
     write_csv(df, path, single_file=True)
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
-    assert rows(read_staging_csv(spark, path, {"id": 5, "content_id": 5, "content_type": 5}), "id", "content_id") == [
+    assert rows(read_staging_csv(spark, path, ["id", "content_id", "content_type"]), "id", "content_id") == [
         ("1", None), ("2", "")]
 
 

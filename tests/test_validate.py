@@ -110,11 +110,11 @@ def test_site_check(spark):
 
 def test_normalising_and_flags(spark):
     df = spark.createDataFrame(
-        [("  Test Article  ", "  SpaceNews  ", "  Test summary  ", "HTTPS://EXAMPLE.COM/ARTICLE")],
+        [("  Test Article  ", "  Orbit Daily  ", "  Test summary  ", "HTTPS://EXAMPLE.COM/ARTICLE")],
         "title string, news_site string, summary string, url string",
     )
     assert tuple(V.normalize_content(df).first()) == (
-        "Test Article", "SpaceNews", "Test summary", "https://example.com/ARTICLE")
+        "Test Article", "Orbit Daily", "Test summary", "https://example.com/ARTICLE")
     rows = spark.sql("""
         SELECT repeat('A', 501) title, 'Short' summary, timestamp'2099-12-31 00:00:00' published_at UNION ALL
         SELECT repeat('A', 500), 'long enough', timestamp'1957-10-04 00:00:00' UNION ALL

@@ -80,7 +80,7 @@ def typed_staging(staged: DataFrame) -> DataFrame:
 
 
 def cut_to_widths(df: DataFrame, widths: dict[str, int] = STAGING_WIDTHS) -> DataFrame:
-    """Cut over-long text to the staging column's width, as the staging load does."""
+    """Cut over-long text to column widths, for a target whose columns are that narrow."""
     return df.withColumns({c: F.substring(c, 1, n) for c, n in widths.items() if c in df.columns})
 
 

@@ -27,12 +27,12 @@ def topic_pairs(content: DataFrame, min_count: int = 10, limit: int = 50) -> Dat
     right = counted.select("day", "news_site", F.col("topic_name").alias("topic2"), F.col("n").alias("n2"))
     met = left.join(right, ["day", "news_site"]).where(F.col("topic1") < F.col("topic2"))
     pairs = met.groupBy("topic1", "topic2").agg(F.sum(F.col("n1") * F.col("n2")).alias("co_occurrence_count"))
-    frequent = pairs.where(F.col("co_occurrence_count") >= min_count)
-    # Ranked over topic pairs, of which there are as many as the dictionary allows.
-    rank = F.rank().over(Window.orderBy(F.desc("co_occurrence_count"))).cast("bigint")
-    return frequent.withColumn("rank", rank).orderBy(
+    top = pairs.where(F.col("co_occurrence_count") >= min_count).orderBy(
         F.desc("co_occurrence_count"), "topic1", "topic2"
     ).limit(limit)
+    # Whatever outranks a shown pair is shown too, so the rank needs the shown pairs only.
+    rank = F.rank().over(Window.orderBy(F.desc("co_occurrence_count"))).cast("bigint")
+    return top.withColumn("rank", rank).orderBy(F.desc("co_occurrence_count"), "topic1", "topic2")
 
 
 def site_velocity(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -86,8 +87,10 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, s
     writer.csv(path)
 
 
-def read_staging_csv(spark: SparkSession, path: str, widths: dict[str, int] = STAGING_WIDTHS) -> DataFrame:
-    """CSV into all-text staging columns, cut to their widths.
+def read_staging_csv(
+    spark: SparkSession, path: str, columns: Iterable[str] = STAGING_WIDTHS, widths: dict[str, int] | None = None
+) -> DataFrame:
+    """CSV into all-text staging columns; texts stay whole unless ``widths`` are given to cut them to.
 
     Columns go by the names in the header, whatever their order; columns the files lack and
     missing trailing fields are NULL, and unreadable bytes become replacement characters. A bare
@@ -98,8 +101,8 @@ def read_staging_csv(spark: SparkSession, path: str, widths: dict[str, int] = ST
         .option("nullValue", "\\N").option("mode", "PERMISSIVE").csv(path)
     )
     present = set(raw.columns)
-    named = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in widths]
-    return cut_to_widths(raw.select(*named), widths)
+    staged = raw.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
+    return staged if widths is None else cut_to_widths(staged, widths)
 
 
 class CoreTable:
