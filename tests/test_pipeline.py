@@ -9,7 +9,7 @@ from tidewire.operators.scd2 import broken_versions
 from tidewire.plans import pipeline as P
 from tidewire.session import scratch_path
 from tidewire.sources import bronze
-from tidewire.sources.tables import CoreTable, Lake, read_partitions, read_staging_csv, write_csv
+from tidewire.sources.tables import CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, write_csv
 from tidewire.streaming import incremental
 
 DAY1, DAY2 = "2026-02-17", "2026-02-18"
@@ -83,7 +83,7 @@ def test_day_by_day(spark, lake):
     for name, path in tables(lake).items():
         again = rows(read_partitions(spark, path), "*")
         assert len(again) == len(before[name]), name
-    sites = P.CoreDimension(spark, lake.core("ref_news_sites")).latest()
+    sites = CoreDimension(spark, lake.core("ref_news_sites")).latest()
     assert rows(sites, "news_site_name", "total_content_count") == [("S1", 5), ("S9", 1)]
     runs = spark.read.parquet(lake.core("meta_pipeline_runs"))
     assert rows(runs, F.col("ingest_date").cast("string"), "records_processed") == [(DAY1, 3), (DAY2, 2)]
@@ -91,6 +91,18 @@ def test_day_by_day(spark, lake):
     assert insight["total_content"] == 2 and insight["top_sources"] == [{"source": "S1", "count": 3}]
 
 
+def test_a_corrected_date_leaves_nothing_of_its_first_run(spark, lake):
+    P.clean_job(spark, lake, [DAY1])
+    P.enrich_job(spark, lake, [DAY1], "r")
+    put(lake.root, "articles", DAY1, [record(1, title="  padded ", url="HTTPS://E.com/X"), record(2, url="https://e.com/X")])
+    put(lake.root, "reports", DAY1, [])
+    stats = P.clean_job(spark, lake, [DAY1], normalize=True, unique_urls=True)
+    assert stats["invalid_count"] == 0 and stats["deduplicated_count"] == 1
+    assert not [f for _, _, files in os.walk(lake.silver("quarantine")) for f in files if f.endswith(".parquet")]
+    P.enrich_job(spark, lake, [DAY1], "r")
+    assert [r.content_type for r in read_partitions(spark, lake.gold(), [DAY1]).collect()] == ["articles"]
+
+
 def tables(lake):
     return {
         "silver": lake.silver(), "quarantine": lake.silver("quarantine"), "topic_counts": lake.gold("trends/topic_counts"),

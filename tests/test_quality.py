@@ -45,6 +45,8 @@ def test_runs_and_checks(spark):
     run = Q.record_runs(state, "2026-02-18 06:00:00", "2026-02-18 05:45:00", ingest_date="2026-02-18").first()
     assert (run.records_processed, run.duration_seconds, run.run_status) == (120, 900, "completed")
     assert run.run_id.startswith("2026-02-18-")
+    idle = Q.record_runs(state, "2026-02-19 06:00:00", "2026-02-19 05:45:00", ingest_date="2026-02-19").first()
+    assert idle.records_processed == 0
     checks = {r.ingest_date.day: r.check_result for r in Q.record_content_checks(state, "2026-02-18 06:00:00").collect()}
     assert checks == {18: "PASS", 17: "WARNING"}
     none = Q.record_content_checks(state, "2026-02-18 06:00:00", ingest_date="2026-02-20").first()

@@ -11,7 +11,7 @@ from tidewire.fixed_values import ENTITY_NAMES, SOURCE_SYSTEM, STAGING_WIDTHS, T
 from tidewire.functions.clock import as_moment, parse_timestamp
 from tidewire.functions.measures import cast_or_null, json_or_empty_list, percent, record_hash, text_flag
 from tidewire.functions.text import TopicWords, enrich_text, split_list
-from tidewire.operators.dedup import latest_content
+from tidewire.operators.dedup import latest_by_url, latest_content
 from tidewire.operators.validate import with_site_check
 from tidewire.schemas import GOLD_COLUMNS, SILVER_COLUMNS
 
@@ -39,13 +39,21 @@ def with_parsed_times(df: DataFrame, policy: str = "lenient") -> DataFrame:
     )
 
 
-def to_silver(valid: DataFrame, official_sites: DataFrame | None = None, policy: str = "lenient") -> DataFrame:
-    """Valid bronze rows to silver: parsed times, hash, one row per key, declared columns."""
+def to_silver(
+    valid: DataFrame, official_sites: DataFrame | None = None, policy: str = "lenient", unique_urls: bool = False
+) -> DataFrame:
+    """Valid bronze rows to silver: parsed times, hash, one row per key, declared columns.
+
+    ``unique_urls`` adds the second dedup pass, one row per address.
+    """
     parsed = with_parsed_times(valid, policy)
     keyed = with_lineage(parsed).withColumn("record_hash", record_hash(parsed))
     kept = keyed.select(*[c for c in SILVER_COLUMNS if c != "news_site_validated"])
+    unique = latest_content(kept)
+    if unique_urls:
+        unique = latest_by_url(unique)
     # The site list joins after the dedup: fewer rows to join, and the join adds no rows.
-    return with_site_check(latest_content(kept), official_sites).select(*SILVER_COLUMNS)
+    return with_site_check(unique, official_sites).select(*SILVER_COLUMNS)
 
 
 def enrich(

@@ -104,10 +104,14 @@ def run_events(runs: DataFrame) -> DataFrame:
     )
 
 
-def _opened(state: DataFrame, ingest_date: AsOf) -> DataFrame:
-    """Current rows, those opened on one day if a day is given."""
+def _opened_per_day(state: DataFrame, ingest_date: AsOf, count: str) -> DataFrame:
+    """Current rows by the day they were opened; a single given day is reported even without rows."""
     current = state.where(F.col("is_current"))
-    return current if ingest_date is None else current.where(on_day(F.col("valid_from"), as_date(ingest_date)))
+    rows = F.count(F.lit(1)).alias(count)
+    if ingest_date is None:
+        return current.groupBy(F.to_date("valid_from").alias("ingest_date")).agg(rows)
+    day = as_date(ingest_date)
+    return current.where(on_day(F.col("valid_from"), day)).agg(rows).withColumn("ingest_date", day)
 
 
 def record_runs(
@@ -120,9 +124,7 @@ def record_runs(
     Give ``ingest_date`` for a single day; otherwise every day in the state is reported.
     ``failed`` holds ``ingest_date`` and ``records_failed``.
     """
-    processed = _opened(state, ingest_date).groupBy(F.to_date("valid_from").alias("ingest_date")).agg(
-        F.count(F.lit(1)).alias("records_processed")
-    )
+    processed = _opened_per_day(state, ingest_date, "records_processed")
     if failed is not None:
         processed = processed.join(failed, "ingest_date", "left")
         lost = F.coalesce("records_failed", F.lit(0)).cast("bigint")
@@ -148,12 +150,7 @@ def record_content_checks(
     state: DataFrame, now: dt.datetime | str | Column | None = None, ingest_date: AsOf = None, minimum: int = 100
 ) -> DataFrame:
     """Check rows ``daily_content_count``: PASS from ``minimum`` current rows a load day, else WARNING."""
-    opened = _opened(state, ingest_date)
-    if ingest_date is not None:
-        rows = opened.agg(F.count(F.lit(1)).alias("n")).withColumn("ingest_date", as_date(ingest_date))
-    else:
-        rows = opened.groupBy(F.to_date("valid_from").alias("ingest_date")).agg(F.count(F.lit(1)).alias("n"))
-    return rows.select(
+    return _opened_per_day(state, ingest_date, "n").select(
         F.lit("daily_content_count").alias("check_name"),
         F.lit("row_count").alias("check_type"),
         F.lit("core.content_items").alias("target_table"),

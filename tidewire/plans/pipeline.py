@@ -18,23 +18,28 @@ from tidewire.operators.dimensions import topic_dimension, upsert_sites
 from tidewire.operators.insights import daily_insights
 from tidewire.operators.quality import record_content_checks, record_runs
 from tidewire.operators.trends import site_activity, topic_trends, typed_aggregate
-from tidewire.operators.validate import REASON, silver_reason, to_quarantine
+from tidewire.operators.validate import REASON, normalize_content, silver_reason, to_quarantine
 from tidewire.schemas import CORE_COLUMNS, CORRUPT, SITE_DIMENSION
-from tidewire.session import child_names
+from tidewire.session import path_exists
 from tidewire.sources import bronze
 from tidewire.sources.tables import (
-    CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv, write_with_stats,
+    CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv, write_dates,
 )
 
-BY_TYPE_AND_DATE = ["content_type", "ingest_date"]
-
+def clean_job(
+    spark: SparkSession, lake: Lake, ingest_dates: list[str], quarantine: str = "quarantine",
+    normalize: bool = False, unique_urls: bool = False,
+) -> dict:
+    """Validate, set aside, de-duplicate. Clean input is read once; the quarantine pass runs only if needed.
 
-def clean_job(spark: SparkSession, lake: Lake, ingest_dates: list[str], quarantine: str = "quarantine") -> dict:
-    """Validate, set aside, de-duplicate. Clean input is read once; the quarantine pass runs only if needed."""
+    ``normalize`` trims texts and lower-cases hosts first; ``unique_urls`` also removes copies by address.
+    """
     raw = bronze.read_content(spark, lake.bronze, ingest_dates)
+    if normalize:
+        raw = normalize_content(raw)
     info = bronze.read_info(spark, lake.bronze, ingest_dates)
     sites = bronze.official_sites(info)
-    write_with_stats(bronze.api_metadata(info), lake.silver("api_metadata"), partition_by=["ingest_date"])
+    replace_dates(bronze.api_metadata(info), lake.silver("api_metadata"))
 
     checked = raw.withColumn(REASON, silver_reason(CORRUPT))
     seen = Observation()
@@ -42,12 +47,14 @@ def clean_job(spark: SparkSession, lake: Lake, ingest_dates: list[str], quaranti
         seen, F.count(F.lit(1)).alias("initial"), F.count_if(F.col(REASON).isNull()).alias("valid")
     )
     valid = observed.where(F.col(REASON).isNull()).drop(REASON, CORRUPT)
-    written = write_with_stats(to_silver(valid, sites), lake.silver(), partition_by=BY_TYPE_AND_DATE)
+    written = write_dates(to_silver(valid, sites, unique_urls=unique_urls), lake.silver(), ingest_dates)
     counts = seen.get
     invalid_count = counts["initial"] - counts["valid"]
-    if invalid_count:
+    if invalid_count or path_exists(spark, lake.silver(quarantine)):
         invalid = checked.where(F.col(REASON).isNotNull()).withColumn("_is_valid", F.lit(False))
-        write_with_stats(to_quarantine(invalid), lake.silver(quarantine), partition_by=BY_TYPE_AND_DATE)
+        if not invalid_count:
+            invalid = invalid.limit(0)  # nothing failed: only folders of an earlier run have to go
+        write_dates(to_quarantine(invalid), lake.silver(quarantine), ingest_dates)
     return {
         "initial_count": counts["initial"],
         "valid_count": counts["valid"],
@@ -64,8 +71,8 @@ def enrich_job(
     """Silver to gold, with the rows' entity coverage observed on the way."""
     silver = read_partitions(spark, lake.silver(), ingest_dates)
     gold = enrich(silver, run_id, topics=topics, entities=entities)
-    stats = write_with_stats(
-        gold, lake.gold(), partition_by=BY_TYPE_AND_DATE, sort_within=[*BY_TYPE_AND_DATE, "published_at"],
+    stats = write_dates(
+        gold, lake.gold(), ingest_dates, sort_within=["content_type", "ingest_date", "published_at"],
         metrics={
             "with_entities": F.count_if(F.col("entities") != ""),
             "year_like_topics": F.count_if(F.col("topic_name").rlike("^[0-9]{4}$")),
@@ -117,29 +124,15 @@ def load_core_job(spark: SparkSession, lake: Lake, ingest_date: str, now: str, f
     # Dimensions are published per load date like the core table, so a repeated load starts
     # from the dimension as it was before that date.
     sites = CoreDimension(spark, lake.core("ref_news_sites"))
-    sites.publish(upsert_sites(sites.latest(before=ingest_date), batch, now), ingest_date)
+    known = sites.latest(before=ingest_date)
+    if known is None:
+        known = spark.createDataFrame([], SITE_DIMENSION)
+    sites.publish(upsert_sites(known, batch, now), ingest_date)
     topics = CoreDimension(spark, lake.core("ref_topics"))
     topics.publish(topic_dimension(core.current(), now), ingest_date)
     return counts
 
 
-class CoreDimension:
-    """A small dimension kept as one folder per load date."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def latest(self, before: str | None = None) -> DataFrame:
-        names = sorted(n.split("=", 1)[1] for n in child_names(self.spark, self.path) if n.startswith("snapshot="))
-        known = [n for n in names if before is None or n < before]
-        if not known:
-            return self.spark.createDataFrame([], SITE_DIMENSION)
-        return self.spark.read.parquet(f"{self.path}/snapshot={known[-1]}")
-
-    def publish(self, df: DataFrame, snapshot: str) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/snapshot={snapshot}")
-
-
 def load_aggregates_job(spark: SparkSession, lake: Lake, ingest_date: str) -> dict:
     """Staged aggregate CSV to the core aggregate tables; a load date replaces itself."""
     counts = {}

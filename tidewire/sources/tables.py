@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.fixed_values import STAGING_WIDTHS
+from tidewire.fixed_values import CONTENT_TYPES, STAGING_WIDTHS
 from tidewire.operators.content import cut_to_widths
 from tidewire.operators.dedup import deduplicate_by_key
 from tidewire.operators.scd2 import KEYS, first_versions, merge_current
@@ -78,6 +78,27 @@ def write_with_stats(
     return {**seen.get, "columns": len(df.columns)}
 
 
+def write_dates(
+    df: DataFrame, path: str, ingest_dates: list[str], content_types: list[str] = CONTENT_TYPES, **options
+) -> dict:
+    """Make a (type, date) partitioned table hold exactly the frame's rows for these load dates.
+
+    Dynamic overwrite leaves a folder alone that gets no rows; one that held rows from an earlier
+    run of the date is removed here. Rows per folder are observed during the write.
+    """
+    parts = {f"{kind}/{day}": (kind, day) for kind in content_types for day in ingest_dates}
+    counts = {
+        label: F.count_if((F.col("content_type") == kind) & (F.col("ingest_date") == F.lit(day).cast("date")))
+        for label, (kind, day) in parts.items()
+    }
+    metrics = {**options.pop("metrics", {}), **counts}
+    written = write_with_stats(df, path, partition_by=["content_type", "ingest_date"], metrics=metrics, **options)
+    for label, (kind, day) in parts.items():
+        if written.pop(label) == 0:
+            remove(df.sparkSession, f"{path}/content_type={kind}/ingest_date={day}")
+    return written
+
+
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, single_file: bool = False) -> None:
     """CSV with header, quote and escape '"'. One file only on request, as that is one task."""
     frame = df.coalesce(1) if single_file else df
@@ -105,6 +126,28 @@ def read_staging_csv(
     return staged if widths is None else cut_to_widths(staged, widths)
 
 
+def complete_snapshots(spark: SparkSession, path: str, before: str | None = None) -> list[str]:
+    """Dates of the completely written ``snapshot=`` folders (before a date), oldest first."""
+    names = [n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith("snapshot=")]
+    complete = [n for n in names if path_exists(spark, f"{path}/snapshot={n}/_SUCCESS")]
+    return sorted(n for n in complete if before is None or n < before)
+
+
+class CoreDimension:
+    """A small dimension, whole in one folder per load date."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def latest(self, before: str | None = None) -> DataFrame | None:
+        """Newest complete state (before a date)."""
+        known = complete_snapshots(self.spark, self.path, before)
+        return self.spark.read.parquet(f"{self.path}/snapshot={known[-1]}") if known else None
+
+    def publish(self, df: DataFrame, snapshot: str) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/snapshot={snapshot}")
+
+
 class CoreTable:
     """Versioned content on plain Parquet, published one snapshot at a time.
 
@@ -130,9 +173,7 @@ class CoreTable:
         return "core_" + hashlib.md5(f"{self.path}|{snapshot}".encode()).hexdigest()
 
     def snapshots(self, before: str | None = None) -> list[str]:
-        names = [n.split("=", 1)[1] for n in child_names(self.spark, self.path) if n.startswith("snapshot=")]
-        complete = [n for n in names if path_exists(self.spark, f"{self.path}/snapshot={n}/_SUCCESS")]
-        return sorted(n for n in complete if before is None or n < before)
+        return complete_snapshots(self.spark, self.path, before)
 
     def _slice(self, snapshot: str) -> DataFrame:
         folder = self._part(snapshot, True)
