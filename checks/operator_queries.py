@@ -73,16 +73,16 @@ def api_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written by type and date in one job, one year of load dates read back by partition."""
+    """Orders written by type and load year in one job, later years read back by partition."""
     path = scratch_path(spark, "partitions")
-    rows = A.orders_content(spark, sf_dir).withColumn("load_month", F.date_format("ingest_date", "yyyy-MM"))
+    rows = A.orders_content(spark, sf_dir).withColumn("load_year", F.year("ingest_date"))
     tables.write_with_stats(
-        rows.select("content_id", "content_type", "published_at", "load_month"), path,
-        partition_by=["content_type", "load_month"], sort_within=["content_type", "load_month", "published_at"],
+        rows.select("content_id", "content_type", "published_at", "load_year"), path,
+        partition_by=["content_type", "load_year"], sort_within=["content_type", "load_year", "published_at"],
         rebalance=True,
     )
-    back = tables.read_partitions(spark, path).where(F.col("load_month") >= "1998-01")
-    return back.groupBy("content_type", "load_month").agg(
+    back = tables.read_partitions(spark, path).where(F.col("load_year") >= 1998)
+    return back.groupBy("content_type", "load_year").agg(
         F.count(F.lit(1)).alias("content_count"), F.min("published_at").alias("earliest")
     )
 

@@ -61,9 +61,9 @@ OPERATORS: dict[str, str] = {
                source || ',' || upper(source) news_sites_list, date '2024-07-01' ingest_date, {NOW} captured_at
         from documents""",
     "a03_parquet_partitions": with_views("ord", """
-        select content_type, strftime(ingest_date, '%Y-%m') load_month, count(*) content_count,
+        select content_type, cast(year(ingest_date) as integer) load_year, count(*) content_count,
                min(published_at) earliest
-        from ord where strftime(ingest_date, '%Y-%m') >= '1998-01' group by 1, 2"""),
+        from ord where year(ingest_date) >= 1998 group by 1, 2"""),
     "a05_write_statistics": with_views("ord", """
         select count(*) records_read, count(*) filter (featured) featured_read, count(*) records_observed,
                count(*) filter (featured) featured_observed, 15 column_count from ord"""),

@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
         "tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.driver.memory": "8g", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewire.operators.content import with_parsed_times
 from tidewire.operators.scd2 import broken_versions
 from tidewire.plans import pipeline as P
+from tidewire.plans.views import publish_views
 from tidewire.session import scratch_path
 from tidewire.sources import bronze
 from tidewire.sources.tables import CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, write_csv
@@ -91,6 +92,28 @@ def test_day_by_day(spark, lake):
     assert insight["total_content"] == 2 and insight["top_sources"] == [{"source": "S1", "count": 3}]
 
 
+def test_written_tables_answer_sql(spark, lake):
+    for day in (DAY1, DAY2):
+        P.run_day(spark, lake, day)
+    names = publish_views(spark, lake)
+    assert len(names) == 7
+    versions = spark.sql(
+        "SELECT content_id, COUNT(*) n, SUM(INT(is_current)) c FROM core.content_items GROUP BY 1 HAVING COUNT(*) > 1")
+    assert [tuple(r) for r in versions.collect()] == [("articles_2", 2, 1)]
+    newest = spark.sql(
+        "SELECT news_site, SUM(content_count) n FROM core.agg_news_site_monthly_activity WHERE ingest_date ="
+        " (SELECT MAX(ingest_date) FROM core.agg_news_site_monthly_activity) GROUP BY news_site")
+    assert [tuple(r) for r in newest.collect()] == [("S1", 3)]
+    runs = spark.sql("SELECT run_date, status, records_processed, execution_time_seconds FROM core.meta_pipeline_runs")
+    assert [r.status for r in runs.collect()] == ["completed", "completed"]
+    checks = spark.sql("SELECT check_date, check_result, records_checked FROM core.meta_data_quality_checks ORDER BY 1")
+    assert [(r.check_result, r.records_checked) for r in checks.collect()] == [("WARNING", 3), ("WARNING", 2)]
+    assert spark.sql("SELECT COUNT(*) FROM core.ref_news_sites").first()[0] == 2
+    plan = spark.sql("SELECT title FROM core.content_items WHERE is_current AND published_at > timestamp'2026-02-15'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "GreaterThan(published_at" in text  # closed slices are not even read
+
+
 def test_a_corrected_date_leaves_nothing_of_its_first_run(spark, lake):
     P.clean_job(spark, lake, [DAY1])
     P.enrich_job(spark, lake, [DAY1], "r")

@@ -139,10 +139,14 @@ class CoreDimension:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def latest(self, before: str | None = None) -> DataFrame | None:
-        """Newest complete state (before a date)."""
+    def newest(self, before: str | None = None) -> str | None:
+        """Folder of the newest complete state (before a date)."""
         known = complete_snapshots(self.spark, self.path, before)
-        return self.spark.read.parquet(f"{self.path}/snapshot={known[-1]}") if known else None
+        return f"{self.path}/snapshot={known[-1]}" if known else None
+
+    def latest(self, before: str | None = None) -> DataFrame | None:
+        folder = self.newest(before)
+        return self.spark.read.parquet(folder) if folder else None
 
     def publish(self, df: DataFrame, snapshot: str) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/snapshot={snapshot}")
@@ -194,12 +198,18 @@ class CoreTable:
         known = self.snapshots(before)
         return self._slice(known[-1]).withColumn("is_current", F.lit(True)) if known else None
 
+    def folders(self) -> list[tuple[str, bool]]:
+        """Folders that make up the table, with the ``is_current`` of their rows: newest slice first."""
+        known = self.snapshots()
+        closed = [(p, False) for s in known if path_exists(self.spark, p := self._part(s, False))]
+        return [(self._part(known[-1], True), True), *closed] if known else []
+
     def state(self) -> DataFrame:
         """All versions: the newest current slice and everything closed up to it."""
         current = self.current()
         if current is None:
             raise ValueError(f"no complete snapshot below {self.path}")
-        closed = [p for s in self.snapshots() if path_exists(self.spark, p := self._part(s, False))]
+        closed = [folder for folder, is_current in self.folders() if not is_current]
         if not closed:
             return current
         return current.unionByName(self.spark.read.parquet(*closed).withColumn("is_current", F.lit(False)))
