@@ -146,6 +146,11 @@ def documents_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_versions(core_batch(documents_gold(spark, sf_dir)), FIXED_NOW)
 
 
+def documents_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver documents as current content, for what needs no enrichment."""
+    return documents_silver(spark, sf_dir).withColumn("is_current", F.lit(True))
+
+
 def raw_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as an unmerged load: the same key occurs several times."""
     return table(spark, sf_dir, "lineitem").select(

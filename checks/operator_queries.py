@@ -20,7 +20,7 @@ from tidewire.operators import content as C
 from tidewire.operators import dedup, dimensions, quality, scd2, trends, validate
 from tidewire.operators.insights import daily_insights
 from tidewire.schemas import SITE_DIMENSION
-from tidewire.session import configure, scratch_path
+from tidewire.session import configure, materialized, scratch_path
 from tidewire.sources import bronze, tables
 from tidewire.streaming import incremental
 
@@ -314,7 +314,8 @@ def union_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def except_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites of the later load that the dimension of the earlier load lacks, on exact rows and on the key."""
     early, late = _site_batches(spark, sf_dir)
-    known = dimensions.upsert_sites(spark.createDataFrame([], SITE_DIMENSION), early, A.FIXED_NOW)
+    empty = spark.createDataFrame([], SITE_DIMENSION)
+    known = materialized(spark, dimensions.upsert_sites(empty, early, A.FIXED_NOW), "sites")
     whole = known.select("news_site_name", "total_content_count")
     batch = dimensions.batch_sites(late).select("news_site_name", F.col("rows_in_batch").alias("total_content_count"))
     changed = batch.exceptAll(whole).withColumn("kind", F.lit("row differs"))
@@ -386,10 +387,8 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exploded_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = C.exploded_items(A.documents_gold(spark, sf_dir), "keywords", "keyword", ["content_id"], distinct=False)
-    return items.groupBy("content_id").agg(
-        F.count(F.lit(1)).alias("items"), F.count_distinct("keyword").alias("distinct_items")
-    )
+    items = C.exploded_items(A.documents_gold(spark, sf_dir), "keywords", "keyword", ["content_type"], distinct=False)
+    return items.groupBy("keyword", "content_type").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,7 +619,7 @@ OPERATOR_QUERIES = {
     "b16_normalized": normalized,
     "b17_quality_flags": quality_flags,
     "d01_topic_trends": _table(A.documents_gold, lambda g: _trend_columns(trends.topic_trends(g, A.DOC_AS_OF))),
-    "d02_source_activity": _table(A.documents_gold, lambda g: _trend_columns(trends.site_activity(g, A.DOC_AS_OF))),
+    "d02_source_activity": _table(A.documents_texts, lambda g: _trend_columns(trends.site_activity(g, A.DOC_AS_OF))),
     "d10_top_topics": _table(A.documents_gold, C.top_topics),
     "d11_entity_coverage": _table(A.documents_gold, C.entity_coverage),
     "d12_batch_sites": _table(A.orders_content, dimensions.batch_sites),

@@ -196,8 +196,8 @@ OPERATORS: dict[str, str] = {
                cast(day(published_at) as integer) published_day, authors_json, '[]' launches_json, '[]' events_json,
                'check' ingest_run_id, {NOW} processed_at, record_hash from doc_gold"""),
     "i08_exploded_keywords": with_views("doc_gold", """
-        with items as (select content_id, unnest(tokens) keyword from doc_gold)
-        select content_id, count(*) items, count(distinct keyword) distinct_items from items group by 1"""),
+        with items as (select content_type, unnest(tokens) keyword from doc_gold)
+        select keyword, content_type, count(*) uses from items group by 1, 2"""),
     "i09_sql_functions": f"""
         with {DOC_WORDS} select doc_id, cast(len(tokens) as integer) token_count, {topic_sql(TEST_TOPICS)} topic_name,
                {entity_sql(TEST_ENTITIES)} entities from docs""",

@@ -30,7 +30,7 @@ REPORT_QUERIES = {
     "k01_1_volume_by_type": _on(ORD, volume.volume_by_type),
     "k01_2_daily_volume": _on(EVT, volume.daily_volume, **evt_day),
     "k01_3_topic_distribution": _on(ORD, volume.topic_distribution),
-    "k01_4_text_lengths": _on(DOC, volume.text_lengths),
+    "k01_4_text_lengths": _on(A.documents_texts, volume.text_lengths),
     "k01_5_featured_share": _on(ORD, volume.featured_share),
     "k01_6_image_share": _on(ORD, volume.image_share),
     "k02_1_top_sites": _on(ORD, sites.top_sites),

@@ -111,3 +111,29 @@ def test_site_dimension(spark):
 def test_topic_dimension(spark):
     df = spark.createDataFrame([("A",), ("A",), ("",), (None,), ("B",)], "topic_name string")
     assert sorted(r.topic_name for r in D.topic_dimension(df, T1).collect()) == ["A", "B"]
+
+
+def test_random_loads_against_a_plain_model(spark):
+    """Four loads of random batches; the expected history is built row by row in Python."""
+    import random
+
+    random.seed(11)
+    core = CoreTable(spark, scratch_path(spark, "core"))
+    expected = {}
+    for day in range(1, 5):
+        hashes = {f"k{n}": random.choice(["x", "y", None]) for n in random.sample(range(40), 25)}
+        core.load(batch(spark, **hashes), f"2026-01-0{day}", f"2026-01-0{day} 00:00:00")
+        for key, value in hashes.items():
+            versions = expected.setdefault(key, [])
+            if versions and versions[-1][0] == value:
+                continue
+            if versions:
+                versions[-1][2] = day
+            versions.append([value, day, None])
+    found = {}
+    for r in core.state().collect():
+        end = None if r.is_current else r.valid_to.day
+        found.setdefault(r.content_id, []).append((r.version, [r.record_hash, r.valid_from.day, end]))
+    assert {k: [v for _, v in sorted(vs, key=lambda v: v[0])] for k, vs in found.items()} == expected
+    assert all([n for n, _ in sorted(vs, key=lambda v: v[0])] == list(range(1, len(vs) + 1)) for vs in found.values())
+    assert S.broken_versions(core.state()).count() == 0

@@ -5,35 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.fixed_values import HASH_COLUMNS
+
 
 def deduplicate_by_key(
-    df: DataFrame, keys: list[str], order_by: str, ascending: bool = False, tie_breaks: list[str] | None = None
+    df: DataFrame, keys: list[str], order_by: str, ascending: bool = False, tie_breaks: list[str] | None = None,
+    covered: list[str] | None = None,
 ) -> DataFrame:
     """Latest (or earliest) record per key, the same one on every run.
 
     ``row_number() = 1`` makes Spark cut every task's rows to one per key before the shuffle
     (WindowGroupLimit), so a key that holds a third of all rows sends one row per task.
-    NULLs rank last; equal order values fall back to the tie-breaks and then to a hash of the row.
+    NULLs rank last; equal order values fall back to the tie-breaks and then to a hash of the
+    other columns. Columns that a tie-break already tells apart (long texts under a record hash)
+    can be named as ``covered`` and are not hashed again.
     """
 
     def ranked(column: str) -> Column:
         return F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()
 
     order = [ranked(c) for c in [order_by, *(tie_breaks or [])] if c in df.columns]
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns))
+    told_apart = {*keys, order_by, *(tie_breaks or []), *(covered or [])}
+    others = [c for c in df.columns if c not in told_apart]
+    if others:
+        order.append(F.xxhash64(*others))
+    window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def latest_content(df: DataFrame) -> DataFrame:
     """Latest record per (content_type, content_id): by updated_at, then published_at, then hash."""
     return deduplicate_by_key(
-        df, ["content_type", "content_id"], "updated_at", tie_breaks=["published_at", "record_hash"]
+        df, ["content_type", "content_id"], "updated_at", tie_breaks=["published_at", "record_hash"],
+        covered=HASH_COLUMNS,
     )
 
 
 def latest_by_url(df: DataFrame) -> DataFrame:
     """Second pass: latest record per address."""
-    return deduplicate_by_key(df, ["url"], "updated_at", tie_breaks=["published_at", "record_hash"])
+    return deduplicate_by_key(
+        df, ["url"], "updated_at", tie_breaks=["published_at", "record_hash"], covered=HASH_COLUMNS
+    )
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
