@@ -82,7 +82,7 @@ def merge_current(
             moment.alias("updated_db_at"),
         ),
     )
-    rows = paired.select(*KEYS, F.explode(F.array_compact(F.array(kept, opened))).alias("row"))
+    rows = paired.select(*KEYS, F.explode(F.array(kept, opened)).alias("row")).where(F.col("row").isNotNull())
     merged = rows.select(*KEYS, *[F.col(f"row.{c}").alias(c) for c in [*payload, *VERSIONING]])
     return merged.withColumn("content_pk", surrogate_key()).select(*current.columns)
 

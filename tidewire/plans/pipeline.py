@@ -112,13 +112,15 @@ def staged_batch(spark: SparkSession, csv_path: str) -> DataFrame:
     return typed.select(*[c for c in CORE_COLUMNS if c in typed.columns])
 
 
-def load_core_job(spark: SparkSession, lake: Lake, ingest_date: str, now: str, from_csv: bool = False) -> dict:
+def load_core_job(
+    spark: SparkSession, lake: Lake, ingest_date: str, now: str, from_csv: bool = False, buckets: int | None = None
+) -> dict:
     """Merge a load date into the versioned table and refresh the dimensions."""
     if from_csv:
         batch = staged_batch(spark, f"{lake.gold('content_enriched_csv')}/{ingest_date}")
     else:
         batch = core_batch(read_partitions(spark, lake.gold(), [ingest_date]))
-    core = CoreTable(spark, lake.core())
+    core = CoreTable(spark, lake.core(), buckets)
     counts = core.load(batch, ingest_date, now, latest_by="updated_at")
 
     # Dimensions are published per load date like the core table, so a repeated load starts
@@ -162,20 +164,22 @@ def insights_job(spark: SparkSession, lake: Lake, ingest_date: str) -> None:
     daily_insights(state, trends, activity, ingest_date).write.mode("overwrite").json(f"{lake.insights}/{ingest_date}")
 
 
-def run_day(spark: SparkSession, lake: Lake, ingest_date: str, run_id: str | None = None) -> dict:
+def run_day(
+    spark: SparkSession, lake: Lake, ingest_date: str, run_id: str | None = None, buckets: int | None = None
+) -> dict:
     """All jobs of one load date, in order. Running a date again leaves the tables as they were."""
     started = dt.datetime.now(dt.UTC).replace(tzinfo=None)
     opened = f"{ingest_date} 00:00:00"
     stats = {"clean": clean_job(spark, lake, [ingest_date])}
     stats["enrich"] = enrich_job(spark, lake, [ingest_date], run_id or f"enrich_{ingest_date}", csv=True)
     stats["trends"] = trends_job(spark, lake, ingest_date, csv=True)
-    stats["core"] = load_core_job(spark, lake, ingest_date, opened)
+    stats["core"] = load_core_job(spark, lake, ingest_date, opened, buckets=buckets)
     stats["aggregates"] = load_aggregates_job(spark, lake, ingest_date)
     metadata_job(spark, lake, ingest_date, str(started), str(dt.datetime.now(dt.UTC).replace(tzinfo=None)))
     insights_job(spark, lake, ingest_date)
     return stats
 
 
-def backfill(spark: SparkSession, lake: Lake, ingest_dates: list[str]) -> dict:
+def backfill(spark: SparkSession, lake: Lake, ingest_dates: list[str], buckets: int | None = None) -> dict:
     """Several load dates, oldest first, since each builds on the history before it."""
-    return {day: run_day(spark, lake, day) for day in sorted(ingest_dates)}
+    return {day: run_day(spark, lake, day, buckets=buckets) for day in sorted(ingest_dates)}

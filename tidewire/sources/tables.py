@@ -84,18 +84,16 @@ def write_dates(
     """Make a (type, date) partitioned table hold exactly the frame's rows for these load dates.
 
     Dynamic overwrite leaves a folder alone that gets no rows; one that held rows from an earlier
-    run of the date is removed here. Rows per folder are observed during the write.
+    run of the date is removed here. Which folders got rows is observed during the write.
     """
-    parts = {f"{kind}/{day}": (kind, day) for kind in content_types for day in ingest_dates}
-    counts = {
-        label: F.count_if((F.col("content_type") == kind) & (F.col("ingest_date") == F.lit(day).cast("date")))
-        for label, (kind, day) in parts.items()
-    }
-    metrics = {**options.pop("metrics", {}), **counts}
+    label = F.concat_ws("/", "content_type", F.col("ingest_date").cast("string"))
+    metrics = {**options.pop("metrics", {}), "folders": F.collect_set(label)}
     written = write_with_stats(df, path, partition_by=["content_type", "ingest_date"], metrics=metrics, **options)
-    for label, (kind, day) in parts.items():
-        if written.pop(label) == 0:
-            remove(df.sparkSession, f"{path}/content_type={kind}/ingest_date={day}")
+    filled = set(written.pop("folders") or [])
+    for kind in content_types:
+        for day in ingest_dates:
+            if f"{kind}/{day}" not in filled:
+                remove(df.sparkSession, f"{path}/content_type={kind}/ingest_date={day}")
     return written
 
 
