@@ -1,0 +1,68 @@
+import hashlib
+import random
+import re
+
+import pytest
+from helpers import documents
+
+from tidewire.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+VALID = {
+    "email": lambda s: True,
+    "ip": lambda s: all(int(x) <= 255 for x in s.split(".")),
+    "card": lambda s: 14 <= len(re.sub(r"\D", "", s)) <= 19 and pii.luhn(re.sub(r"\D", "", s)),
+    "phone": lambda s: 10 <= len(re.sub(r"\D", "", s)) <= 15,
+}
+
+
+def base(text):
+    found = [
+        (k, m.start(), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, text or "", re.ASCII) if VALID[k](m.group())
+    ]
+    return sorted(found, key=lambda s: (s[1], list(PATTERNS).index(s[0])))
+
+
+def noise(n, seed=4):
+    draw = random.Random(seed)
+    return ["".join(draw.choice("0123456789.+-@ ab%()1234é") for _ in range(draw.randint(0, 60))) for _ in range(n)]
+
+
+def test_base_spans_equal_patterns():
+    for text in noise(20_000) + ["a@b@c.d", "a@b.c@d.e", "1.2.3.4.5.6.7.8", "300.1.1.1.1", "4111 1111 1111 1111", "++49 170 1234567"]:
+        assert [s for s in pii.find_spans(text) if s[0] in PATTERNS] == base(text), repr(text)
+
+
+@pytest.mark.parametrize("text,kind,span", [
+    ("IBAN: DE89 3704 0044 0532 0130 00.", "account", "DE89 3704 0044 0532 0130 00"),
+    ("my SSN is 123-45-6789", "account", "123-45-6789"),
+    ("account no. 12345678 please", "account", "12345678"),
+    ("see ftp://bob:secret@example.org:21/x", "address", "ftp://bob:secret@example.org:21"),
+])
+def test_added_kinds(text, kind, span):
+    assert [(k, text[a:z]) for k, a, z in pii.find_spans(text) if k == kind] == [(kind, span)]
+
+
+@pytest.mark.parametrize("text", ["IBAN DE88 3704 0044 0532 0130 00 x", "https://www.example.org/licenses", "account of events", "ssn 000-12-3456"])
+def test_clean_text_is_left_alone(text):
+    assert not [s for s in pii.find_spans(text) if s[0] == "address" or (s[0] == "account" and "IBAN" not in text)]
+
+
+def test_query_rows(spark):
+    texts = [*noise(300), None, "", "x " * 100_000 + "a@b.cd", "é😀 a@b.cd"]
+    rows = pii.span_report(documents(spark, texts, extra=("spans", "n_email"))).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = base(texts[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in spans) for k in PATTERNS]
+        assert r["base_sha256"] == hashlib.sha256(pii.written(spans).encode()).hexdigest()
+        assert set(pii.written(spans).split(",")) <= set(r["spans"].split(","))
+
+
+def test_empty_table_and_repeated_rows(spark):
+    assert pii.span_report(documents(spark, [])).collect() == []
+    rows = pii.span_report(documents(spark, ["a@b.cd"] * 2, ids=[None, None])).collect()
+    assert [r["spans"] for r in rows] == ["email:0:6"] * 2

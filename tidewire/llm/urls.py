@@ -105,13 +105,15 @@ def mine(
 
 
 def judged(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """(url, mined): the verdict of the surest mined rule for each different URL that any rule fits."""
+    """(url, mined): the different URLs for which the surest mined rule that fits says block."""
     different = urls.select(F.col(url)).filter(F.col(url).isNotNull()).distinct().withColumn("url_tokens", tokens(F.col(url)))
     probes = different.select(url, "url_tokens", F.explode("url_tokens").alias("anchor"))
     found = probes.join(bounded(rules), "anchor").filter(
         F.size(F.array_intersect("tokens", "url_tokens")) == F.size("tokens")
     )
-    return found.groupBy(url).agg(F.max(F.struct("confidence", "support", "verdict"))["verdict"].alias("mined"))
+    return found.groupBy(url).agg(F.max(F.struct("confidence", "support", "verdict"))["verdict"].alias("mined")).filter(
+        F.col("mined") == BLOCK
+    )
 
 
 def filter_urls(
