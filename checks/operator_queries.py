@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import adapters as A
-from tidewire.fixed_values import ENTITY_NAMES, TOPIC_KEYWORDS, TOPIC_TREND_WIDTHS
+from tidewire.fixed_values import ENTITY_NAMES, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
 from tidewire.functions.clock import parse_timestamp
 from tidewire.functions.measures import record_hash
 from tidewire.functions.text import (
@@ -105,7 +105,7 @@ def write_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold to CSV, CSV to all-text staging, staging to typed rows."""
     path = scratch_path(spark, "csv")
-    gold = A.documents_gold(spark, sf_dir).select(*tables.STAGING_WIDTHS)
+    gold = A.documents_gold(spark, sf_dir).select(*tables.STAGING_COLUMNS)
     tables.write_csv(gold, path)
     typed = C.typed_staging(tables.read_staging_csv(spark, path))
     return typed.select(
@@ -118,7 +118,7 @@ def staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def aggregate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "trends-csv")
     tables.write_csv(A.order_trends(spark, sf_dir), path)
-    staged = tables.read_staging_csv(spark, path, TOPIC_TREND_WIDTHS)
+    staged = tables.read_staging_csv(spark, path, TOPIC_TREND_COLUMNS)
     return trends.typed_aggregate(staged, "topic_name").drop("calculated_at")
 
 
@@ -449,6 +449,30 @@ def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core.state().select(*HISTORY_COLUMNS)
 
 
+def backfilled_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same loads with the middle one coming last: the later date is merged again on top of it."""
+    moments = dict(A.SCD_LOADS)
+    first, middle, last = moments
+    core = tables.CoreTable(spark, scratch_path(spark, "core"))
+    for until in (first, last, middle):
+        core.load(
+            A.customer_batch(spark, sf_dir, until), until, moments[until],
+            replay=lambda day: (A.customer_batch(spark, sf_dir, day), moments[day]),
+        )
+    return core.state().select(*HISTORY_COLUMNS)
+
+
+def empty_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both dates loaded, then the later one again with no rows: only the earlier one is left."""
+    path = scratch_path(spark, "reload")
+    both = A.order_trends(spark, sf_dir).drop("calculated_at")
+    tables.replace_dates(both, path)
+    tables.replace_dates(both.limit(0), path, ["2001-08-01"])
+    return spark.read.parquet(path).select(
+        "year_month", "topic_name", "content_type", "content_count", F.col("ingest_date").cast("date")
+    )
+
+
 def unsound_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmerged line items break the one-current-version rule wherever a key repeats."""
     return scd2.broken_versions(A.raw_lineitems(spark, sf_dir)).select(
@@ -506,7 +530,7 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = quality.record_content_checks(A.orders_content(spark, sf_dir), A.FIXED_NOW, minimum=7)
-    return checks.withColumns(
+    return checks.drop("records_failed").withColumns(
         {"check_value": F.col("check_value").cast("double"), "threshold_value": F.col("threshold_value").cast("double")}
     ).drop("error_message")
 
@@ -641,6 +665,8 @@ OPERATOR_QUERIES = {
     "j01_scd2_merge": merged_history,
     "j01_scd2_stored": stored_history,
     "j03_site_dimension": site_dimension,
+    "j05_empty_reload": empty_reload,
+    "j12_backfill_order": backfilled_history,
     "j04_topic_dimension": topic_dimension,
     "j05_replaced_dates": replaced_dates,
     "j06_version_report": _table(A.customer_state, scd2.version_report),

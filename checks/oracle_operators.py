@@ -215,6 +215,8 @@ OPERATORS: dict[str, str] = {
     "j05_replaced_dates": with_views("trends", """
         select year_month, topic_name, content_type,
                content_count + cast(ingest_date = date '2001-08-01' as integer) content_count, ingest_date from trends"""),
+    "j05_empty_reload": with_views("trends", "select * from trends where ingest_date <> date '2001-08-01'"),
+    "j12_backfill_order": with_views("cust", HISTORY),
     "j06_version_report": with_views("cust", """
         select content_type, count(*) total_records, count(*) filter (is_current) current_records,
                count(*) filter (not is_current) historical_records from cust group by 1"""),

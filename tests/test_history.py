@@ -81,14 +81,44 @@ def test_stored_table_equals_the_pure_merge(spark, buckets):
     assert history(core.state()) == EXPECTED_2
 
 
-def test_unfinished_snapshot_is_not_read(spark):
-    import os
-
+def test_load_that_breaks_off_changes_nothing(spark, monkeypatch):
     core = CoreTable(spark, scratch_path(spark, "core"))
     core.load(batch(spark, a="h1"), "2026-01-01", T1)
     core.load(batch(spark, a="h2"), "2026-01-02", T2)
-    os.remove(f"{core.path}/snapshot=2026-01-02/_SUCCESS")
-    assert history(core.state()) == [("a", 1, "h1", 1, True, True)]
+    before = history(core.state())
+
+    def broken(number, loads):
+        raise OSError("lost")
+
+    monkeypatch.setattr(core.manifest, "publish", broken)
+    with pytest.raises(OSError):
+        core.load(batch(spark, a="h3"), "2026-01-02", T2)
+    assert history(CoreTable(spark, core.path).state()) == before
+
+
+def test_two_writers_cannot_both_publish(spark):
+    core = CoreTable(spark, scratch_path(spark, "core"))
+    core.load(batch(spark, a="h1"), "2026-01-01", T1)
+    number, loads = core.manifest.read()
+    core.manifest.publish(number, loads)
+    with pytest.raises(Exception):
+        core.manifest.publish(number, loads)
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_loads_in_any_order(spark, buckets):
+    days = {"2026-01-01": dict(a="h1", b="h1"), "2026-01-02": dict(a="h2", b="h1", c="h1"), "2026-01-03": dict(a="h1")}
+    moments = dict(zip(days, (T1, T2, T3), strict=True))
+    core = CoreTable(spark, scratch_path(spark, "core"), buckets=buckets)
+    core.load(batch(spark, **days["2026-01-01"]), "2026-01-01", T1)
+    core.load(batch(spark, **days["2026-01-03"]), "2026-01-03", T3)
+    before = history(core.state())
+    with pytest.raises(ValueError):
+        core.load(batch(spark, **days["2026-01-02"]), "2026-01-02", T2)
+    assert history(core.state()) == before
+    again = lambda day: (batch(spark, **days[day]), moments[day])
+    assert core.load(*again("2026-01-02")[:1], "2026-01-02", T2, replay=again) == {"current": 3, "opened": 2, "closed": 1}
+    assert history(core.state()) == EXPECTED_3
 
 
 def sites(spark, day, *names):

@@ -10,7 +10,9 @@ from tidewire.plans import pipeline as P
 from tidewire.plans.views import publish_views
 from tidewire.session import scratch_path
 from tidewire.sources import bronze
-from tidewire.sources.tables import CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, write_csv
+from tidewire.sources.tables import (
+    CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv,
+)
 from tidewire.streaming import incremental
 
 DAY1, DAY2 = "2026-02-17", "2026-02-18"
@@ -95,7 +97,7 @@ def test_day_by_day(spark, lake):
 def test_written_tables_answer_sql(spark, lake):
     assert list(P.backfill(spark, lake, [DAY2, DAY1], buckets=2)) == [DAY1, DAY2]
     names = publish_views(spark, lake)
-    assert len(names) == 7
+    assert len(names) == 9
     versions = spark.sql(
         "SELECT content_id, COUNT(*) n, SUM(INT(is_current)) c FROM core.content_items GROUP BY 1 HAVING COUNT(*) > 1")
     assert [tuple(r) for r in versions.collect()] == [("articles_2", 2, 1)]
@@ -107,6 +109,15 @@ def test_written_tables_answer_sql(spark, lake):
     assert [r.status for r in runs.collect()] == ["completed", "completed"]
     checks = spark.sql("SELECT check_date, check_result, records_checked FROM core.meta_data_quality_checks ORDER BY 1")
     assert [(r.check_result, r.records_checked) for r in checks.collect()] == [("WARNING", 3), ("WARNING", 2)]
+    failed = spark.sql("SELECT records_failed FROM core.meta_data_quality_checks ORDER BY check_date")
+    assert [r.records_failed for r in failed.collect()] == [4, 0]
+    summary = spark.sql("SELECT SUM(content_count) n FROM core.agg_daily_summary GROUP BY ingest_date ORDER BY ingest_date")
+    assert [r.n for r in summary.collect()] == [3, 4]
+    issues = spark.sql("SELECT issue_type, subject, affected_records FROM core.meta_quality_issues ORDER BY 1, 2")
+    assert [tuple(r) for r in issues.collect()] == [
+        ("broken rule", "Invalid timestamp format for published_at", 1), ("broken rule", "Malformed record", 1),
+        ("broken rule", "Missing required field: title", 2), ("duplicate ids", "articles", 1),
+        ("lost records", "articles", 5), ("site off the list", "S9", 1)]
     assert spark.sql("SELECT COUNT(*) FROM core.ref_news_sites").first()[0] == 2
     plan = spark.sql("SELECT title FROM core.content_items WHERE is_current AND published_at > timestamp'2026-02-15'")
     text = plan._jdf.queryExecution().executedPlan().toString()
@@ -114,6 +125,42 @@ def test_written_tables_answer_sql(spark, lake):
     assert text.count("FileScan") == 1 and "GreaterThan(published_at" in text  # closed slices are not even read
 
 
+def test_a_missed_date_is_loaded_between_the_others(spark, lake):
+    P.run_day(spark, lake, DAY2, keep_slices=0)
+    P.run_day(spark, lake, DAY1, keep_slices=0)
+    late = CoreTable(spark, lake.core())
+    other = Lake(scratch_path(spark, "lake"))
+    for kind in ("info", "articles", "reports"):
+        for day in (DAY1, DAY2):
+            folder = f"{lake.root}/bronze/{kind}/ingest_date={day}"
+            if os.path.isdir(folder):
+                with open(f"{folder}/part-0000.jsonl") as lines:
+                    put(other.root, kind, day, lines.read().splitlines())
+    P.backfill(spark, other, [DAY1, DAY2])
+    columns = ["content_id", "version", "is_current", "title", "valid_from", "valid_to"]
+    assert rows(late.state(), *columns) == rows(CoreTable(spark, other.core()).state(), *columns)
+    sites = [CoreDimension(spark, x.core("ref_news_sites")).latest() for x in (lake, other)]
+    assert rows(sites[0], "news_site_name", "total_content_count") == rows(sites[1], "news_site_name", "total_content_count")
+
+
+def test_a_day_that_breaks_off_is_recorded(spark, lake, monkeypatch):
+    P.run_day(spark, lake, DAY1)
+    monkeypatch.setattr(P, "trends_job", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        P.run_day(spark, lake, DAY2)
+    runs = read_partitions(spark, lake.core("meta_pipeline_runs"))
+    assert rows(runs, F.col("ingest_date").cast("string"), "run_status") == [(DAY1, "completed"), (DAY2, "failed")]
+    assert runs.where("run_status = 'failed'").first().error_message
+
+
+def test_an_empty_reload_empties_its_date(spark):
+    path = scratch_path(spark, "reload")
+    df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02")], "x string, d string").selectExpr("x", "date(d) ingest_date")
+    replace_dates(df, path)
+    replace_dates(df.limit(0), path, ["2024-01-02"])
+    assert [r.x for r in spark.read.parquet(path).collect()] == ["a"]
+
+
 def test_a_corrected_date_leaves_nothing_of_its_first_run(spark, lake):
     P.clean_job(spark, lake, [DAY1])
     P.enrich_job(spark, lake, [DAY1], "r")
@@ -144,17 +191,15 @@ def test_csv_and_parquet_paths_load_the_same_batch(spark, lake):
     assert rows(staged, "content_id", "featured") == [("articles_1", False), ("articles_2", True), ("reports_7", False)]
 
 
-def test_staging_cuts_fills_and_survives_bad_bytes(spark):
+def test_staging_fills_and_survives_bad_bytes(spark):
     path = scratch_path(spark, "csv")
     os.makedirs(path)
     with open(f"{path}/a.csv", "wb") as out:
         out.write(b'id,content_id,content_type\n1,x,articles\n2,"a ""b"" c\nd",blogs\n3\n4,caf\xff,' + b"r" * 40 + b"\n")
-    widths = {"id": 50, "content_id": 50, "content_type": 20, "title": 5000}
-    found = read_staging_csv(spark, path, widths, widths)
+    found = read_staging_csv(spark, path, ["id", "content_id", "content_type", "title"])
     assert rows(found, "id", "content_id", "content_type", "title") == [
         ("1", "x", "articles", None), ("2", 'a "b" c\nd', "blogs", None), ("3", None, None, None),
-        ("4", "caf�", "r" * 20, None)]
-    assert read_staging_csv(spark, path, widths).where("id = 4").first().content_type == "r" * 40
+        ("4", "caf�", "r" * 40, None)]
 
 
 def test_csv_keeps_null_and_empty_apart(spark):

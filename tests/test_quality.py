@@ -50,7 +50,7 @@ def test_runs_and_checks(spark):
     checks = {r.ingest_date.day: r.check_result for r in Q.record_content_checks(state, "2026-02-18 06:00:00").collect()}
     assert checks == {18: "PASS", 17: "WARNING"}
     none = Q.record_content_checks(state, "2026-02-18 06:00:00", ingest_date="2026-02-20").first()
-    assert (none.check_result, float(none.check_value)) == ("WARNING", 0.0)
+    assert (none.check_result, float(none.check_value), none.error_message) == ("failed", 0.0, "no rows were loaded")
     view = Q.checks_view(Q.record_content_checks(state, "2026-02-18 06:00:00"))
     assert monitoring.failed_checks(view, "2026-02-18", results=("WARNING",)).count() == 1
     assert monitoring.failed_checks(view, "2026-02-18").count() == 0

@@ -87,13 +87,11 @@ def test_tokenize_edge_cases(spark):
     ]
 
 
-def test_item_cap_takes_list_positions_first(spark):
-    joined = ",".join(["a", "longer"] + [f"word{i}" for i in range(20)])
+def test_lists_are_read_whole(spark):
+    joined = ",".join(["a", "longer"] + [f"word{i}" for i in range(2000)])
     df = spark.createDataFrame([(joined, "T", True)], "keywords string, topic_name string, is_current boolean")
-    every = exploded_items(df, "keywords", "keyword", ["topic_name"])
-    capped = exploded_items(df, "keywords", "keyword", ["topic_name"], max_items=10)
-    assert every.count() == 21 and capped.count() == 9  # 'a' is too short but takes a place
-    assert terms.top_keywords(df, max_items=10).count() == 9
+    assert exploded_items(df, "keywords", "keyword", ["topic_name"]).count() == 2001  # 'a' is too short
+    assert terms.top_keywords(df, limit=5000).count() == 2001
 
 
 def test_items_are_trimmed_and_distinct_within_a_row(spark):

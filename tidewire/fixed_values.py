@@ -34,19 +34,12 @@ SOURCE_SYSTEM = "spaceflight_news_api_v4"
 OPEN_END = "9999-12-31 23:59:59"
 HASH_COLUMNS = ["id", "title", "url", "published_at", "summary"]
 
-# Longest text the staging table keeps per column; longer values are cut on load.
-STAGING_WIDTHS = {
-    "id": 50, "content_id": 50, "content_type": 20, "source_system": 100, "title": 5000, "url": 5000,
-    "summary": 20000, "image_url": 5000, "news_site": 500, "featured": 10, "published_at": 100,
-    "updated_at": 100, "keywords": 10000, "entities": 10000, "topic_name": 200, "published_year": 10,
-    "published_month": 10, "published_day": 10, "authors_json": 20000, "launches_json": 20000,
-    "events_json": 20000, "ingest_date": 50, "ingest_run_id": 200, "record_hash": 100, "processed_at": 100,
-}
-TOPIC_TREND_WIDTHS = {
-    "year_month": 7, "topic_name": 100, "content_type": 20, "content_count": 20, "ingest_date": 50,
-    "calculated_at": 50,
-}
-SITE_ACTIVITY_WIDTHS = {
-    "year_month": 7, "news_site": 200, "content_type": 20, "content_count": 20, "ingest_date": 50,
-    "calculated_at": 50,
-}
+# Columns of the staging files, in their order.
+STAGING_COLUMNS = [
+    "id", "content_id", "content_type", "source_system", "title", "url", "summary", "image_url", "news_site", "featured",
+    "published_at", "updated_at", "keywords", "entities", "topic_name", "published_year", "published_month",
+    "published_day", "authors_json", "launches_json", "events_json", "ingest_date", "ingest_run_id", "record_hash",
+    "processed_at",
+]
+TOPIC_TREND_COLUMNS = ["year_month", "topic_name", "content_type", "content_count", "ingest_date", "calculated_at"]
+SITE_ACTIVITY_COLUMNS = ["year_month", "news_site", "content_type", "content_count", "ingest_date", "calculated_at"]

@@ -128,11 +128,9 @@ def enrich_text(
     return steps.select(*df.columns, F.inline(F.array(facts)))
 
 
-def split_list(joined: Column, max_items: int | None = None) -> Column:
-    """Trimmed items of comma-joined text; all of them unless ``max_items`` is set."""
+def split_list(joined: Column) -> Column:
+    """Trimmed items of comma-joined text."""
     items = F.split(joined, ",")
-    if max_items is not None:
-        items = F.slice(items, 1, max_items)
     # A lambda of one argument: F.trim itself takes two, and would get the position as the second.
     return F.when(joined.contains(" "), F.transform(items, lambda item: F.trim(item))).otherwise(items)
 

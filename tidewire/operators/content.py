@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.fixed_values import ENTITY_NAMES, SOURCE_SYSTEM, STAGING_WIDTHS, TOPIC_KEYWORDS
+from tidewire.fixed_values import ENTITY_NAMES, SOURCE_SYSTEM, TOPIC_KEYWORDS
 from tidewire.functions.clock import as_moment, parse_timestamp
 from tidewire.functions.measures import cast_or_null, json_or_empty_list, percent, record_hash, text_flag
 from tidewire.functions.text import TopicWords, enrich_text, split_list
@@ -87,11 +87,6 @@ def typed_staging(staged: DataFrame) -> DataFrame:
     return staged.withColumns(typed)
 
 
-def cut_to_widths(df: DataFrame, widths: dict[str, int] = STAGING_WIDTHS) -> DataFrame:
-    """Cut over-long text to column widths, for a target whose columns are that narrow."""
-    return df.withColumns({c: F.substring(c, 1, n) for c, n in widths.items() if c in df.columns})
-
-
 def union_types(frames: list[DataFrame]) -> DataFrame:
     """Rows of several types together; a column one of them lacks is NULL there."""
     combined = frames[0]
@@ -106,7 +101,7 @@ def relation_rows(silver: DataFrame, column: str) -> DataFrame:
 
 
 def exploded_items(
-    content: DataFrame, joined: str, item: str, keep: list[str], max_items: int | None = None, distinct: bool = True,
+    content: DataFrame, joined: str, item: str, keep: list[str], distinct: bool = True,
     min_length: int = 3,
 ) -> DataFrame:
     """One row per long enough list item of comma-joined text, with only the ``keep`` columns beside it.
@@ -114,7 +109,7 @@ def exploded_items(
     With ``distinct`` an item counts once per content row, which is what a distinct count over
     the row key asks for, without shuffling the row keys.
     """
-    items = split_list(F.col(joined), max_items)
+    items = split_list(F.col(joined))
     if distinct:
         items = F.array_distinct(items)
     rows = content.where(F.col(joined).isNotNull()).select(*keep, F.explode(items).alias(item))

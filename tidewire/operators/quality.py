@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.clock import AsOf, as_date, as_moment, on_day
 from tidewire.functions.measures import percent, run_identifier
+from tidewire.operators.dedup import duplicate_keys
 
 REQUIRED_FIELDS = ["id", "title", "url", "published_at"]
 
@@ -119,7 +120,7 @@ def record_runs(
     started_at: dt.datetime | str | Column | None = None, failed: DataFrame | None = None,
     ingest_date: AsOf = None, run_type: str = "daily_load",
 ) -> DataFrame:
-    """Run rows: one per load day, processed = current rows opened on that day.
+    """Rows of completed runs: one per load day, processed = current rows opened on that day.
 
     Give ``ingest_date`` for a single day; otherwise every day in the state is reported.
     ``failed`` holds ``ingest_date`` and ``records_failed``.
@@ -146,18 +147,91 @@ def record_runs(
     )
 
 
+def failed_run(
+    spark: SparkSession, error: str, completed_at: dt.datetime | str | Column, started_at: dt.datetime | str | Column,
+    ingest_date: AsOf, run_type: str = "daily_load",
+) -> DataFrame:
+    """The run row of a day whose job broke off."""
+    begin, end = as_moment(started_at), as_moment(completed_at)
+    return spark.range(1).select(as_date(ingest_date).alias("ingest_date")).select(
+        run_identifier(F.col("ingest_date"), end).alias("run_id"),
+        F.lit(run_type).alias("run_type"),
+        F.lit("failed").alias("run_status"),
+        "ingest_date",
+        F.lit(0).cast("bigint").alias("records_processed"),
+        F.lit(0).cast("bigint").alias("records_failed"),
+        F.lit(error).alias("error_message"),
+        begin.alias("started_at"),
+        end.alias("completed_at"),
+        (F.unix_timestamp(end) - F.unix_timestamp(begin)).alias("duration_seconds"),
+        end.alias("created_at"),
+    )
+
+
+def issue_rows(
+    bronze: DataFrame, silver: DataFrame, quarantined: DataFrame, ingest_date: AsOf, now: dt.datetime | str | Column | None = None,
+    max_loss_pct: float = 10.0,
+) -> DataFrame:
+    """A load date's quality issues, one row each: broken rules, lost records, copies, NULL fields, odd dates, sites
+    off the list. Counts only; the frames are reduced to a few rows per issue before they meet.
+
+    ``bronze``: all records read (content_type, id). ``quarantined``: those set aside, with their reason.
+    """
+    columns = ["issue_type", "subject", "affected_records", "total_records"]
+    number = lambda c: F.col(c).cast("bigint")
+    read = bronze.groupBy("content_type").agg(F.count(F.lit(1)).alias("bronze_count"))
+    kept = silver.groupBy("content_type").agg(F.count(F.lit(1)).alias("silver_count"))
+    total = read.select(F.sum("bronze_count")).scalar()
+    kept_total = kept.select(F.sum("silver_count")).scalar()
+    broken = quarantined.groupBy(F.col("_error_reason").alias("subject")).agg(F.count(F.lit(1)).alias("affected_records"))
+    broken = broken.withColumns({"issue_type": F.lit("broken rule"), "total_records": total})
+    loss = layer_loss(
+        read.join(kept, "content_type", "left").withColumn("silver_count", F.coalesce("silver_count", F.lit(0))), max_loss_pct
+    ).where(~F.col("acceptable")).select(
+        F.lit("lost records").alias("issue_type"), F.col("content_type").alias("subject"),
+        (F.col("bronze_count") - F.col("silver_count")).alias("affected_records"), F.col("bronze_count").alias("total_records"),
+    )
+    copies = duplicate_keys(bronze.where(F.col("id").isNotNull()), ["content_type", "id"]).groupBy("content_type").agg(
+        F.sum(F.col("copies") - 1).alias("affected_records")
+    ).join(read, "content_type").select(
+        F.lit("duplicate ids").alias("issue_type"), F.col("content_type").alias("subject"), "affected_records",
+        F.col("bronze_count").alias("total_records"),
+    )
+    per_row = {
+        "null field": null_fields(silver, ["title", "url", "published_at", "news_site", "summary"]).select(F.col("field_name").alias("subject")),
+        "odd date": suspicious_dates(silver, ingest_date).select(F.col("issue").alias("subject")),
+        "site off the list": silver.where(~F.col("news_site_validated")).select(F.col("news_site").alias("subject")),
+    }
+    counted = [
+        rows.groupBy("subject").agg(F.count(F.lit(1)).alias("affected_records"))
+        .withColumns({"issue_type": F.lit(kind), "total_records": kept_total})
+        for kind, rows in per_row.items()
+    ]
+    found = broken.select(*columns)
+    for frame in (loss, copies, *counted):
+        found = found.unionByName(frame.select(*columns))
+    typed = found.withColumns({"affected_records": number("affected_records"), "total_records": number("total_records")})
+    return quality_issues(typed).withColumns({"ingest_date": as_date(ingest_date), "checked_at": as_moment(now)})
+
+
 def record_content_checks(
-    state: DataFrame, now: dt.datetime | str | Column | None = None, ingest_date: AsOf = None, minimum: int = 100
+    state: DataFrame, now: dt.datetime | str | Column | None = None, ingest_date: AsOf = None, minimum: int = 100,
+    records_failed: int | Column = 0,
 ) -> DataFrame:
-    """Check rows ``daily_content_count``: PASS from ``minimum`` current rows a load day, else WARNING."""
+    """Check rows ``daily_content_count``: PASS from ``minimum`` current rows a load day, failed without any, else WARNING.
+
+    ``records_failed`` is how many records of the day were set aside.
+    """
+    lost = records_failed if isinstance(records_failed, Column) else F.lit(records_failed)
     return _opened_per_day(state, ingest_date, "n").select(
         F.lit("daily_content_count").alias("check_name"),
         F.lit("row_count").alias("check_type"),
         F.lit("core.content_items").alias("target_table"),
-        F.when(F.col("n") >= minimum, "PASS").otherwise("WARNING").alias("check_result"),
+        F.when(F.col("n") >= minimum, "PASS").when(F.col("n") == 0, "failed").otherwise("WARNING").alias("check_result"),
         F.col("n").cast("decimal(18,2)").alias("check_value"),
         F.lit(minimum).cast("decimal(18,2)").alias("threshold_value"),
-        F.lit(None).cast("string").alias("error_message"),
+        F.when(F.col("n") == 0, "no rows were loaded").alias("error_message"),
+        lost.cast("bigint").alias("records_failed"),
         "ingest_date",
         as_moment(now).alias("checked_at"),
     )
@@ -183,8 +257,7 @@ def checks_view(checks: DataFrame) -> DataFrame:
         "check_name",
         "check_result",
         F.col("check_value").cast("bigint").alias("records_checked"),
-        (F.col("records_failed") if "records_failed" in checks.columns else F.lit(None).cast("bigint"))
-        .alias("records_failed"),
+        "records_failed",
         F.col("error_message").alias("error_details"),
         F.col("checked_at").alias("created_at"),
     )

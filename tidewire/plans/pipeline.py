@@ -11,15 +11,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.fixed_values import ENTITY_NAMES, SITE_ACTIVITY_WIDTHS, STAGING_WIDTHS, TOPIC_KEYWORDS, TOPIC_TREND_WIDTHS
+from tidewire.fixed_values import ENTITY_NAMES, SITE_ACTIVITY_COLUMNS, STAGING_COLUMNS, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
 from tidewire.functions.text import TopicWords
 from tidewire.operators.content import enrich, to_silver, typed_staging
 from tidewire.operators.dimensions import topic_dimension, upsert_sites
 from tidewire.operators.insights import daily_insights
-from tidewire.operators.quality import record_content_checks, record_runs
-from tidewire.operators.trends import site_activity, topic_trends, typed_aggregate
+from tidewire.operators.quality import failed_run, issue_rows, record_content_checks, record_runs
+from tidewire.operators.trends import daily_summary, site_activity, topic_trends, typed_aggregate
 from tidewire.operators.validate import REASON, normalize_content, silver_reason, to_quarantine
-from tidewire.schemas import CORE_COLUMNS, CORRUPT, SITE_DIMENSION
+from tidewire.schemas import CORE_COLUMNS, CORRUPT, QUARANTINE_REASONS, SITE_DIMENSION
 from tidewire.session import path_exists
 from tidewire.sources import bronze
 from tidewire.sources.tables import (
@@ -39,7 +39,7 @@ def clean_job(
         raw = normalize_content(raw)
     info = bronze.read_info(spark, lake.bronze, ingest_dates)
     sites = bronze.official_sites(info)
-    replace_dates(bronze.api_metadata(info), lake.silver("api_metadata"))
+    replace_dates(bronze.api_metadata(info), lake.silver("api_metadata"), ingest_dates)
 
     checked = raw.withColumn(REASON, silver_reason(CORRUPT))
     seen = Observation()
@@ -81,7 +81,7 @@ def enrich_job(
     if csv:
         for day in ingest_dates:
             written = read_partitions(spark, lake.gold(), [day])
-            write_csv(written.select(*STAGING_WIDTHS), f"{lake.gold('content_enriched_csv')}/{day}")
+            write_csv(written.select(*STAGING_COLUMNS), f"{lake.gold('content_enriched_csv')}/{day}")
     return stats
 
 
@@ -90,11 +90,11 @@ def trends_job(spark: SparkSession, lake: Lake, ingest_date: str, csv: bool = Fa
     gold = read_partitions(spark, lake.gold(), None if whole_history else [ingest_date])
     counts = {}
     for table, frame, columns in (
-        ("topic_counts", topic_trends(gold, ingest_date), TOPIC_TREND_WIDTHS),
-        ("source_activity", site_activity(gold, ingest_date), SITE_ACTIVITY_WIDTHS),
+        ("topic_counts", topic_trends(gold, ingest_date), TOPIC_TREND_COLUMNS),
+        ("source_activity", site_activity(gold, ingest_date), SITE_ACTIVITY_COLUMNS),
     ):
         path = lake.gold(f"trends/{table}")
-        counts[table] = replace_dates(frame, path)["records"]
+        counts[table] = replace_dates(frame, path, [ingest_date])["records"]
         if csv:
             rows = read_partitions(spark, path, [ingest_date])
             write_csv(rows.select(*columns), f"{lake.gold(f'trends/{table}_csv')}/{ingest_date}")
@@ -112,47 +112,87 @@ def staged_batch(spark: SparkSession, csv_path: str) -> DataFrame:
     return typed.select(*[c for c in CORE_COLUMNS if c in typed.columns])
 
 
+def opened_at(ingest_date: str) -> str:
+    return f"{ingest_date} 00:00:00"
+
+
 def load_core_job(
-    spark: SparkSession, lake: Lake, ingest_date: str, now: str, from_csv: bool = False, buckets: int | None = None
+    spark: SparkSession, lake: Lake, ingest_date: str, now: str, from_csv: bool = False, buckets: int | None = 8
 ) -> dict:
-    """Merge a load date into the versioned table and refresh the dimensions."""
-    if from_csv:
-        batch = staged_batch(spark, f"{lake.gold('content_enriched_csv')}/{ingest_date}")
-    else:
-        batch = core_batch(read_partitions(spark, lake.gold(), [ingest_date]))
+    """Merge a load date into the versioned table and refresh the dimensions.
+
+    Dates that were loaded after this one are merged again on top of it, from their gold rows.
+    """
+
+    def batch_of(day: str) -> DataFrame:
+        if from_csv:
+            return staged_batch(spark, f"{lake.gold('content_enriched_csv')}/{day}")
+        return core_batch(read_partitions(spark, lake.gold(), [day]))
+
     core = CoreTable(spark, lake.core(), buckets)
-    counts = core.load(batch, ingest_date, now, latest_by="updated_at")
+    counts = core.load(
+        batch_of(ingest_date), ingest_date, now, latest_by="updated_at", replay=lambda day: (batch_of(day), opened_at(day))
+    )
 
     # Dimensions are published per load date like the core table, so a repeated load starts
     # from the dimension as it was before that date.
     sites = CoreDimension(spark, lake.core("ref_news_sites"))
-    known = sites.latest(before=ingest_date)
-    if known is None:
-        known = spark.createDataFrame([], SITE_DIMENSION)
-    sites.publish(upsert_sites(known, batch, now), ingest_date)
+    for day in [d for d in core.snapshots() if d >= ingest_date]:
+        known = sites.latest(before=day)
+        if known is None:
+            known = spark.createDataFrame([], SITE_DIMENSION)
+        sites.publish(upsert_sites(known, batch_of(day), now if day == ingest_date else opened_at(day)), day)
     topics = CoreDimension(spark, lake.core("ref_topics"))
-    topics.publish(topic_dimension(core.current(), now), ingest_date)
+    topics.publish(topic_dimension(core.current(), now), core.snapshots()[-1])
     return counts
 
 
-def load_aggregates_job(spark: SparkSession, lake: Lake, ingest_date: str) -> dict:
-    """Staged aggregate CSV to the core aggregate tables; a load date replaces itself."""
+def load_aggregates_job(spark: SparkSession, lake: Lake, ingest_date: str, from_csv: bool = False) -> dict:
+    """Gold aggregates, or their staged CSV, to the core aggregate tables; a load date replaces itself."""
     counts = {}
-    for source, target, dimension, widths in (
-        ("topic_counts", "agg_topic_monthly_trends", "topic_name", TOPIC_TREND_WIDTHS),
-        ("source_activity", "agg_news_site_monthly_activity", "news_site", SITE_ACTIVITY_WIDTHS),
+    for source, target, dimension, columns in (
+        ("topic_counts", "agg_topic_monthly_trends", "topic_name", TOPIC_TREND_COLUMNS),
+        ("source_activity", "agg_news_site_monthly_activity", "news_site", SITE_ACTIVITY_COLUMNS),
     ):
-        staged = read_staging_csv(spark, f"{lake.gold(f'trends/{source}_csv')}/{ingest_date}", widths)
-        counts[target] = replace_dates(typed_aggregate(staged, dimension), lake.core(target))["records"]
+        if from_csv:
+            staged = read_staging_csv(spark, f"{lake.gold(f'trends/{source}_csv')}/{ingest_date}", columns)
+        else:
+            staged = read_partitions(spark, lake.gold(f"trends/{source}"), [ingest_date]).select(
+                *[F.col(c).cast("string") for c in columns]
+            )
+        counts[target] = replace_dates(typed_aggregate(staged, dimension), lake.core(target), [ingest_date])["records"]
     return counts
 
 
-def metadata_job(spark: SparkSession, lake: Lake, ingest_date: str, started_at: str, completed_at: str) -> None:
+def quality_job(spark: SparkSession, lake: Lake, ingest_date: str, now: str) -> dict:
+    """The load date's quality issues, from its bronze, silver and quarantine rows."""
+    raw = bronze.read_content(spark, lake.bronze, [ingest_date])
+    silver = read_partitions(spark, lake.silver(), [ingest_date])
+    aside = read_partitions(spark, lake.silver("quarantine"), [ingest_date], QUARANTINE_REASONS)
+    found = issue_rows(raw, silver, aside, ingest_date, now)
+    return replace_dates(found, lake.core("meta_quality_issues"), [ingest_date])
+
+
+def summary_job(spark: SparkSession, lake: Lake, ingest_date: str) -> dict:
+    """The table's current rows counted per publishing day, type, site and topic, as of the load date."""
+    summary = daily_summary(CoreTable(spark, lake.core()).state()).withColumn("ingest_date", F.lit(ingest_date).cast("date"))
+    return replace_dates(summary, lake.core("agg_daily_summary"), [ingest_date])
+
+
+def metadata_job(
+    spark: SparkSession, lake: Lake, ingest_date: str, started_at: str, completed_at: str, records_failed: int = 0
+) -> None:
     """Run row and content-count check of a load date."""
     state = CoreTable(spark, lake.core()).state()
-    replace_dates(record_runs(state, completed_at, started_at, ingest_date=ingest_date), lake.core("meta_pipeline_runs"))
+    failed = spark.range(1).select(
+        F.lit(ingest_date).cast("date").alias("ingest_date"), F.lit(records_failed).cast("bigint").alias("records_failed")
+    )
+    replace_dates(
+        record_runs(state, completed_at, started_at, failed, ingest_date=ingest_date), lake.core("meta_pipeline_runs"), [ingest_date]
+    )
     replace_dates(
-        record_content_checks(state, completed_at, ingest_date=ingest_date), lake.core("meta_data_quality_checks")
+        record_content_checks(state, completed_at, ingest_date=ingest_date, records_failed=records_failed),
+        lake.core("meta_data_quality_checks"), [ingest_date],
     )
 
 
@@ -164,22 +204,41 @@ def insights_job(spark: SparkSession, lake: Lake, ingest_date: str) -> None:
     daily_insights(state, trends, activity, ingest_date).write.mode("overwrite").json(f"{lake.insights}/{ingest_date}")
 
 
+def _now() -> str:
+    return str(dt.datetime.now(dt.UTC).replace(tzinfo=None))
+
+
 def run_day(
-    spark: SparkSession, lake: Lake, ingest_date: str, run_id: str | None = None, buckets: int | None = None
+    spark: SparkSession, lake: Lake, ingest_date: str, run_id: str | None = None, buckets: int | None = 8, csv: bool = False,
+    keep_slices: int = 2,
 ) -> dict:
-    """All jobs of one load date, in order. Running a date again leaves the tables as they were."""
-    started = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-    opened = f"{ingest_date} 00:00:00"
-    stats = {"clean": clean_job(spark, lake, [ingest_date])}
-    stats["enrich"] = enrich_job(spark, lake, [ingest_date], run_id or f"enrich_{ingest_date}", csv=True)
-    stats["trends"] = trends_job(spark, lake, ingest_date, csv=True)
-    stats["core"] = load_core_job(spark, lake, ingest_date, opened, buckets=buckets)
-    stats["aggregates"] = load_aggregates_job(spark, lake, ingest_date)
-    metadata_job(spark, lake, ingest_date, str(started), str(dt.datetime.now(dt.UTC).replace(tzinfo=None)))
-    insights_job(spark, lake, ingest_date)
+    """All jobs of one load date, in order. Running a date again leaves the tables as they were.
+
+    A date that breaks off gets a failed run row before the error goes on. ``csv`` also writes staging files, and the
+    aggregates are then loaded from these. Current slices but the newest ``keep_slices`` expire; dates before those
+    cannot be loaded anew, so keep as many as corrections may go back (0: all).
+    """
+    started = _now()
+    try:
+        stats = {"clean": clean_job(spark, lake, [ingest_date])}
+        stats["enrich"] = enrich_job(spark, lake, [ingest_date], run_id or f"enrich_{ingest_date}", csv=csv)
+        stats["trends"] = trends_job(spark, lake, ingest_date, csv=csv)
+        stats["core"] = load_core_job(spark, lake, ingest_date, opened_at(ingest_date), buckets=buckets)
+        stats["aggregates"] = load_aggregates_job(spark, lake, ingest_date, from_csv=csv)
+        stats["quality"] = quality_job(spark, lake, ingest_date, started)
+        stats["summary"] = summary_job(spark, lake, ingest_date)
+        metadata_job(spark, lake, ingest_date, started, _now(), stats["clean"]["invalid_count"])
+        insights_job(spark, lake, ingest_date)
+    except Exception as error:
+        broken = failed_run(spark, f"{type(error).__name__}: {error}"[:2000], _now(), started, ingest_date)
+        replace_dates(broken, lake.core("meta_pipeline_runs"), [ingest_date])
+        raise
+    if keep_slices:
+        CoreTable(spark, lake.core(), buckets).expire_slices(keep_slices)
     return stats
 
 
-def backfill(spark: SparkSession, lake: Lake, ingest_dates: list[str], buckets: int | None = None) -> dict:
-    """Several load dates, oldest first, since each builds on the history before it."""
-    return {day: run_day(spark, lake, day, buckets=buckets) for day in sorted(ingest_dates)}
+def backfill(spark: SparkSession, lake: Lake, ingest_dates: list[str], buckets: int | None = 8, keep_slices: int = 0) -> dict:
+    """Several load dates, oldest first. Dates loaded already that lie after one of them are merged again after it."""
+    days = sorted(ingest_dates)
+    return {day: run_day(spark, lake, day, buckets=buckets, keep_slices=keep_slices) for day in days}

@@ -18,18 +18,22 @@ def publish_views(spark: SparkSession, lake: Lake, database: str = "core") -> li
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     bodies: dict[str, str] = {}
 
-    # Every slice was written with the same columns in the same order.
-    slices = [
-        f"SELECT *, {str(current).lower()} AS is_current FROM parquet.`{folder}`"
-        for folder, current in CoreTable(spark, lake.core()).folders()
-    ]
-    if slices:
-        bodies["content_items"] = " UNION ALL ".join(slices)
+    # One scan, however many loads there are; a filter on is_current leaves only that slice's folder.
+    core = CoreTable(spark, lake.core())
+    (newest, _), *closed = core.folders() or [(None, True)]
+    if newest:
+        value = lambda folder: "'" + folder.split("=", 1)[1] + "'"
+        chosen = f"is_current = 'true' AND load_id = {value(newest)}"
+        if closed:
+            chosen += f" OR is_current = 'false' AND load_id IN ({', '.join(value(f) for f, _ in closed)})"
+        bodies["content_items"] = (
+            f"SELECT * EXCEPT (load_id, is_current), is_current = 'true' AS is_current FROM parquet.`{core.path}` WHERE {chosen}"
+        )
     for table in ("ref_news_sites", "ref_topics"):
         folder = CoreDimension(spark, lake.core(table)).newest()
         if folder:
             bodies[table] = f"SELECT * FROM parquet.`{folder}`"
-    for table in ("agg_topic_monthly_trends", "agg_news_site_monthly_activity"):
+    for table in ("agg_topic_monthly_trends", "agg_news_site_monthly_activity", "agg_daily_summary", "meta_quality_issues"):
         bodies[table] = f"SELECT * FROM parquet.`{lake.core(table)}`"
     bodies["meta_pipeline_runs"] = (
         "SELECT *, ingest_date AS run_date, run_type AS pipeline_name, run_status AS status, "
@@ -37,7 +41,7 @@ def publish_views(spark: SparkSession, lake: Lake, database: str = "core") -> li
     )
     bodies["meta_data_quality_checks"] = (
         "SELECT *, ingest_date AS check_date, CAST(check_value AS BIGINT) AS records_checked, "
-        "CAST(NULL AS BIGINT) AS records_failed, error_message AS error_details, checked_at AS created_at "
+        "error_message AS error_details, checked_at AS created_at "
         f"FROM parquet.`{lake.core('meta_data_quality_checks')}`"
     )
     created = []

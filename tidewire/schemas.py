@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from tidewire.fixed_values import STAGING_WIDTHS
+from tidewire.fixed_values import STAGING_COLUMNS
 
 
 def _strings(*names: str) -> list[T.StructField]:
@@ -50,6 +50,10 @@ EXTRACTION_META = T.StructType(
     + _strings("ingest_date")
 )
 
+QUARANTINE_REASONS = T.StructType(
+    _strings("_error_reason", "content_type") + [T.StructField("ingest_date", T.DateType())]
+)
+
 SILVER_COLUMNS = [
     "id", "title", "url", "image_url", "news_site", "summary", "published_at", "updated_at", "featured",
     "launches", "events", "authors", "content_id", "content_type", "source_system", "ingest_date",
@@ -57,7 +61,7 @@ SILVER_COLUMNS = [
 ]
 
 # The staging column order is also the gold order; the membership flag is kept at the end.
-GOLD_COLUMNS = [*STAGING_WIDTHS, "news_site_validated"]
+GOLD_COLUMNS = [*STAGING_COLUMNS, "news_site_validated"]
 
 CORE_COLUMNS = [
     "content_pk", "content_id", "content_type", "title", "url", "image_url", "news_site", "summary",

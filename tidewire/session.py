@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
     Only a local-mode session, where driver and executors are one process, may fall back to a
-    temporary folder.
+    temporary folder, which is deleted when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -47,6 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="tidewire-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -88,3 +91,20 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that is about to be written anew."""
     hadoop_path, filesystem = _filesystem(spark, path)
     filesystem.delete(hadoop_path, True)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file; fails if there is one of that name."""
+    hadoop_path, filesystem = _filesystem(spark, path)
+    out = filesystem.create(hadoop_path, False)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop_path, filesystem = _filesystem(spark, path)
+    stream = filesystem.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

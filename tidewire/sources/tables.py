@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+import json
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.fixed_values import CONTENT_TYPES, STAGING_WIDTHS
-from tidewire.operators.content import cut_to_widths
+from tidewire.fixed_values import CONTENT_TYPES, STAGING_COLUMNS
 from tidewire.operators.dedup import deduplicate_by_key
 from tidewire.operators.scd2 import KEYS, first_versions, merge_current
-from tidewire.session import child_names, path_exists, remove
+from tidewire.session import child_names, create_text, path_exists, read_text, remove
 from tidewire.sources.bronze import Dates, on_dates
 
 
@@ -107,9 +108,9 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, s
 
 
 def read_staging_csv(
-    spark: SparkSession, path: str, columns: Iterable[str] = STAGING_WIDTHS, widths: dict[str, int] | None = None
+    spark: SparkSession, path: str, columns: Iterable[str] = STAGING_COLUMNS
 ) -> DataFrame:
-    """CSV into all-text staging columns; texts stay whole unless ``widths`` are given to cut them to.
+    """CSV into all-text staging columns, texts whole.
 
     Columns go by the names in the header, whatever their order; columns the files lack and
     missing trailing fields are NULL, and unreadable bytes become replacement characters. A bare
@@ -120,148 +121,234 @@ def read_staging_csv(
         .option("nullValue", "\\N").option("mode", "PERMISSIVE").csv(path)
     )
     present = set(raw.columns)
-    staged = raw.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
-    return staged if widths is None else cut_to_widths(staged, widths)
+    return raw.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
 
 
-def complete_snapshots(spark: SparkSession, path: str, before: str | None = None) -> list[str]:
-    """Dates of the completely written ``snapshot=`` folders (before a date), oldest first."""
-    names = [n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith("snapshot=")]
-    complete = [n for n in names if path_exists(spark, f"{path}/snapshot={n}/_SUCCESS")]
-    return sorted(n for n in complete if before is None or n < before)
+class Manifest:
+    """Which folder holds which load: small numbered JSON files, of which the newest counts.
+
+    A load becomes visible when the next number is written, all its folders at once; a file that is
+    already there means that somebody else has published meanwhile, and the load fails. One listing
+    and one small read tell the state of the table, however many loads it has.
+    """
+
+    KEPT = 5
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path}/_manifest"
+
+    def read(self) -> tuple[int, dict[str, dict]]:
+        """Number of the newest manifest and its loads by date, oldest first."""
+        numbers = sorted(int(n.split(".")[0]) for n in child_names(self.spark, self.path) if n.endswith(".json"))
+        if not numbers:
+            return 0, {}
+        loads = json.loads(read_text(self.spark, f"{self.path}/{numbers[-1]:09d}.json"))
+        return numbers[-1], dict(sorted(loads.items()))
+
+    def publish(self, number: int, loads: dict[str, dict]) -> None:
+        """Make these loads the table, if ``number`` is still the newest."""
+        create_text(self.spark, f"{self.path}/{number + 1:09d}.json", json.dumps(loads, sort_keys=True))
+        if number >= self.KEPT:
+            remove(self.spark, f"{self.path}/{number + 1 - self.KEPT:09d}.json")
+
+
+def new_load(snapshot: str) -> str:
+    return f"load_id={snapshot}-{uuid.uuid4().hex[:12]}"
 
 
 class CoreDimension:
     """A small dimension, whole in one folder per load date."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path, self.manifest = spark, path, Manifest(spark, path)
 
     def newest(self, before: str | None = None) -> str | None:
-        """Folder of the newest complete state (before a date)."""
-        known = complete_snapshots(self.spark, self.path, before)
-        return f"{self.path}/snapshot={known[-1]}" if known else None
+        """Folder of the newest state (before a date)."""
+        _, loads = self.manifest.read()
+        known = [load["folder"] for day, load in loads.items() if before is None or day < before]
+        return f"{self.path}/{known[-1]}" if known else None
 
     def latest(self, before: str | None = None) -> DataFrame | None:
         folder = self.newest(before)
         return self.spark.read.parquet(folder) if folder else None
 
     def publish(self, df: DataFrame, snapshot: str) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/snapshot={snapshot}")
+        number, loads = self.manifest.read()
+        folder = new_load(snapshot)
+        df.write.parquet(f"{self.path}/{folder}")
+        old = loads.get(snapshot)
+        self.manifest.publish(number, {**loads, snapshot: {"folder": folder}})
+        if old:
+            remove(self.spark, f"{self.path}/{old['folder']}")
 
 
 class CoreTable:
-    """Versioned content on plain Parquet, published one snapshot at a time.
+    """Versioned content on plain Parquet, published one load at a time.
 
-    Load S writes one folder: ``snapshot=S/is_current=true`` is the whole current slice after
-    the load, ``snapshot=S/is_current=false`` only the versions that this load closed. So the
-    history is written once per version and never rewritten or re-read by a later load. A
-    snapshot counts when its write is complete; a load that dies half-way changes nothing and
-    a repeated load replaces just its own folder. Snapshots are ISO load dates, which sort as
-    text; to redo an old date, redo the later ones after it.
+    A load of date S writes one new folder: ``is_current=true`` below it is the whole current slice
+    after the load, ``is_current=false`` only the versions that this load closed. So the history is
+    written once per version and never rewritten or re-read by a later load. A manifest says which
+    folder belongs to which date; a load that dies half-way changes nothing, and a repeated load
+    replaces its date at the moment it is published. Dates are ISO dates, which sort as text.
+
+    A load of a date before the newest one needs the later dates' batches: they are merged again on
+    top of it, and all become visible together. Without them it is refused.
 
     With ``buckets`` the slices are stored hash-bucketed and sorted by key. The next load then
     joins the old slice where it lies: only the batch is shuffled, never the (far larger)
     slice. One task handles one bucket, so choose the number for buckets of a gigabyte or two.
+    None stores plain files, for tables that change hands more often than they grow.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = 8):
         self.spark, self.path, self.buckets = spark, path, buckets
+        self.manifest = Manifest(spark, path)
 
-    def _part(self, snapshot: str, current: bool) -> str:
-        return f"{self.path}/snapshot={snapshot}/is_current={str(current).lower()}"
+    def _part(self, folder: str, current: bool) -> str:
+        return f"{self.path}/{folder}/is_current={str(current).lower()}"
 
-    def _table_name(self, snapshot: str) -> str:
-        return "core_" + hashlib.md5(f"{self.path}|{snapshot}".encode()).hexdigest()
+    def _table_name(self, folder: str) -> str:
+        return "core_" + hashlib.md5(f"{self.path}|{folder}".encode()).hexdigest()
 
     def snapshots(self, before: str | None = None) -> list[str]:
-        return complete_snapshots(self.spark, self.path, before)
+        """Dates loaded (before a date), oldest first."""
+        return [day for day in self.manifest.read()[1] if before is None or day < before]
 
-    def _slice(self, snapshot: str) -> DataFrame:
-        folder = self._part(snapshot, True)
-        files = self.spark.read.parquet(folder)
+    def _slice(self, folder: str) -> DataFrame:
+        part = self._part(folder, True)
+        files = self.spark.read.parquet(part)
         if not self.buckets:
             return files
         # Parquet files do not say how they are bucketed; an external table definition does.
-        name, keys = self._table_name(snapshot), ", ".join(KEYS)
+        name, keys = self._table_name(folder), ", ".join(KEYS)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(
             f"CREATE TABLE {name} ({files._jdf.schema().toDDL()}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{folder}'"
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{part}'"
         )
         return self.spark.table(name)
 
     def current(self, before: str | None = None) -> DataFrame | None:
-        """Current slice of the newest complete snapshot (older than ``before``)."""
-        known = self.snapshots(before)
-        return self._slice(known[-1]).withColumn("is_current", F.lit(True)) if known else None
+        """Current slice after the newest load (before a date)."""
+        known = [load for day, load in self.manifest.read()[1].items() if before is None or day < before]
+        if not known:
+            return None
+        return self._current_of(known[-1])
+
+    def _current_of(self, load: dict) -> DataFrame:
+        if not load["slice"]:
+            raise ValueError(f"the current slice of {load['folder']} has expired")
+        return self._slice(load["folder"]).withColumn("is_current", F.lit(True))
 
     def folders(self) -> list[tuple[str, bool]]:
-        """Folders that make up the table, with the ``is_current`` of their rows: newest slice first."""
-        known = self.snapshots()
-        closed = [(p, False) for s in known if path_exists(self.spark, p := self._part(s, False))]
-        return [(self._part(known[-1], True), True), *closed] if known else []
+        """Folder names that make up the table, with the ``is_current`` of their rows: newest slice first."""
+        loads = list(self.manifest.read()[1].values())
+        return [(loads[-1]["folder"], True), *[(x["folder"], False) for x in loads if x["closed"]]] if loads else []
 
     def state(self) -> DataFrame:
-        """All versions: the newest current slice and everything closed up to it."""
-        current = self.current()
-        if current is None:
-            raise ValueError(f"no complete snapshot below {self.path}")
-        closed = [folder for folder, is_current in self.folders() if not is_current]
+        """All versions: a scan of the newest current slice and one of everything closed up to it."""
+        folders = self.folders()
+        if not folders:
+            raise ValueError(f"no load below {self.path}")
+        closed = [self._part(folder, current) for folder, current in folders if not current]
+        slice_ = self.spark.read.parquet(self._part(folders[0][0], True)).withColumn("is_current", F.lit(True))
         if not closed:
-            return current
-        return current.unionByName(self.spark.read.parquet(*closed).withColumn("is_current", F.lit(False)))
+            return slice_
+        return slice_.unionByName(self.spark.read.parquet(*closed).withColumn("is_current", F.lit(False)))
 
     def expire_slices(self, keep: int = 2) -> list[str]:
         """Delete current slices but the newest ``keep``; the history stays. Returns the dates concerned.
 
         Dates up to those can no longer be loaded anew.
         """
-        old = self.snapshots()[:-keep]
-        for snapshot in old:
-            remove(self.spark, self._part(snapshot, True))
+        number, loads = self.manifest.read()
+        old = [day for day in list(loads)[:-keep] if loads[day]["slice"]]
+        if old:
+            self.manifest.publish(number, {d: {**x, "slice": x["slice"] and d not in old} for d, x in loads.items()})
+            for day in old:
+                remove(self.spark, self._part(loads[day]["folder"], True))
         return old
 
     def next_versions(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> DataFrame:
-        """Rows that load ``snapshot`` has to write: the merged slice and the versions it closes."""
-        before = self.current(before=snapshot)
+        """Rows that a load of ``snapshot`` has to write: the merged slice and the versions it closes."""
+        return self._versions(self.current(before=snapshot), batch, now, latest_by)
+
+    @staticmethod
+    def _versions(before: DataFrame | None, batch: DataFrame, now: str, latest_by: str | None) -> DataFrame:
         if before is not None:
             return merge_current(before, batch, now, latest_by)
         if latest_by is not None:
             batch = deduplicate_by_key(batch, KEYS, latest_by, tie_breaks=["record_hash"])
         return first_versions(batch, now)
 
-    def load(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> dict:
-        """Merge one batch, keyed by load date. Returns rows current, opened and closed."""
+    def _write(self, before: DataFrame | None, batch: DataFrame, snapshot: str, now: str, latest_by: str | None) -> tuple[dict, dict]:
+        """Writes a new folder; its manifest entry and the rows current, opened and closed."""
         seen = Observation()
-        rows = self.next_versions(batch, snapshot, now, latest_by).observe(
+        rows = self._versions(before, batch, now, latest_by).observe(
             seen,
             F.count_if("is_current").alias("current"),
             F.count_if(F.col("is_current") & (F.col("valid_from") == F.lit(now).cast("timestamp"))).alias("opened"),
             F.count_if(~F.col("is_current")).alias("closed"),
         )
-        folder = f"{self.path}/snapshot={snapshot}"
+        folder = new_load(snapshot)
+        place = f"{self.path}/{folder}"
         if self.buckets:
             # A join with the bucketed slice leaves one bucket per task; a first load has no such join.
-            if not self.snapshots(before=snapshot):
+            if before is None:
                 rows = rows.repartition(self.buckets, *KEYS)
-            name = self._table_name(f"{snapshot}|write")
-            remove(self.spark, folder)
+            name = self._table_name(f"{folder}|write")
             (
                 rows.write.partitionBy("is_current")
-                .bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", folder)
+                .bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", place)
                 .option("partitionOverwriteMode", "static").saveAsTable(name)
             )
             self.spark.sql(f"DROP TABLE {name}")
         else:
             (
                 rows.sortWithinPartitions("is_current", "content_type", "published_at")
-                .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_current")
-                .parquet(folder)
+                .write.partitionBy("is_current").parquet(place)
             )
-        return seen.get
-
-
-def replace_dates(df: DataFrame, path: str) -> dict:
-    """Idempotent load of an aggregate: the load dates in the frame replace those in the table."""
-    return write_with_stats(df, path, partition_by=["ingest_date"])
+        counts = seen.get
+        if not counts["current"]:  # no row, no folder: readers still need the columns
+            rows.where("is_current").drop("is_current").limit(0).write.mode("overwrite").parquet(self._part(folder, True))
+        return {"folder": folder, "slice": True, "closed": counts["closed"] > 0}, counts
+
+    def load(
+        self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None,
+        replay: Callable[[str], tuple[DataFrame, str]] | None = None,
+    ) -> dict:
+        """Merge one batch, keyed by load date. Returns its rows current, opened and closed.
+
+        If later dates are loaded already, ``replay`` must give each one's batch and time; they are merged again
+        after this one, and the new folders of all become visible at once.
+        """
+        number, loads = self.manifest.read()
+        later = [day for day in loads if day > snapshot]
+        if later and replay is None:
+            raise ValueError(f"{snapshot} lies before {later[0]}, which is loaded: its batch is needed to load it again")
+        earlier = [load for day, load in loads.items() if day < snapshot]
+        before = self._current_of(earlier[-1]) if earlier else None
+        made, result = {}, None
+        for day in [snapshot, *later]:
+            own_batch, own_now = (batch, now) if day == snapshot else replay(day)
+            made[day], counts = self._write(before, own_batch, day, own_now, latest_by)
+            before = self._current_of(made[day])
+            result = result or counts
+        self.manifest.publish(number, {**loads, **made})
+        for day in made:
+            if day in loads:
+                remove(self.spark, f"{self.path}/{loads[day]['folder']}")
+        return result
+
+
+def replace_dates(df: DataFrame, path: str, ingest_dates: list[str] | None = None) -> dict:
+    """Idempotent load of an aggregate: the given load dates hold exactly the frame's rows afterwards.
+
+    Without dates only those in the frame are replaced; a given date without rows is emptied.
+    """
+    day = F.col("ingest_date").cast("string")
+    written = write_with_stats(df, path, partition_by=["ingest_date"], metrics={"days": F.collect_set(day)})
+    filled = set(written.pop("days") or [])
+    for empty in set(ingest_dates or []) - filled:
+        remove(df.sparkSession, f"{path}/ingest_date={empty}")
+    return written
