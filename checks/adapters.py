@@ -101,7 +101,6 @@ def documents_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     moment = F.timestamp_seconds(F.unix_timestamp(start) + minutes * 60)
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     site_url = F.concat(F.lit("https://"), "source", F.lit(".example.com/"), id_text)
-    no_authors = F.lit(None).cast("array<struct<name:string>>")
     return table(spark, sf_dir, "documents").select(
         id_text.alias("id"),
         F.when(doc % 41 == 0, None).when(doc % 43 == 0, "")
@@ -114,9 +113,12 @@ def documents_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(moment, iso)).alias("published_at"),
         F.when(doc % 6 != 0, F.date_format(moment + F.make_dt_interval((doc % 5).cast("int")), iso)).alias("updated_at"),
         (doc % 7 == 0).alias("featured"),
-        F.lit(None).cast("array<struct<launch_id:string,provider:string,id:string>>").alias("launches"),
-        F.lit(None).cast("array<struct<event_id:bigint,provider:string,id:string,name:string>>").alias("events"),
-        F.when(doc % 5 == 0, no_authors).otherwise(F.array(F.struct(F.col("lang").alias("name")))).alias("authors"),
+        # nested keys that no schema declares (status, kind, socials) have to come through
+        F.when(doc % 4 == 0, F.concat(
+            F.lit('[{"launch_id":"L'), id_text, F.lit('","provider":"p","status":{"code":'), (doc % 3).cast("string"), F.lit("}}]")
+        )).alias("launches"),
+        F.when(doc % 9 == 0, F.lit('[{"event_id":7,"kind":"x"},{"event_id":8}]')).alias("events"),
+        F.when(doc % 5 != 0, F.concat(F.lit('[{"name":"'), "lang", F.lit('","socials":["'), "source", F.lit('"]}]'))).alias("authors"),
         F.when(doc % 3 == 0, "articles").when(doc % 3 == 1, "blogs").otherwise("reports").alias("content_type"),
         F.lit(DOC_AS_OF).cast("date").alias("ingest_date"),
     )

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 from checks import adapters as A
 from tidewire.fixed_values import ENTITY_NAMES, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
 from tidewire.functions.clock import parse_timestamp
-from tidewire.functions.measures import record_hash
+from tidewire.functions.measures import json_or_empty_list, record_hash
 from tidewire.functions.text import (
     analysis_text, entity_records, positive_topics, register_sql_functions, tokenize, topic_scores,
 )
 from tidewire.operators import content as C
 from tidewire.operators import dedup, dimensions, quality, scd2, trends, validate
 from tidewire.operators.insights import daily_insights
-from tidewire.schemas import SITE_DIMENSION
+from tidewire.plans import monitoring, pipeline
+from tidewire.schemas import CORRUPT, RELATIONS, SITE_DIMENSION
 from tidewire.session import configure, materialized, scratch_path
 from tidewire.sources import bronze, tables
 from tidewire.streaming import incremental
@@ -35,8 +36,11 @@ def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Documents as JSON Lines below a new folder, one folder per type; returns the root."""
     root = scratch_path(spark, "bronze")
     records = A.documents_bronze(spark, sf_dir)
+    nested = {c: F.parse_json(F.col(c)) for c in RELATIONS}
+    line = F.to_json(F.struct(*[c for c in records.columns if c not in ("content_type", "ingest_date")]))
+    lines = records.withColumns(nested).select("content_type", "ingest_date", line.alias("value"))
     for kind in ("articles", "blogs", "reports"):
-        bronze.land_records(records.where(F.col("content_type") == kind).drop("content_type"), root, kind)
+        bronze.land_lines(lines.where(F.col("content_type") == kind), root, kind)
     return root
 
 
@@ -45,7 +49,7 @@ def bronze_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         "id", "content_type", "title", "url", "image_url", "news_site", "published_at", "updated_at", "featured",
         F.md5(F.col("summary")).alias("summary_md5"),
-        F.coalesce(F.to_json("authors"), F.lit("[]")).alias("authors_json"),
+        *[json_or_empty_list(records, c).alias(f"{c}_json") for c in RELATIONS],
         "ingest_date",
     )
 
@@ -110,8 +114,8 @@ def staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = C.typed_staging(tables.read_staging_csv(spark, path))
     return typed.select(
         "id", "content_id", "content_type", "title", "url", "news_site", "published_at", "updated_at", "featured",
-        "topic_name", "entities", "published_year", "published_month", "published_day", "authors_json", "ingest_date",
-        "record_hash", F.md5("summary").alias("summary_md5"), F.md5("keywords").alias("keywords_md5"),
+        "topic_name", "entities", "published_year", "published_month", "published_day", "authors_json", "launches_json",
+        "events_json", "image_url", "ingest_date", "ingest_run_id", "record_hash", F.md5("summary").alias("summary_md5"), F.md5("keywords").alias("keywords_md5"),
     )
 
 
@@ -171,7 +175,10 @@ def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extraction_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metadata(spark, sf_dir)
+    found = _metadata(spark, sf_dir)
+    return found.select(
+        *[c for c in found.columns if c != "pagination"], "pagination.total_pages", "pagination.total_results"
+    )
 
 
 def list_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,15 +244,15 @@ def timestamp_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invalid documents set aside as Parquet and read back; the payload is looked into by JSON path."""
+    """Invalid landed lines set aside as Parquet and read back; the payload is looked into by JSON path."""
     path = scratch_path(spark, "quarantine")
-    _, invalid = validate.validate_record(A.documents_bronze(spark, sf_dir))
+    _, invalid = validate.validate_record(bronze.read_content(spark, landed_bronze(spark, sf_dir)), CORRUPT)
     tables.write_with_stats(validate.to_quarantine(invalid, A.FIXED_NOW), path, "append", partition_by=BOTH)
     back = spark.read.parquet(path)
     return back.select(
         "id", F.col("content_type"), "_is_valid", "_error_reason", "quarantine_timestamp",
         F.get_json_object("raw_payload", "$.url").alias("payload_url"),
-        F.get_json_object("raw_payload", "$._error_reason").alias("payload_reason"),
+        F.get_json_object("raw_payload", "$.launches[0].status.code").alias("payload_code"),
     )
 
 
@@ -398,8 +405,16 @@ def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = C.relation_rows(A.documents_silver(spark, sf_dir), "authors")
-    return rows.select("content_id", "content_type", "position", F.col("item.name").alias("author"))
+    """Authors, launches and events, each with a typed key and the whole item."""
+    silver = A.documents_silver(spark, sf_dir)
+    found = None
+    for column, relation, key in (("authors", "author", "name"), ("launches", "launch", "launch_id"), ("events", "event", "event_id")):
+        rows = C.relation_rows(silver, column).select(
+            "content_id", "content_type", F.lit(relation).alias("relation"), "position",
+            F.col(f"item.{key}").cast("string").alias("item"), "item_json",
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 # --- aggregates ---------------------------------------------------------------------------------
@@ -480,6 +495,12 @@ def unsound_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order sites, and trends without their type, repeat their keys."""
+    sites = dimensions.repeated_keys(A.orders_content(spark, sf_dir), ["news_site"], "sites")
+    return sites.unionByName(dimensions.repeated_keys(A.order_trends(spark, sf_dir), ["year_month", "topic_name"], "trends"))
+
+
 def sound_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = A.customer_state(spark, sf_dir)
     broken = scd2.broken_versions(state)
@@ -502,7 +523,8 @@ def site_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     early, late = _site_batches(spark, sf_dir)
     empty = spark.createDataFrame([], SITE_DIMENSION)
     after_first = dimensions.upsert_sites(empty, early, "2000-01-01 00:00:00")
-    return dimensions.upsert_sites(after_first, late, "2001-08-02 00:00:00").drop("website_url", "description")
+    both = dimensions.upsert_sites(after_first, late, "2001-08-02 00:00:00")
+    return both.drop("news_site_id", "website_url", "description")
 
 
 def topic_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -584,6 +606,36 @@ def unofficial_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unofficial_sites(A.documents_silver(spark, sf_dir, A.english_sites(spark, sf_dir)))
 
 
+def _run_day(spark: SparkSession, sf_dir: str) -> tables.Lake:
+    """All jobs over the landed documents, as one load date."""
+    bronze_root = landed_bronze(spark, sf_dir)
+    lake = tables.Lake(bronze_root.rsplit("/", 1)[0] + "/lake-" + bronze_root.rsplit("-", 1)[1], bronze_root)
+    pipeline.run_day(spark, lake, A.DOC_AS_OF)
+    return lake
+
+
+def job_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality issues that the jobs wrote."""
+    found = spark.read.parquet(_run_day(spark, sf_dir).core("meta_quality_issues"))
+    return found.drop("checked_at").withColumn("ingest_date", F.col("ingest_date").cast("date"))
+
+
+def job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary that the jobs wrote, per day and type."""
+    found = spark.read.parquet(_run_day(spark, sf_dir).core("agg_daily_summary"))
+    return found.groupBy("date", "content_type").agg(
+        F.sum("content_count").alias("content_count"), F.sum("featured_count").alias("featured_count")
+    )
+
+
+def job_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report 9.3 over the check table that the jobs wrote."""
+    checks = spark.read.parquet(_run_day(spark, sf_dir).core("meta_data_quality_checks"))
+    return monitoring.recent_checks(quality.checks_view(checks)).drop("created_at", "error_details").withColumn(
+        "check_date", F.col("check_date").cast("date")
+    )
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
@@ -603,17 +655,15 @@ def streamed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly counts that the watermark has closed, from the event file as a stream."""
+    """Hourly counts of the event file as a stream: partial counts per batch, added up on reading."""
     configure(spark)
     out = scratch_path(spark, "hours")
     stream = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(
         f"{sf_dir}/events.parque[t]"
     )
-    counts = incremental.windowed_counts(
-        stream.select(F.col("ts").cast("timestamp").alias("published_at"), "event_type"), "published_at", ["event_type"]
-    )
-    incremental.append_to(counts, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/rows")
+    rows = stream.select(F.col("ts").cast("timestamp").alias("published_at"), "event_type")
+    incremental.count_windows_once(rows, "published_at", ["event_type"], f"{out}/rows", f"{out}/checkpoint")
+    return incremental.read_windows(spark, f"{out}/rows", ["event_type"])
 
 
 def _table(adapter, function, *arguments, **parameters):
@@ -677,6 +727,10 @@ OPERATOR_QUERIES = {
     "j09_insights": insights,
     "j10_unsound_versions": unsound_versions,
     "j10_sound_versions": sound_versions,
+    "j10_repeated_keys": repeated_keys,
+    "k09_3_job_checks": job_checks,
+    "k11_job_summary": job_summary,
+    "m01_job_issues": job_issues,
     "k11_daily_summary": _table(A.orders_content, trends.daily_summary),
     "l01_streamed_gold": streamed_gold,
     "l02_streamed_hours": streamed_hours,

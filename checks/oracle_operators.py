@@ -54,7 +54,8 @@ def top_list(view: str, dimension: str, label: str) -> str:
 OPERATORS: dict[str, str] = {
     "a01_bronze_read": with_views("doc_raw", """
         select id, content_type, title, url, image_url, news_site, published_text published_at,
-               updated_text updated_at, featured, md5(summary) summary_md5, authors_json, ingest_date from doc_raw"""),
+               updated_text updated_at, featured, md5(summary) summary_md5, authors_json, launches_json, events_json, ingest_date
+        from doc_raw"""),
     "a02_info_sites": "select distinct source news_site from documents",
     "a02_api_metadata": f"""
         select distinct lang api_version, cast(2 as bigint) news_sites_count,
@@ -71,8 +72,8 @@ OPERATORS: dict[str, str] = {
         select id, content_id, content_type, title, url, news_site, published_at, updated_at, featured, topic_name,
                entities, cast(year(published_at) as integer) published_year,
                cast(month(published_at) as integer) published_month, cast(day(published_at) as integer) published_day,
-               authors_json, ingest_date, record_hash, md5(summary) summary_md5,
-               md5(keywords) keywords_md5 from doc_gold"""),
+               authors_json, launches_json, events_json, image_url, ingest_date, 'check' ingest_run_id, record_hash,
+               md5(summary) summary_md5, md5(keywords) keywords_md5 from doc_gold"""),
     "a10_aggregate_staging": with_views("trends", "select * from trends"),
     "a12_land_valid_lines": with_views("doc_raw", f"""
         with {RAW_CHECKED} select content_type endpoint, count(*) records from raw_checked
@@ -81,7 +82,8 @@ OPERATORS: dict[str, str] = {
         with {RAW_CHECKED} select content_type endpoint, 'run_' || content_type run_id,
                '2024-07-01T00:00:00' start_time, '2024-07-01T00:10:00' end_time,
                count(*) filter (reason is null) records_downloaded, count(*) filter (reason is null) valid_count,
-               count(reason) invalid_count, '2024-07-01' ingest_date from raw_checked group by content_type"""),
+               count(reason) invalid_count, cast(ceil(count(*) / 100) as bigint) total_pages, count(*) total_results,
+               '2024-07-01' ingest_date from raw_checked group by content_type"""),
     "a14_list_extractions": with_views("doc_raw", f"""
         with {RAW_CHECKED} select content_type endpoint, count(*) filter (reason is null) records
         from raw_checked group by 1"""),
@@ -118,7 +120,8 @@ OPERATORS: dict[str, str] = {
         from events""",
     "b09_quarantine": with_views("doc_checked", f"""
         select id, content_type, false _is_valid, reason _error_reason, {NOW} quarantine_timestamp, url payload_url,
-               reason payload_reason from doc_checked where reason is not null"""),
+               case when doc_id % 4 = 0 then cast(doc_id % 3 as varchar) end payload_code
+        from doc_checked where reason is not null"""),
     "b13_year_topics": with_views("ord", """
         select content_id id, strftime(published_at, '%Y') topic_name,
                cast(year(published_at) as integer) published_year, title
@@ -172,7 +175,13 @@ OPERATORS: dict[str, str] = {
                || strftime(published_at, '%Y-%m-%d %H:%M:%S') || '||' || coalesce(image_url, 'NULL')) record_hash
         from ord"""),
     "h13_relation_rows": with_views("doc_silver", """
-        select content_id, content_type, 0 "position", lang author from doc_silver where doc_id % 5 <> 0"""),
+        select content_id, content_type, 'author' relation, 0 "position", lang item,
+               '{"name":"' || lang || '","socials":["' || news_site || '"]}' item_json
+        from doc_silver where doc_id % 5 <> 0
+        union all select content_id, content_type, 'launch', 0, 'L' || doc_id, launches_json[2:-2]
+        from doc_silver where doc_id % 4 = 0
+        union all select content_id, content_type, 'event', unnest([0, 1]), unnest(['7', '8']),
+               unnest(['{"event_id":7,"kind":"x"}', '{"event_id":8}']) from doc_silver where doc_id % 9 = 0"""),
     "i02_tokens": f"""
         with words as (select doc_id, regexp_extract_all(lower("text"), {WORDS}) w,
                               regexp_extract_all(lower("text"), {LONG_WORDS}) l from documents)
@@ -193,7 +202,7 @@ OPERATORS: dict[str, str] = {
     "i07_enriched": with_views("doc_gold", f"""
         select content_id, source_system, md5(keywords) keywords_md5, entities, topic_name,
                cast(year(published_at) as integer) published_year, cast(month(published_at) as integer) published_month,
-               cast(day(published_at) as integer) published_day, authors_json, '[]' launches_json, '[]' events_json,
+               cast(day(published_at) as integer) published_day, authors_json, launches_json, events_json,
                'check' ingest_run_id, {NOW} processed_at, record_hash from doc_gold"""),
     "i08_exploded_keywords": with_views("doc_gold", """
         with items as (select content_type, unnest(tokens) keyword from doc_gold)
@@ -239,7 +248,7 @@ OPERATORS: dict[str, str] = {
                timestamp '2001-08-02 01:00:00' created_at
         from loaded left join runs r on r.run_date = ingest_date"""),
     "j08_content_checks": with_views("ord", f"""
-        select 'daily_content_count' check_name, 'row_count' check_type, 'core.content_items' target_table,
+        select 'daily_content_count-' || strftime(ingest_date, '%Y-%m-%d') check_id, 'daily_content_count' check_name, 'row_count' check_type, 'core.content_items' target_table,
                if(count(*) >= 7, 'PASS', 'WARNING') check_result, cast(count(*) as double) check_value,
                cast(7 as double) threshold_value, ingest_date, {NOW} checked_at from ord group by ingest_date"""),
     "j09_insights": with_views("ord trends activity", f"""
@@ -252,6 +261,28 @@ OPERATORS: dict[str, str] = {
         from dup group by 1, 2 having count(*) > 1"""),
     "j10_sound_versions": with_views("cust", """
         select content_type, count(*) versions, cast(0 as bigint) broken_keys from cust group by 1"""),
+    "j10_repeated_keys": with_views("ord trends", """
+        select 'sites' table_name, news_site "key", count(*) copies from ord group by 2 having count(*) > 1
+        union all select 'trends', year_month || '|' || topic_name, count(*) from trends
+        group by year_month, topic_name having count(*) > 1"""),
+    "k09_3_job_checks": with_views("doc_checked", f"""
+        with g as (select count(*) filter (reason is null) records_checked, count(reason) records_failed from doc_checked)
+        select date '2024-07-01' check_date, 'daily_content_count' check_name,
+               if(records_checked >= 100, 'PASS', 'WARNING') check_result, records_checked, records_failed,
+               {pct('records_failed', 'records_checked')} failure_rate_pct from g"""),
+    "k11_job_summary": with_views("doc_silver", """
+        select cast(published_at as date) "date", content_type, count(*) content_count,
+               count(*) filter (featured) featured_count from doc_silver group by 1, 2"""),
+    "m01_job_issues": with_views("doc_checked", f"""
+        with g as (select content_type, count(*) n, count(*) filter (reason is null) k from doc_checked group by 1),
+             i as (select 'broken rule' issue_type, reason subject, count(*) affected_records,
+                          (select count(*) from doc_checked) total_records
+                   from doc_checked where reason is not null group by reason
+                   union all select 'lost records', content_type, n - k, n from g
+                   where n <> k and (n - k) * 100 >= n * 10)
+        select *, {pct('affected_records', 'total_records')} failure_rate,
+               if(affected_records * 100 > total_records * 50, 'CRITICAL', 'WARNING') severity,
+               date '2024-07-01' ingest_date from i"""),
     "k11_daily_summary": with_views("ord", """
         select cast(published_at as date) "date", content_type, news_site, topic_name, count(*) content_count,
                count(*) filter (featured) featured_count from ord group by 1, 2, 3, 4"""),
@@ -261,8 +292,7 @@ OPERATORS: dict[str, str] = {
     "l02_streamed_hours": """
         select date_trunc('hour', ts) window_start, date_trunc('hour', ts) + interval 1 hour window_end, event_type,
                count(*) content_count
-        from events group by 1, 2, 3
-        having date_trunc('hour', ts) + interval 1 hour <= (select max(ts) from events) - interval 10 minute""",
+        from events group by 1, 2, 3""",
     "m01_quality_issues": with_views("doc_checked", f"""
         with t as (select news_site, count(*) total_records from doc_checked group by 1),
              g as (select news_site, reason issue_type, count(*) affected_records from doc_checked

@@ -80,7 +80,11 @@ VIEWS: dict[str, str] = {
                     then strftime(timestamp '2024-01-01' + to_minutes((doc_id * 6367) % 259200)
                                   + to_days(cast(doc_id % 5 as integer)), '%Y-%m-%dT%H:%M:%SZ') end updated_text,
                doc_id % 7 = 0 featured,
-               case when doc_id % 5 = 0 then '[]' else '[{"name":"' || lang || '"}]' end authors_json,
+               case when doc_id % 5 = 0 then '[]'
+                    else '[{"name":"' || lang || '","socials":["' || source || '"]}]' end authors_json,
+               case when doc_id % 4 = 0 then '[{"launch_id":"L' || doc_id || '","provider":"p","status":{"code":'
+                    || (doc_id % 3) || '}}]' else '[]' end launches_json,
+               case when doc_id % 9 = 0 then '[{"event_id":7,"kind":"x"},{"event_id":8}]' else '[]' end events_json,
                case doc_id % 3 when 0 then 'articles' when 1 then 'blogs' else 'reports' end content_type,
                date '2024-07-01' ingest_date
         from documents""",

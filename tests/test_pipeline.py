@@ -251,11 +251,54 @@ def test_streamed_gold_equals_batch_gold_and_takes_only_new_files(spark, lake):
     incremental.ingest_once(spark, lake.bronze, out, "run")
     assert spark.read.parquet(f"{out}/gold").count() == 7
     put(f"{lake.root}", "reports", DAY2, [record(9)])
+    put(f"{lake.root}", "blogs", DAY2, [record(10)])  # a type that wasn't there before
     incremental.ingest_once(spark, lake.bronze, out, "run")
     streamed = spark.read.parquet(f"{out}/gold")
-    assert streamed.count() == 8
+    assert streamed.count() == 9
     P.clean_job(spark, lake, [DAY1, DAY2])
     P.enrich_job(spark, lake, [DAY1, DAY2], "run")
     batch = read_partitions(spark, lake.gold())
-    columns = ["content_id", "topic_name", "record_hash"]
+    columns = ["content_id", "topic_name", "record_hash", "launches_json"]
     assert set(rows(batch, *columns)) <= set(rows(streamed, *columns))
+
+
+def test_stream_merges_into_the_history(spark, lake):
+    out = scratch_path(spark, "stream")
+    core = CoreTable(spark, scratch_path(spark, "core"))
+    merge = incremental.core_merge(core, f"{out}/gold", P.core_batch)
+    incremental.ingest_once(spark, lake.bronze, out, "run", merge)
+    put(f"{lake.root}", "blogs", DAY1, [record(10)])  # late rows of a day that is loaded already
+    incremental.ingest_once(spark, lake.bronze, out, "run", merge)
+    P.backfill(spark, lake, [DAY1, DAY2])
+    columns = ["content_id", "version", "is_current", "title"]
+    assert rows(core.state(), *columns) == rows(CoreTable(spark, lake.core()).state(), *columns)
+
+
+def test_no_folder_yet(spark):
+    root = scratch_path(spark, "none")
+    os.makedirs(root)
+    incremental.ingest_once(spark, root, f"{root}/out", "run")
+    assert not os.path.exists(f"{root}/out/gold")
+
+
+def test_windows_count_late_rows(spark):
+    root, out = scratch_path(spark, "events"), scratch_path(spark, "windows")
+    for n, moment in enumerate(["2026-01-03 10:05:00", "2026-01-01 09:00:00", "2026-01-03 10:50:00"]):
+        spark.sql(f"SELECT timestamp'{moment}' AS t, 'a' AS kind").coalesce(1).write.mode("append").parquet(root)
+        stream = spark.readStream.schema("t timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(root)
+        incremental.count_windows_once(stream, "t", ["kind"], out, f"{out}-checkpoint")
+        assert incremental.read_windows(spark, out, ["kind"]).selectExpr("sum(content_count)").first()[0] == n + 1
+    found = incremental.read_windows(spark, out, ["kind"]).orderBy("window_start").collect()
+    assert [(r.window_start.day, r.content_count) for r in found] == [(1, 1), (3, 2)]
+
+
+def test_nested_records_come_through_whole(spark):
+    root = scratch_path(spark, "nested")
+    authors = [{"name": "Ann", "socials": {"x": ["y"]}}]
+    put(root, "articles", DAY1, [record(1, authors=authors, extra=1), record(2, authors=["Bob"], title=None, extra={"k": 2})])
+    lake = Lake(root)
+    P.clean_job(spark, lake, [DAY1])
+    P.enrich_job(spark, lake, [DAY1], "r")
+    assert json.loads(read_partitions(spark, lake.gold(), [DAY1]).first().authors_json) == authors
+    aside = spark.read.parquet(lake.silver("quarantine")).first()
+    assert json.loads(aside.raw_payload)["extra"] == {"k": 2} and json.loads(aside.authors) == ["Bob"]

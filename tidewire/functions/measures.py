@@ -86,9 +86,11 @@ def record_hash(df: DataFrame, columns: list[str] = HASH_COLUMNS) -> Column:
 
 
 def json_or_empty_list(df: DataFrame, column: str) -> Column:
-    """JSON text of a nested column, '[]' when it is NULL or absent."""
+    """JSON text of a nested column, '[]' when it is NULL or absent. A text column holds the JSON already."""
     if column not in df.columns:
         return F.lit("[]")
+    if dict(df.dtypes)[column] == "string":
+        return F.coalesce(F.col(column), F.lit("[]"))
     return F.coalesce(F.to_json(F.col(column)), F.lit("[]"))
 
 

@@ -158,22 +158,22 @@ def register_sql_functions(
     words = f"regexp_extract_all(lower(t), '{WORD}{{3,}}', 0)".replace("\\", "\\\\")
     totals = []
     for keywords in topics.values():
-        points = [f"2 * int(contains(lower(t), {quoted(k)}))" for k in keywords]
-        points += [f"int(array_contains({words}, {quoted(w)}))" for k in keywords for w in dict.fromkeys(k.split())]
+        points = [f"2 * int(contains(x.lowered, {quoted(k)}))" for k in keywords]
+        points += [f"int(contains(x.joined, {quoted(f',{w},')}))" for k in keywords for w in dict.fromkeys(k.split())]
         totals.append(" + ".join(points) or "0")
-    scores = f"array({', '.join(totals)})"
     labels = f"array({', '.join(quoted(name) for name in topics)})"
     names = ", ".join(quoted(n) for n in dict.fromkeys(n for group in entities.values() for n in group))
+    # Items of one-element arrays: the words and the scores are computed once, however often they are named.
+    text = f"struct(lower(t) AS lowered, concat(',', concat_ws(',', {words}), ',') AS joined)"
+    best = f"CASE WHEN array_max(s) > 0 THEN element_at({labels}, int(array_position(s, array_max(s)))) END"
+    topic = f"transform(array({text}), x -> transform(array(array({', '.join(totals)})), s -> {best})[0])[0]"
     bodies = {
         "tokenize_text_udf": ("ARRAY<STRING>", f"coalesce({words}, cast(array() as array<string>))"),
-        "classify_topic_udf": (
-            "STRING",
-            f"coalesce(CASE WHEN array_max({scores}) > 0 THEN "
-            f"element_at({labels}, int(array_position({scores}, array_max({scores})))) END, {quoted(FALLBACK_TOPIC)})",
-        ),
+        "classify_topic_udf": ("STRING", f"coalesce({topic}, {quoted(FALLBACK_TOPIC)})"),
         "extract_entities_udf": (
             "ARRAY<STRING>",
-            f"coalesce(filter(array({names}), e -> contains(lower(t), e)), cast(array() as array<string>))",
+            f"coalesce(transform(array(lower(t)), l -> filter(array({names}), e -> contains(l, e)))[0], "
+            "cast(array() as array<string>))",
         ),
     }
     for name, (result, body) in bodies.items():

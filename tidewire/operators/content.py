@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.fixed_values import ENTITY_NAMES, SOURCE_SYSTEM, TOPIC_KEYWORDS
+from tidewire.fixed_values import ENTITY_NAMES, HASH_COLUMNS, SOURCE_SYSTEM, TOPIC_KEYWORDS
 from tidewire.functions.clock import as_moment, parse_timestamp
 from tidewire.functions.measures import cast_or_null, json_or_empty_list, percent, record_hash, text_flag
 from tidewire.functions.text import TopicWords, enrich_text, split_list
 from tidewire.operators.dedup import latest_by_url, latest_content
 from tidewire.operators.validate import with_site_check
-from tidewire.schemas import GOLD_COLUMNS, SILVER_COLUMNS
+from tidewire.schemas import GOLD_COLUMNS, RELATIONS, SILVER_COLUMNS
 
 
 def with_lineage(df: DataFrame, source_system: str = SOURCE_SYSTEM) -> DataFrame:
@@ -40,14 +40,16 @@ def with_parsed_times(df: DataFrame, policy: str = "lenient") -> DataFrame:
 
 
 def to_silver(
-    valid: DataFrame, official_sites: DataFrame | None = None, policy: str = "lenient", unique_urls: bool = False
+    valid: DataFrame, official_sites: DataFrame | None = None, policy: str = "lenient", unique_urls: bool = False,
+    hash_columns: list[str] = HASH_COLUMNS,
 ) -> DataFrame:
     """Valid bronze rows to silver: parsed times, hash, one row per key, declared columns.
 
-    ``unique_urls`` adds the second dedup pass, one row per address.
+    ``unique_urls`` adds the second dedup pass, one row per address. Only a change of ``hash_columns`` opens a new
+    version later; name more of them to keep edits of sites, images or flags as well.
     """
     parsed = with_parsed_times(valid, policy)
-    keyed = with_lineage(parsed).withColumn("record_hash", record_hash(parsed))
+    keyed = with_lineage(parsed).withColumn("record_hash", record_hash(parsed, hash_columns))
     kept = keyed.select(*[c for c in SILVER_COLUMNS if c != "news_site_validated"])
     unique = latest_content(kept)
     if unique_urls:
@@ -96,8 +98,10 @@ def union_types(frames: list[DataFrame]) -> DataFrame:
 
 
 def relation_rows(silver: DataFrame, column: str) -> DataFrame:
-    """One row per author, launch or event of a content item."""
-    return silver.select("content_id", "content_type", F.posexplode(column).alias("position", "item"))
+    """One row per author, launch or event of a content item: its typed keys and the whole item as JSON text."""
+    items = F.from_json(column, "array<string>")
+    rows = silver.select("content_id", "content_type", F.posexplode(items).alias("position", "item_json"))
+    return rows.withColumn("item", F.from_json("item_json", RELATIONS[column]))
 
 
 def exploded_items(

@@ -11,6 +11,27 @@ from tidewire.functions.clock import as_moment
 from tidewire.schemas import SITE_DIMENSION
 
 
+def name_key(name: str) -> Column:
+    """A number for a name, the same in every load: no counter, no look-up."""
+    return F.xxhash64(F.col(name))
+
+
+def repeated_keys(df: DataFrame, keys: list[str], table: str) -> DataFrame:
+    """Keys that a table holds more than once: the table, the key's values as text, and how often it is there."""
+    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    values = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return copies.select(F.lit(table).alias("table_name"), values.alias("key"), "copies")
+
+
+# The keys that must be unique in each dimension and aggregate.
+UNIQUE_KEYS = {
+    "ref_news_sites": ["news_site_name"],
+    "ref_topics": ["topic_name"],
+    "agg_topic_monthly_trends": ["year_month", "topic_name", "content_type", "ingest_date"],
+    "agg_news_site_monthly_activity": ["year_month", "news_site", "content_type", "ingest_date"],
+}
+
+
 def batch_sites(batch: DataFrame) -> DataFrame:
     """First day, last day and number of rows per named site of a batch."""
     named = batch.where(F.col("news_site").isNotNull() & (F.col("news_site") != ""))
@@ -39,9 +60,8 @@ def upsert_sites(
         "created_at": F.when(seen_before, F.col("created_at")).otherwise(moment),
         "updated_at": F.when(in_batch, moment).otherwise(F.col("updated_at")),
     }
-    return joined.select("news_site_name", *[c.alias(n) for n, c in columns.items()]).select(
-        *SITE_DIMENSION.fieldNames()
-    )
+    named = joined.select("news_site_name", *[c.alias(n) for n, c in columns.items()])
+    return named.withColumn("news_site_id", name_key("news_site_name")).select(*SITE_DIMENSION.fieldNames())
 
 
 def new_sites(dimension: DataFrame, batch: DataFrame) -> DataFrame:
@@ -54,6 +74,7 @@ def topic_dimension(content: DataFrame, now: dt.datetime | str | Column | None =
     named = content.where(F.col("topic_name").isNotNull() & (F.col("topic_name") != ""))
     return named.select("topic_name").distinct().withColumns(
         {
+            "topic_id": name_key("topic_name"),
             "description": F.lit(None).cast("string"),
             "parent_topic_id": F.lit(None).cast("int"),
             "is_active": F.lit(True),

@@ -224,6 +224,7 @@ def record_content_checks(
     """
     lost = records_failed if isinstance(records_failed, Column) else F.lit(records_failed)
     return _opened_per_day(state, ingest_date, "n").select(
+        F.concat_ws("-", F.lit("daily_content_count"), F.col("ingest_date").cast("string")).alias("check_id"),
         F.lit("daily_content_count").alias("check_name"),
         F.lit("row_count").alias("check_type"),
         F.lit("core.content_items").alias("target_table"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.clock import AsOf, as_date, as_moment, parse_timestamp
 from tidewire.functions.text import bound, is_web_address, normalize_url
+from tidewire.schemas import LINE
 
 REASON = "_error_reason"
 MALFORMED = "Malformed record"
@@ -125,8 +126,10 @@ def validation_totals(checked: DataFrame, by: list[str] | None = None) -> DataFr
 
 
 def to_quarantine(invalid: DataFrame, now: dt.datetime | str | Column | None = None) -> DataFrame:
-    """Add when a record was set aside and its whole content as JSON."""
+    """Add when a record was set aside and the record as it was landed; frames without lines give their columns as JSON."""
     stamped = invalid.withColumn("quarantine_timestamp", as_moment(now))
+    if LINE in invalid.columns:
+        return stamped.withColumnRenamed(LINE, "raw_payload")
     return stamped.withColumn("raw_payload", F.to_json(F.struct("*")))
 
 

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.fixed_values import ENTITY_NAMES, SITE_ACTIVITY_COLUMNS, STAGING_COLUMNS, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
+from tidewire.fixed_values import ENTITY_NAMES, HASH_COLUMNS, SITE_ACTIVITY_COLUMNS, STAGING_COLUMNS, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
 from tidewire.functions.text import TopicWords
 from tidewire.operators.content import enrich, to_silver, typed_staging
 from tidewire.operators.dimensions import topic_dimension, upsert_sites
@@ -28,9 +28,10 @@ from tidewire.sources.tables import (
 
 def clean_job(
     spark: SparkSession, lake: Lake, ingest_dates: list[str], quarantine: str = "quarantine",
-    normalize: bool = False, unique_urls: bool = False,
+    normalize: bool = False, unique_urls: bool = False, hash_columns: list[str] = HASH_COLUMNS,
 ) -> dict:
-    """Validate, set aside, de-duplicate. Clean input is read once; the quarantine pass runs only if needed.
+    """Validate, set aside, de-duplicate. Clean input is read once; a second pass for the quarantine runs only if
+    something failed, or failed in an earlier run.
 
     ``normalize`` trims texts and lower-cases hosts first; ``unique_urls`` also removes copies by address.
     """
@@ -47,7 +48,8 @@ def clean_job(
         seen, F.count(F.lit(1)).alias("initial"), F.count_if(F.col(REASON).isNull()).alias("valid")
     )
     valid = observed.where(F.col(REASON).isNull()).drop(REASON, CORRUPT)
-    written = write_dates(to_silver(valid, sites, unique_urls=unique_urls), lake.silver(), ingest_dates)
+    silver = to_silver(valid, sites, unique_urls=unique_urls, hash_columns=hash_columns)
+    written = write_dates(silver, lake.silver(), ingest_dates)
     counts = seen.get
     invalid_count = counts["initial"] - counts["valid"]
     if invalid_count or path_exists(spark, lake.silver(quarantine)):

@@ -11,21 +11,21 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType()) for name in names]
 
 
-LAUNCHES = T.ArrayType(T.StructType(_strings("launch_id", "provider", "id")))
-EVENTS = T.ArrayType(T.StructType([T.StructField("event_id", T.LongType()), *_strings("provider", "id", "name")]))
-AUTHORS = T.ArrayType(T.StructType(_strings("name")))
+# Nested fields stay JSON text, whole; these are the keys that typed rows take from them.
+RELATIONS = {
+    "launches": T.StructType(_strings("launch_id", "provider", "id")),
+    "events": T.StructType([T.StructField("event_id", T.LongType()), *_strings("provider", "id", "name")]),
+    "authors": T.StructType(_strings("name")),
+}
 
 CORRUPT = "_corrupt_record"
+LINE = "_line"  # the record as it was landed
 
 # One schema for articles, blogs and reports; the types that lack a field simply carry NULL.
 BRONZE_CONTENT = T.StructType(
     _strings("id", "title", "url", "image_url", "news_site", "summary", "published_at", "updated_at")
-    + [
-        T.StructField("featured", T.BooleanType()),
-        T.StructField("launches", LAUNCHES),
-        T.StructField("events", EVENTS),
-        T.StructField("authors", AUTHORS),
-    ]
+    + [T.StructField("featured", T.BooleanType())]
+    + _strings(*RELATIONS)
 )
 
 BRONZE_INFO = T.StructType(_strings("version") + [T.StructField("news_sites", T.ArrayType(T.StringType()))])
@@ -72,6 +72,7 @@ CORE_COLUMNS = [
 
 SITE_DIMENSION = T.StructType(
     [
+        T.StructField("news_site_id", T.LongType()),
         T.StructField("news_site_name", T.StringType()),
         T.StructField("website_url", T.StringType()),
         T.StructField("description", T.StringType()),

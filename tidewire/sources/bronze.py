@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidewire.fixed_values import CONTENT_TYPES, ENDPOINTS
 from tidewire.functions.clock import as_moment
-from tidewire.schemas import BRONZE_CONTENT, BRONZE_INFO, CORRUPT, EXTRACTION_META
+from tidewire.schemas import BRONZE_CONTENT, BRONZE_INFO, CORRUPT, EXTRACTION_META, LINE
 from tidewire.session import path_exists
 
 Dates = list[dt.date | str] | None
@@ -27,27 +27,39 @@ def on_dates(df: DataFrame, ingest_dates: Dates) -> DataFrame:
     return df.where(F.col("ingest_date").isin([F.lit(str(d)).cast("date") for d in ingest_dates]))
 
 
+def parsed_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Raw JSON lines as records with the declared columns, beside the frame's other columns.
+
+    Nested fields are JSON text with every key they have. ``_line`` keeps the whole record; a line that is no JSON, or
+    does not fit the schema, has its text in ``_corrupt_record`` as well. Blank lines are left out.
+    """
+    schema = T.StructType([*BRONZE_CONTENT.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rest = [c for c in lines.columns if c != line]
+    filled = lines.where(F.length(F.trim(line)) > 0)
+    records = filled.select(F.from_json(line, schema, options).alias("_record"), F.col(line).alias(LINE), *rest)
+    return records.select("_record.*", LINE, *rest)
+
+
 def read_content(
     spark: SparkSession, root: str, ingest_dates: Dates = None, content_types: list[str] = CONTENT_TYPES
 ) -> DataFrame:
-    """Records of all types below ``{root}/{type}/ingest_date=...`` with the declared schema.
+    """Records of all types below ``{root}/{type}/ingest_date=...`` as ``parsed_lines`` has them.
 
-    A type without a folder contributes nothing. Lines that are no JSON, or do not fit the
-    schema, keep their text in ``_corrupt_record``.
+    A type without a folder contributes nothing.
     """
-    schema = T.StructType([*_with_partition(BRONZE_CONTENT).fields, T.StructField(CORRUPT, T.StringType())])
     frames = [
-        spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .json(f"{root}/{kind}").withColumn("content_type", F.lit(kind))
+        read_lines(spark, root, kind, ingest_dates).withColumn("content_type", F.lit(kind))
         for kind in content_types
         if path_exists(spark, f"{root}/{kind}")
     ]
     if not frames:
-        return spark.createDataFrame([], schema.add("content_type", T.StringType()))
+        empty = "value string, ingest_date date, content_type string"
+        return parsed_lines(spark.createDataFrame([], empty))
     combined = frames[0]
     for frame in frames[1:]:
         combined = combined.unionByName(frame)
-    return on_dates(combined, ingest_dates)
+    return parsed_lines(combined)
 
 
 def read_lines(spark: SparkSession, root: str, endpoint: str, ingest_dates: Dates = None) -> DataFrame:
@@ -95,9 +107,12 @@ def land_records(df: DataFrame, root: str, endpoint: str) -> None:
 
 
 def extraction_metadata(
-    checked: DataFrame, run_id: str, start_time: str, end_time: str, reason: str = "_error_reason"
+    checked: DataFrame, run_id: str, start_time: str, end_time: str, reason: str = "_error_reason", page_size: int = 100
 ) -> DataFrame:
-    """One metadata row per endpoint and load date from checked records (``endpoint``, ``ingest_date``)."""
+    """One metadata row per endpoint and load date from checked records (``endpoint``, ``ingest_date``).
+
+    The pagination block says how many pages of ``page_size`` the records fill; an extraction that has ended has no more.
+    """
     counts = checked.groupBy("endpoint", F.col("ingest_date").cast("string").alias("ingest_date")).agg(
         F.count_if(F.col(reason).isNull()).alias("valid_count"),
         F.count_if(F.col(reason).isNotNull()).alias("invalid_count"),
@@ -110,6 +125,13 @@ def extraction_metadata(
         F.col("valid_count").alias("records_downloaded"),
         "valid_count",
         "invalid_count",
+        F.struct(
+            "endpoint",
+            F.ceil((F.col("valid_count") + F.col("invalid_count")) / page_size).cast("bigint").alias("total_pages"),
+            (F.col("valid_count") + F.col("invalid_count")).alias("total_results"),
+            F.lit(page_size).cast("bigint").alias("page_size"),
+            F.lit(False).alias("has_more"),
+        ).alias("pagination"),
         "ingest_date",
     )
 

@@ -21,13 +21,14 @@ from tidewire.sources.bronze import Dates, on_dates
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers live."""
+    """Where the layers live; the landed files may be elsewhere."""
 
     root: str
+    landed: str | None = None
 
     @property
     def bronze(self) -> str:
-        return f"{self.root}/bronze"
+        return self.landed or f"{self.root}/bronze"
 
     def silver(self, table: str = "content") -> str:
         return f"{self.root}/silver/{table}"
