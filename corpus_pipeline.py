@@ -7,7 +7,7 @@ All but the last return the columns of documents.
 2. line dedup: later lines that match an earlier one go, and documents that lose all their words that way;
 3. MinHash near-dedup: of documents whose five-word shingles are alike by 0.8 or more, one stays;
 4. mixing: sources are brought to target weights, by leaving out or repeating documents;
-5. BPE: each document's ids, their number and their bytes' hash.
+5. BPE: each document's ids, their number, and the hash of the text they decode to.
 """
 
 from __future__ import annotations
@@ -61,8 +61,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    ids = bpe.encode_documents(docs.select("doc_id", "source", "text"), public_tokenizers.path(VOCABULARY))
-    return ids.select("doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+    """The ids of each document, and the hash of the text that they decode to."""
+    file = public_tokenizers.path(VOCABULARY)
+    ids = bpe.encode_documents(docs.select("doc_id", "source", "text"), file)
+    decoded = bpe.decode_documents(ids, file)
+    return decoded.select(
+        "doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

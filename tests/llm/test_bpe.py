@@ -68,6 +68,12 @@ def test_ids_column(spark, library):
     assert [r["token_ids"] for r in rows] == [library.encode("Hello there", add_special_tokens=False).ids, [], []]
 
 
+def test_decoded_column(spark, library):
+    ids = library.encode("Hello there", add_special_tokens=False).ids
+    rows = bpe.decode_documents(spark.createDataFrame([(ids,), ([],), (None,)], "token_ids array<int>"), FILE).collect()
+    assert [r["decoded"] for r in rows] == [library.decode(ids, skip_special_tokens=False), "", ""]
+
+
 def test_empty_table(spark):
     assert bpe.token_digests(documents(spark, []), FILE).collect() == []
 

@@ -58,6 +58,7 @@ def test_stages(spark, tmp_path):
     assert max(r["count"] for r in mixed.groupBy("doc_id").count().collect()) <= 2
     total = sum(len(words(r["text"])) for r in before.values())
     assert abs(sum(len(words(r["text"])) for r in mixed.collect()) - 1.5 * total) <= 3 * 80
+    assert {"doc_id", "n_tokens", "token_ids", "decoded_sha256"} <= set(encoded.columns)
     assert encoded.count() == mixed.count() and encoded.filter(F.size("token_ids") != F.col("n_tokens")).count() == 0
 
 

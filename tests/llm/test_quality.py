@@ -56,13 +56,13 @@ def test_binomial_tail(spark):
     assert all(r["tail"] >= exact_tail(r["k"], r["n"], 0.0078125) * (1 - 1e-9) for r in few.filter("k = 200").collect())
 
 
-def labelled(spark, n=6000):
+def labelled(spark, n=12_000):
     """In stratum a shouting marks bad documents; in b it doesn't; c has few labels."""
-    draw, rows = random.Random(8), []
+    draw, vocab, rows = random.Random(8), vocabulary(9, 40), []
     for i in range(n):
         lang, bad = ("a", "b", "c")[0 if i % 2 else 1 if i % 200 else 2], draw.random() < 0.2
         loud = bad if lang == "a" else draw.random() < 0.3
-        text = " ".join(draw.choice(vocabulary(9, 40)) + ("!!" if loud else "") for _ in range(25))
+        text = " ".join(draw.choice(vocab) + ("!!" if loud else "") for _ in range(25))
         rows.append((i, text, lang, 0 if bad else 1))
     docs = documents(spark, [r[1] for r in rows], langs=[r[2] for r in rows])
     return docs, spark.createDataFrame([(r[0], r[3], 0) for r in rows], "doc_id long, quality int, toxic int"), rows

@@ -187,9 +187,8 @@ def load(file: str) -> Bpe:
 
 def encode_documents(docs: DataFrame, file: str, *, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """All columns and the ids of the text (array of int)."""
-    schema = f"{ids} array<int>"
 
-    @F.pandas_udf(schema.split(" ", 1)[1])
+    @F.pandas_udf("array<int>")
     def encoded(texts):
         bpe = load(file)
         return texts.map(lambda t: memoryview(bpe.encode(t or "")).cast("B").cast("i").tolist())
@@ -197,6 +196,17 @@ def encode_documents(docs: DataFrame, file: str, *, text: str = "text", ids: str
     return docs.withColumn(ids, encoded(F.col(text)))
 
 
+def decode_documents(docs: DataFrame, file: str, *, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
+    """All columns and the text that the ids stand for; null ids give the empty string."""
+
+    @F.pandas_udf("string")
+    def decoded(rows):
+        bpe = load(file)
+        return rows.map(lambda r: "" if r is None else bpe.decode(r))
+
+    return docs.withColumn(text, decoded(F.col(ids)))
+
+
 def token_digests(docs: DataFrame, file: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): each text encoded, its ids decoded again, both by their hash."""
     key_type = docs.schema[key].dataType.simpleString()

@@ -38,7 +38,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 NUMBER = re.compile(r"[0-9](?:[ -]?[0-9]){7,17}(?![0-9])")
-AFTER_CUE = re.compile(r"(?: ?(?:is|no\.?|number|nr\.?|:|#|=))*[ :#=]*", re.IGNORECASE)
+AFTER_CUE = re.compile(r"(?: ?(?:is|no|number|nr|[.:#=]))*[ .:#=]*", re.IGNORECASE)
 LOGIN = re.compile(r"[^\s/@:<>\"']+:[^\s/@<>\"']+@[A-Za-z0-9.-]+(?::[0-9]+)?")
 
 
@@ -81,7 +81,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All (kind, start, end), by start, then by kind as listed."""
     spans: set[tuple[str, int, int]] = set()
     email_end = ip_end = card_end = phone_end = 0
-    lowered = text if text.isascii() is False else text.lower()
+    lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only: same offsets
     for last, (kind, length) in anchors().iter(lowered):
         at = last - length + 1
         if kind == "0":
@@ -112,10 +112,11 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 spans.add(("address", at, m.end()))
         else:
             begin = AFTER_CUE.match(text, last + 1).end()
-            if (m := IBAN.match(text, begin)) and iban_valid(m.group()) or (m := SSN.match(text, begin)) and ssn_valid(
-                m.group()
-            ) or (m := NUMBER.match(text, begin)):
-                spans.add(("account", m.start(), m.end()))
+            for form, valid in ((IBAN, iban_valid), (SSN, ssn_valid), (NUMBER, lambda _: True)):
+                if m := form.match(text, begin):  # the first form that fits decides
+                    if valid(m.group()):
+                        spans.add(("account", begin, m.end()))
+                    break
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
