@@ -92,3 +92,19 @@ def test_chains_become_one_component(spark):
 
 def test_components_of_nothing(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_group_of_copies_with_much_noise(spark):
+    """Copies of one text with 0 to 30 changes: some are linked, many are alike to none."""
+    draw, vocab = random.Random(15), vocabulary(15, 3000)
+    base = " ".join(draw.choice(vocab) for _ in range(140))
+    found = [family(draw, vocab, base, draw.randint(0, 30)) for _ in range(250)]
+    rows = sorted(setsketch.near_duplicates(documents(spark, found), size=2).collect())
+    want = expected(found, 2)
+    assert [tuple(r)[1:] for r in rows] == want and 20 < sum(k for _, _, k in want) < 230
+
+
+def test_shared_shingles(spark):
+    found = ["a b c", "b c d", "x y", "x y", "z"]
+    texts = spark.createDataFrame(list(enumerate(found)), "vid long, text string")
+    assert dict(setsketch.shared_shingles(texts, 2).collect()) == {0: 1, 1: 1, 2: 1, 3: 1, 4: 0}

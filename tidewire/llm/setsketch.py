@@ -7,9 +7,12 @@ agree with a probability close to their Jaccard similarity: 32 bands of four reg
 at 0.8 is missed by all bands with a probability under 1e-7), the joint likelihood of larger, smaller and equal
 registers estimates their similarity, and pairs estimated within 0.2 of the threshold are verified on their full sets.
 
-Documents with equal sets are one class from the start. In a bucket each class is first compared with one other only;
-what is then still apart in components is compared in full, pair by pair, until every pair that shares a bucket is in
-one component or has been tested. Nothing is capped.
+Documents with equal sets are one class from the start. In a bucket each class is first compared with one other only.
+For buckets that are then still apart in components, the shingles that a class shares with any other such class are
+counted: no overlap can exceed them. Each class is compared with the one that shares most of its set; what is apart even
+then is compared pair by pair, as far as the shared shingles allow a link. So every pair that shares a bucket is in one
+component, or tested, or impossible, and a large group of noisy copies costs a few comparisons per copy. Nothing is
+capped.
 
 Empty and blank texts and null texts have no shingles and are linked with nothing. Fewer words than a shingle count as
 one shingle. Rows with a null id are kept and have no component. Repeated rows share their component; rows that have the
@@ -25,11 +28,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialized
 from .graph import components
+from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, pack, pack_sorted, shard_count, unpack
 from .words import bounded
 
 REGISTERS, BAND = 128, 4
@@ -171,13 +176,10 @@ def estimated(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return materialized(pairs.sparkSession, wide.mapInArrow(estimate, "a long, b long"), "near-estimated")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, threshold: float, key: str, text: str) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold, a written table."""
-    spark = pairs.sparkSession
-    percent = round(threshold * 100)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("vid")).distinct().join(
-        classes.select("vid", F.col("id").alias(key), "digest"), "vid"
-    )
+def texts_of(vids: DataFrame, docs: DataFrame, classes: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """(vid, text): a text of each of these classes, a written table."""
+    spark = vids.sparkSession
+    needed = vids.select("vid").distinct().join(classes.select("vid", F.col("id").alias(key), "digest"), "vid")
     needed = bounded(materialized(spark, needed, "near-needed"))
     fetched = docs.select(key, F.col(text).alias("text")).join(needed, key).select("vid", "digest", "text")
 
@@ -188,7 +190,14 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, t
             right = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, said, strict=True)]
             yield batch.select([0, 2]).filter(pa.array(right, pa.bool_()))
 
-    texts = materialized(spark, fetched.mapInArrow(with_digest, "vid long, text string").dropDuplicates(["vid"]), "near-texts")
+    return materialized(spark, fetched.mapInArrow(with_digest, "vid long, text string").dropDuplicates(["vid"]), "near-texts")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, threshold: float, key: str, text: str) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the threshold, a written table."""
+    spark = pairs.sparkSession
+    percent = round(threshold * 100)
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("vid")), docs, classes, size, key, text)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lru_cache(maxsize=64)(lambda x: exact_sets(x, size))
@@ -204,6 +213,49 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, t
     return materialized(spark, wide.mapInArrow(verify, "a long, b long"), "near-links")
 
 
+def shared_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(vid, shared): how many shingles of each text occur in any of the others, a written table."""
+    spark = texts.sparkSession
+    fields = ("keys", "counts", "places", "sizes", "vids")
+    schema = pa.schema([("block", pa.int64()), *((f, pa.binary()) for f in fields)])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, vids, sets, total = 0, [], [], 0
+
+        def done() -> pa.RecordBatch:
+            keys, place = np.unique(np.concatenate(sets), return_inverse=True)
+            row = {
+                "block": (TaskContext.get().partitionId() << 32) + made, "keys": pack_sorted(keys),
+                "counts": pack(np.bincount(place, minlength=len(keys)).astype("<i8")), "places": pack(place.astype("<i4")),
+                "sizes": pack(np.array([len(s) for s in sets], "<i4")), "vids": pack(np.array(vids, "<i8")),
+            }
+            return pa.RecordBatch.from_pylist([row], schema)
+
+        for batch in batches:
+            for vid, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), size), strict=True):
+                vids.append(vid)
+                sets.append(own)
+                total += len(own)
+                if total >= BLOCK_TOKENS:
+                    yield done()
+                    made, vids, sets, total = made + 1, [], [], 0
+        if vids:
+            yield done()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                again = np.concatenate([unpack(t, "<i8") for t in row["totals"]]) > 1
+                sizes = unpack(row["sizes"], "<i4")
+                shared = np.add.reduceat(again[unpack(row["places"], "<i4")].astype(np.int64), np.cumsum(sizes) - sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(unpack(row["vids"], "<i8")), pa.array(shared)], names=["vid", "shared"])
+
+    blocks = bucketed(texts.mapInArrow(read, "block long, " + ", ".join(f"{f} binary" for f in fields)), "near_blocks", "block")
+    size_of = blocks.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
+    totals = answers(dealt(blocks, shard_count(spark, size_of // 6)))
+    return materialized(spark, blocks.join(totals, "block").mapInArrow(count, "vid long, shared long"), "near-shared")
+
+
 def near_duplicates(
     docs: DataFrame, *, size: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -229,28 +281,49 @@ def near_duplicates(
     bucket = Window.partitionBy("bucket")
     members = classes.select("vid", "n", band.alias("bucket")).withColumn("first", F.min(F.struct("vid", "n")).over(bucket))
     members = members.withColumn("others", F.count("*").over(bucket) - 1).filter("others > 0")
-    members = materialized(spark, members.select("bucket", "vid", "n", "first"), "near-buckets")
+    members = materialized(spark, members.select("bucket", "vid", "n", "first", "others"), "near-buckets")
     alike = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return verified(estimated(pairs, classes, threshold), docs, classes, size, threshold, key, text)
+
+    def still_apart(members: DataFrame, reached: DataFrame) -> DataFrame:
+        """Members of buckets that are in several components, with their component."""
+        placed = members.join(bounded(reached.select(F.col("id").alias("vid"), "root")), "vid", "left").withColumn(
+            "root", F.coalesce("root", "vid")
+        )
+        split = placed.withColumn("low", F.min("root").over(bucket)).withColumn("high", F.max("root").over(bucket))
+        return materialized(spark, split.filter("low != high").drop("low", "high"), "near-apart")
+
     star = members.filter(alike(F.col("n"), F.col("first.n"))).select(F.col("first.vid").alias("a"), F.col("vid").alias("b"))
     star = materialized(spark, star.filter("a < b").distinct(), "near-star")
-    links = verified(estimated(star, classes, threshold), docs, classes, size, threshold, key, text)
-    reached = materialized(spark, components(links), "near-reached")
-
-    # Buckets whose members are still in several components: every pair across them that has not been tested.
-    placed = members.drop("first").join(reached.select(F.col("id").alias("vid"), "root"), "vid", "left").withColumn(
-        "root", F.coalesce("root", "vid")
+    links = confirmed(star)
+    reached = components(links)
+
+    # Two members have been compared. Of larger buckets, those that are still in several components go on.
+    apart = still_apart(members.filter("others > 1").drop("first", "others"), reached)
+    texts = texts_of(apart, docs, classes, size, key, text)
+    apart = materialized(spark, apart.join(shared_shingles(texts, size), "vid"), "near-apart")
+    possible = lambda x, y: (
+        alike(x("n"), y("n")) & (F.least(x("shared"), y("shared")) * (100 + percent) >= percent * (x("n") + y("n")))
     )
-    apart = placed.withColumn("low", F.min("root").over(bucket)).withColumn("high", F.max("root").over(bucket)).filter("low != high")
-    apart = materialized(spark, apart.select("bucket", "vid", "n", "root"), "near-apart")
-    across = apart.toDF("bucket", "a", "n_a", "root_a").join(apart.toDF("bucket", "b", "n_b", "root_b"), "bucket").filter(
-        (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike(F.col("n_a"), F.col("n_b"))
+    hub = F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), "vid", "n", "shared", "root")).over(bucket)
+    centre = apart.withColumn("hub", hub).filter("hub.root != root").filter(possible(F.col, lambda c: F.col(f"hub.{c}")))
+    centre = centre.select(F.least("vid", "hub.vid").alias("a"), F.greatest("vid", "hub.vid").alias("b")).distinct()
+    tested = materialized(spark, centre.join(star, ["a", "b"], "left_anti"), "near-centre")
+    links = links.unionByName(confirmed(tested))
+    reached = components(links)
+
+    apart = still_apart(apart.drop("root"), reached)
+    sides = [apart.select("bucket", F.col("vid").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "shared", "root")]) for s in "ab"]
+    across = sides[0].join(sides[1], "bucket").filter(
+        (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & possible(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"))
     )
-    rest = materialized(spark, across.select("a", "b").distinct().join(star, ["a", "b"], "left_anti"), "near-rest")
-    more = verified(estimated(rest, classes, threshold), docs, classes, size, threshold, key, text)
+    rest = across.select("a", "b").distinct().join(star.unionByName(tested), ["a", "b"], "left_anti")
+    more = confirmed(materialized(spark, rest, "near-rest"))
     if not more.isEmpty():
-        links = links.unionByName(more)
-        reached = materialized(spark, components(links), "near-reached")
+        reached = components(links.unionByName(more))
+    reached = materialized(spark, reached, "near-reached")
 
     tree = classes.select("vid", "digest", F.col("id").alias("own_id")).join(
         reached.withColumnRenamed("id", "vid"), "vid", "left"
