@@ -5,7 +5,7 @@ import pytest
 from helpers import documents, lower_ascii, vocabulary, words
 
 from tidewire.llm import lines
-from tidewire.llm.tallies import unpack, unpack_sorted
+from tidewire.llm.tallies import pack
 
 
 def numbered(ids, found):
@@ -76,6 +76,8 @@ def test_null_and_repeated_ids(spark):
     found = ["x y z", "x y z\nq", "x y z", "p", "p"]
     rows = lines.dedup_lines(documents(spark, found, ids=[None, 5, 6, 7, 7])).collect()
     assert {(r["doc_id"], r["text"]) for r in rows} == {(None, ""), (5, "x y z\nq"), (6, ""), (7, "p")} and len(rows) == 5
+    mixed_up = lines.dedup_lines(documents(spark, ["a b", "c d\na b", "c d"], ids=[7, 7, 8])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in mixed_up) == [(7, "a b"), (7, "c d"), (8, "")]
 
 
 def test_empty_table(spark):
@@ -89,19 +91,18 @@ def test_prefixes_lose_no_pair(monkeypatch, hot):
     block = lines.Block()
     for i, t in enumerate(found):
         block.add(i, 0, t)
-    row = block.packed()
+    row = {"block": 7, **block.packed()}
     row["totals"] = [row["counts"]]
-    p = lines.prefixes(row, 80)
-    p = p[np.lexsort((p["set"], p["n"], p["key"]))]
-    pairs = {(int(p["set"][a]), int(p["set"][b])) for y, x, _ in lines.similar(p, 80) for a, b in zip(y, x, strict=True)}
-    sets = dict(zip(((int(d), int(k)) for d, k in zip(unpack(row["doc"], "<i8"), unpack(row["line"], "<i4"), strict=True)),
-                    map(int, unpack(row["set_a"], "<u8")), strict=True))
-    every = [(sets[i, k], s) for _, i, k, s in numbered(range(len(found)), found)]
+    row["firsts"] = [pack(np.ones(len(lines.own_sets(row)[1]), bool))]
+    p = lines.unpacked_postings([{"block": 7, **lines.packed_postings(lines.prefixes(row, 80))}])
+    pairs = {(int(p["at_line"][a]), int(p["at_line"][b])) for y, x, _ in lines.similar(p, 80) for a, b in zip(y, x, strict=True)}
+    every = [s for _, _, _, s in numbered(range(len(found)), found)]
+    first = {s: i for i, s in reversed(list(enumerate(every)))}
+    assert lines.first_lines(row).tolist() == [first[s] == i for i, s in enumerate(every)]
     linked = 0
-    for a, (x, s) in enumerate(every):
-        for y, t in every[:a]:
-            if s != t and 100 * len(s & t) >= 80 * len(s | t):
+    for i, s in enumerate(every):
+        for j, t in enumerate(every[:i]):
+            if s != t and first[s] == i and first[t] == j and 100 * len(s & t) >= 80 * len(s | t):
                 linked += 1
-                assert (x, y) in pairs or (y, x) in pairs
+                assert (i, j) in pairs
     assert linked > 50
-    assert len(unpack_sorted(row["keys"])) == len(unpack(row["counts"], "<i8"))

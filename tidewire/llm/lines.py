@@ -14,8 +14,11 @@ place of the prefix. So a word's list is bounded, and nothing is left out. What
 Each line first names, per word, only its most similar earlier line; lines for which none of these is verified name all
 their candidates in a second pass. Groups of many similar lines so cost a few pairs per line.
 
+Texts are read twice: once into blocks of numbered words, which stay where they are while small answers are joined to
+them, and once to take lines out. Words are compared by a 64-bit hash.
+
 Blank lines are kept and match nothing. Null ids come last. Null texts have no lines. Lines at the same place of rows
-that share an id are ordered by the hash of their words; rows with the same id and text lose the same lines.
+that share an id are not compared with each other; so rows with the same id and text lose the same lines.
 """
 
 from __future__ import annotations
@@ -33,20 +36,21 @@ from pyspark.sql import functions as F
 
 from ..session import materialized
 from .setsketch import mixed
-from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, pack, pack_sorted, shard_count, shard_edges, unpack, unpack_sorted
-from .words import bound, bounded
+from .tallies import (
+    BLOCK_TOKENS, answers, bucketed, dealt, dropped, gathered, pack, pack_sorted, shard_count, shard_edges, unpack,
+    unpack_sorted,
+)
 
 HOT = 5000
 NO_ID = (1 << 63) - 1
 POSTINGS_PER_SHARD = 1 << 19
 POSTING = np.dtype([
-    ("key", "<u8"), ("set", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<i4"), ("at", "<i4")
+    ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
 ])
-ORDER = ("doc", "line", "set")  # of lines; the last only where ids repeat
-CANDIDATE_SCHEMA = (
-    "shard int, doc_y long, line_y int, set_y long, doc_x long, line_x int, set_x long, more boolean, kept binary"
-)
-Y, X = ("doc_y", "line_y", "set_y"), ("doc_x", "line_x", "set_x")
+SENT = [f for f in POSTING.names if f != "block"]  # a posting says its line's number in the block as at_line
+CANDIDATE_SCHEMA = "shard int, block_y long, at_y int, block_x long, at_x int, more boolean, kept binary"
+Y, X = ("block_y", "at_y"), ("block_x", "at_x")
+BLOCK_FIELDS = ("keys", "counts", "tokens", "sizes", "doc", "rid", "line", "set_a", "set_b")
 
 
 def overlap(n_x: np.ndarray, n_y: np.ndarray, percent: int) -> np.ndarray:
@@ -54,17 +58,6 @@ def overlap(n_x: np.ndarray, n_y: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n_x + n_y) // (100 + percent))
 
 
-def line_words(line: str) -> set[bytes]:
-    return set(line.encode().lower().split())
-
-
-def set_hashes(words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Two independent 64-bit hashes of each set of words, given the words' hashes set after set."""
-    if not len(starts):
-        return [np.empty(0, np.uint64)] * 2
-    return [np.add.reduceat(mixed(words + np.uint64(salt)), starts) for salt in (1, 2)]
-
-
 class Block:
     """Lines of some documents, with words numbered in the order of their hashes."""
 
@@ -91,7 +84,7 @@ class Block:
         owner = np.repeat(np.arange(len(self.tokens)), [len(t) for t in self.tokens])
         once = np.unique((owner << 32) | rank[np.concatenate(self.tokens)])
         sizes, words = np.bincount(once >> 32), once & 0xFFFFFFFF
-        a, b = set_hashes(own[words], np.cumsum(sizes) - sizes)
+        a, b = (np.add.reduceat(mixed(own[words] + np.uint64(salt)), np.cumsum(sizes) - sizes) for salt in (1, 2))
         doc, rid, line = np.array(self.places, np.int64).T
         return {
             "keys": pack_sorted(own), "counts": pack(np.bincount(words, minlength=len(own)).astype("<i8")),
@@ -100,14 +93,14 @@ class Block:
         }
 
 
-BLOCK_FIELDS = ("keys", "counts", "tokens", "sizes", "doc", "rid", "line", "set_a", "set_b")
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, rid, text): the id, the largest long for null, and the hash of the text."""
+    doc = F.coalesce(F.col(key), F.lit(NO_ID)).cast("long")
+    return docs.select(doc.alias("doc"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
 
 
 def line_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Blocks of lines with their words, a written table."""
-    rows = docs.select(
-        F.coalesce(F.col(key), F.lit(NO_ID)).cast("long").alias("doc"), F.xxhash64(text).alias("rid"), F.col(text).alias("text")
-    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, block = 0, Block()
@@ -129,32 +122,67 @@ def line_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield done()
 
     schema = "block long, " + ", ".join(f"{f} binary" for f in BLOCK_FIELDS)
-    return bucketed(rows.mapInArrow(read, schema), "line_blocks", "block")
+    return bucketed(keyed(docs, key, text).mapInArrow(read, schema), "line_blocks", "block")
 
 
-def all_lines(blocks: DataFrame) -> DataFrame:
-    """(set_a, set_b, doc, rid, line) of every line with a word, a written table."""
-    kinds = {"set_a": "<i8", "set_b": "<i8", "doc": "<i8", "rid": "<i8", "line": "<i4"}
+def own_sets(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The block's lines by set and place, where each set begins among them, and all lines' document and number."""
+    a, b = unpack(row["set_a"], "<u8"), unpack(row["set_b"], "<u8")
+    doc, line = unpack(row["doc"], "<i8"), unpack(row["line"], "<i4")
+    order = np.lexsort((line, doc, b, a))
+    a, b = a[order], b[order]
+    starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return order, starts, doc, line
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(unpack(row[k], t)) for k, t in kinds.items()], names=list(kinds))
 
-    fields = "set_a long, set_b long, doc long, rid long, line int"
-    return materialized(blocks.sparkSession, blocks.select(*kinds).mapInArrow(read, fields), "lines")
+def first_places(blocks: DataFrame, shards: int) -> DataFrame:
+    """(block, firsts): for each different set of a block, in order, whether its first place in the block is its first of all."""
 
-
-def in_order(p: np.ndarray) -> np.ndarray:
-    """Postings by key and set, each set at its earliest place only."""
-    p = p[np.lexsort((p["line"], p["doc"], p["set"], p["key"]))]
-    if not len(p):
-        return p
-    return p[np.concatenate([[True], (p["key"][1:] != p["key"][:-1]) | (p["set"][1:] != p["set"][:-1])])]
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), *((f, pa.binary()) for f in ("a", "b", "doc", "line"))])
+        for batch in batches:
+            for row in batch.to_pylist():
+                order, starts, doc, line = own_sets(row)
+                at = order[starts]
+                fields = {"a": unpack(row["set_a"], "<u8")[at], "b": unpack(row["set_b"], "<u8")[at], "doc": doc[at], "line": line[at]}
+                edges = shard_edges(fields["a"], shards)
+                yield pa.RecordBatch.from_pylist([
+                    {"shard": s, "block": row["block"], **{f: pack(x[edges[s] : edges[s + 1]]) for f, x in fields.items()}}
+                    for s in range(shards) if edges[s] < edges[s + 1]
+                ], schema)
+
+    def answer(group: pd.DataFrame) -> pd.DataFrame:
+        a, b, doc, line = (
+            [unpack(x, t) for x in group[f]] for f, t in (("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("line", "<i4"))
+        )
+        ends = np.cumsum([len(x) for x in a])
+        a, b, doc, line = (np.concatenate(x) for x in (a, b, doc, line))
+        order = np.lexsort((line, doc, b, a))
+        new = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
+        least = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        first = np.empty(len(order), bool)
+        first[order] = (doc[order] == doc[least]) & (line[order] == line[least])
+        parts = np.split(first, ends[:-1])
+        return pd.DataFrame({"block": group["block"], "shard": group["shard"], "firsts": [pack(p) for p in parts]})
+
+    fields = ("block", "doc", "line", "set_a", "set_b")
+    parts = blocks.select(*fields).mapInArrow(deal, "shard int, block long, a binary, b binary, doc binary, line binary")
+    return gathered(parts.groupBy("shard").applyInPandas(answer, "block long, shard int, firsts binary"), "firsts")
+
+
+def first_lines(row: dict) -> np.ndarray:
+    """Which lines of a block are at the first place of their set."""
+    order, starts, doc, line = own_sets(row)
+    known = np.concatenate([unpack(x, "?") for x in row["firsts"]])
+    group = np.cumsum(np.isin(np.arange(len(order)), starts)) - 1
+    least = order[starts][group]
+    out = np.empty(len(order), bool)
+    out[order] = known[group] & (doc[order] == doc[least]) & (line[order] == line[least])
+    return out
 
 
 def prefixes(row: dict, percent: int) -> np.ndarray:
-    """The postings of one block, sorted by key; ``row`` has the block and the totals of its words."""
+    """The postings of one block's first lines, sorted by key; ``row`` has the block and what it was answered."""
     own, sizes = unpack_sorted(row["keys"]), unpack(row["sizes"], "<i4").astype(np.int64)
     totals = np.concatenate([unpack(t, "<i8") for t in row["totals"]])
     order = np.lexsort((own, totals))
@@ -166,7 +194,8 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     at, n, count = np.arange(len(word)) - starts[owner], sizes[owner], totals[word]
     maps = np.bitwise_xor.reduceat(np.uint64(1) << (mixed(own[word]) >> np.uint64(58)), starts)
     reach = n - -(-percent * n // 100) + 1
-    can = n * 100 >= percent * (n + 1)  # smaller sets are similar to equal ones only
+    # Smaller sets are similar to equal ones only, and those are found by their hash.
+    can = (n * 100 >= percent * (n + 1)) & first_lines(row)[owner]
     single = np.flatnonzero(can & (at < reach) & (count > 1) & (count <= HOT))
     keys, first = [own[word[single]]], [single]
     hot = np.flatnonzero(can & (at <= reach) & (count > HOT))
@@ -181,45 +210,46 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     key, first = np.concatenate(keys), np.concatenate(first)
     line = owner[first]
     out = np.empty(len(key), POSTING)
-    out["key"], out["at"], out["n"], out["map"] = key, at[first], sizes[line], maps[line]
-    out["set"], out["doc"], out["line"] = (
-        unpack(row[f], t)[line] for f, t in (("set_a", "<u8"), ("doc", "<i8"), ("line", "<i4"))
-    )
-    return in_order(out)
+    out["key"], out["at"], out["n"], out["map"], out["at_line"] = key, at[first], sizes[line], maps[line], line
+    out["doc"], out["line"], out["block"] = unpack(row["doc"], "<i8")[line], unpack(row["line"], "<i4")[line], row["block"]
+    return out[np.argsort(key, kind="stable")]
 
 
 def packed_postings(p: np.ndarray) -> dict[str, bytes]:
-    return {f: (pack_sorted if f == "key" else pack)(np.ascontiguousarray(p[f])) for f in POSTING.names}
+    return {f: (pack_sorted if f == "key" else pack)(np.ascontiguousarray(p[f])) for f in SENT}
 
 
 def unpacked_postings(rows: list[dict]) -> np.ndarray:
+    """The postings of several blocks, by key and set size."""
     parts = []
     for row in rows:
         key = unpack_sorted(row["key"])
         part = np.empty(len(key), POSTING)
-        part["key"] = key
-        for f in POSTING.names[1:]:
+        part["key"], part["block"] = key, row["block"]
+        for f in SENT[1:]:
             part[f] = unpack(row[f], POSTING[f].str)
         parts.append(part)
-    return np.concatenate(parts) if parts else np.empty(0, POSTING)
+    p = np.concatenate(parts)
+    return p[np.lexsort((p["at_line"], p["block"], p["n"], p["key"]))]
 
 
-def postings(blocks: DataFrame, totals: DataFrame, shards: int, percent: int) -> DataFrame:
-    """(shard, fields...): postings of all blocks, dealt by key."""
-    schema = "shard int, " + ", ".join(f"{f} binary" for f in POSTING.names)
+def postings(answered: DataFrame, shards: int, percent: int) -> DataFrame:
+    """(shard, block, fields...): postings of all blocks, dealt by key."""
+    schema = "shard int, block long, " + ", ".join(f"{f} binary" for f in SENT)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.schema([("shard", pa.int32()), *((f, pa.binary()) for f in POSTING.names)])
+        arrow = pa.schema([("shard", pa.int32()), ("block", pa.int64()), *((f, pa.binary()) for f in SENT)])
         for batch in batches:
             for row in batch.to_pylist():
                 p = prefixes(row, percent)
                 edges = shard_edges(np.ascontiguousarray(p["key"]), shards)
                 yield pa.RecordBatch.from_pylist([
-                    {"shard": s, **packed_postings(p[edges[s] : edges[s + 1]])} for s in range(shards) if edges[s] < edges[s + 1]
+                    {"shard": s, "block": row["block"], **packed_postings(p[edges[s] : edges[s + 1]])}
+                    for s in range(shards) if edges[s] < edges[s + 1]
                 ], arrow)
 
-    needed = ("block", "keys", "tokens", "sizes", "doc", "line", "set_a")
-    return blocks.select(*needed).join(totals, "block").mapInArrow(file, schema)
+    needed = ("block", "keys", "tokens", "sizes", "doc", "line", "set_a", "set_b", "totals", "firsts")
+    return answered.select(*needed).mapInArrow(file, schema)
 
 
 def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -238,29 +268,26 @@ def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarra
         fits = (n[x] - place[x] >= need) & (n[y] - place[y] >= need)
         x, y, need = x[fits], y[fits], need[fits]
         differ = np.bitwise_count(maps[x] ^ maps[y]).astype(np.int64)
-        fits = differ <= n[x] + n[y] - 2 * need
+        same_place = (p["doc"][x] == p["doc"][y]) & (p["line"][x] == p["line"][y])
+        fits = (differ <= n[x] + n[y] - 2 * need) & ~same_place
         x, y, differ = x[fits], y[fits], differ[fits]
         if len(x):
-            after, tied = np.zeros(len(x), bool), np.ones(len(x), bool)
-            for f in ORDER:
-                after |= tied & (p[f][x] > p[f][y])
-                tied &= p[f][x] == p[f][y]
+            after = (p["doc"][x] > p["doc"][y]) | ((p["doc"][x] == p["doc"][y]) & (p["line"][x] > p["line"][y]))
             yield np.where(after, x, y), np.where(after, y, x), differ
 
 
 def named(p: np.ndarray, shard: int, later: np.ndarray, earlier: np.ndarray, more: np.ndarray) -> pd.DataFrame:
     y, x = p[later], p[earlier]
     return pd.DataFrame({
-        "shard": np.full(len(y), shard, np.int32), "doc_y": y["doc"], "line_y": y["line"], "set_y": y["set"].view("<i8"),
-        "doc_x": x["doc"], "line_x": x["line"], "set_x": x["set"].view("<i8"), "more": more, "kept": None,
-    })
+        "shard": np.full(len(y), shard, np.int32), "block_y": y["block"], "at_y": y["at_line"], "block_x": x["block"],
+        "at_x": x["at_line"], "more": more, "kept": None,
+    }).astype({c: "Int64" for c in (*Y, *X)} | {"kept": object})
 
 
 def closest(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     """For each posting its most similar earlier line and whether there are others; one more row keeps the postings
     of the keys where there are."""
-    p = in_order(unpacked_postings(group.to_dict("records")))
-    p = p[np.lexsort((p["set"], p["n"], p["key"]))]
+    p = unpacked_postings(group.to_dict("records"))
     best, partner, seen = np.full(len(p), 1 << 30), np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
     for later, earlier, differ in similar(p, percent):
         seen += np.bincount(later, minlength=len(p))
@@ -270,7 +297,7 @@ def closest(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         best[later[better]], partner[later[better]] = differ[better], earlier[better]
     found = np.flatnonzero(seen)
     shard = int(group["shard"].iloc[0])
-    out = named(p, shard, found, partner[found], seen[found] > 1).astype({c: "Int64" for c in (*Y, *X)} | {"kept": object})
+    out = named(p, shard, found, partner[found], seen[found] > 1)
     open_ = p[np.isin(p["key"], p["key"][seen > 1])]
     if len(open_):
         keeps = pd.DataFrame({"shard": [shard], **{c: pd.array([pd.NA], "Int64") for c in (*Y, *X)}, "more": [False], "kept": [pack(open_)]})
@@ -279,54 +306,54 @@ def closest(group: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def all_candidates(percent: int):
-    """A function for mapInPandas over (shard, kept, wanted): all earlier candidates of the wanted sets."""
+    """A function for mapInPandas over (shard, kept, wanted): all earlier candidates of the wanted lines."""
 
     def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for shard, kept, wanted in zip(batch["shard"], batch["kept"], batch["wanted"], strict=True):
                 p = unpack(kept, POSTING.descr)
-                asked = np.isin(p["set"].view("<i8"), np.asarray(wanted, np.int64))
+                asked = {(w["block_y"], w["at_y"]) for w in wanted}
+                is_asked = np.array([x in asked for x in zip(p["block"].tolist(), p["at_line"].tolist(), strict=True)], bool)
                 for later, earlier, _ in similar(p, percent):
-                    keep = asked[later]
+                    keep = is_asked[later]
                     yield named(p, shard, later[keep], earlier[keep], np.zeros(int(keep.sum()), bool))
 
     return name
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
-    """(doc, line, set) of the later lines of pairs whose words are similar, a written table."""
+def confirmed(pairs: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """(block_y, at_y): the later lines of pairs whose word sets are similar, a written table."""
     spark = pairs.sparkSession
     pairs = materialized(spark, pairs.select(*Y, *X).distinct(), "line-pairs")
-    sides = [pairs.select(F.col(s[0]).alias("doc"), F.col(s[1]).alias("line")) for s in (Y, X)]
-    asked = sides[0].unionByName(sides[1]).groupBy("doc").agg(F.collect_set("line").alias("asked"))
-    texts = docs.select(F.coalesce(F.col(key), F.lit(NO_ID)).cast("long").alias("doc"), F.col(text).alias("text"))
-    chosen = bound(F.split("text", "\n"), lambda all_: F.transform(
-        "asked", lambda i: F.struct(i.alias("line"), F.get(all_, i).alias("words"))
-    ))
-    fetched = texts.join(bounded(materialized(spark, asked, "line-asked")), "doc").select("doc", F.inline(chosen)).filter(
-        "words IS NOT NULL"
-    ).distinct()
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.array([xxhash.xxh3_64_intdigest(w) for w in line_words(t)], np.uint64) for t in batch.column(2).to_pylist()]
-            own = [int(set_hashes(s, np.zeros(1, np.int64))[0].view("<i8")[0]) if len(s) else 0 for s in sets]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], names=["doc", "line", "words", "set"])
+    sides = [pairs.select(F.col(s[0]).alias("block"), F.col(s[1]).alias("at")) for s in (Y, X)]
+    asked = sides[0].unionByName(sides[1]).groupBy("block").agg(F.collect_set("at").alias("asked"))  # as large as the block
 
-    lines = fetched.select("doc", "line", "words").mapInArrow(hashed, "doc long, line int, words string, set long")
-    lines = materialized(spark, lines.dropDuplicates(["doc", "line", "set"]).select("doc", "line", "set", "words"), "line-texts")
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own, words, sizes = unpack_sorted(row["keys"]), unpack(row["tokens"], "<i4"), unpack(row["sizes"], "<i4")
+                ends = np.cumsum(sizes)
+                at = sorted(row["asked"])
+                sets = [own[words[ends[i] - sizes[i] : ends[i]]].tobytes() for i in at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(sets, pa.binary())],
+                    names=["block", "at", "words"],
+                )
+
+    sets = blocks.select("block", "keys", "tokens", "sizes").join(asked, "block").mapInArrow(fetch, "block long, at int, words binary")
+    sets = materialized(spark, sets, "line-sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                p, q = line_words(a), line_words(b)
-                both = len(p & q)
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                p, q = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+                both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    wide = pairs.join(lines.toDF(*Y, "words_y"), list(Y)).join(lines.toDF(*X, "words_x"), list(X))
-    good = wide.select(*Y, "words_y", "words_x").mapInArrow(check, "doc_y long, line_y int, set_y long")
+    wide = pairs.join(sets.toDF(*Y, "words_y"), list(Y)).join(sets.toDF(*X, "words_x"), list(X))
+    good = wide.select(*Y, "words_y", "words_x").mapInArrow(check, "block_y long, at_y int")
     return materialized(spark, good.distinct(), "line-matches")
 
 
@@ -338,35 +365,47 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id
     spark = docs.sparkSession
     percent = round(threshold * 100)
     blocks = line_blocks(docs, key, text)
-    lines = all_lines(blocks)
-    shards = shard_count(spark, lines.count() * 8, POSTINGS_PER_SHARD)
-    totals = answers(dealt(blocks, shards))
-    first = postings(blocks, totals, shards, percent).groupBy("shard").applyInPandas(
+    size = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0  # some two bytes a word, a posting per five
+    shards = shard_count(spark, size // 10, POSTINGS_PER_SHARD)
+    flags = materialized(spark, first_places(blocks, shards), "line-firsts")
+    answered = blocks.join(answers(dealt(blocks, shards)), "block").join(flags, "block")
+    first = postings(answered, shards, percent).groupBy("shard").applyInPandas(
         lambda group: closest(group, percent), CANDIDATE_SCHEMA
     )
     first = materialized(spark, first, "line-closest")
-    matched = confirmed(first.filter("kept IS NULL"), docs, percent, key, text)
+    matched = confirmed(first.filter("kept IS NULL"), blocks, percent)
     wanted = first.filter("more").join(matched, list(Y), "left_anti").groupBy("shard").agg(
-        F.collect_set("set_y").alias("wanted")
+        F.collect_set(F.struct(*Y)).alias("wanted")
     )
     second = first.filter("kept IS NOT NULL").select("shard", "kept").join(
         materialized(spark, wanted, "line-open"), "shard"
     ).mapInPandas(all_candidates(percent), CANDIDATE_SCHEMA)
-    matched = matched.unionByName(confirmed(second, docs, percent, key, text)).toDF("doc", "line", "set_a").distinct()
-
-    own = ["set_a", "set_b"]
-    place = F.struct("doc", "line", F.col("set_a").alias("set"))
-    near = lines.join(bounded(materialized(spark, matched, "line-matched")), ["doc", "line", "set_a"], "left_semi").select(
-        *own, F.lit(True).alias("near")
-    ).distinct()
-    firsts = lines.groupBy(*own).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    cut = firsts.join(near, own, "left").filter("n > 1 OR near").select(*own, "first", "near")
-    cut = bounded(materialized(spark, cut, "line-cut"))
-    gone = lines.join(cut, own).filter(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
-    return materialized(
-        spark, gone.groupBy("doc", "rid").agg(F.sort_array(F.collect_set("line")).alias("removed")), "line-removed"
+    matched = matched.unionByName(confirmed(second, blocks, percent)).groupBy(F.col("block_y").alias("block")).agg(
+        F.collect_set("at_y").alias("near")
     )
 
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc", pa.int64()), ("rid", pa.int64()), ("removed", pa.list_(pa.int32()))])
+        for batch in batches:
+            for row in batch.to_pylist():
+                gone = ~first_lines(row)
+                gone[row["near"] or []] = True
+                doc, rid, line = (unpack(row[f], t) for f, t in (("doc", "<i8"), ("rid", "<i8"), ("line", "<i4")))
+                # Lines stand by document; one begins where the number does not rise or the document changes.
+                new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(rid) != 0) | (np.diff(line) <= 0)])
+                starts = np.flatnonzero(new)
+                lists = [x[g].tolist() for x, g in zip(np.split(line, starts[1:]), np.split(gone, starts[1:]), strict=True)]
+                full = [k for k, x in enumerate(lists) if x]
+                yield pa.RecordBatch.from_pylist(
+                    [{"doc": int(doc[starts[k]]), "rid": int(rid[starts[k]]), "removed": lists[k]} for k in full], schema
+                )
+
+    needed = blocks.select("block", "doc", "rid", "line", "set_a", "set_b").join(flags, "block").join(matched, "block", "left")
+    gone = needed.mapInArrow(remove, "doc long, rid long, removed array<int>")
+    gone = materialized(spark, gone.groupBy("doc", "rid").agg(F.max("removed").alias("removed")), "line-removed")
+    dropped(blocks)
+    return gone
+
 
 def without_lines(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns, with the removed lines taken out of the text, and ``removed_lines``: their numbers, or null."""
@@ -383,7 +422,7 @@ def without_lines(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", t
 
     table = removed.toDF("removed_doc", "removed_rid", "removed_lines")
     same = (F.coalesce(F.col(key), F.lit(NO_ID)) == F.col("removed_doc")) & (F.xxhash64(text) == F.col("removed_rid"))
-    return docs.join(bounded(table), same, "left").drop("removed_doc", "removed_rid").withColumn(
+    return docs.join(table, same, "left").drop("removed_doc", "removed_rid").withColumn(
         text, cut(F.col(text), F.col("removed_lines"))
     )
 

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove, scratch_path
 
 BLOCK_TOKENS = 1 << 20
 SHARD_KEYS = 2 << 20
@@ -67,6 +67,12 @@ def bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def dropped(table: DataFrame) -> None:
+    """Deletes a frame that ``bucketed`` made, once nothing reads it any more."""
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()[:1]}:
+        remove(table.sparkSession, file)
+
+
 def dealt(blocks: DataFrame, shards: int) -> DataFrame:
     """(shard, block, keys, counts): the parts of each block's keys. ``blocks``: block, keys, counts (packed int64)."""
 
