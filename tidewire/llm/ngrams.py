@@ -35,10 +35,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .tallies import (
-    BLOCK_TOKENS, bucketed, dealt, pack, pack_sorted, shard_count, shard_edges, summed, unpack, unpack_sorted,
-)
+from .tallies import bucketed, dealt, pack, pack_sorted, shard_count, shard_edges, summed, unpack, unpack_sorted
 
+BLOCK_TOKENS = 1 << 19  # what a task holds some twenty numbers for
 TOP_DISCOUNTED = 5
 HOT_HISTORY = 1 << 20
 END = b"\n"
@@ -122,6 +121,11 @@ class Level:
         table = np.array([1.0, *self.discounts, 1.0])
         return table[np.minimum(counts, TOP_DISCOUNTED + 1)] * counts
 
+    def word_chance(self, counts: np.ndarray) -> np.ndarray:
+        """The probability of single words with these counts; what is left of all tokens is the unknown word's."""
+        total = self.tokens if self.freed > 0 else self.tokens + 1
+        return np.where(counts > 0, self.discounted(counts) / total, (self.freed if self.freed > 0 else 1) / total)
+
 
 def good_turing(n: list[int]) -> tuple[float, ...]:
     """Katz discounts of the counts 1 to 5, from how many n-grams have the counts 1 to 6; 1 where undefined."""
@@ -218,10 +222,7 @@ class Walk:
         self.train = np.repeat(unpack(row["train"], "?"), self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.found = level.found
-        share = level.discounted(self.counts)
-        # What is left of all tokens is the unknown word's; see the module's text for where nothing is.
-        total = level.tokens if level.freed > 0 else level.tokens + 1
-        self.p = np.where(self.counts > 0, share / total, (level.freed if level.freed > 0 else 1) / total)
+        self.p = level.word_chance(self.counts)
 
     def step(self) -> None:
         """To the next order: the history of a token is the n-gram that ended before it, or the start mark."""
@@ -261,6 +262,7 @@ class Walk:
             total[self.with_history] = np.concatenate([unpack(w["counts"], "<i8") for w in weights])[self.history_place]
         self.p = np.where(counts > 0, level.discounted(counts) / total, weight * self.p)
         self.gram, self.gram_count, self.found = ids, counts, level.found
+        del self.asked, self.history, self.hot, self.with_history, self.histories, self.history_place
 
 
 def walked(row: dict, levels: list[Level]) -> Walk:
@@ -288,13 +290,12 @@ def ask(levels: list[Level], shards: int) -> Callable:
                 parts = []
                 for hot, (at, keys, first, place) in walk.asked.items():
                     counts = np.bincount(place[walk.train[at]], minlength=len(keys)).astype("<i8")
-                    lower, edges = walk.p[at][first], shard_edges(keys, shards, bits)
+                    edges, one = shard_edges(keys, shards, bits), at[first]
                     for s in range(shards):
                         if (a := edges[s]) < (z := edges[s + 1]):
-                            values, where = np.unique(lower[a:z], return_inverse=True)
                             parts.append(common | {
                                 "shard": s, "hot": hot, "keys": pack_sorted(keys[a:z]), "counts": pack(counts[a:z]),
-                                "lower": pack(values), "lower_at": pack(where.astype("<i4")),
+                                **lower_order(walk, one[a:z], len(levels)),
                             })
                 # Histories go to the shard that has their n-grams, unless these are dealt one by one.
                 edges = shard_edges(walk.histories << np.uint64(walk.word_bits), shards, bits)
@@ -307,6 +308,14 @@ def ask(levels: list[Level], shards: int) -> Callable:
     return asked
 
 
+def lower_order(walk: Walk, at: np.ndarray, order: int) -> dict[str, bytes | None]:
+    """The lower-order chances of the tokens at these places: the words' counts say them for single words."""
+    if order == 1:
+        return {"lower": None, "lower_at": pack(walk.counts[at])}
+    values, place = np.unique(walk.p[at], return_inverse=True)
+    return {"lower": pack(values), "lower_at": pack(place.astype("<i8"))}
+
+
 ASKED_SCHEMA = "shard int, block long, hot boolean, keys binary, counts binary, lower binary, lower_at binary, bits int, word_bits int"
 SUMS = np.dtype([("history", "<u8"), ("tokens", "<i8"), ("lower", "<f8"), ("n", "<i8", (TOP_DISCOUNTED,))])
 
@@ -323,7 +332,13 @@ def history_sums(history: np.ndarray, totals: np.ndarray, lower: np.ndarray) ->
     return out
 
 
-def merge_grams(shards: int) -> Callable:
+def merge_grams(shards: int, words: Level) -> Callable:
+    """A function for applyInPandas: adds up a shard's n-grams and answers the blocks. ``words``: the level of single words."""
+
+    def chances(values: bytes | None, at: bytes) -> np.ndarray:
+        at = unpack(at, "<i8")
+        return words.word_chance(at) if values is None else unpack(values, "<f8")[at]
+
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         shard, bits, word_bits = int(group["shard"].iloc[0]), int(group["bits"].iloc[0]), int(group["word_bits"].iloc[0])
         rows, before = [], 0
@@ -335,9 +350,7 @@ def merge_grams(shards: int) -> Callable:
             rows += made
             before += made[0]["found"]
             lower = np.empty(len(keys))
-            lower[mention] = np.concatenate([
-                unpack(v, "<f8")[unpack(i, "<i4")] for v, i in zip(part["lower"], part["lower_at"], strict=True)
-            ])
+            lower[mention] = np.concatenate([chances(*x) for x in zip(part["lower"], part["lower_at"], strict=True)])
             seen = totals > 0
             keys, totals, lower = keys[seen], totals[seen], lower[seen]
             if hot:
@@ -392,7 +405,7 @@ def next_order(blocks: DataFrame, known: list[DataFrame], levels: list[Level], s
     order = len(levels) + 1
     frame = reduce(lambda a, b: a.join(b, "block", "left"), known, blocks)
     asked = frame.mapInArrow(ask(levels, shards), ASKED_SCHEMA)
-    merged = stored(asked.groupBy("shard").applyInPandas(merge_grams(shards), MERGED_SCHEMA), order)
+    merged = stored(asked.groupBy("shard").applyInPandas(merge_grams(shards, levels[0]), MERGED_SCHEMA), order)
     level = level_of(merged)
     told = merged.filter("kind IN ('sums', 'history')").select("kind", "shard", "block", "keys", "extra").groupBy("shard").applyInPandas(
         weigh(level), "block long, shard int, counts binary, extra binary"
