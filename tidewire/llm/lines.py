@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from ..session import materialized
 from .setsketch import mixed
 from .tallies import (
-    BLOCK_TOKENS, answers, bucketed, dealt, dropped, gathered, pack, pack_sorted, shard_count, shard_edges, unpack,
-    unpack_sorted,
+    BLOCK_TOKENS, answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges,
+    unpack, unpack_sorted,
 )
 
 HOT = 5000
@@ -48,7 +48,7 @@ POSTING = np.dtype([
     ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
 ])
 SENT = [f for f in POSTING.names if f != "block"]  # a posting says its line's number in the block as at_line
-CANDIDATE_SCHEMA = "shard int, block_y long, at_y int, block_x long, at_x int, more boolean, kept binary"
+CANDIDATE_SCHEMA = "shard int, block_y long, at_y int, block_x long, at_x int, differ int, more boolean, kept binary"
 Y, X = ("block_y", "at_y"), ("block_x", "at_x")
 BLOCK_FIELDS = ("keys", "counts", "tokens", "sizes", "doc", "rid", "line", "set_a", "set_b")
 
@@ -65,15 +65,19 @@ class Block:
         self.words: dict[bytes, int] = defaultdict()
         self.words.default_factory = self.words.__len__
         self.places: list[tuple[int, int, int]] = []
+        self.sizes: list[int] = []
         self.tokens: list[np.ndarray] = []
         self.size = 0
 
     def add(self, doc: int, rid: int, text: str | None) -> None:
+        words: list[bytes] = []
         for number, line in enumerate((text or "").encode().lower().split(b"\n")):
             if found := line.split():
                 self.places.append((doc, rid, number))
-                self.tokens.append(np.fromiter(map(self.words.__getitem__, found), np.int64, len(found)))
-                self.size += len(found)
+                self.sizes.append(len(found))
+                words += found
+        self.tokens.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+        self.size += len(words)
 
     def packed(self) -> dict[str, bytes]:
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
@@ -81,8 +85,8 @@ class Block:
         own = hashes[order]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        owner = np.repeat(np.arange(len(self.tokens)), [len(t) for t in self.tokens])
-        once = np.unique((owner << 32) | rank[np.concatenate(self.tokens)])
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        once = distinct((owner << 32) | rank[np.concatenate(self.tokens)])
         sizes, words = np.bincount(once >> 32), once & 0xFFFFFFFF
         a, b = (np.add.reduceat(mixed(own[words] + np.uint64(salt)), np.cumsum(sizes) - sizes) for salt in (1, 2))
         doc, rid, line = np.array(self.places, np.int64).T
@@ -276,11 +280,11 @@ def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarra
             yield np.where(after, x, y), np.where(after, y, x), differ
 
 
-def named(p: np.ndarray, shard: int, later: np.ndarray, earlier: np.ndarray, more: np.ndarray) -> pd.DataFrame:
+def named(p: np.ndarray, shard: int, later: np.ndarray, earlier: np.ndarray, differ: np.ndarray, more: np.ndarray) -> pd.DataFrame:
     y, x = p[later], p[earlier]
     return pd.DataFrame({
         "shard": np.full(len(y), shard, np.int32), "block_y": y["block"], "at_y": y["at_line"], "block_x": x["block"],
-        "at_x": x["at_line"], "more": more, "kept": None,
+        "at_x": x["at_line"], "differ": differ.astype(np.int32), "more": more, "kept": None,
     }).astype({c: "Int64" for c in (*Y, *X)} | {"kept": object})
 
 
@@ -297,10 +301,10 @@ def closest(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         best[later[better]], partner[later[better]] = differ[better], earlier[better]
     found = np.flatnonzero(seen)
     shard = int(group["shard"].iloc[0])
-    out = named(p, shard, found, partner[found], seen[found] > 1)
+    out = named(p, shard, found, partner[found], best[found], seen[found] > 1)
     open_ = p[np.isin(p["key"], p["key"][seen > 1])]
     if len(open_):
-        keeps = pd.DataFrame({"shard": [shard], **{c: pd.array([pd.NA], "Int64") for c in (*Y, *X)}, "more": [False], "kept": [pack(open_)]})
+        keeps = pd.DataFrame({"shard": [shard], **{c: pd.array([pd.NA], "Int64") for c in (*Y, *X)}, "differ": [0], "more": [False], "kept": [pack(open_)]})
         out = pd.concat([out, keeps], ignore_index=True)
     return out
 
@@ -312,49 +316,67 @@ def all_candidates(percent: int):
         for batch in batches:
             for shard, kept, wanted in zip(batch["shard"], batch["kept"], batch["wanted"], strict=True):
                 p = unpack(kept, POSTING.descr)
-                asked = {(w["block_y"], w["at_y"]) for w in wanted}
-                is_asked = np.array([x in asked for x in zip(p["block"].tolist(), p["at_line"].tolist(), strict=True)], bool)
-                for later, earlier, _ in similar(p, percent):
+                blocks, number = np.unique(p["block"], return_inverse=True)
+                asked = np.array([(w["block_y"], w["at_y"]) for w in wanted], np.int64)
+                known = np.minimum(np.searchsorted(blocks, asked[:, 0]), len(blocks) - 1)
+                asked = (known[blocks[known] == asked[:, 0]] << 32) | asked[blocks[known] == asked[:, 0], 1]
+                is_asked = np.isin((number << 32) | p["at_line"], asked)
+                near = np.isin(p["key"], p["key"][is_asked])
+                p, is_asked = p[near], is_asked[near]
+                for later, earlier, differ in similar(p, percent):
                     keep = is_asked[later]
-                    yield named(p, shard, later[keep], earlier[keep], np.zeros(int(keep.sum()), bool))
+                    yield named(p, shard, later[keep], earlier[keep], differ[keep], np.zeros(int(keep.sum()), bool))
 
     return name
 
 
 def confirmed(pairs: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
-    """(block_y, at_y): the later lines of pairs whose word sets are similar, a written table."""
+    """(block_y, at_y): the later lines of pairs whose word sets are similar, a written table.
+
+    The later line's words go with the pair to the earlier line's, which are fetched once for each line.
+    """
     spark = pairs.sparkSession
     pairs = materialized(spark, pairs.select(*Y, *X).distinct(), "line-pairs")
-    sides = [pairs.select(F.col(s[0]).alias("block"), F.col(s[1]).alias("at")) for s in (Y, X)]
-    asked = sides[0].unionByName(sides[1]).groupBy("block").agg(F.collect_set("at").alias("asked"))  # as large as the block
+    source = blocks.select("block", "keys", "tokens", "sizes")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 own, words, sizes = unpack_sorted(row["keys"]), unpack(row["tokens"], "<i4"), unpack(row["sizes"], "<i4")
-                ends = np.cumsum(sizes)
-                at = sorted(row["asked"])
-                sets = [own[words[ends[i] - sizes[i] : ends[i]]].tobytes() for i in at]
+                ends, asked = np.cumsum(sizes), row["asked"]
+                sets = [own[words[ends[x["at"]] - sizes[x["at"]] : ends[x["at"]]]].tobytes() for x in asked]
+                fields = [f for f in asked[0] if f != "at"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(sets, pa.binary())],
-                    names=["block", "at", "words"],
+                    [
+                        pa.array([row["block"]] * len(asked), pa.int64()), pa.array([x["at"] for x in asked], pa.int32()),
+                        *[pa.array([x[f] for x in asked], pa.int64() if f == "block_x" else pa.int32()) for f in fields],
+                        pa.array(sets, pa.binary()),
+                    ],
+                    names=["block", "at", *fields, "words"],
                 )
 
-    sets = blocks.select("block", "keys", "tokens", "sizes").join(asked, "block").mapInArrow(fetch, "block long, at int, words binary")
-    sets = materialized(spark, sets, "line-sets")
+    asked_x = pairs.select(F.col("block_x").alias("block"), F.struct(F.col("at_x").alias("at")).alias("x"))
+    asked_x = asked_x.groupBy("block").agg(F.collect_set("x").alias("asked"))  # as large as the block
+    sets = source.join(asked_x, "block").mapInArrow(fetch, "block long, at int, words binary").toDF(*X, "words_x")
+    # In parts, as a block may have many more pairs than lines.
+    part = F.pmod(F.xxhash64(*X), F.lit(8))
+    asked_y = pairs.groupBy(F.col("block_y").alias("block"), part).agg(
+        F.collect_list(F.struct(F.col("at_y").alias("at"), *X)).alias("asked")
+    ).select("block", "asked")
+    sent = source.join(asked_y, "block").mapInArrow(fetch, "block long, at int, block_x long, at_x int, words binary")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 p, q = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-                both = len(np.intersect1d(p, q, assume_unique=True))
+                both = np.sort(np.concatenate([p, q]))
+                both = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    wide = pairs.join(sets.toDF(*Y, "words_y"), list(Y)).join(sets.toDF(*X, "words_x"), list(X))
-    good = wide.select(*Y, "words_y", "words_x").mapInArrow(check, "block_y long, at_y int")
-    return materialized(spark, good.distinct(), "line-matches")
+    wide = sent.toDF(*Y, *X, "words_y").join(sets, list(X)).select(*Y, "words_y", "words_x")
+    return materialized(spark, wide.mapInArrow(check, "block_y long, at_y int").distinct(), "line-matches")
 
 
 def removed_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -373,13 +395,17 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id
         lambda group: closest(group, percent), CANDIDATE_SCHEMA
     )
     first = materialized(spark, first, "line-closest")
-    matched = confirmed(first.filter("kept IS NULL"), blocks, percent)
+    named_pairs = first.filter("kept IS NULL")
+    best = named_pairs.groupBy(*Y).agg(F.min(F.struct("differ", *X)).alias("best")).select(*Y, "best.block_x", "best.at_x")
+    matched = confirmed(best, blocks, percent)
+    others = named_pairs.select(*Y, *X).join(matched, list(Y), "left_anti").join(best, [*Y, *X], "left_anti")
     wanted = first.filter("more").join(matched, list(Y), "left_anti").groupBy("shard").agg(
         F.collect_set(F.struct(*Y)).alias("wanted")
     )
     second = first.filter("kept IS NOT NULL").select("shard", "kept").join(
         materialized(spark, wanted, "line-open"), "shard"
     ).mapInPandas(all_candidates(percent), CANDIDATE_SCHEMA)
+    second = second.select(*Y, *X).unionByName(others).join(best, [*Y, *X], "left_anti")
     matched = matched.unionByName(confirmed(second, blocks, percent)).groupBy(F.col("block_y").alias("block")).agg(
         F.collect_set("at_y").alias("near")
     )

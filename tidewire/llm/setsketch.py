@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialized
 from .graph import components
-from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, pack, pack_sorted, shard_count, unpack
+from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, distinct, pack, pack_sorted, shard_count, unpack
 from .words import bounded
 
 REGISTERS, BAND = 128, 4
@@ -72,7 +72,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     sets = []
     for a, z in zip(starts[:-1], starts[1:], strict=True):
         if z - a >= size:
-            sets.append(np.unique(windows[a : z - size + 1]))
+            sets.append(distinct(windows[a : z - size + 1]))
         elif z > a:
             short = np.full(1, z - a, np.uint64)
             for h in hashes[a:z]:

@@ -23,6 +23,12 @@ BLOCK_TOKENS = 1 << 20
 SHARD_KEYS = 2 << 20
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted different values; sorting numbers is quicker here than hashing them."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def pack(values: np.ndarray) -> bytes:
     """An array of numbers, compressed with bytes of equal weight side by side."""
     width = values.dtype.itemsize
