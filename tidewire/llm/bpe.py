@@ -21,12 +21,13 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 SPACE = r" \t\n\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 FILE_SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the vocabulary's library
 
@@ -191,7 +192,7 @@ def encode_documents(docs: DataFrame, file: str, *, text: str = "text", ids: str
     @F.pandas_udf("array<int>")
     def encoded(texts):
         bpe = load(file)
-        return texts.map(lambda t: memoryview(bpe.encode(t or "")).cast("B").cast("i").tolist())
+        return texts.map(lambda t: np.frombuffer(bpe.encode(t or ""), np.int32))
 
     return docs.withColumn(ids, encoded(F.col(text)))
 
@@ -202,7 +203,7 @@ def decode_documents(docs: DataFrame, file: str, *, ids: str = "token_ids", text
     @F.pandas_udf("string")
     def decoded(rows):
         bpe = load(file)
-        return rows.map(lambda r: "" if r is None else bpe.decode(r))
+        return rows.map(lambda r: "" if r is None else bpe.decode(r.tolist()))
 
     return docs.withColumn(text, decoded(F.col(ids)))
 

@@ -37,10 +37,11 @@ from pyspark.sql import functions as F
 from ..session import materialized
 from .setsketch import mixed
 from .tallies import (
-    BLOCK_TOKENS, answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges,
+    answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges,
     unpack, unpack_sorted,
 )
 
+BLOCK_TOKENS = 1 << 19
 HOT = 5000
 NO_ID = (1 << 63) - 1
 POSTINGS_PER_SHARD = 1 << 19
