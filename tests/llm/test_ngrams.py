@@ -6,7 +6,7 @@ import pytest
 from helpers import documents, lower_ascii, words
 from pyspark.sql import functions as F
 
-from tidewire.llm import ngrams
+from tidewire.llm import ngrams, queries
 from tidewire.llm.tallies import pack, pack_sorted, unpack, unpack_sorted
 
 START, END = "<start>", "<end>"
@@ -134,3 +134,11 @@ def test_packed_arrays_come_back():
     assert (unpack_sorted(pack_sorted(keys)) == keys).all()
     assert unpack(pack(np.arange(5, dtype="<i4")), "<i4").tolist() == [0, 1, 2, 3, 4]
     assert unpack_sorted(pack_sorted(np.empty(0, np.uint64))).tolist() == []
+
+
+def test_registered_query_scores_with_trigrams(spark, tmp_path):
+    texts = corpus(60, seed=9)
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(queries.op2_katz_scores(spark, str(tmp_path)).collect())
+    model = Katz([tokens_of(texts[r["doc_id"]]) for r in rows if not r["held_out"]], 3)
+    assert [r["score"] for r in rows] == pytest.approx([model.score(tokens_of(texts[r["doc_id"]])) for r in rows])

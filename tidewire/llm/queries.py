@@ -39,7 +39,7 @@ def op2_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     documents = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    return ngrams.katz_scores(documents, ~held_out).withColumn("held_out", ~F.col("train")).drop("train")
+    return ngrams.katz_scores(documents, ~held_out, order=3).withColumn("held_out", ~F.col("train")).drop("train")
 
 
 def op3_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
