@@ -66,3 +66,21 @@ def test_empty_table_and_repeated_rows(spark):
     assert pii.span_report(documents(spark, [])).collect() == []
     rows = pii.span_report(documents(spark, ["a@b.cd"] * 2, ids=[None, None])).collect()
     assert [r["spans"] for r in rows] == ["email:0:6"] * 2
+
+
+def test_long_digit_runs(spark, monkeypatch):
+    long = "9" * 5000
+    texts = [f"{long}.1.1.1", f"1.1.1.{long} 1.2.3.4", f"{'0' * 5000}7.1.2.3"]
+    rows = sorted(pii.span_report(documents(spark, texts)).collect())
+    assert [r["n_ip"] for r in rows] == [0, 1, 1]
+
+    class Counted:
+        tries = 0
+
+        def match(self, *args):
+            self.tries += 1
+            return ip.match(*args)
+
+    ip, counted = pii.IP, Counted()
+    monkeypatch.setattr(pii, "IP", counted)
+    assert pii.find_spans(f"{long}.1.1 {long}") == [] and counted.tries == 4

@@ -32,6 +32,7 @@ DIGITS = "0123456789"
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+RUN = re.compile(r"[0-9]+")
 IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -62,6 +63,12 @@ def ssn_valid(text: str) -> bool:
     return area not in ("000", "666") and area[0] != "9" and group != "00" and serial != "0000"
 
 
+def octet(part: str) -> bool:
+    """Whether digits stand for at most 255; of any length, where int() would stop at 4,300 digits."""
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
 def only_digits(text: str) -> str:
     return "".join(c for c in text if c in DIGITS)
 
@@ -91,10 +98,13 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 digits = only_digits(m.group())
                 if 14 <= len(digits) <= 19 and luhn(digits):
                     spans.add(("card", at, card_end))
-            if at >= ip_end and (m := IP.match(text, at)):
-                ip_end = m.end()
-                if all(int(part) <= 255 for part in m.group().split(".")):
-                    spans.add(("ip", at, ip_end))
+            if at >= ip_end:
+                if m := IP.match(text, at):
+                    ip_end = m.end()
+                    if all(octet(part) for part in m.group().split(".")):
+                        spans.add(("ip", at, ip_end))
+                else:  # nor does it match from a later digit of the run
+                    ip_end = RUN.match(text, at).end()
         elif kind == "@":
             start = at
             while start > email_end and text[start - 1] in LOCAL:
