@@ -102,3 +102,19 @@ def test_plan_is_native(spark):
     cutoffs = quality.learn_cutoffs(measured, spark.createDataFrame([(0, 1)], "doc_id long, quality int"))
     plan = quality.judge(measured, cutoffs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("PythonUDF", "ArrowEval", "InPandas", "InArrow"))
+
+
+def test_small_strata_learn_too(spark):
+    """Four strata with some 480 good labels each, half of them held out, in which only marks tell bad documents."""
+    draw, vocab, rows = random.Random(12), vocabulary(12, 40), []
+    for i in range(2400):
+        bad = draw.random() < 0.2
+        text = " ".join(draw.choice(vocab) + ("!!" if bad else "") for _ in range(25))
+        rows.append((i, text, "abcd"[i % 4], 0 if bad else 1))
+    docs = documents(spark, [r[1] for r in rows], langs=[r[2] for r in rows])
+    labels = spark.createDataFrame([(r[0], r[3], 0) for r in rows], "doc_id long, quality int, toxic int")
+    measured = quality.with_measures(docs)
+    cutoffs = quality.learn_cutoffs(measured, labels)
+    assert {r["stratum"] for r in cutoffs.collect() if r["marks_per_word"] is not None} == set("abcd")
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(measured, cutoffs).collect()}
+    assert all(kept[i] == bool(q) for i, _, _, q in rows)

@@ -3,9 +3,10 @@
 Each rule rejects a document whose measure is above a cutoff. Cutoffs come from labelled documents, per stratum. One
 half of the labels (by hash of the id) tells which cutoffs catch more bad documents than good ones. The other half is
 the holdout: from lax to strict, a cutoff passes while the exact binomial bound says that, at the confidence asked for,
-it rejects at most ``risk / number of rules`` of the good documents; the first failure ends the sequence. The error
-probability is divided by the number of sequences (strata times rules), so all guarantees hold together, and all rules
-together falsely reject at most ``risk``. A stratum with too few labels gets no cutoff and loses nothing.
+it rejects at most ``risk / number of rules`` of the good documents; the first failure ends the sequence. Only rules for
+which the tuning half leaves the stratum a cutoff count there, and only their sequences share the error probability; as
+the holdout has no part in that choice, all guarantees hold together, and all rules together falsely reject at most
+``risk``. A stratum with too few labels gets no cutoff and loses nothing.
 
 Null texts have no words. Null strata are a stratum of their own. Repeated labels of a document count once, as bad if
 one of them is; labels with a null id or quality are not used. Documents with a null id are judged, but teach nothing.
@@ -112,24 +113,25 @@ def log_factorial(n: Column) -> Column:
     return F.coalesce(F.get(small, F.when(n < 32, n).cast("int")), series)
 
 
-def binomial_tail(k: Column, n: Column, p: float, terms: int = 4000) -> Column:
+def binomial_tail(k: Column, n: Column, p: Column | float, terms: int = 4000) -> Column:
     """P(X <= k) for X of n trials with probability p; 1 where k is at or above n p, where no bound can hold.
 
     Terms are added from k downwards, where they fall at least as fast as a geometric row; beyond ``terms`` of them the
     row's sum stands for the rest, so the value is never too small.
     """
+    p = F.lit(p)
     odds = (1 - p) / p
     last = F.least(k, F.lit(terms))
     summed = F.aggregate(
         F.sequence(F.lit(0).cast("long"), last),
         F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum")),
         lambda acc, j: F.struct(
-            (acc["term"] * (k - j) / (n - k + j + 1) * F.lit(odds)).alias("term"), (acc["sum"] + acc["term"]).alias("sum")
+            (acc["term"] * (k - j) / (n - k + j + 1) * odds).alias("term"), (acc["sum"] + acc["term"]).alias("sum")
         ),
-        lambda acc: acc["sum"] + F.when(k > terms, acc["term"] / (1 - k / (n - k + 1) * F.lit(odds))).otherwise(0.0),
+        lambda acc: acc["sum"] + F.when(k > terms, acc["term"] / (1 - k / (n - k + 1) * odds)).otherwise(0.0),
     )
-    first = log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p)
-    return F.when(k >= n * F.lit(p), F.lit(1.0)).otherwise(F.exp(first) * summed)
+    first = log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * F.log(p) + (n - k) * F.log1p(-p)
+    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(first) * summed)
 
 
 def learn_cutoffs(
@@ -162,11 +164,13 @@ def learn_cutoffs(
         count(~F.col("good") & ~F.col("held") & F.col("over")).alias("tuned_bad"),
     )
     table = materialized(spark, table, "quality-counts")
-    sequences = max(1, table.select("stratum").distinct().count()) * len(RULES)
+    table = table.filter(F.col("tuned_bad") > F.col("tuned_good"))
+    sequences = max(1, table.select("stratum", "rule").distinct().count())
+    rules = F.size(F.collect_set("rule").over(Window.partitionBy("stratum")))
     line = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    admitted = table.filter(F.col("tuned_bad") > F.col("tuned_good")).withColumn(
+    admitted = table.withColumn("rules", rules).withColumn(
         "admitted", F.min(
-            (binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)) <= delta / sequences).cast("int")
+            (binomial_tail(F.col("k"), F.col("n"), risk / F.col("rules")) <= delta / sequences).cast("int")
         ).over(line)
     ).filter("admitted = 1")
     return materialized(
