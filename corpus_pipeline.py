@@ -44,10 +44,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows are known by id and text, so each text is judged by itself; the smallest id stays, null ids come last.
+
+    Of repeated rows (same id or none, same text) with words one stays, whichever other columns it has.
+    """
     small_batches(spark)
-    marks = setsketch.near_duplicates(docs, size=5, threshold=0.8)
-    dropped = materialized(spark, marks.filter("NOT kept").select("doc_id").distinct(), "near-dropped")
-    return docs.join(bounded(dropped), "doc_id", "left_anti").select(docs.columns)
+    number = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")  # sorts as the ids do
+    text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    keyed = docs.withColumn("near_key", F.concat(F.coalesce(number, F.lit("~")), text))
+    marks = setsketch.near_duplicates(keyed, size=5, threshold=0.8, key="near_key")
+    marks = marks.filter("n_shingles > 0").groupBy("near_key").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    special = materialized(spark, marks.filter("NOT kept OR rows > 1").select("near_key", "kept"), "near-special")
+    once = keyed.join(bounded(special.select("near_key")), "near_key", "left_anti")
+    again = keyed.join(bounded(special.filter("kept").select("near_key")), "near_key", "left_semi")
+    return once.unionByName(again.dropDuplicates(["near_key"])).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

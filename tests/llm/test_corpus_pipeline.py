@@ -66,3 +66,20 @@ def test_run_on_an_empty_table(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_of_shared_and_null_ids(spark):
+    draw, vocab = random.Random(43), vocabulary(43, 3000)
+    a, b, c, d, e = (" ".join(draw.choice(vocab) for _ in range(80)) for _ in range(5))
+    rows = [
+        (1, a), (4, a + " more"), (4, b),  # the clean text that shares the id of a near copy stays
+        (-5, c), (-5, c), (6, c),  # repeated rows are one
+        (None, d), (None, d), (None, d + " more"), (None, e), (9, e), (None, None), (None, None),
+    ]
+    docs = documents(spark, [t for _, t in rows], ids=[i for i, _ in rows], extra=("kept", "n_shingles"))
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    found = sorted((str(r["doc_id"]), r["text"] or "") for r in left.collect())
+    ds = [t for i, t in found if i == "None" and t]
+    assert len(ds) == 1 and ds[0] in (d, d + " more")
+    assert found == sorted([("1", a), ("4", b), ("-5", c), ("9", e), ("None", ds[0]), ("None", ""), ("None", "")])
