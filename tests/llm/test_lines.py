@@ -106,3 +106,13 @@ def test_prefixes_lose_no_pair(monkeypatch, hot):
                 linked += 1
                 assert (i, j) in pairs
     assert linked > 50
+
+
+def test_null_ids_are_documents_of_their_own(spark):
+    words_of = lambda a, z: " ".join(f"w{i}" for i in range(a, z))
+    same, near = words_of(0, 20) + "\n\nq r s", words_of(0, 19) + " other"
+    found = [same, same, same, near, "only here", "", None, None, words_of(50, 60)]
+    rows = lines.dedup_lines(documents(spark, found, ids=[None] * 8 + [3])).collect()
+    left = sorted(r["text"] or "" for r in rows)
+    first = {(same, ""), ("\nq r s", near)}  # either text may come first
+    assert any(left == sorted([a, b, "", "", "only here", "", "", "", words_of(50, 60)]) for a, b in first)

@@ -17,8 +17,9 @@ their candidates in a second pass. Groups of many similar lines so cost a few pa
 Texts are read twice: once into blocks of numbered words, which stay where they are while small answers are joined to
 them, and once to take lines out. Words are compared by a 64-bit hash.
 
-Blank lines are kept and match nothing. Null ids come last. Null texts have no lines. Lines at the same place of rows
-that share an id are not compared with each other; so rows with the same id and text lose the same lines.
+Blank lines are kept and match nothing. Null ids come last, by the hash of their text, and are documents of their own: of
+those with the same text all but one lose all their lines. Null texts have no lines. Lines at the same place of rows that
+share an id are not compared with each other; so rows with the same id and text lose the same lines.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialized
@@ -40,13 +41,14 @@ from .tallies import (
     answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges,
     unpack, unpack_sorted,
 )
+from .words import BLANKS
 
 BLOCK_TOKENS = 1 << 19
 HOT = 5000
 NO_ID = (1 << 63) - 1
 POSTINGS_PER_SHARD = 1 << 19
 POSTING = np.dtype([
-    ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
+    ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
 ])
 SENT = [f for f in POSTING.names if f != "block"]  # a posting says its line's number in the block as at_line
 CANDIDATE_SCHEMA = "shard int, block_y long, at_y int, block_x long, at_x int, differ int, more boolean, kept binary"
@@ -130,26 +132,33 @@ def line_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
     return bucketed(keyed(docs, key, text).mapInArrow(read, schema), "line_blocks", "block")
 
 
-def own_sets(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The block's lines by set and place, where each set begins among them, and all lines' document and number."""
+def line_places(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All lines' document, what orders documents without id (the hash of their text), and number."""
+    doc = unpack(row["doc"], "<i8")
+    return doc, np.where(doc == NO_ID, unpack(row["rid"], "<i8"), 0), unpack(row["line"], "<i4")
+
+
+def own_sets(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The block's lines by set and place, and where each set begins among them."""
     a, b = unpack(row["set_a"], "<u8"), unpack(row["set_b"], "<u8")
-    doc, line = unpack(row["doc"], "<i8"), unpack(row["line"], "<i4")
-    order = np.lexsort((line, doc, b, a))
+    doc, tie, line = line_places(row)
+    order = np.lexsort((line, tie, doc, b, a))
     a, b = a[order], b[order]
     starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    return order, starts, doc, line
+    return order, starts
 
 
 def first_places(blocks: DataFrame, shards: int) -> DataFrame:
     """(block, firsts): for each different set of a block, in order, whether its first place in the block is its first of all."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), *((f, pa.binary()) for f in ("a", "b", "doc", "line"))])
+        schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), *((f, pa.binary()) for f in ("a", "b", "doc", "tie", "line"))])
         for batch in batches:
             for row in batch.to_pylist():
-                order, starts, doc, line = own_sets(row)
+                order, starts = own_sets(row)
                 at = order[starts]
-                fields = {"a": unpack(row["set_a"], "<u8")[at], "b": unpack(row["set_b"], "<u8")[at], "doc": doc[at], "line": line[at]}
+                fields = {"a": unpack(row["set_a"], "<u8")[at], "b": unpack(row["set_b"], "<u8")[at]}
+                fields |= {f: x[at] for f, x in zip(("doc", "tie", "line"), line_places(row), strict=True)}
                 edges = shard_edges(fields["a"], shards)
                 yield pa.RecordBatch.from_pylist([
                     {"shard": s, "block": row["block"], **{f: pack(x[edges[s] : edges[s + 1]]) for f, x in fields.items()}}
@@ -157,32 +166,34 @@ def first_places(blocks: DataFrame, shards: int) -> DataFrame:
                 ], schema)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
-        a, b, doc, line = (
-            [unpack(x, t) for x in group[f]] for f, t in (("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("line", "<i4"))
+        a, b, doc, tie, line = (
+            [unpack(x, t) for x in group[f]]
+            for f, t in (("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("line", "<i4"))
         )
         ends = np.cumsum([len(x) for x in a])
-        a, b, doc, line = (np.concatenate(x) for x in (a, b, doc, line))
-        order = np.lexsort((line, doc, b, a))
+        a, b, doc, tie, line = (np.concatenate(x) for x in (a, b, doc, tie, line))
+        order = np.lexsort((line, tie, doc, b, a))
         new = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
         least = order[np.flatnonzero(new)][np.cumsum(new) - 1]
         first = np.empty(len(order), bool)
-        first[order] = (doc[order] == doc[least]) & (line[order] == line[least])
+        first[order] = (doc[order] == doc[least]) & (tie[order] == tie[least]) & (line[order] == line[least])
         parts = np.split(first, ends[:-1])
         return pd.DataFrame({"block": group["block"], "shard": group["shard"], "firsts": [pack(p) for p in parts]})
 
-    fields = ("block", "doc", "line", "set_a", "set_b")
-    parts = blocks.select(*fields).mapInArrow(deal, "shard int, block long, a binary, b binary, doc binary, line binary")
+    fields = ("block", "doc", "rid", "line", "set_a", "set_b")
+    parts = blocks.select(*fields).mapInArrow(deal, "shard int, block long, a binary, b binary, doc binary, tie binary, line binary")
     return gathered(parts.groupBy("shard").applyInPandas(answer, "block long, shard int, firsts binary"), "firsts")
 
 
 def first_lines(row: dict) -> np.ndarray:
     """Which lines of a block are at the first place of their set."""
-    order, starts, doc, line = own_sets(row)
+    order, starts = own_sets(row)
+    doc, tie, line = line_places(row)
     known = np.concatenate([unpack(x, "?") for x in row["firsts"]])
     group = np.cumsum(np.isin(np.arange(len(order)), starts)) - 1
     least = order[starts][group]
     out = np.empty(len(order), bool)
-    out[order] = known[group] & (doc[order] == doc[least]) & (line[order] == line[least])
+    out[order] = known[group] & (doc[order] == doc[least]) & (tie[order] == tie[least]) & (line[order] == line[least])
     return out
 
 
@@ -216,7 +227,8 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     line = owner[first]
     out = np.empty(len(key), POSTING)
     out["key"], out["at"], out["n"], out["map"], out["at_line"] = key, at[first], sizes[line], maps[line], line
-    out["doc"], out["line"], out["block"] = unpack(row["doc"], "<i8")[line], unpack(row["line"], "<i4")[line], row["block"]
+    out["doc"], out["tie"], out["line"] = (x[line] for x in line_places(row))
+    out["block"] = row["block"]
     return out[np.argsort(key, kind="stable")]
 
 
@@ -253,7 +265,7 @@ def postings(answered: DataFrame, shards: int, percent: int) -> DataFrame:
                     for s in range(shards) if edges[s] < edges[s + 1]
                 ], arrow)
 
-    needed = ("block", "keys", "tokens", "sizes", "doc", "line", "set_a", "set_b", "totals", "firsts")
+    needed = ("block", "keys", "tokens", "sizes", "doc", "rid", "line", "set_a", "set_b", "totals", "firsts")
     return answered.select(*needed).mapInArrow(file, schema)
 
 
@@ -273,11 +285,14 @@ def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarra
         fits = (n[x] - place[x] >= need) & (n[y] - place[y] >= need)
         x, y, need = x[fits], y[fits], need[fits]
         differ = np.bitwise_count(maps[x] ^ maps[y]).astype(np.int64)
-        same_place = (p["doc"][x] == p["doc"][y]) & (p["line"][x] == p["line"][y])
-        fits = (differ <= n[x] + n[y] - 2 * need) & ~same_place
+        same_doc = (p["doc"][x] == p["doc"][y]) & (p["tie"][x] == p["tie"][y])
+        fits = (differ <= n[x] + n[y] - 2 * need) & ~(same_doc & (p["line"][x] == p["line"][y]))
         x, y, differ = x[fits], y[fits], differ[fits]
         if len(x):
-            after = (p["doc"][x] > p["doc"][y]) | ((p["doc"][x] == p["doc"][y]) & (p["line"][x] > p["line"][y]))
+            after, same = np.zeros(len(x), bool), np.ones(len(x), bool)
+            for f in ("doc", "tie", "line"):
+                after |= same & (p[f][x] > p[f][y])
+                same &= p[f][x] == p[f][y]
             yield np.where(after, x, y), np.where(after, y, x), differ
 
 
@@ -435,7 +450,10 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id
 
 
 def without_lines(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns, with the removed lines taken out of the text, and ``removed_lines``: their numbers, or null."""
+    """All columns, with the removed lines taken out of the text, and ``removed_lines``: their numbers, or null.
+
+    Of rows without id that have the same text, one loses the lines said for it and the others lose all.
+    """
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
@@ -449,9 +467,17 @@ def without_lines(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", t
 
     table = removed.toDF("removed_doc", "removed_rid", "removed_lines")
     same = (F.coalesce(F.col(key), F.lit(NO_ID)) == F.col("removed_doc")) & (F.xxhash64(text) == F.col("removed_rid"))
-    return docs.join(table, same, "left").drop("removed_doc", "removed_rid").withColumn(
-        text, cut(F.col(text), F.col("removed_lines"))
+    copies = Window.partitionBy(F.xxhash64(text)).orderBy(F.xxhash64(*docs.columns))
+    rows = docs.filter(F.col(key).isNotNull()).withColumn("removed_copy", F.lit(False)).unionByName(
+        docs.filter(F.col(key).isNull()).withColumn("removed_copy", F.row_number().over(copies) > 1)
     )
+    every = F.filter(F.transform(
+        F.split(F.col(text), "\n"), lambda x, i: F.when(F.btrim(x, F.lit(BLANKS)) != "", i)
+    ), lambda i: i.isNotNull())
+    gone = F.when(F.col("removed_copy") & (F.size(every) > 0), every).otherwise(F.col("removed_lines"))
+    return rows.join(table, same, "left").withColumn("removed_lines", gone).drop(
+        "removed_doc", "removed_rid", "removed_copy"
+    ).withColumn(text, cut(F.col(text), F.col("removed_lines")))
 
 
 def dedup_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
