@@ -116,3 +116,15 @@ def test_null_ids_are_documents_of_their_own(spark):
     left = sorted(r["text"] or "" for r in rows)
     first = {(same, ""), ("\nq r s", near)}  # either text may come first
     assert any(left == sorted([a, b, "", "", "only here", "", "", "", words_of(50, 60)]) for a, b in first)
+
+
+def test_template_lines_are_ruled_out_together(monkeypatch):
+    """Ten frequent words and two of its own per line: all lines are filed under one pair, and none is like another."""
+    p = np.zeros(3000, lines.POSTING)
+    p["n"], p["at"], p["doc"], p["at_line"] = 12, 2, np.arange(3000), np.arange(3000)
+    overlap, tested = lines.overlap, []
+    monkeypatch.setattr(lines, "overlap", lambda x, y, percent: tested.append(len(x)) or overlap(x, y, percent))
+    assert list(lines.similar(p, 80)) == [] and sum(tested) < 3000
+    p["at"][:3] = 1  # these may be alike
+    p = p[np.lexsort((p["at_line"], p["at"]))]
+    assert {(int(a), int(b)) for y, x, _ in lines.similar(p, 80) for a, b in zip(y, x, strict=True)} == {(1, 0), (2, 0), (2, 1)}

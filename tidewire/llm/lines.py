@@ -9,7 +9,8 @@ equally rare ones. Two similar sets share a word among the first few of this ord
 little (length filter) and enough words from the shared one on (positional filter); words that only one line has are
 left out, and a 64-bit parity map bounds the difference of two sets from below. Words that more than ``HOT`` lines have
 are filed in pairs: sets whose first shared word is that frequent share a second one at least as frequent within one more
-place of the prefix. So a word's list is bounded, and nothing is left out. What passes is verified on the words.
+place of the prefix. Nothing is left out. The list of a pair has no bound and lies in one shard; in it, lines of the same
+size and place are ruled out together, and other lines are compared in pairs. What passes is verified on the words.
 
 Each line first names, per word, only its most similar earlier line; lines for which none of these is verified name all
 their candidates in a second pass. Groups of many similar lines so cost a few pairs per line.
@@ -47,6 +48,7 @@ BLOCK_TOKENS = 1 << 19
 HOT = 5000
 NO_ID = (1 << 63) - 1
 POSTINGS_PER_SHARD = 1 << 19
+PAIRS_AT_ONCE = 1 << 18
 POSTING = np.dtype([
     ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
 ])
@@ -237,7 +239,7 @@ def packed_postings(p: np.ndarray) -> dict[str, bytes]:
 
 
 def unpacked_postings(rows: list[dict]) -> np.ndarray:
-    """The postings of several blocks, by key and set size."""
+    """The postings of several blocks, by key, set size and place."""
     parts = []
     for row in rows:
         key = unpack_sorted(row["key"])
@@ -247,7 +249,7 @@ def unpacked_postings(rows: list[dict]) -> np.ndarray:
             part[f] = unpack(row[f], POSTING[f].str)
         parts.append(part)
     p = np.concatenate(parts)
-    return p[np.lexsort((p["at_line"], p["block"], p["n"], p["key"]))]
+    return p[np.lexsort((p["at_line"], p["block"], p["at"], p["n"], p["key"]))]
 
 
 def postings(answered: DataFrame, shards: int, percent: int) -> DataFrame:
@@ -269,21 +271,41 @@ def postings(answered: DataFrame, shards: int, percent: int) -> DataFrame:
     return answered.select(*needed).mapInArrow(file, schema)
 
 
-def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(later, earlier, difference): candidate pairs of postings that are sorted by key and n.
+def possible(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y): pairs of postings, sorted by key, n and at, with a common key, whose lengths and places allow the similarity.
 
-    They share a key, and lengths, places and maps allow the similarity.
+    Postings of the same key, length and place are ruled out together, and pairs come in steps of bounded size.
     """
-    at, gap = np.arange(len(p)), 0
-    key, n, place, maps = p["key"], p["n"].astype(np.int64), p["at"].astype(np.int64), p["map"]
+    key, n, place = p["key"], p["n"].astype(np.int64), p["at"].astype(np.int64)
+    new = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (place[1:] != place[:-1])
+    starts = np.flatnonzero(np.concatenate([[True], new])) if len(p) else np.empty(0, np.int64)
+    length = np.diff(starts, append=len(p))
+    at, gap = np.arange(len(starts)), 0
     while len(at):
+        at = at[at + gap < len(starts)]
+        at = at[(key[starts[at]] == key[starts[at + gap]]) & (100 * n[starts[at]] >= percent * n[starts[at + gap]])]
+        a, b = starts[at], starts[at + gap]  # larger sets only follow
+        need = overlap(n[a], n[b], percent)
+        fits = (n[a] - place[a] >= need) & (n[b] - place[b] >= need) & ((length[at] > 1) | (gap > 0))
+        a, b, rows, width = a[fits], b[fits], length[at][fits], length[at + gap][fits]
+        ends = np.cumsum(rows * width)
+        for low in range(0, int(ends[-1]) if len(ends) else 0, PAIRS_AT_ONCE):
+            t = np.arange(low, min(low + PAIRS_AT_ONCE, int(ends[-1])))
+            run = np.searchsorted(ends, t, "right")
+            t -= ends[run] - rows[run] * width[run]
+            x, y = a[run] + t // width[run], b[run] + t % width[run]
+            yield (x, y) if gap else (x[x < y], y[x < y])
         gap += 1
-        at = at[at + gap < len(p)]
-        at = at[(key[at] == key[at + gap]) & (100 * n[at] >= percent * n[at + gap])]  # larger sets only follow
-        x, y = at, at + gap
+
+
+def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(later, earlier, difference): candidate pairs of postings that are sorted by key, n and at.
+
+    They share a key, and lengths, places and maps allow the similarity.
+    """
+    n, maps = p["n"].astype(np.int64), p["map"]
+    for x, y in possible(p, percent):
         need = overlap(n[x], n[y], percent)
-        fits = (n[x] - place[x] >= need) & (n[y] - place[y] >= need)
-        x, y, need = x[fits], y[fits], need[fits]
         differ = np.bitwise_count(maps[x] ^ maps[y]).astype(np.int64)
         same_doc = (p["doc"][x] == p["doc"][y]) & (p["tie"][x] == p["tie"][y])
         fits = (differ <= n[x] + n[y] - 2 * need) & ~(same_doc & (p["line"][x] == p["line"][y]))
