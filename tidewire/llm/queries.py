@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lines, mixing, ngrams, pii, quality, setsketch, urls, warc
+from . import alignment, bpe, fingerprints, lines, mixing, ngrams, pii, quality, setsketch, urls, warc
 from .words import word_count
 
 VOCABULARY = "word_bpe_49k.json"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 URL_RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -100,11 +101,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return alignment.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES)
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_katz_scores, op3_filter_urls, op4_encode, op5_warc_round_trip, op6_fingerprints,
-        op7_personal_data, op8_quality_rules, op9_near_duplicates, op10_line_dedup,
+        op7_personal_data, op8_quality_rules, op9_near_duplicates, op10_line_dedup, op11_align_tokens,
     )
 }
 
