@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, fingerprints, lines, mixing, ngrams, pii, quality, setsketch, spelling, urls, warc
+from . import alignment, bpe, fingerprints, lines, mixing, ngrams, overlap, pii, quality, setsketch, spelling, urls, warc
 from .words import word_count
 
 VOCABULARY = "word_bpe_49k.json"
@@ -108,6 +108,11 @@ def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return overlap.similarity_classes(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One in 31 runs of letters, by hash, loses a code point."""
     return spelling.spelling_groups(spelling.word_counts(table(spark, sf_dir, "documents"), one_in=31))
@@ -117,7 +122,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_katz_scores, op3_filter_urls, op4_encode, op5_warc_round_trip, op6_fingerprints,
-        op7_personal_data, op8_quality_rules, op9_near_duplicates, op10_line_dedup, op11_align_tokens, op13_spelling_variants,
+        op7_personal_data, op8_quality_rules, op9_near_duplicates, op10_line_dedup, op11_align_tokens, op12_ngram_join, op13_spelling_variants,
     )
 }
 
