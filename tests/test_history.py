@@ -167,3 +167,56 @@ def test_random_loads_against_a_plain_model(spark):
     assert {k: [v for _, v in sorted(vs, key=lambda v: v[0])] for k, vs in found.items()} == expected
     assert all([n for n, _ in sorted(vs, key=lambda v: v[0])] == list(range(1, len(vs) + 1)) for vs in found.values())
     assert S.broken_versions(core.state()).count() == 0
+
+
+def files(core):
+    """(load date, is_current, bucket) of every folder with data files."""
+    import pathlib
+
+    found = pathlib.Path(core.path.removeprefix("file:")).glob("load_id=*/is_current=*/bucket=*/*.parquet")
+    return {(f.parts[-4][8:18], f.parts[-3][11:] == "true", int(f.parts[-2][7:])) for f in found}
+
+
+def test_a_load_writes_only_the_buckets_it_changes(spark):
+    core = CoreTable(spark, scratch_path(spark, "core"), buckets=16)
+    names = [f"k{n}" for n in range(200)]
+    bucket = {
+        r.content_id: r.bucket for r in batch(spark, **dict.fromkeys(names, "h")).withColumn("bucket", core.bucket()).collect()
+    }
+    core.load(batch(spark, **dict.fromkeys(names, "h")), "2026-01-01", T1)
+    assert files(core) == {("2026-01-01", True, n) for n in set(bucket.values())} and len(files(core)) == 16
+    # one key changes, one is new, the others come again as they were
+    touched = {bucket["k0"]}
+    counts = core.load(batch(spark, **{**dict.fromkeys(names, "h"), "k0": "h2"}), "2026-01-02", T2)
+    assert counts == {"current": 200, "opened": 1, "closed": 1}
+    assert files(core) - {f for f in files(core) if f[0] == "2026-01-01"} == {
+        ("2026-01-02", current, n) for n in touched for current in (True, False)
+    }
+    # nothing changes: nothing is written, and the load is there
+    assert core.load(batch(spark, k0="h2", k1="h"), "2026-01-03", T3) == {"current": 200, "opened": 0, "closed": 0}
+    assert not [f for f in files(core) if f[0] == "2026-01-03"] and core.snapshots()[-1] == "2026-01-03"
+    assert core.state().count() == 201 and S.broken_versions(core.state()).count() == 0
+    assert core.current().count() == 200
+    # buckets that a kept load refers to outlive the load that wrote them
+    assert core.expire_slices(keep=1) == ["2026-01-01", "2026-01-02"]
+    assert ("2026-01-01", True, bucket["k0"]) not in files(core) and len(files(core)) == 17
+    assert core.state().count() == 201
+    with pytest.raises(ValueError):
+        core.load(batch(spark, k0="h3"), "2026-01-02", T2, replay=lambda day: (batch(spark, k0="h2"), T3))
+
+
+def test_new_keys_in_buckets_without_rows(spark):
+    core = CoreTable(spark, scratch_path(spark, "core"), buckets=64)
+    core.load(batch(spark, a="h"), "2026-01-01", T1)
+    assert core.load(batch(spark, **{f"k{n}": "h" for n in range(30)}), "2026-01-02", T2) == {"current": 31, "opened": 30, "closed": 0}
+    core.load(batch(spark, k3="h2"), "2026-01-03", T3)
+    assert core.state().count() == 32 and core.current().count() == 31
+    assert S.broken_versions(core.state()).count() == 0
+
+
+def test_first_load_without_rows(spark):
+    core = CoreTable(spark, scratch_path(spark, "core"), buckets=4)
+    assert core.load(batch(spark), "2026-01-01", T1) == {"current": 0, "opened": 0, "closed": 0}
+    assert core.state().count() == 0
+    assert core.load(batch(spark, a="h"), "2026-01-02", T2) == {"current": 1, "opened": 1, "closed": 0}
+    assert history(core.state()) == [("a", 1, "h", 2, True, True)]

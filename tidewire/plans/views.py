@@ -18,16 +18,17 @@ def publish_views(spark: SparkSession, lake: Lake, database: str = "core") -> li
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     bodies: dict[str, str] = {}
 
-    # One scan, however many loads there are; a filter on is_current leaves only that slice's folder.
+    # One scan, however many loads there are; a filter on is_current leaves only the current buckets' folders.
     core = CoreTable(spark, lake.core())
-    (newest, _), *closed = core.folders() or [(None, True)]
-    if newest:
-        value = lambda folder: "'" + folder.split("=", 1)[1] + "'"
-        chosen = f"is_current = 'true' AND load_id = {value(newest)}"
+    held, closed = core.parts()
+    if held:
+        quoted = lambda parts: ", ".join(f"'{p}'" for p in sorted(parts))
+        load = lambda folder: folder.split("=", 1)[1]
+        chosen = f"is_current = 'true' AND concat(load_id, '/', bucket) IN ({quoted(f'{load(f)}/{n}' for n, f in held.items())})"
         if closed:
-            chosen += f" OR is_current = 'false' AND load_id IN ({', '.join(value(f) for f, _ in closed)})"
+            chosen += f" OR is_current = 'false' AND load_id IN ({quoted(load(f) for f in closed)})"
         bodies["content_items"] = (
-            f"SELECT * EXCEPT (load_id, is_current), is_current = 'true' AS is_current FROM parquet.`{core.path}` WHERE {chosen}"
+            f"SELECT * EXCEPT (load_id, is_current, bucket), is_current = 'true' AS is_current FROM parquet.`{core.path}` WHERE {chosen}"
         )
     for table in ("ref_news_sites", "ref_topics"):
         folder = CoreDimension(spark, lake.core(table)).newest()

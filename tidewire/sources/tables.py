@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,135 +184,178 @@ class CoreDimension:
 
 
 class CoreTable:
-    """Versioned content on plain Parquet, published one load at a time.
+    """Versioned content on plain Parquet, published one load at a time; a load writes what its batch changes.
 
-    A load of date S writes one new folder: ``is_current=true`` below it is the whole current slice
-    after the load, ``is_current=false`` only the versions that this load closed. So the history is
-    written once per version and never rewritten or re-read by a later load. A manifest says which
-    folder belongs to which date; a load that dies half-way changes nothing, and a repeated load
-    replaces its date at the moment it is published. Dates are ISO dates, which sort as text.
+    Keys are hashed to ``buckets``, and the current rows of each bucket lie in a folder of their own. A load of date S
+    compares the batch with keys and hashes of the current rows, rewrites the buckets in which something is new or
+    changed (``is_current=true/bucket=N`` below one new folder) and adds the versions that it closes
+    (``is_current=false``). All other buckets stay where they are: a manifest says for each load date which folder holds
+    which bucket. History is written once per version and never rewritten or re-read by a later load. A load that dies
+    half-way changes nothing, and a repeated load replaces its date at the moment it is published. Dates are ISO dates,
+    which sort as text.
 
     A load of a date before the newest one needs the later dates' batches: they are merged again on
     top of it, and all become visible together. Without them it is refused.
 
-    With ``buckets`` the slices are stored hash-bucketed and sorted by key. The next load then
-    joins the old slice where it lies: only the batch is shuffled, never the (far larger)
-    slice. One task handles one bucket, so choose the number for buckets of a gigabyte or two.
-    None stores plain files, for tables that change hands more often than they grow.
+    Files are also bucketed and sorted by key for Spark: the next load joins the buckets where they lie, and only the
+    batch is shuffled. One task handles one bucket, so choose a number that keeps buckets below a gigabyte or two; more
+    buckets than that let a small batch rewrite less. None stores one bucket of plain files, for tables that change hands
+    more often than they grow.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = 8):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.manifest = Manifest(spark, path)
 
-    def _part(self, folder: str, current: bool) -> str:
-        return f"{self.path}/{folder}/is_current={str(current).lower()}"
+    def bucket(self) -> Column:
+        """Number of the bucket that a row's key falls in, the same that Spark's bucketed files carry."""
+        return F.pmod(F.hash(*KEYS), F.lit(self.buckets)) if self.buckets else F.lit(0)
 
-    def _table_name(self, folder: str) -> str:
-        return "core_" + hashlib.md5(f"{self.path}|{folder}".encode()).hexdigest()
+    def _part(self, folder: str, current: bool, bucket: str | None = None) -> str:
+        part = f"{self.path}/{folder}/is_current={str(current).lower()}"
+        return part if bucket is None else f"{part}/bucket={bucket}"
+
+    def _table_name(self, label: str) -> str:
+        return "core_" + hashlib.md5(f"{self.path}|{label}".encode()).hexdigest()
 
     def snapshots(self, before: str | None = None) -> list[str]:
         """Dates loaded (before a date), oldest first."""
         return [day for day in self.manifest.read()[1] if before is None or day < before]
 
-    def _slice(self, folder: str) -> DataFrame:
-        part = self._part(folder, True)
-        files = self.spark.read.parquet(part)
+    def _slice(self, held: dict[str, str]) -> DataFrame:
+        """Current rows of these buckets, given the folder of each, with their ``bucket``."""
+        places = {number: self._part(folder, True, number) for number, folder in held.items()}
+        files = self.spark.read.parquet(*places.values())
         if not self.buckets:
-            return files
+            return files.withColumn("bucket", F.lit(0))
         # Parquet files do not say how they are bucketed; an external table definition does.
-        name, keys = self._table_name(folder), ", ".join(KEYS)
+        name, keys = self._table_name(json.dumps(held, sort_keys=True)), ", ".join(KEYS)
+        parts = " ".join(f"PARTITION (bucket = {number}) LOCATION '{place}'" for number, place in places.items())
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(
-            f"CREATE TABLE {name} ({files._jdf.schema().toDDL()}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{part}'"
+            f"CREATE TABLE {name} ({files._jdf.schema().toDDL()}, bucket INT) USING parquet PARTITIONED BY (bucket) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/_tables/{name}'"
         )
+        self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
         return self.spark.table(name)
 
     def current(self, before: str | None = None) -> DataFrame | None:
-        """Current slice after the newest load (before a date)."""
+        """Current rows after the newest load (before a date)."""
         known = [load for day, load in self.manifest.read()[1].items() if before is None or day < before]
         if not known:
             return None
-        return self._current_of(known[-1])
+        held = self._held(known[-1])
+        rows = self._slice(held).drop("bucket") if known[-1]["current"] else self.spark.read.parquet(self._part(held["0"], True, "0"))
+        return rows.withColumn("is_current", F.lit(True))
 
-    def _current_of(self, load: dict) -> DataFrame:
-        if not load["slice"]:
-            raise ValueError(f"the current slice of {load['folder']} has expired")
-        return self._slice(load["folder"]).withColumn("is_current", F.lit(True))
+    @staticmethod
+    def _held(load: dict) -> dict[str, str]:
+        if load["slice"] is None:
+            raise ValueError(f"the current rows after load {load['folder']} have expired")
+        return load["slice"]
 
-    def folders(self) -> list[tuple[str, bool]]:
-        """Folder names that make up the table, with the ``is_current`` of their rows: newest slice first."""
+    def parts(self) -> tuple[dict[str, str], list[str]]:
+        """What makes up the table: the folder of each bucket's current rows, and the folders with closed versions."""
         loads = list(self.manifest.read()[1].values())
-        return [(loads[-1]["folder"], True), *[(x["folder"], False) for x in loads if x["closed"]]] if loads else []
+        return (self._held(loads[-1]), [x["folder"] for x in loads if x["closed"]]) if loads else ({}, [])
 
     def state(self) -> DataFrame:
-        """All versions: a scan of the newest current slice and one of everything closed up to it."""
-        folders = self.folders()
-        if not folders:
+        """All versions: a scan of the current buckets and one of everything closed up to now."""
+        held, closed = self.parts()
+        if not held:
             raise ValueError(f"no load below {self.path}")
-        closed = [self._part(folder, current) for folder, current in folders if not current]
-        slice_ = self.spark.read.parquet(self._part(folders[0][0], True)).withColumn("is_current", F.lit(True))
+        slice_ = self.spark.read.parquet(*[self._part(f, True, n) for n, f in held.items()]).withColumn("is_current", F.lit(True))
         if not closed:
             return slice_
-        return slice_.unionByName(self.spark.read.parquet(*closed).withColumn("is_current", F.lit(False)))
+        rows = self.spark.read.option("recursiveFileLookup", True).parquet(*[self._part(f, False) for f in closed])
+        return slice_.unionByName(rows.withColumn("is_current", F.lit(False)))
 
     def expire_slices(self, keep: int = 2) -> list[str]:
-        """Delete current slices but the newest ``keep``; the history stays. Returns the dates concerned.
+        """Forget current rows as of all loads but the newest ``keep``; the history stays. Returns the dates concerned.
 
-        Dates up to those can no longer be loaded anew.
+        Buckets that a kept load still refers to stay. Dates up to those can no longer be loaded anew.
         """
         number, loads = self.manifest.read()
-        old = [day for day in list(loads)[:-keep] if loads[day]["slice"]]
+        old = [day for day in list(loads)[:-keep] if loads[day]["slice"] is not None]
         if old:
-            self.manifest.publish(number, {d: {**x, "slice": x["slice"] and d not in old} for d, x in loads.items()})
-            for day in old:
-                remove(self.spark, self._part(loads[day]["folder"], True))
+            self.manifest.publish(number, {d: {**x, "slice": None if d in old else x["slice"]} for d, x in loads.items()})
+            needed = {part for d, x in loads.items() if d not in old for part in (x["slice"] or {}).items()}
+            for part in {part for d in old for part in loads[d]["slice"].items()} - needed:
+                remove(self.spark, self._part(part[1], True, part[0]))
         return old
 
     def next_versions(self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None) -> DataFrame:
-        """Rows that a load of ``snapshot`` has to write: the merged slice and the versions it closes."""
-        return self._versions(self.current(before=snapshot), batch, now, latest_by)
+        """All rows after a load of ``snapshot``: the merged current ones and the versions it closes."""
+        return self._versions(self.current(before=snapshot), self._unique(batch, latest_by), now)
 
     @staticmethod
-    def _versions(before: DataFrame | None, batch: DataFrame, now: str, latest_by: str | None) -> DataFrame:
-        if before is not None:
-            return merge_current(before, batch, now, latest_by)
-        if latest_by is not None:
-            batch = deduplicate_by_key(batch, KEYS, latest_by, tie_breaks=["record_hash"])
-        return first_versions(batch, now)
-
-    def _write(self, before: DataFrame | None, batch: DataFrame, snapshot: str, now: str, latest_by: str | None) -> tuple[dict, dict]:
-        """Writes a new folder; its manifest entry and the rows current, opened and closed."""
-        seen = Observation()
-        rows = self._versions(before, batch, now, latest_by).observe(
-            seen,
-            F.count_if("is_current").alias("current"),
-            F.count_if(F.col("is_current") & (F.col("valid_from") == F.lit(now).cast("timestamp"))).alias("opened"),
-            F.count_if(~F.col("is_current")).alias("closed"),
+    def _unique(batch: DataFrame, latest_by: str | None) -> DataFrame:
+        return batch if latest_by is None else deduplicate_by_key(batch, KEYS, latest_by, tie_breaks=["record_hash"])
+
+    @staticmethod
+    def _versions(before: DataFrame | None, batch: DataFrame, now: str) -> DataFrame:
+        return first_versions(batch, now) if before is None else merge_current(before, batch, now)
+
+    def changes(self, held: dict[str, str], batch: DataFrame) -> dict[str, tuple[int, int]]:
+        """Keys that a batch opens and changes, by bucket; buckets with neither are left out.
+
+        Reads the keys and hashes of the current rows only; one row per bucket comes back.
+        """
+        old = self._slice(held).select(*KEYS, F.col("record_hash").alias("old_hash"), F.lit(True).alias("known"))
+        paired = batch.select(*KEYS, "record_hash").join(old, KEYS, "left")
+        differs = F.col("known") & ~F.col("record_hash").eqNullSafe(F.col("old_hash"))
+        counted = paired.groupBy(self.bucket().alias("bucket")).agg(
+            F.count_if(F.col("known").isNull()).alias("opened"), F.count_if(differs).alias("changed")
         )
-        folder = new_load(snapshot)
+        return {str(r["bucket"]): (r["opened"], r["changed"]) for r in counted.where("opened + changed > 0").collect()}
+
+    def _write(self, earlier: dict | None, batch: DataFrame, snapshot: str, now: str, latest_by: str | None) -> tuple[dict, dict]:
+        """Writes a new folder with the buckets that the batch touches; its manifest entry and the rows current, opened
+        and closed."""
+        batch = self._unique(batch, latest_by).persist()
+        try:
+            held = self._held(earlier) if earlier else {}
+            folder = new_load(snapshot)
+            if earlier:
+                touched = self.changes(held, batch)
+                opened, closed = (sum(x[k] for x in touched.values()) for k in (0, 1))
+                entry = {"folder": folder, "slice": {**held, **dict.fromkeys(touched, folder)}, "closed": closed > 0}
+                if touched:
+                    inside = self.bucket().isin([int(n) for n in touched])
+                    known = {n: f for n, f in held.items() if n in touched}
+                    # A bucket without rows so far has no folder, and its rows meet none.
+                    before = self._slice(known or held).where(inside).drop("bucket").withColumn("is_current", F.lit(True))
+                    self._put(self._versions(before, batch.where(inside), now), folder, spread=False)
+                counts = {"current": earlier["current"] + opened, "opened": opened + closed, "closed": closed}
+            else:
+                rows = first_versions(batch, now)
+                found = {r["bucket"]: r["count"] for r in batch.groupBy(self.bucket().alias("bucket")).count().collect()}
+                if found:
+                    self._put(rows, folder, spread=True)
+                else:  # no row, no folder: readers still need the columns
+                    rows.drop("is_current").write.parquet(self._part(folder, True, "0"))
+                numbers, current = sorted(found) or [0], sum(found.values())
+                entry = {"folder": folder, "slice": {str(n): folder for n in numbers}, "closed": False}
+                counts = {"current": current, "opened": current, "closed": 0}
+            return {**entry, "current": counts["current"]}, counts
+        finally:
+            batch.unpersist()
+
+    def _put(self, rows: DataFrame, folder: str, spread: bool) -> None:
         place = f"{self.path}/{folder}"
-        if self.buckets:
-            # A join with the bucketed slice leaves one bucket per task; a first load has no such join.
-            if before is None:
-                rows = rows.repartition(self.buckets, *KEYS)
-            name = self._table_name(f"{folder}|write")
-            (
-                rows.write.partitionBy("is_current")
-                .bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", place)
-                .option("partitionOverwriteMode", "static").saveAsTable(name)
-            )
-            self.spark.sql(f"DROP TABLE {name}")
-        else:
-            (
-                rows.sortWithinPartitions("is_current", "content_type", "published_at")
-                .write.partitionBy("is_current").parquet(place)
-            )
-        counts = seen.get
-        if not counts["current"]:  # no row, no folder: readers still need the columns
-            rows.where("is_current").drop("is_current").limit(0).write.mode("overwrite").parquet(self._part(folder, True))
-        return {"folder": folder, "slice": True, "closed": counts["closed"] > 0}, counts
+        rows = rows.withColumn("bucket", self.bucket())
+        if not self.buckets:
+            rows.sortWithinPartitions("is_current", "content_type", "published_at").write.partitionBy("is_current", "bucket").parquet(place)
+            return
+        # A join with bucketed rows leaves one bucket per task; a first load has no such join.
+        if spread:
+            rows = rows.repartition(self.buckets, *KEYS)
+        name = self._table_name(f"{folder}|write")
+        (
+            rows.write.partitionBy("is_current", "bucket").bucketBy(self.buckets, *KEYS).sortBy(*KEYS)
+            .option("path", place).option("partitionOverwriteMode", "static").saveAsTable(name)
+        )
+        self.spark.sql(f"DROP TABLE {name}")
 
     def load(
         self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None,
@@ -328,16 +371,16 @@ class CoreTable:
         if later and replay is None:
             raise ValueError(f"{snapshot} lies before {later[0]}, which is loaded: its batch is needed to load it again")
         earlier = [load for day, load in loads.items() if day < snapshot]
-        before = self._current_of(earlier[-1]) if earlier else None
+        before = earlier[-1] if earlier and earlier[-1]["current"] else None
         made, result = {}, None
         for day in [snapshot, *later]:
             own_batch, own_now = (batch, now) if day == snapshot else replay(day)
             made[day], counts = self._write(before, own_batch, day, own_now, latest_by)
-            before = self._current_of(made[day])
+            before = made[day] if made[day]["current"] else None
             result = result or counts
         self.manifest.publish(number, {**loads, **made})
         for day in made:
-            if day in loads:
+            if day in loads:  # later loads, which alone refer to it, have been merged anew
                 remove(self.spark, f"{self.path}/{loads[day]['folder']}")
         return result
 
