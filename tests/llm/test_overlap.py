@@ -48,8 +48,8 @@ def test_against_all_pairs(spark):
 
 def test_components_across_blocks(spark, monkeypatch):
     """Blocks of a few documents: links within them, between those that stand for components, and of the others."""
-    for name in ("BLOCK_TOKENS", "BLOCK_DOCS"):
-        monkeypatch.setattr(overlap, name, 150 if name == "BLOCK_TOKENS" else 3)
+    for name in ("BLOCK_TOKENS", "BLOCK_DOCS", "COUNTED"):
+        monkeypatch.setattr(overlap, name, 3 if name == "BLOCK_DOCS" else 150)
     texts = corpus(11)
     for many in (32, 1):  # with 1, most shingles are in too many blocks to be listed
         monkeypatch.setattr(overlap, "MANY", many)

@@ -42,11 +42,12 @@ from ..session import materialized
 from .graph import components
 from .setsketch import shingle_sets
 from .tallies import (
-    BLOCK_TOKENS, answers, bucketed, dealt, gathered, pack, pack_sorted, shard_count, unpack, unpack_sorted,
+    BLOCK_TOKENS, answers, bucketed, dealt, dropped, gathered, pack, pack_sorted, shard_count, unpack, unpack_sorted,
 )
 from .words import bounded
 
 BLOCK_DOCS = 1 << 14
+COUNTED = 1 << 19  # shingles of a block that is only counted
 MANY = 32
 PROBE_COST = 0.05
 
@@ -189,7 +190,7 @@ def shingled(docs: DataFrame, size: int, percent: int, key: str, text: str) -> D
                 ids.append(own)
                 sets.append(shingles)
                 total += len(shingles) + 1
-                if total >= BLOCK_TOKENS:
+                if total >= COUNTED:
                     yield done()
                     made, ids, sets, total = made + 1, [], [], 0
         if ids:
@@ -222,7 +223,9 @@ def shingled(docs: DataFrame, size: int, percent: int, key: str, text: str) -> D
     weight = blocks.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     totals = answers(dealt(blocks, shard_count(spark, weight // 6)))
     own = blocks.drop("counts").join(totals, "block", "left").mapInArrow(sift, "id string, n long, digest binary, least long, shingles binary")
-    return materialized(spark, own.withColumn("id", F.col("id").cast(key_type)), "overlap-sets")
+    own = materialized(spark, own.withColumn("id", F.col("id").cast(key_type)), "overlap-sets")
+    dropped(blocks)
+    return own
 
 
 INDEX = ("sizes", "shingles", "digests", "keys", "counts", "groups")
@@ -472,6 +475,7 @@ def similarity_classes(
     )).alias("at", "digest")).select((F.shiftleft("block", 22) + F.col("at")).alias("vid"), "digest")
     tree = vids.join(reached.withColumnRenamed("id", "vid"), "vid").join(classes.select("digest", "id"), "digest")
     tree = materialized(spark, tree.select("digest", "root", "id"), "overlap-tree")
+    dropped(blocks)
     linked = tree.join(tree.groupBy("root").agg(F.min("id").alias("smallest")), "root").select("digest", "smallest")
     smallest = classes.select("digest", "id").join(linked, "digest", "left").select(
         "digest", F.coalesce("smallest", "id").alias("smallest")
