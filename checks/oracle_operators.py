@@ -289,6 +289,15 @@ OPERATORS: dict[str, str] = {
     "l01_streamed_gold": with_views("doc_real doc_checked", """
         select content_id, topic_name, record_hash, null::varchar reason from doc_real
         union all select content_type || '_' || id, null, null, reason from doc_checked where reason is not null"""),
+    "l02_closed_hours": """
+        select date_trunc('hour', ts) window_start, date_trunc('hour', ts) + interval 1 hour window_end, event_type,
+               count(*) content_count
+        from events group by 1, 2, 3
+        having window_end <= (select max(ts) from events) - interval 1 day""",
+    "l02_unique_hours": """
+        select date_trunc('hour', ts) window_start, date_trunc('hour', ts) + interval 1 hour window_end, event_type,
+               count(*) content_count
+        from events group by 1, 2, 3""",
     "l02_streamed_hours": """
         select date_trunc('hour', ts) window_start, date_trunc('hour', ts) + interval 1 hour window_end, event_type,
                count(*) content_count

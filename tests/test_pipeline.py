@@ -13,7 +13,7 @@ from tidewire.sources import bronze
 from tidewire.sources.tables import (
     CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv,
 )
-from tidewire.streaming import incremental
+from tidewire.streaming import incremental, stateful
 
 DAY1, DAY2 = "2026-02-17", "2026-02-18"
 
@@ -287,8 +287,8 @@ def test_windows_count_late_rows(spark):
         spark.sql(f"SELECT timestamp'{moment}' AS t, 'a' AS kind").coalesce(1).write.mode("append").parquet(root)
         stream = spark.readStream.schema("t timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(root)
         incremental.count_windows_once(stream, "t", ["kind"], out, f"{out}-checkpoint")
-        assert incremental.read_windows(spark, out, ["kind"]).selectExpr("sum(content_count)").first()[0] == n + 1
-    found = incremental.read_windows(spark, out, ["kind"]).orderBy("window_start").collect()
+        assert stateful.read_windows(spark, out, ["kind"]).selectExpr("sum(content_count)").first()[0] == n + 1
+    found = stateful.read_windows(spark, out, ["kind"]).orderBy("window_start").collect()
     assert [(r.window_start.day, r.content_count) for r in found] == [(1, 1), (3, 2)]
 
 

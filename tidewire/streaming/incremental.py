@@ -19,7 +19,6 @@ from tidewire.functions.text import TopicWords
 from tidewire.operators.content import enrich, with_lineage, with_parsed_times
 from tidewire.operators.validate import REASON, silver_reason, to_quarantine
 from tidewire.schemas import CORRUPT, LINE, SILVER_COLUMNS
-from tidewire.session import path_exists
 from tidewire.sources.bronze import parsed_lines
 from tidewire.sources.tables import CoreTable
 
@@ -90,11 +89,14 @@ def core_merge(core: CoreTable, gold: str, batch_of: Callable[[DataFrame], DataF
 
 
 def ingest_once(
-    spark: SparkSession, root: str, out: str, run_id: str, merge: Callable[[SparkSession, list[str]], None] | None = None
+    spark: SparkSession, root: str, out: str, run_id: str, merge: Callable[[SparkSession, list[str]], None] | None = None,
+    forget_after: str | None = None,
 ) -> None:
     """One incremental pass: valid rows to gold, the others to quarantine, both from one parsed and checked batch.
 
-    ``merge`` is then given the load dates of the batch's valid rows.
+    ``merge`` is then given the load dates of the batch's valid rows. With ``forget_after`` (such as '7 days') a record
+    that was landed before as it is, in whichever file and batch, is dropped; landed records are remembered for so long
+    by load date, and files of load dates further back than that are no longer taken.
     """
     parts = ["content_type", "ingest_date"]
 
@@ -110,7 +112,11 @@ def ingest_once(
         finally:
             found.unpersist()
 
-    run_batches(stream_content(spark, root), each, f"{out}/_checkpoints/content").awaitTermination()
+    stream = stream_content(spark, root)
+    if forget_after:
+        stream = stream.withColumn("_landed", F.col("ingest_date").cast("timestamp"))
+        stream = stream.withWatermark("_landed", forget_after).dropDuplicatesWithinWatermark(["content_type", LINE]).drop("_landed")
+    run_batches(stream, each, f"{out}/_checkpoints/content").awaitTermination()
 
 
 def windowed_counts(rows: DataFrame, moment: str, by: list[str], window: str = "1 hour") -> DataFrame:
@@ -124,16 +130,9 @@ def windowed_counts(rows: DataFrame, moment: str, by: list[str], window: str = "
 def count_windows_once(stream: DataFrame, moment: str, by: list[str], path: str, checkpoint: str, window: str = "1 hour") -> None:
     """Counts per window of everything that is new, added to those of earlier runs.
 
-    Each batch writes its own partial counts, however late its rows are; ``read_windows`` adds them up. So no row is
-    dropped for its age, no window waits for a watermark, and no state is kept.
+    Each batch writes its own partial counts, however late its rows are; ``stateful.read_windows`` adds them up. So no row
+    is dropped for its age, no window waits for a watermark, and no state is kept.
     """
     run_batches(
         stream, lambda batch, number: write_batch(windowed_counts(batch, moment, by, window), number, path), checkpoint
     ).awaitTermination()
-
-
-def read_windows(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
-    """Counts per window over all batches; no rows before the first run."""
-    if not path_exists(spark, path):
-        raise ValueError(f"no counts below {path}")
-    return spark.read.parquet(path).groupBy("window_start", "window_end", *by).agg(F.sum("content_count").alias("content_count"))
