@@ -19,9 +19,9 @@ from tidewire.functions.text import (
 from tidewire.operators import content as C
 from tidewire.operators import dedup, dimensions, quality, scd2, trends, validate
 from tidewire.operators.insights import daily_insights
-from tidewire.plans import monitoring, pipeline
+from tidewire.plans import changes, monitoring, pipeline
 from tidewire.schemas import CORRUPT, RELATIONS, SITE_DIMENSION
-from tidewire.session import configure, materialized, scratch_path
+from tidewire.session import configure, materialized, path_exists, scratch_path
 from tidewire.sources import bronze, tables
 from tidewire.streaming import incremental, stateful
 
@@ -606,11 +606,18 @@ def unofficial_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unofficial_sites(A.documents_silver(spark, sf_dir, A.english_sites(spark, sf_dir)))
 
 
+_DAYS: dict[tuple[str, str], tables.Lake] = {}
+
+
 def _run_day(spark: SparkSession, sf_dir: str) -> tables.Lake:
-    """All jobs over the landed documents, as one load date."""
+    """All jobs over the landed documents, as one load date. The queries over what jobs write share one run a session."""
+    label = (spark.sparkContext.applicationId, sf_dir)
+    if label in _DAYS and path_exists(spark, _DAYS[label].core("meta_pipeline_runs")):
+        return _DAYS[label]
     bronze_root = landed_bronze(spark, sf_dir)
     lake = tables.Lake(bronze_root.rsplit("/", 1)[0] + "/lake-" + bronze_root.rsplit("-", 1)[1], bronze_root)
     pipeline.run_day(spark, lake, A.DOC_AS_OF)
+    _DAYS[label] = lake
     return lake
 
 
@@ -622,12 +629,63 @@ def job_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily summary that the jobs wrote, per day and type."""
-    found = spark.read.parquet(_run_day(spark, sf_dir).core("agg_daily_summary"))
+    found = changes.summary(spark.read.parquet(_run_day(spark, sf_dir).core(changes.SUMMARY_CHANGES)))
     return found.groupBy("date", "content_type").agg(
         F.sum("content_count").alias("content_count"), F.sum("featured_count").alias("featured_count")
     )
 
 
+def _loaded_documents(spark: SparkSession, sf_dir: str, buckets: int = 8) -> tables.Lake:
+    """Enriched documents through two loads that the change tables follow: in the first, every third document has its
+    words in another order and another topic, and every fifth is missing."""
+    lake = tables.Lake(scratch_path(spark, "lake"))
+    core = tables.CoreTable(spark, lake.core(), buckets)
+    final = materialized(spark, pipeline.core_batch(A.documents_gold(spark, sf_dir)), "final")
+    number = F.crc32(F.col("content_id").cast("binary"))
+    early = final.where(number % 5 != 0).withColumns({
+        "topic_name": F.when(number % 3 == 0, "Draft").otherwise(F.col("topic_name")),
+        "keyword_list": F.when(number % 3 == 0, F.slice("keyword_list", 1, 20)).otherwise(F.col("keyword_list")),
+        "record_hash": F.when(number % 3 == 0, "draft").otherwise(F.col("record_hash")),
+    })
+    days = [day for day, _ in A.SCD_LOADS[:2]]
+    for (day, now), batch in zip(A.SCD_LOADS[:2], (early, final), strict=True):
+        core.load(batch, day, now)
+    changes.changes_job(spark, lake, days, buckets)
+    return lake
+
+
+def stored_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report 5.2 from keyword counts that followed two loads."""
+    return changes.top_keywords(spark.read.parquet(_loaded_documents(spark, sf_dir).core(changes.KEYWORD_CHANGES)))
+
+
+def stored_topic_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report 5.3 from keyword counts that followed two loads."""
+    return changes.keywords_by_topic(spark.read.parquet(_loaded_documents(spark, sf_dir).core(changes.KEYWORD_CHANGES)))
+
+
+def _loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary changes of customers' latest orders over three loads."""
+    lake = tables.Lake(scratch_path(spark, "lake"))
+    core = tables.CoreTable(spark, lake.core())
+    extra = {"news_site": F.substring("title", -1, 1), "featured": F.col("title").endswith("7"), "keyword_list": F.array("topic_name")}
+    for until, now in A.SCD_LOADS:
+        core.load(A.customer_batch(spark, sf_dir, until).withColumns(extra), until, now)
+    changes.changes_job(spark, lake, core.snapshots())
+    return spark.read.parquet(lake.core(changes.SUMMARY_CHANGES))
+
+
+def followed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary after the third load, from the changes of all three."""
+    return changes.summary(_loaded_orders(spark, sf_dir))
+
+
+def followed_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics per month as of the second load, from the changes."""
+    until, _ = A.SCD_LOADS[1]
+    return changes.monthly(_loaded_orders(spark, sf_dir), "topic_name", until, A.FIXED_NOW).drop("calculated_at")
+
+
 def job_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report 9.3 over the check table that the jobs wrote."""
     checks = spark.read.parquet(_run_day(spark, sf_dir).core("meta_data_quality_checks"))
@@ -773,6 +831,10 @@ OPERATOR_QUERIES = {
     "k09_3_job_checks": job_checks,
     "k11_job_summary": job_summary,
     "m01_job_issues": job_issues,
+    "d01_followed_trends": followed_trends,
+    "k05_2_stored_keywords": stored_keywords,
+    "k05_3_stored_keywords": stored_topic_keywords,
+    "k11_followed_summary": followed_summary,
     "k11_daily_summary": _table(A.orders_content, trends.daily_summary),
     "l01_streamed_gold": streamed_gold,
     "l02_closed_hours": closed_hours,

@@ -283,6 +283,15 @@ OPERATORS: dict[str, str] = {
         select *, {pct('affected_records', 'total_records')} failure_rate,
                if(affected_records * 100 > total_records * 50, 'CRITICAL', 'WARNING') severity,
                date '2024-07-01' ingest_date from i"""),
+    "d01_followed_trends": with_views("cust", """
+        select strftime(published_at, '%Y-%m') year_month, topic_name, content_type, count(*) content_count,
+               date '1999-01-01' ingest_date
+        from cust where valid_from <= timestamp '1999-01-01 06:00:00' and valid_to > timestamp '1999-01-01 06:00:00'
+        group by all"""),
+    "k11_followed_summary": with_views("cust", """
+        select cast(published_at as date) "date", content_type, right(title, 1) news_site, topic_name,
+               count(*) content_count, count(*) filter (title like '%7') featured_count
+        from cust where is_current group by 1, 2, 3, 4"""),
     "k11_daily_summary": with_views("ord", """
         select cast(published_at as date) "date", content_type, news_site, topic_name, count(*) content_count,
                count(*) filter (featured) featured_count from ord group by 1, 2, 3, 4"""),

@@ -292,3 +292,9 @@ REPORTS: dict[str, str] = {
                           + greatest(100 - days_since_last * 10, 0) * 0.3, 2) as double) reliability_score
         from c order by reliability_score desc, news_site limit 30"""),
 }
+
+# The same reports from tables that follow the loads.
+REPORTS |= {
+    "k05_2_stored_keywords": REPORTS["k05_2_top_keywords"],
+    "k05_3_stored_keywords": REPORTS["k05_3_keywords_by_topic"],
+}

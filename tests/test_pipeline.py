@@ -97,7 +97,7 @@ def test_day_by_day(spark, lake):
 def test_written_tables_answer_sql(spark, lake):
     assert list(P.backfill(spark, lake, [DAY2, DAY1], buckets=2)) == [DAY1, DAY2]
     names = publish_views(spark, lake)
-    assert len(names) == 9
+    assert len(names) == 12
     versions = spark.sql(
         "SELECT content_id, COUNT(*) n, SUM(INT(is_current)) c FROM core.content_items GROUP BY 1 HAVING COUNT(*) > 1")
     assert [tuple(r) for r in versions.collect()] == [("articles_2", 2, 1)]

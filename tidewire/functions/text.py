@@ -106,7 +106,7 @@ def enrich_text(
     df: DataFrame, topics: TopicWords = TOPIC_KEYWORDS, entities: TopicWords = ENTITY_NAMES,
     match: str = "substring",
 ) -> DataFrame:
-    """Add keywords, entities and topic_name from title and summary.
+    """Add keywords (as joined text and as a list), entities and topic_name from title and summary.
 
     Built in narrow steps, so that the lowered text, the token list and the scores are each
     computed once per row and then only searched. The results leave through ``inline`` of a
@@ -116,12 +116,14 @@ def enrich_text(
     lowered, joined, scores = F.col("_lowered"), F.col("_joined"), F.col("_scores")
     steps = (
         df.withColumn("_lowered", F.lower(analysis_text()))
-        .withColumn("_words", F.concat_ws(",", _words(lowered)))
+        .withColumn("_list", _words(lowered))
+        .withColumn("_words", F.concat_ws(",", "_list"))
         .withColumn("_joined", F.concat(F.lit(","), F.col("_words"), F.lit(",")))
         .withColumn("_scores", topic_scores(lowered, joined, topics, match))
     )
     facts = F.struct(
         F.col("_words").alias("keywords"),
+        F.col("_list").alias("keyword_list"),
         entity_list(lowered, entities).alias("entities"),
         best_topic(scores, topics).alias("topic_name"),
     )

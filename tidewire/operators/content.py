@@ -110,13 +110,15 @@ def exploded_items(
 ) -> DataFrame:
     """One row per long enough list item of comma-joined text, with only the ``keep`` columns beside it.
 
+    Keywords that the frame also holds as a list (``keyword_list``) are taken from there, and no text is split.
     With ``distinct`` an item counts once per content row, which is what a distinct count over
     the row key asks for, without shuffling the row keys.
     """
-    items = split_list(F.col(joined))
+    stored = joined == "keywords" and "keyword_list" in content.columns
+    items = F.col("keyword_list") if stored else split_list(F.col(joined))
     if distinct:
         items = F.array_distinct(items)
-    rows = content.where(F.col(joined).isNotNull()).select(*keep, F.explode(items).alias(item))
+    rows = content.where(F.col("keyword_list" if stored else joined).isNotNull()).select(*keep, F.explode(items).alias(item))
     return rows.where(F.length(item) >= min_length)
 
 

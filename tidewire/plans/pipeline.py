@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.fixed_values import ENTITY_NAMES, HASH_COLUMNS, SITE_ACTIVITY_COLUMNS, STAGING_COLUMNS, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
-from tidewire.functions.text import TopicWords
+from tidewire.functions.text import TopicWords, split_list
 from tidewire.operators.content import enrich, to_silver, typed_staging
 from tidewire.operators.dimensions import topic_dimension, upsert_sites
 from tidewire.operators.insights import daily_insights
 from tidewire.operators.quality import failed_run, issue_rows, record_content_checks, record_runs
-from tidewire.operators.trends import daily_summary, site_activity, topic_trends, typed_aggregate
+from tidewire.operators.trends import site_activity, topic_trends, typed_aggregate
 from tidewire.operators.validate import REASON, normalize_content, silver_reason, to_quarantine
+from tidewire.plans.changes import changes_job
 from tidewire.schemas import CORE_COLUMNS, CORRUPT, QUARANTINE_REASONS, SITE_DIMENSION
 from tidewire.session import path_exists
 from tidewire.sources import bronze
@@ -111,6 +112,7 @@ def core_batch(gold: DataFrame) -> DataFrame:
 def staged_batch(spark: SparkSession, csv_path: str) -> DataFrame:
     """The same batch read from staging CSV files."""
     typed = typed_staging(read_staging_csv(spark, csv_path))
+    typed = typed.withColumn("keyword_list", F.filter(split_list(F.col("keywords")), lambda word: word != ""))
     return typed.select(*[c for c in CORE_COLUMNS if c in typed.columns])
 
 
@@ -175,10 +177,11 @@ def quality_job(spark: SparkSession, lake: Lake, ingest_date: str, now: str) ->
     return replace_dates(found, lake.core("meta_quality_issues"), [ingest_date])
 
 
-def summary_job(spark: SparkSession, lake: Lake, ingest_date: str) -> dict:
-    """The table's current rows counted per publishing day, type, site and topic, as of the load date."""
-    summary = daily_summary(CoreTable(spark, lake.core()).state()).withColumn("ingest_date", F.lit(ingest_date).cast("date"))
-    return replace_dates(summary, lake.core("agg_daily_summary"), [ingest_date])
+def summary_job(spark: SparkSession, lake: Lake, ingest_date: str, buckets: int | None = 8) -> dict:
+    """The changes that the load of a date made to the daily summary and to the keyword tables, and those of the dates
+    loaded after it, which were merged again on top of it."""
+    core = CoreTable(spark, lake.core(), buckets)
+    return changes_job(spark, lake, [day for day in core.snapshots() if day >= ingest_date], buckets)
 
 
 def metadata_job(
@@ -228,7 +231,7 @@ def run_day(
         stats["core"] = load_core_job(spark, lake, ingest_date, opened_at(ingest_date), buckets=buckets)
         stats["aggregates"] = load_aggregates_job(spark, lake, ingest_date, from_csv=csv)
         stats["quality"] = quality_job(spark, lake, ingest_date, started)
-        stats["summary"] = summary_job(spark, lake, ingest_date)
+        stats["summary"] = summary_job(spark, lake, ingest_date, buckets)
         metadata_job(spark, lake, ingest_date, started, _now(), stats["clean"]["invalid_count"])
         insights_job(spark, lake, ingest_date)
     except Exception as error:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tidewire.plans.changes import KEYWORD_CHANGES, POSTINGS, SUMMARY_CHANGES, SUMMARY_KEYS
 from tidewire.session import path_exists
 from tidewire.sources.tables import CoreDimension, CoreTable, Lake
 
 
+CHANGE_TABLES = (SUMMARY_CHANGES, POSTINGS, KEYWORD_CHANGES)
+
+
 def publish_views(spark: SparkSession, lake: Lake, database: str = "core") -> list[str]:
     """Create or refresh ``core.content_items`` and its companions; returns the names created.
 
@@ -34,8 +38,16 @@ def publish_views(spark: SparkSession, lake: Lake, database: str = "core") -> li
         folder = CoreDimension(spark, lake.core(table)).newest()
         if folder:
             bodies[table] = f"SELECT * FROM parquet.`{folder}`"
-    for table in ("agg_topic_monthly_trends", "agg_news_site_monthly_activity", "agg_daily_summary", "meta_quality_issues"):
+    for table in ("agg_topic_monthly_trends", "agg_news_site_monthly_activity", "meta_quality_issues", *CHANGE_TABLES):
         bodies[table] = f"SELECT * FROM parquet.`{lake.core(table)}`"
+    if path_exists(spark, lake.core(SUMMARY_CHANGES)):
+        # As of each load date: the sum of all changes up to it. A filter on ingest_date picks the date.
+        keys, source = ", ".join(f"c.{k}" for k in SUMMARY_KEYS), f"parquet.`{lake.core(SUMMARY_CHANGES)}`"
+        bodies["agg_daily_summary"] = (
+            f"SELECT {keys}, sum(c.content_count) AS content_count, sum(c.featured_count) AS featured_count, d.ingest_date "
+            f"FROM (SELECT DISTINCT ingest_date FROM {source}) d JOIN {source} c ON c.ingest_date <= d.ingest_date "
+            f"GROUP BY d.ingest_date, {keys} HAVING sum(c.content_count) <> 0"
+        )
     bodies["meta_pipeline_runs"] = (
         "SELECT *, ingest_date AS run_date, run_type AS pipeline_name, run_status AS status, "
         f"duration_seconds AS execution_time_seconds FROM parquet.`{lake.core('meta_pipeline_runs')}`"
@@ -47,7 +59,7 @@ def publish_views(spark: SparkSession, lake: Lake, database: str = "core") -> li
     )
     created = []
     for table, body in bodies.items():
-        if table in ("content_items", "ref_news_sites", "ref_topics") or path_exists(spark, lake.core(table)):
+        if table in ("content_items", "ref_news_sites", "ref_topics", "agg_daily_summary") or path_exists(spark, lake.core(table)):
             spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS {body}")
             created.append(f"{database}.{table}")
     return created

@@ -60,14 +60,14 @@ SILVER_COLUMNS = [
     "news_site_validated", "record_hash",
 ]
 
-# The staging column order is also the gold order; the membership flag is kept at the end.
-GOLD_COLUMNS = [*STAGING_COLUMNS, "news_site_validated"]
+# The staging column order is also the gold order; the membership flag and the keywords as a list are kept at the end.
+GOLD_COLUMNS = [*STAGING_COLUMNS, "news_site_validated", "keyword_list"]
 
 CORE_COLUMNS = [
     "content_pk", "content_id", "content_type", "title", "url", "image_url", "news_site", "summary",
     "published_at", "updated_at", "published_year", "published_month", "published_day", "keywords", "entities",
     "topic_name", "authors_json", "launches_json", "events_json", "featured", "source_system", "ingest_date",
-    "record_hash", "version", "valid_from", "valid_to", "is_current", "created_at", "updated_db_at",
+    "record_hash", "version", "valid_from", "valid_to", "is_current", "created_at", "updated_db_at", "keyword_list",
 ]
 
 SITE_DIMENSION = T.StructType(

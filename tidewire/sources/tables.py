@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +78,11 @@ def write_with_stats(
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
-    return {**seen.get, "columns": len(df.columns)}
+    try:
+        found = seen.get
+    except Py4JJavaError:  # the plan turned out to be empty before any task ran, so nothing was observed
+        found = {"records": 0, **dict.fromkeys(metrics or {})}
+    return {**found, "columns": len(df.columns)}
 
 
 def write_dates(
@@ -270,6 +275,30 @@ class CoreTable:
         rows = self.spark.read.option("recursiveFileLookup", True).parquet(*[self._part(f, False) for f in closed])
         return slice_.unionByName(rows.withColumn("is_current", F.lit(False)))
 
+    def _load(self, day: str) -> tuple[dict, dict[str, dict]]:
+        loads = self.manifest.read()[1]
+        if day not in loads:
+            raise ValueError(f"{day} is not loaded")
+        return loads[day], loads
+
+    def opened(self, day: str) -> DataFrame:
+        """Rows that the load of a day made current. Reads the buckets that it wrote; loads must differ in their time."""
+        load, loads = self._load(day)
+        if [x["at"] for x in loads.values()].count(load["at"]) > 1:
+            raise ValueError(f"{day} was loaded at the same time as another date")
+        held = {n: f for n, f in self._held(load).items() if f == load["folder"]}
+        rows = self.spark.read.parquet(*[self._part(f, True, n) for n, f in (held or load["slice"]).items()])
+        mine = (F.col("valid_from") == F.lit(load["at"]).cast("timestamp")) if held else F.lit(False)
+        return rows.where(mine).withColumn("is_current", F.lit(True))
+
+    def closed(self, day: str) -> DataFrame | None:
+        """Versions that the load of a day closed, if any."""
+        load, _ = self._load(day)
+        if not load["closed"]:
+            return None
+        rows = self.spark.read.option("recursiveFileLookup", True).parquet(self._part(load["folder"], False))
+        return rows.withColumn("is_current", F.lit(False))
+
     def expire_slices(self, keep: int = 2) -> list[str]:
         """Forget current rows as of all loads but the newest ``keep``; the history stays. Returns the dates concerned.
 
@@ -337,7 +366,7 @@ class CoreTable:
                 numbers, current = sorted(found) or [0], sum(found.values())
                 entry = {"folder": folder, "slice": {str(n): folder for n in numbers}, "closed": False}
                 counts = {"current": current, "opened": current, "closed": 0}
-            return {**entry, "current": counts["current"]}, counts
+            return {**entry, "current": counts["current"], "at": str(now)}, counts
         finally:
             batch.unpersist()
 
