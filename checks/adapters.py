@@ -243,3 +243,8 @@ def daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "error_message",
         F.col("created_at").alias("checked_at"),
     )
+
+
+# A dictionary by rule: all names of three of these parts; the first part names the topic.
+NAME_PARTS = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "or", "nt", "ea", "ti"]
+LARGE_DICTIONARY = {a: [a + b + c for b in NAME_PARTS for c in NAME_PARTS] for a in NAME_PARTS}

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from checks import adapters as A
 from tidewire.fixed_values import ENTITY_NAMES, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
-from tidewire.functions.clock import parse_timestamp
+from tidewire.functions.clock import month_label, month_start, parse_timestamp
 from tidewire.functions.measures import json_or_empty_list, record_hash
 from tidewire.functions.text import (
-    analysis_text, entity_records, positive_topics, register_sql_functions, tokenize, topic_scores,
+    enrich_text, analysis_text, entity_records, positive_topics, register_sql_functions, tokenize, topic_scores,
 )
 from tidewire.operators import content as C
 from tidewire.operators import dedup, dimensions, quality, scd2, trends, validate
 from tidewire.operators.insights import daily_insights
-from tidewire.plans import changes, monitoring, pipeline
+from tidewire.plans import changes, monitoring, pipeline, sketches
 from tidewire.schemas import CORRUPT, RELATIONS, SITE_DIMENSION
 from tidewire.session import configure, materialized, path_exists, scratch_path
 from tidewire.sources import bronze, tables
@@ -375,6 +375,12 @@ def typed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic and entities by a dictionary of 4,913 names."""
+    enriched_rows = enrich_text(A.documents_silver(spark, sf_dir), A.LARGE_DICTIONARY, A.LARGE_DICTIONARY)
+    return enriched_rows.select("content_id", "topic_name", F.md5(F.col("entities").cast("binary")).alias("entities_md5"))
+
+
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     register_sql_functions(spark, A.TEST_TOPICS, A.TEST_ENTITIES)
@@ -675,6 +681,20 @@ def _loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(lake.core(changes.SUMMARY_CHANGES))
 
 
+def sketched_distincts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct order sites and topics per month from united sketches, next to the exact counts."""
+    orders = A.orders_content(spark, sf_dir)
+    rows = materialized(spark, sketches.day_sketches(orders), "sketches")
+    estimates = sketches.united(rows, month_start("date"))
+    exact = orders.groupBy(month_start("published_at")).agg(
+        F.count_distinct("content_id").alias("items"), F.count_distinct("news_site").alias("sites"), F.count_distinct("topic_name").alias("topics")
+    )
+    close = [F.abs(F.col(f"{c}_estimate") - F.col(c)) <= 0.03 * F.col(c) for c in sketches.COUNTED]
+    return exact.join(estimates, "month_start").select(
+        month_label(F.col("month_start")).alias("year_month"), "items", "sites", "topics", (close[0] & close[1] & close[2]).alias("close"),
+    )
+
+
 def followed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily summary after the third load, from the changes of all three."""
     return changes.summary(_loaded_orders(spark, sf_dir))
@@ -808,6 +828,7 @@ OPERATOR_QUERIES = {
     "i05_topic_scores": score_table,
     "i05_topics_default": topics_default,
     "i05_topics_by_token": topics_by_token,
+    "i06_large_dictionary": large_dictionary,
     "i06_typed_entities": typed_entities,
     "i07_enriched": enriched,
     "i08_exploded_keywords": exploded_keywords,
@@ -831,6 +852,7 @@ OPERATOR_QUERIES = {
     "k09_3_job_checks": job_checks,
     "k11_job_summary": job_summary,
     "m01_job_issues": job_issues,
+    "d03_sketched_distincts": sketched_distincts,
     "d01_followed_trends": followed_trends,
     "k05_2_stored_keywords": stored_keywords,
     "k05_3_stored_keywords": stored_topic_keywords,

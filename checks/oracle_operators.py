@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.adapters import TEST_ENTITIES, TEST_TOPICS
+from checks.adapters import NAME_PARTS, TEST_ENTITIES, TEST_TOPICS
 from checks.oracle_views import entity_sql, pct, score_sql, topic_sql, with_views
 
 WORDS = r"'[\p{L}\p{N}_]{3,}'"
@@ -195,6 +195,18 @@ OPERATORS: dict[str, str] = {
     "i05_topics_default": with_views("doc_real", "select content_id, topic_name, entities from doc_real"),
     "i05_topics_by_token": with_views("doc_words", f"""
         select content_id, {topic_sql(TEST_TOPICS, 'token')} topic_name from doc_words"""),
+    "i06_large_dictionary": with_views("doc_words", f"""
+        with parts as (select unnest({NAME_PARTS}) part, generate_subscripts({NAME_PARTS}, 1) place),
+             names as (select a.part || b.part || c.part name, a.part topic, (a.place * 100 + b.place) * 100 + c.place place
+                       from parts a, parts b, parts c),
+             found as (select content_id, name, topic, place, contains(lowered, name) inside, list_contains(tokens, name) token
+                       from doc_words, names),
+             scores as (select content_id, topic, min(place) place, sum(2 * inside::int + token::int) score
+                        from found group by 1, 2 having score > 0),
+             best as (select content_id, arg_min(topic, (-score, place)) topic from scores group by 1),
+             listed as (select content_id, string_agg(name, ',' order by place) entities from found where inside group by 1)
+        select content_id, coalesce(topic, 'Other') topic_name, md5(coalesce(entities, '')) entities_md5
+        from doc_words left join best using (content_id) left join listed using (content_id)"""),
     "i06_typed_entities": with_views("doc_words", " union all ".join(
         f"""select '{kind}' entity_type, '{name}' entity, count(*) mention_count from doc_words
             where contains(lowered, '{name}') having count(*) > 0"""
@@ -283,6 +295,10 @@ OPERATORS: dict[str, str] = {
         select *, {pct('affected_records', 'total_records')} failure_rate,
                if(affected_records * 100 > total_records * 50, 'CRITICAL', 'WARNING') severity,
                date '2024-07-01' ingest_date from i"""),
+    "d03_sketched_distincts": with_views("ord", """
+        select strftime(published_at, '%Y-%m') year_month, count(distinct content_id) items, count(distinct news_site) sites,
+               count(distinct topic_name) topics, true "close"
+        from ord group by 1"""),
     "d01_followed_trends": with_views("cust", """
         select strftime(published_at, '%Y-%m') year_month, topic_name, content_type, count(*) content_count,
                date '1999-01-01' ingest_date

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.functions.dictionary import LARGE, best_of, names_in_order, topic_totals
 from tidewire.fixed_values import ENTITY_NAMES, FALLBACK_TOPIC, TOPIC_KEYWORDS
 
 WORD = r"[\p{L}\p{N}_]"
@@ -79,6 +80,8 @@ def positive_topics(scores: Column, topics: TopicWords) -> Column:
 def entity_list(lowered: Column, entities: TopicWords = ENTITY_NAMES) -> Column:
     """Known names found in the text, comma-joined in dictionary order; '' when there are none."""
     names = dict.fromkeys(name for group in entities.values() for name in group)
+    if len(names) > LARGE:
+        return F.array_join(names_in_order(lowered, names), ",")
     return F.concat_ws(",", *[F.when(lowered.contains(name), F.lit(name)) for name in names])
 
 
@@ -108,24 +111,28 @@ def enrich_text(
 ) -> DataFrame:
     """Add keywords (as joined text and as a list), entities and topic_name from title and summary.
 
+    Dictionaries of over ``LARGE`` names are searched as a whole, at a cost that hardly grows with them.
+
     Built in narrow steps, so that the lowered text, the token list and the scores are each
     computed once per row and then only searched. The results leave through ``inline`` of a
     one-row array: a filter on a generated column stays above the generator, while a filter on
     a projected column would move below and repeat the whole text work for every mention.
     """
     lowered, joined, scores = F.col("_lowered"), F.col("_joined"), F.col("_scores")
+    many = sum(len(list(keywords)) for keywords in topics.values()) > LARGE
+    scored = topic_totals(lowered, joined, topics, match) if many else topic_scores(lowered, joined, topics, match)
     steps = (
         df.withColumn("_lowered", F.lower(analysis_text()))
         .withColumn("_list", _words(lowered))
         .withColumn("_words", F.concat_ws(",", "_list"))
         .withColumn("_joined", F.concat(F.lit(","), F.col("_words"), F.lit(",")))
-        .withColumn("_scores", topic_scores(lowered, joined, topics, match))
+        .withColumn("_scores", scored)
     )
     facts = F.struct(
         F.col("_words").alias("keywords"),
         F.col("_list").alias("keyword_list"),
         entity_list(lowered, entities).alias("entities"),
-        best_topic(scores, topics).alias("topic_name"),
+        (best_of(scores, topics, FALLBACK_TOPIC) if many else best_topic(scores, topics)).alias("topic_name"),
     )
     return steps.select(*df.columns, F.inline(F.array(facts)))
 

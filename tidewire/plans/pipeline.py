@@ -20,6 +20,7 @@ from tidewire.operators.quality import failed_run, issue_rows, record_content_ch
 from tidewire.operators.trends import site_activity, topic_trends, typed_aggregate
 from tidewire.operators.validate import REASON, normalize_content, silver_reason, to_quarantine
 from tidewire.plans.changes import changes_job
+from tidewire.plans.sketches import SKETCHES, sketches_job
 from tidewire.schemas import CORE_COLUMNS, CORRUPT, QUARANTINE_REASONS, SITE_DIMENSION
 from tidewire.session import path_exists
 from tidewire.sources import bronze
@@ -178,10 +179,11 @@ def quality_job(spark: SparkSession, lake: Lake, ingest_date: str, now: str) ->
 
 
 def summary_job(spark: SparkSession, lake: Lake, ingest_date: str, buckets: int | None = 8) -> dict:
-    """The changes that the load of a date made to the daily summary and to the keyword tables, and those of the dates
-    loaded after it, which were merged again on top of it."""
+    """The changes that the load of a date made to the daily summary and to the keyword tables, its sketches, and those of
+    the dates loaded after it, which were merged again on top of it."""
     core = CoreTable(spark, lake.core(), buckets)
-    return changes_job(spark, lake, [day for day in core.snapshots() if day >= ingest_date], buckets)
+    days = [day for day in core.snapshots() if day >= ingest_date]
+    return {**changes_job(spark, lake, days, buckets), SKETCHES: sketches_job(spark, lake, days, buckets)}
 
 
 def metadata_job(

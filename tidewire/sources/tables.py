@@ -230,20 +230,29 @@ class CoreTable:
     def _slice(self, held: dict[str, str]) -> DataFrame:
         """Current rows of these buckets, given the folder of each, with their ``bucket``."""
         places = {number: self._part(folder, True, number) for number, folder in held.items()}
-        files = self.spark.read.parquet(*places.values())
         if not self.buckets:
-            return files.withColumn("bucket", F.lit(0))
+            return self.spark.read.schema(self._schema()).parquet(*places.values()).withColumn("bucket", F.lit(0))
         # Parquet files do not say how they are bucketed; an external table definition does.
         name, keys = self._table_name(json.dumps(held, sort_keys=True)), ", ".join(KEYS)
-        parts = " ".join(f"PARTITION (bucket = {number}) LOCATION '{place}'" for number, place in places.items())
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(
-            f"CREATE TABLE {name} ({files._jdf.schema().toDDL()}, bucket INT) USING parquet PARTITIONED BY (bucket) "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/_tables/{name}'"
-        )
-        self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema())
+            parts = " ".join(f"PARTITION (bucket = {number}) LOCATION '{place}'" for number, place in places.items())
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}, bucket INT) USING parquet PARTITIONED BY (bucket) "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/_tables/{name}'"
+            )
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
         return self.spark.table(name)
 
+    def _schema(self) -> T.StructType:
+        """Columns of the stored rows, written down by the first load: no file has to be opened to learn them."""
+        return T.StructType.fromJson(json.loads(read_text(self.spark, f"{self.path}/_schema.json")))
+
+    def _remember_schema(self, rows: DataFrame) -> None:
+        place = f"{self.path}/_schema.json"
+        remove(self.spark, place)
+        create_text(self.spark, place, rows.drop("is_current").schema.json())
+
     def current(self, before: str | None = None) -> DataFrame | None:
         """Current rows after the newest load (before a date)."""
         known = [load for day, load in self.manifest.read()[1].items() if before is None or day < before]
@@ -269,10 +278,11 @@ class CoreTable:
         held, closed = self.parts()
         if not held:
             raise ValueError(f"no load below {self.path}")
-        slice_ = self.spark.read.parquet(*[self._part(f, True, n) for n, f in held.items()]).withColumn("is_current", F.lit(True))
+        reader = self.spark.read.schema(self._schema())
+        slice_ = reader.parquet(*[self._part(f, True, n) for n, f in held.items()]).withColumn("is_current", F.lit(True))
         if not closed:
             return slice_
-        rows = self.spark.read.option("recursiveFileLookup", True).parquet(*[self._part(f, False) for f in closed])
+        rows = reader.option("recursiveFileLookup", True).parquet(*[self._part(f, False) for f in closed])
         return slice_.unionByName(rows.withColumn("is_current", F.lit(False)))
 
     def _load(self, day: str) -> tuple[dict, dict[str, dict]]:
@@ -287,7 +297,8 @@ class CoreTable:
         if [x["at"] for x in loads.values()].count(load["at"]) > 1:
             raise ValueError(f"{day} was loaded at the same time as another date")
         held = {n: f for n, f in self._held(load).items() if f == load["folder"]}
-        rows = self.spark.read.parquet(*[self._part(f, True, n) for n, f in (held or load["slice"]).items()])
+        places = [self._part(f, True, n) for n, f in (held or load["slice"]).items()]
+        rows = self.spark.read.schema(self._schema()).parquet(*places)
         mine = (F.col("valid_from") == F.lit(load["at"]).cast("timestamp")) if held else F.lit(False)
         return rows.where(mine).withColumn("is_current", F.lit(True))
 
@@ -296,7 +307,8 @@ class CoreTable:
         load, _ = self._load(day)
         if not load["closed"]:
             return None
-        rows = self.spark.read.option("recursiveFileLookup", True).parquet(self._part(load["folder"], False))
+        reader = self.spark.read.schema(self._schema()).option("recursiveFileLookup", True)
+        rows = reader.parquet(self._part(load["folder"], False))
         return rows.withColumn("is_current", F.lit(False))
 
     def expire_slices(self, keep: int = 2) -> list[str]:
@@ -350,15 +362,14 @@ class CoreTable:
                 opened, closed = (sum(x[k] for x in touched.values()) for k in (0, 1))
                 entry = {"folder": folder, "slice": {**held, **dict.fromkeys(touched, folder)}, "closed": closed > 0}
                 if touched:
-                    inside = self.bucket().isin([int(n) for n in touched])
-                    known = {n: f for n, f in held.items() if n in touched}
-                    # A bucket without rows so far has no folder, and its rows meet none.
-                    before = self._slice(known or held).where(inside).drop("bucket").withColumn("is_current", F.lit(True))
-                    self._put(self._versions(before, batch.where(inside), now), folder, spread=False)
+                    numbers = [int(n) for n in touched]
+                    before = self._slice(held).where(F.col("bucket").isin(numbers)).drop("bucket").withColumn("is_current", F.lit(True))
+                    self._put(self._versions(before, batch.where(self.bucket().isin(numbers)), now), folder, spread=False)
                 counts = {"current": earlier["current"] + opened, "opened": opened + closed, "closed": closed}
             else:
                 rows = first_versions(batch, now)
                 found = {r["bucket"]: r["count"] for r in batch.groupBy(self.bucket().alias("bucket")).count().collect()}
+                self._remember_schema(rows)
                 if found:
                     self._put(rows, folder, spread=True)
                 else:  # no row, no folder: readers still need the columns
