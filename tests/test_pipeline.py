@@ -302,3 +302,20 @@ def test_nested_records_come_through_whole(spark):
     assert json.loads(read_partitions(spark, lake.gold(), [DAY1]).first().authors_json) == authors
     aside = spark.read.parquet(lake.silver("quarantine")).first()
     assert json.loads(aside.raw_payload)["extra"] == {"k": 2} and json.loads(aside.authors) == ["Bob"]
+
+
+def test_landed_records_are_parsed_once(spark, lake, monkeypatch):
+    """Quarantine and quality rows come from the checked table: the landed files are read by one job only."""
+    reads = []
+    read = P.bronze.read_content
+    monkeypatch.setattr(P.bronze, "read_content", lambda *a, **k: reads.append(a) or read(*a, **k))
+    stats = P.clean_job(spark, lake, [DAY1])
+    assert stats["invalid_count"] == 4 and len(reads) == 1
+    checked = read_partitions(spark, lake.silver(P.CHECKED), [DAY1])
+    assert checked.groupBy("is_valid").count().select("count").collect() == [(4,), (4,)]
+    assert checked.where("_error_reason IS NULL AND _line IS NOT NULL").count() == 0
+    found = P.quality_job(spark, lake, DAY1, "2026-02-18 06:00:00")
+    assert found["records"] == 6 and len(reads) == 1
+    P.drop_checked(spark, lake, [DAY1])
+    assert P.run_day(spark, lake, DAY1)["clean"] == stats
+    assert not os.path.exists(f"{lake.silver(P.CHECKED)}/ingest_date={DAY1}")

@@ -128,3 +128,23 @@ def test_a_third_of_all_rows_in_one_group(spark):
     assert (first.news_site, first.article_count, first.topics_covered) == ("hot site", 10_000, 7)
     shuffled = rows.groupBy("news_site", "topic_name").agg(F.count("*").alias("n"))
     assert shuffled.agg(F.sum("n")).first()[0] == 30_000
+
+
+def test_topics_too_rare_for_a_pair_leave_before_the_join(spark):
+    """Results stay those of all pairs; the rows that meet are fewer."""
+    rows = spark.range(4000).select(
+        (F.col("id") % 5).alias("d"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("news_site"),
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("rare"), F.col("id").cast("string")))
+        .otherwise(F.concat(F.lit("t"), (F.col("id") % 6).cast("string"))).alias("topic_name"),
+        F.lit(True).alias("is_current"), "id",
+    ).withColumn("published_at", F.timestamp_seconds(1_700_000_000 + F.col("d") * 86400))
+    counted = rows.groupBy(F.to_date("published_at").alias("day"), "news_site", "topic_name").agg(F.count("*").alias("n"))
+    limit = 20_000
+    assert counted.count() > 1000 > advanced.pairable(counted, limit).count() > 0
+    sides = [counted.select("day", "news_site", F.col("topic_name").alias(f"topic{k}"), F.col("n").alias(f"n{k}")) for k in (1, 2)]
+    pairs = sides[0].join(sides[1], ["day", "news_site"]).where("topic1 < topic2").groupBy("topic1", "topic2")
+    expected = pairs.agg(F.sum(F.col("n1") * F.col("n2")).alias("n")).where(F.col("n") >= limit).collect()
+    found = advanced.topic_pairs(rows, min_count=limit, limit=1000).collect()
+    assert sorted((r.topic1, r.topic2, r.co_occurrence_count) for r in found) == sorted(map(tuple, expected)) and found
+    everything = advanced.topic_pairs(rows, min_count=1, limit=10**6)
+    assert everything.count() == pairs.count().count()

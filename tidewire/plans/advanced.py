@@ -10,19 +10,33 @@ from tidewire.functions.measures import named_topic, reliability_score, rounded_
 from tidewire.plans.volume import current_rows, rows, since_days
 
 
+def pairable(counted: DataFrame, min_count: int) -> DataFrame:
+    """Counts (day, news_site, topic_name, n) of topics that can be in a pair of ``min_count``.
+
+    A topic's pairs with all its partners together are the sum of n times the other rows of the same day and site. A
+    topic that stays below the limit with all of them cannot reach it with one.
+    """
+    cell = Window.partitionBy("day", "news_site")
+    others = counted.withColumn("others", F.sum("n").over(cell) - F.col("n")).where("others > 0")
+    able = others.groupBy("topic_name").agg(F.sum(F.col("n") * F.col("others")).alias("all_pairs"))
+    return others.drop("others").join(able.where(F.col("all_pairs") >= min_count).select("topic_name"), "topic_name", "left_semi")
+
+
 def topic_pairs(content: DataFrame, min_count: int = 10, limit: int = 50) -> DataFrame:
     """10.1 Topics published on the same day by the same site.
 
     A row-by-row self-join would emit n1 * n2 rows for each pair of topics of a day and site.
     Here the rows are first counted per (day, site, topic); the join then meets at most one row
     per topic and side, and the pair count is the sum of n1 * n2. A site with a third of all
-    rows is folded by the partial aggregation before anything is shuffled.
+    rows is folded by the partial aggregation before anything is shuffled. Topics too rare for any pair of ``min_count``
+    leave before the join.
     """
     counted = (
         current_rows(content).where(named_topic() & F.col("news_site").isNotNull())
         .groupBy(F.to_date("published_at").alias("day"), "news_site", "topic_name").agg(rows().alias("n"))
         .where(F.col("day").isNotNull())
     )
+    counted = pairable(counted, min_count)
     left = counted.select("day", "news_site", F.col("topic_name").alias("topic1"), F.col("n").alias("n1"))
     right = counted.select("day", "news_site", F.col("topic_name").alias("topic2"), F.col("n").alias("n2"))
     met = left.join(right, ["day", "news_site"]).where(F.col("topic1") < F.col("topic2"))

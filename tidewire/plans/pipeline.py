@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.fixed_values import ENTITY_NAMES, HASH_COLUMNS, SITE_ACTIVITY_COLUMNS, STAGING_COLUMNS, TOPIC_KEYWORDS, TOPIC_TREND_COLUMNS
@@ -21,19 +21,22 @@ from tidewire.operators.trends import site_activity, topic_trends, typed_aggrega
 from tidewire.operators.validate import REASON, normalize_content, silver_reason, to_quarantine
 from tidewire.plans.changes import changes_job
 from tidewire.plans.sketches import SKETCHES, sketches_job
-from tidewire.schemas import CORE_COLUMNS, CORRUPT, QUARANTINE_REASONS, SITE_DIMENSION
-from tidewire.session import path_exists
+from tidewire.schemas import CHECKED_KEYS, CORE_COLUMNS, CORRUPT, LINE, QUARANTINE_REASONS, SITE_DIMENSION
+from tidewire.session import path_exists, remove
 from tidewire.sources import bronze
 from tidewire.sources.tables import (
-    CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv, write_dates,
+    CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv, write_dates, write_with_stats,
 )
 
+CHECKED = "checked"
+
+
 def clean_job(
     spark: SparkSession, lake: Lake, ingest_dates: list[str], quarantine: str = "quarantine",
     normalize: bool = False, unique_urls: bool = False, hash_columns: list[str] = HASH_COLUMNS,
 ) -> dict:
-    """Validate, set aside, de-duplicate. Clean input is read once; a second pass for the quarantine runs only if
-    something failed, or failed in an earlier run.
+    """Validate, set aside, de-duplicate. Landed records are parsed and checked once, into a table parted by validity;
+    silver and quarantine are both made from it, and so are the day's quality rows later.
 
     ``normalize`` trims texts and lower-cases hosts first; ``unique_urls`` also removes copies by address.
     """
@@ -44,30 +47,37 @@ def clean_job(
     sites = bronze.official_sites(info)
     replace_dates(bronze.api_metadata(info), lake.silver("api_metadata"), ingest_dates)
 
-    checked = raw.withColumn(REASON, silver_reason(CORRUPT))
-    seen = Observation()
-    observed = checked.observe(
-        seen, F.count(F.lit(1)).alias("initial"), F.count_if(F.col(REASON).isNull()).alias("valid")
+    reason = F.col(REASON)
+    judged = raw.withColumn(REASON, silver_reason(CORRUPT)).withColumns({
+        "is_valid": reason.isNull(), LINE: F.when(reason.isNotNull(), F.col(LINE)),  # only what is set aside keeps its line
+    })
+    drop_checked(spark, lake, ingest_dates)
+    counts = write_with_stats(
+        judged, lake.silver(CHECKED), partition_by=["ingest_date", "is_valid", "content_type"],
+        metrics={"valid": F.count_if("is_valid")},
     )
-    valid = observed.where(F.col(REASON).isNull()).drop(REASON, CORRUPT)
-    silver = to_silver(valid, sites, unique_urls=unique_urls, hash_columns=hash_columns)
-    written = write_dates(silver, lake.silver(), ingest_dates)
-    counts = seen.get
-    invalid_count = counts["initial"] - counts["valid"]
+    read = read_partitions(spark, lake.silver(CHECKED), ingest_dates, judged.schema)
+    valid = read.where("is_valid").drop(REASON, CORRUPT, LINE, "is_valid")
+    written = write_dates(to_silver(valid, sites, unique_urls=unique_urls, hash_columns=hash_columns), lake.silver(), ingest_dates)
+    invalid_count = counts["records"] - (counts["valid"] or 0)
     if invalid_count or path_exists(spark, lake.silver(quarantine)):
-        invalid = checked.where(F.col(REASON).isNotNull()).withColumn("_is_valid", F.lit(False))
-        if not invalid_count:
-            invalid = invalid.limit(0)  # nothing failed: only folders of an earlier run have to go
+        invalid = read.where("NOT is_valid").withColumnRenamed("is_valid", "_is_valid")
         write_dates(to_quarantine(invalid), lake.silver(quarantine), ingest_dates)
     return {
-        "initial_count": counts["initial"],
-        "valid_count": counts["valid"],
+        "initial_count": counts["records"],
+        "valid_count": counts["valid"] or 0,
         "invalid_count": invalid_count,
         "deduplicated_count": written["records"],
-        "duplicates_removed": counts["valid"] - written["records"],
+        "duplicates_removed": (counts["valid"] or 0) - written["records"],
     }
 
 
+def drop_checked(spark: SparkSession, lake: Lake, ingest_dates: list[str]) -> None:
+    """Remove the checked records of these dates, which only the day's jobs need."""
+    for day in ingest_dates:
+        remove(spark, f"{lake.silver(CHECKED)}/ingest_date={day}")
+
+
 def enrich_job(
     spark: SparkSession, lake: Lake, ingest_dates: list[str], run_id: str, csv: bool = False,
     topics: TopicWords = TOPIC_KEYWORDS, entities: TopicWords = ENTITY_NAMES,
@@ -170,8 +180,8 @@ def load_aggregates_job(spark: SparkSession, lake: Lake, ingest_date: str, from_
 
 
 def quality_job(spark: SparkSession, lake: Lake, ingest_date: str, now: str) -> dict:
-    """The load date's quality issues, from its bronze, silver and quarantine rows."""
-    raw = bronze.read_content(spark, lake.bronze, [ingest_date])
+    """The load date's quality issues, from its checked, silver and quarantine rows; ``clean_job`` comes before it."""
+    raw = read_partitions(spark, lake.silver(CHECKED), [ingest_date], CHECKED_KEYS)
     silver = read_partitions(spark, lake.silver(), [ingest_date])
     aside = read_partitions(spark, lake.silver("quarantine"), [ingest_date], QUARANTINE_REASONS)
     found = issue_rows(raw, silver, aside, ingest_date, now)
@@ -233,6 +243,7 @@ def run_day(
         stats["core"] = load_core_job(spark, lake, ingest_date, opened_at(ingest_date), buckets=buckets)
         stats["aggregates"] = load_aggregates_job(spark, lake, ingest_date, from_csv=csv)
         stats["quality"] = quality_job(spark, lake, ingest_date, started)
+        drop_checked(spark, lake, [ingest_date])
         stats["summary"] = summary_job(spark, lake, ingest_date, buckets)
         metadata_job(spark, lake, ingest_date, started, _now(), stats["clean"]["invalid_count"])
         insights_job(spark, lake, ingest_date)

@@ -54,6 +54,8 @@ QUARANTINE_REASONS = T.StructType(
     _strings("_error_reason", "content_type") + [T.StructField("ingest_date", T.DateType())]
 )
 
+CHECKED_KEYS = T.StructType(_strings("id", "content_type") + [T.StructField("ingest_date", T.DateType())])
+
 SILVER_COLUMNS = [
     "id", "title", "url", "image_url", "news_site", "summary", "published_at", "updated_at", "featured",
     "launches", "events", "authors", "content_id", "content_type", "source_system", "ingest_date",
