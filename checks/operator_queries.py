@@ -54,6 +54,15 @@ def bronze_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def missing_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All types are asked for and one has never been landed: the others are read, none fails."""
+    root = scratch_path(spark, "bronze")
+    records = A.documents_bronze(spark, sf_dir).select("id", "content_type", "ingest_date")
+    for kind in ("articles", "blogs"):
+        bronze.land_records(records.where(F.col("content_type") == kind).drop("content_type"), root, kind)
+    return bronze.read_content(spark, root, [A.DOC_AS_OF]).groupBy("content_type").agg(F.count(F.lit(1)).alias("records"))
+
+
 def info_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Info records (one per source) landed as JSON, read, flattened and counted back."""
     root = scratch_path(spark, "info")
@@ -795,6 +804,7 @@ OPERATOR_QUERIES = {
     "a02_info_sites": info_sites,
     "a02_api_metadata": api_metadata,
     "a03_parquet_partitions": parquet_partitions,
+    "a04_missing_type": missing_type,
     "a05_write_statistics": write_statistics,
     "a09_staging_load": staging_load,
     "a10_aggregate_staging": aggregate_staging,

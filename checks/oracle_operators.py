@@ -56,6 +56,8 @@ OPERATORS: dict[str, str] = {
         select id, content_type, title, url, image_url, news_site, published_text published_at,
                updated_text updated_at, featured, md5(summary) summary_md5, authors_json, launches_json, events_json, ingest_date
         from doc_raw"""),
+    "a04_missing_type": with_views("doc_raw", """
+        select content_type, count(*) records from doc_raw where content_type <> 'reports' group by 1"""),
     "a02_info_sites": "select distinct source news_site from documents",
     "a02_api_metadata": f"""
         select distinct lang api_version, cast(2 as bigint) news_sites_count,

@@ -11,7 +11,7 @@ from tidewire.plans.views import publish_views
 from tidewire.session import scratch_path
 from tidewire.sources import bronze
 from tidewire.sources.tables import (
-    CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv,
+    CoreDimension, CoreTable, Lake, csv_records, read_partitions, read_staging_csv, replace_dates, write_csv,
 )
 from tidewire.streaming import incremental, stateful
 
@@ -319,3 +319,30 @@ def test_landed_records_are_parsed_once(spark, lake, monkeypatch):
     P.drop_checked(spark, lake, [DAY1])
     assert P.run_day(spark, lake, DAY1)["clean"] == stats
     assert not os.path.exists(f"{lake.silver(P.CHECKED)}/ingest_date={DAY1}")
+
+
+def test_csv_records_across_splits(spark):
+    """Random fields with quotes and line breaks, read in splits of a few bytes, against the csv module."""
+    import csv
+    import random
+
+    draw, path = random.Random(8), scratch_path(spark, "csv")
+    os.makedirs(path)
+    pieces = ["a", "b c", ",", '"', "\n", "\n\n", "ü", "x" * 20, ""]
+    expected = []
+    for n, end in enumerate(["\n", "\r\n", "\n"]):
+        table = [[f"{n}-{k}", *("".join(draw.choice(pieces) for _ in range(draw.randint(1, 6))) for _ in range(2))] for k in range(60)]
+        table[0][1] = "\n" * 400  # over several splits
+        with open(f"{path}/{n}.csv", "w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator=end, quoting=csv.QUOTE_ALL)
+            writer.writerow(["id", "title", "summary"])
+            writer.writerows(table)
+        expected += table
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        found = read_staging_csv(spark, path, ["id", "title", "summary"])
+        assert csv_records(spark, path).where("first").count() == 3
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+        assert rows(found, "id", "title", "summary") == sorted(map(tuple, expected), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

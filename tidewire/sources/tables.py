@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,21 +113,69 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, s
     writer.csv(path)
 
 
+CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\\N", "mode": "PERMISSIVE"}
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, first, record): each record of the CSV files, line breaks inside quotes kept; ``first`` marks a file's header.
+
+    Files are read in splits of lines, many to a file. A line break ends a record if the quotes before it are even in
+    number. Quotes are counted per line; sums per split, one row each, tell with how many each split of a file begins; the
+    same sum within a split then tells for each line. A record on one line is complete. Only lines of longer records are
+    gathered, by the split and place at which their record began, also across splits.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"), F.make_valid_utf8("value").alias("value"),
+    ).withColumn("quotes", (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2)
+    inside = Window.partitionBy("file", "split").orderBy("line")
+    before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    lines = lines.withColumn("odd", before)
+
+    # What a split passes on: its quotes, and how many lines begin a record if none or one is open at its start.
+    splits = lines.groupBy("file", "split").agg(
+        (F.sum("quotes") % 2).alias("quotes"), F.count_if(F.col("odd") == 0).alias("even"), F.count_if(F.col("odd") == 1).alias("uneven")
+    )
+    ahead = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("open", F.coalesce(F.sum("quotes").over(ahead), F.lit(0)) % 2)
+    begun = F.when(F.when(F.col("open") == 0, F.col("even")).otherwise(F.col("uneven")) > 0, F.col("split"))
+    splits = splits.select("file", "split", "open", F.last(begun, ignorenulls=True).over(ahead).alias("earlier"))
+
+    placed = lines.join(splits, ["file", "split"]).withColumn("starts", F.col("odd") == F.col("open"))
+    count = F.count_if("starts")
+    placed = placed.withColumns({
+        "number": count.over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "whole": F.col("starts") & (F.col("quotes") == 0),
+    })
+    # Lines before the first record of a split belong to the last one of the split that has one.
+    started = F.when(F.col("number") > 0, F.col("split")).otherwise(F.col("earlier"))
+    last = F.when(F.col("number") > 0, F.col("number"))
+    single = placed.where("whole").select("file", ((F.col("split") == 0) & (F.col("number") == 1)).alias("first"), F.col("value").alias("record"))
+    parts = placed.where("NOT whole").select("file", started.alias("begun"), last.alias("number"), "split", "line", "value")
+    # The open record of a split is its highest number; only it can go on in later splits.
+    highest = parts.where("number IS NOT NULL").groupBy("file", "begun").agg(F.max("number").alias("highest"))
+    parts = parts.join(highest, ["file", "begun"]).withColumn("number", F.coalesce("number", "highest"))
+    longer = parts.groupBy("file", "begun", "number").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "line", "value"))), lambda x: x["value"]), "\n").alias("record")
+    ).select("file", ((F.col("begun") == 0) & (F.col("number") == 1)).alias("first"), "record")
+    return single.unionByName(longer)
+
+
 def read_staging_csv(
     spark: SparkSession, path: str, columns: Iterable[str] = STAGING_COLUMNS
 ) -> DataFrame:
-    """CSV into all-text staging columns, texts whole.
+    """CSV into all-text staging columns, texts whole, large files in many tasks.
 
     Columns go by the names in the header, whatever their order; columns the files lack and
     missing trailing fields are NULL, and unreadable bytes become replacement characters. A bare
     empty field is NULL and a quoted one is ''; with the default null marker both would be NULL.
     """
-    raw = (
-        spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("nullValue", "\\N").option("mode", "PERMISSIVE").csv(path)
-    )
-    present = set(raw.columns)
-    return raw.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in columns])
+    header = spark.read.option("header", True).options(**CSV_OPTIONS).csv(path).columns
+    records = csv_records(spark, path).where(~F.col("first")).select(F.regexp_replace("record", "\r$", "").alias("record"))
+    schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in header)
+    raw = records.where(F.col("record") != "").select(F.from_csv("record", schema, CSV_OPTIONS).alias("fields"))
+    present = set(header)
+    return raw.select(*[F.col(f"fields.`{c}`") if c in present else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 class Manifest:
