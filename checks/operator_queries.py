@@ -309,6 +309,20 @@ def dedup_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("user_id", "event_type", "event_id", "ts")
 
 
+def dedup_stored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest line item of each order, elected by place without moving rows."""
+    return dedup.deduplicate_stored(
+        A.table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_shipdate",
+        tie_breaks=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+    ).select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def dedup_stored_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicate_stored(
+        A.table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", ascending=True, tie_breaks=["event_id"]
+    ).select("user_id", "event_type", "event_id", "ts")
+
+
 def dedup_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events addressed by user and type as URL; the second dedup pass keeps the latest per address."""
     rows = A.table(spark, sf_dir, "events").select(
@@ -829,6 +843,8 @@ OPERATOR_QUERIES = {
     "d12_batch_sites": _table(A.orders_content, dimensions.batch_sites),
     "e01_dedup_latest": dedup_lineitem,
     "e01_dedup_earliest": dedup_earliest,
+    "e01_stored_latest": dedup_stored_lineitem,
+    "e01_stored_earliest": dedup_stored_earliest,
     "f03_latest_month_top": latest_month_top,
     "g01_union_types": union_types,
     "g03_except_rows": except_rows,

@@ -157,6 +157,13 @@ OPERATORS: dict[str, str] = {
         select l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice from lineitem
         qualify row_number() over (partition by l_orderkey, l_linenumber
                 order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc) = 1""",
+    "e01_stored_latest": """
+        select l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice from lineitem
+        qualify row_number() over (partition by l_orderkey
+            order by l_shipdate desc, l_linenumber desc, l_partkey desc, l_suppkey desc, l_extendedprice desc) = 1""",
+    "e01_stored_earliest": """
+        select user_id, event_type, event_id, ts from events
+        qualify row_number() over (partition by user_id, event_type order by ts, event_id) = 1""",
     "e01_dedup_earliest": """
         select user_id, event_type, event_id, ts from events
         qualify row_number() over (partition by user_id, event_type order by ts, event_id) = 1""",

@@ -41,17 +41,19 @@ def with_parsed_times(df: DataFrame, policy: str = "lenient") -> DataFrame:
 
 def to_silver(
     valid: DataFrame, official_sites: DataFrame | None = None, policy: str = "lenient", unique_urls: bool = False,
-    hash_columns: list[str] = HASH_COLUMNS,
+    hash_columns: list[str] = HASH_COLUMNS, stored: bool = False,
 ) -> DataFrame:
     """Valid bronze rows to silver: parsed times, hash, one row per key, declared columns.
 
+    ``stored``: the rows come straight from Parquet files, and copies are found without moving whole rows.
+
     ``unique_urls`` adds the second dedup pass, one row per address. Only a change of ``hash_columns`` opens a new
     version later; name more of them to keep edits of sites, images or flags as well.
     """
     parsed = with_parsed_times(valid, policy)
     keyed = with_lineage(parsed).withColumn("record_hash", record_hash(parsed, hash_columns))
     kept = keyed.select(*[c for c in SILVER_COLUMNS if c != "news_site_validated"])
-    unique = latest_content(kept)
+    unique = latest_content(kept, stored)
     if unique_urls:
         unique = latest_by_url(unique)
     # The site list joins after the dedup: fewer rows to join, and the join adds no rows.

@@ -58,7 +58,8 @@ def clean_job(
     )
     read = read_partitions(spark, lake.silver(CHECKED), ingest_dates, judged.schema)
     valid = read.where("is_valid").drop(REASON, CORRUPT, LINE, "is_valid")
-    written = write_dates(to_silver(valid, sites, unique_urls=unique_urls, hash_columns=hash_columns), lake.silver(), ingest_dates)
+    silver = to_silver(valid, sites, unique_urls=unique_urls, hash_columns=hash_columns, stored=True)
+    written = write_dates(silver, lake.silver(), ingest_dates)
     invalid_count = counts["records"] - (counts["valid"] or 0)
     if invalid_count or path_exists(spark, lake.silver(quarantine)):
         invalid = read.where("NOT is_valid").withColumnRenamed("is_valid", "_is_valid")
