@@ -49,7 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):  # a local cluster has processes of its own
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="tidewire-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
