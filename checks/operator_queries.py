@@ -635,19 +635,27 @@ def unofficial_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unofficial_sites(A.documents_silver(spark, sf_dir, A.english_sites(spark, sf_dir)))
 
 
-_DAYS: dict[tuple[str, str], tables.Lake] = {}
+_MADE: dict[tuple[str, str, str], tables.Lake] = {}
+
+
+def _once(what: str, spark: SparkSession, sf_dir: str, make) -> tables.Lake:
+    """A lake that several queries read, made once in a session and anew if its files have gone."""
+    label = (what, spark.sparkContext.applicationId, sf_dir)
+    if label not in _MADE or not path_exists(spark, _MADE[label].core()):
+        _MADE[label] = make()
+    return _MADE[label]
 
 
 def _run_day(spark: SparkSession, sf_dir: str) -> tables.Lake:
-    """All jobs over the landed documents, as one load date. The queries over what jobs write share one run a session."""
-    label = (spark.sparkContext.applicationId, sf_dir)
-    if label in _DAYS and path_exists(spark, _DAYS[label].core("meta_pipeline_runs")):
-        return _DAYS[label]
-    bronze_root = landed_bronze(spark, sf_dir)
-    lake = tables.Lake(bronze_root.rsplit("/", 1)[0] + "/lake-" + bronze_root.rsplit("-", 1)[1], bronze_root)
-    pipeline.run_day(spark, lake, A.DOC_AS_OF)
-    _DAYS[label] = lake
-    return lake
+    """All jobs over the landed documents, as one load date."""
+
+    def make() -> tables.Lake:
+        bronze_root = landed_bronze(spark, sf_dir)
+        lake = tables.Lake(bronze_root.rsplit("/", 1)[0] + "/lake-" + bronze_root.rsplit("-", 1)[1], bronze_root)
+        pipeline.run_day(spark, lake, A.DOC_AS_OF)
+        return lake
+
+    return _once("day", spark, sf_dir, make)
 
 
 def job_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -667,20 +675,23 @@ def job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded_documents(spark: SparkSession, sf_dir: str, buckets: int = 8) -> tables.Lake:
     """Enriched documents through two loads that the change tables follow: in the first, every third document has its
     words in another order and another topic, and every fifth is missing."""
-    lake = tables.Lake(scratch_path(spark, "lake"))
-    core = tables.CoreTable(spark, lake.core(), buckets)
-    final = materialized(spark, pipeline.core_batch(A.documents_gold(spark, sf_dir)), "final")
-    number = F.crc32(F.col("content_id").cast("binary"))
-    early = final.where(number % 5 != 0).withColumns({
-        "topic_name": F.when(number % 3 == 0, "Draft").otherwise(F.col("topic_name")),
-        "keyword_list": F.when(number % 3 == 0, F.slice("keyword_list", 1, 20)).otherwise(F.col("keyword_list")),
-        "record_hash": F.when(number % 3 == 0, "draft").otherwise(F.col("record_hash")),
-    })
-    days = [day for day, _ in A.SCD_LOADS[:2]]
-    for (day, now), batch in zip(A.SCD_LOADS[:2], (early, final), strict=True):
-        core.load(batch, day, now)
-    changes.changes_job(spark, lake, days, buckets)
-    return lake
+
+    def make() -> tables.Lake:
+        lake = tables.Lake(scratch_path(spark, "lake"))
+        core = tables.CoreTable(spark, lake.core(), buckets)
+        final = materialized(spark, pipeline.core_batch(A.documents_gold(spark, sf_dir)), "final")
+        number = F.crc32(F.col("content_id").cast("binary"))
+        early = final.where(number % 5 != 0).withColumns({
+            "topic_name": F.when(number % 3 == 0, "Draft").otherwise(F.col("topic_name")),
+            "keyword_list": F.when(number % 3 == 0, F.slice("keyword_list", 1, 20)).otherwise(F.col("keyword_list")),
+            "record_hash": F.when(number % 3 == 0, "draft").otherwise(F.col("record_hash")),
+        })
+        for (day, now), batch in zip(A.SCD_LOADS[:2], (early, final), strict=True):
+            core.load(batch, day, now)
+        changes.changes_job(spark, lake, [day for day, _ in A.SCD_LOADS[:2]], buckets)
+        return lake
+
+    return _once("documents", spark, sf_dir, make)
 
 
 def stored_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -695,13 +706,17 @@ def stored_topic_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary changes of customers' latest orders over three loads."""
-    lake = tables.Lake(scratch_path(spark, "lake"))
-    core = tables.CoreTable(spark, lake.core())
-    extra = {"news_site": F.substring("title", -1, 1), "featured": F.col("title").endswith("7"), "keyword_list": F.array("topic_name")}
-    for until, now in A.SCD_LOADS:
-        core.load(A.customer_batch(spark, sf_dir, until).withColumns(extra), until, now)
-    changes.changes_job(spark, lake, core.snapshots())
-    return spark.read.parquet(lake.core(changes.SUMMARY_CHANGES))
+
+    def make() -> tables.Lake:
+        lake = tables.Lake(scratch_path(spark, "lake"))
+        core = tables.CoreTable(spark, lake.core())
+        extra = {"news_site": F.substring("title", -1, 1), "featured": F.col("title").endswith("7"), "keyword_list": F.array("topic_name")}
+        for until, now in A.SCD_LOADS:
+            core.load(A.customer_batch(spark, sf_dir, until).withColumns(extra), until, now)
+        changes.changes_job(spark, lake, core.snapshots())
+        return lake
+
+    return spark.read.parquet(_once("orders", spark, sf_dir, make).core(changes.SUMMARY_CHANGES))
 
 
 def sketched_distincts(spark: SparkSession, sf_dir: str) -> DataFrame:
