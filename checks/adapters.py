@@ -134,7 +134,7 @@ def english_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_silver(spark: SparkSession, sf_dir: str, sites: DataFrame | None = None) -> DataFrame:
     valid, _ = validate_record(documents_bronze(spark, sf_dir))
-    return to_silver(valid, sites)
+    return to_silver(valid, sites, stored=True)
 
 
 def documents_gold(spark: SparkSession, sf_dir: str, topics=None, entities=None, match: str = "substring") -> DataFrame:

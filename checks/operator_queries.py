@@ -679,7 +679,8 @@ def _loaded_documents(spark: SparkSession, sf_dir: str, buckets: int = 8) -> tab
     def make() -> tables.Lake:
         lake = tables.Lake(scratch_path(spark, "lake"))
         core = tables.CoreTable(spark, lake.core(), buckets)
-        final = materialized(spark, pipeline.core_batch(A.documents_gold(spark, sf_dir)), "final")
+        gold = pipeline.core_batch(A.documents_gold(spark, sf_dir))
+        final = tables.with_lists(materialized(spark, tables.without_lists(gold), "final")).select(*gold.columns)
         number = F.crc32(F.col("content_id").cast("binary"))
         early = final.where(number % 5 != 0).withColumns({
             "topic_name": F.when(number % 3 == 0, "Draft").otherwise(F.col("topic_name")),
@@ -687,7 +688,7 @@ def _loaded_documents(spark: SparkSession, sf_dir: str, buckets: int = 8) -> tab
             "record_hash": F.when(number % 3 == 0, "draft").otherwise(F.col("record_hash")),
         })
         for (day, now), batch in zip(A.SCD_LOADS[:2], (early, final), strict=True):
-            core.load(batch, day, now)
+            core.load(batch, day, now, stored=True)
         changes.changes_job(spark, lake, [day for day, _ in A.SCD_LOADS[:2]], buckets)
         return lake
 

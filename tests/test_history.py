@@ -6,6 +6,7 @@ from tidewire.operators import dimensions as D
 from tidewire.operators import scd2 as S
 from tidewire.schemas import SITE_DIMENSION
 from tidewire.session import scratch_path
+from tidewire.sources import tables
 from tidewire.sources.tables import CoreTable
 
 T1, T2, T3 = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
@@ -220,3 +221,37 @@ def test_first_load_without_rows(spark):
     assert core.state().count() == 0
     assert core.load(batch(spark, a="h"), "2026-01-02", T2) == {"current": 1, "opened": 1, "closed": 0}
     assert history(core.state()) == [("a", 1, "h", 2, True, True)]
+
+
+def test_a_first_load_deals_its_rows_into_buckets_by_size_and_holds_no_batch(spark, monkeypatch):
+    def held(*_, **__):
+        raise AssertionError("a batch was held in memory")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", held)
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 2000)
+    core = CoreTable(spark, scratch_path(spark, "core"), buckets=2)
+    names = [f"k{n}" for n in range(200)]
+    core.load(batch(spark, **dict.fromkeys(names, "h")), "2026-01-01", T1)
+    dealt = core.manifest.read()[1]["2026-01-01"]["buckets"]
+    assert dealt >= 4 and {n for _, _, n in files(core)} == set(range(dealt))
+    # later loads, also through a table object with the number as given, follow what the first one chose
+    again = CoreTable(spark, core.path, buckets=2)
+    stored = spark.read.parquet(written(spark, batch(spark, k0="h2", k1="h", new="h")))
+    assert again.load(stored, "2026-01-02", T2, latest_by="updated_at", stored=True) == {"current": 201, "opened": 2, "closed": 1}
+    assert {(d, n) for d, _, n in files(core) if d == "2026-01-02"} <= {("2026-01-02", n) for n in range(dealt)}
+    assert again.current().count() == 201 and S.broken_versions(again.state()).count() == 0
+
+
+def written(spark, df):
+    path = scratch_path(spark, "rows")
+    df.write.parquet(path)
+    return path
+
+
+def test_lists_left_out_of_moved_rows_come_back(spark):
+    kinds = [("a,b", ["a", "b"]), ("a,b", ["a"]), ("", []), ("", [""]), (None, ["x"]), ("x", None), (None, None), ("a, b", ["a", "b"]), ("a,b", ["a,b"]),
+             ("a", [None]), ("a,,", ["a", "", ""])]
+    rows = spark.createDataFrame([(n, *kind) for n, kind in enumerate(kinds)], "n int, keywords string, keyword_list array<string>")
+    moved = tables.without_lists(rows)
+    assert {r.n for r in moved.collect() if r.keyword_list is None} == {0, 3, 5, 6, 10}
+    assert sorted(tables.with_lists(moved).collect()) == sorted(rows.collect())

@@ -22,7 +22,7 @@ from tidewire.operators.validate import REASON, normalize_content, silver_reason
 from tidewire.plans.changes import changes_job
 from tidewire.plans.sketches import SKETCHES, sketches_job
 from tidewire.schemas import CHECKED_KEYS, CORE_COLUMNS, CORRUPT, LINE, QUARANTINE_REASONS, SITE_DIMENSION
-from tidewire.session import path_exists, remove
+from tidewire.session import materialized, path_exists, remove
 from tidewire.sources import bronze
 from tidewire.sources.tables import (
     CoreDimension, CoreTable, Lake, read_partitions, read_staging_csv, replace_dates, write_csv, write_dates, write_with_stats,
@@ -44,7 +44,8 @@ def clean_job(
     if normalize:
         raw = normalize_content(raw)
     info = bronze.read_info(spark, lake.bronze, ingest_dates)
-    sites = bronze.official_sites(info)
+    # Written, so that its size is known: a short list is broadcast and the records stay where they are.
+    sites = materialized(spark, bronze.official_sites(info), "sites")
     replace_dates(bronze.api_metadata(info), lake.silver("api_metadata"), ingest_dates)
 
     reason = F.col(REASON)
@@ -147,7 +148,8 @@ def load_core_job(
 
     core = CoreTable(spark, lake.core(), buckets)
     counts = core.load(
-        batch_of(ingest_date), ingest_date, now, latest_by="updated_at", replay=lambda day: (batch_of(day), opened_at(day))
+        batch_of(ingest_date), ingest_date, now, latest_by="updated_at", replay=lambda day: (batch_of(day), opened_at(day)),
+        stored=not from_csv,
     )
 
     # Dimensions are published per load date like the core table, so a repeated load starts

@@ -69,7 +69,7 @@ def materialized(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage of a frame that several later steps use, and survives lost executors.
     """
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

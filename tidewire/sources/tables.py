@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.fixed_values import CONTENT_TYPES, STAGING_COLUMNS
-from tidewire.operators.dedup import deduplicate_by_key
+from tidewire.operators.dedup import deduplicate_by_key, deduplicate_stored
 from tidewire.operators.scd2 import KEYS, first_versions, merge_current
-from tidewire.session import child_names, create_text, path_exists, read_text, remove
+from tidewire.session import child_names, create_text, path_exists, read_text, remove, scratch_path
 from tidewire.sources.bronze import Dates, on_dates
 
 
@@ -75,6 +75,8 @@ def write_with_stats(
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)
     writer = observed.write.mode(mode).format(format)
+    if format == "parquet":
+        writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
@@ -236,6 +238,42 @@ class CoreDimension:
             remove(self.spark, f"{self.path}/{old['folder']}")
 
 
+BUCKET_BYTES = 64 << 20
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """About how long a row is: its texts and lists of texts, and eight bytes for any other value."""
+
+    def length(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(field.name)
+        if field.dataType == T.ArrayType(T.StringType()):
+            return F.octet_length(F.array_join(field.name, " "))
+        return F.lit(8)
+
+    sizes = [F.coalesce(length(field), F.lit(0)).cast("bigint") for field in schema]
+    return sum(sizes[1:], sizes[0])
+
+
+LISTED = "_listed"  # whether a row's keyword list is its joined keywords, split
+
+
+def without_lists(rows: DataFrame) -> DataFrame:
+    """Rows to be moved and sorted: a keyword list that is the split of the joined text beside it is left out."""
+    if not {"keywords", "keyword_list"} <= set(rows.columns):
+        return rows
+    listed = F.coalesce(F.col("keyword_list") == F.split("keywords", ","), F.lit(False))
+    return rows.withColumn(LISTED, listed).withColumn("keyword_list", F.when(~F.col(LISTED), F.col("keyword_list")))
+
+
+def with_lists(rows: DataFrame) -> DataFrame:
+    """The same rows with all lists again."""
+    if LISTED not in rows.columns:
+        return rows
+    whole = F.when(F.col(LISTED), F.split("keywords", ",")).otherwise(F.col("keyword_list"))
+    return rows.withColumn("keyword_list", whole).drop(LISTED)
+
+
 class CoreTable:
     """Versioned content on plain Parquet, published one load at a time; a load writes what its batch changes.
 
@@ -251,18 +289,26 @@ class CoreTable:
     top of it, and all become visible together. Without them it is refused.
 
     Files are also bucketed and sorted by key for Spark: the next load joins the buckets where they lie, and only the
-    batch is shuffled. One task handles one bucket, so choose a number that keeps buckets below a gigabyte or two; more
-    buckets than that let a small batch rewrite less. None stores one bucket of plain files, for tables that change hands
-    more often than they grow.
+    batch is shuffled. One task handles one bucket, and sorts it: a first load doubles ``buckets`` until they hold
+    ``BUCKET_BYTES`` each at most, and the manifest keeps the number, which later loads follow. For a table that begins
+    small and grows far beyond its first load, choose a number that suits what it becomes; many buckets also let a small
+    batch rewrite less. None stores one bucket of plain files, for tables that change hands more often than they grow.
+
+    No batch is held in memory. One that is ``stored`` is read anew where it is needed; others are written first.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = 8):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.manifest = Manifest(spark, path)
 
-    def bucket(self) -> Column:
+    def bucket(self, buckets: int | None = None) -> Column:
         """Number of the bucket that a row's key falls in, the same that Spark's bucketed files carry."""
-        return F.pmod(F.hash(*KEYS), F.lit(self.buckets)) if self.buckets else F.lit(0)
+        buckets = buckets or self.buckets
+        return F.pmod(F.hash(*KEYS), F.lit(buckets)) if buckets else F.lit(0)
+
+    def _number(self, load: dict | None) -> int | None:
+        """Into how many buckets a load dealt its rows; loads that do not say so have the table's own number."""
+        return (load or {}).get("buckets", self.buckets)
 
     def _part(self, folder: str, current: bool, bucket: str | None = None) -> str:
         part = f"{self.path}/{folder}/is_current={str(current).lower()}"
@@ -275,19 +321,19 @@ class CoreTable:
         """Dates loaded (before a date), oldest first."""
         return [day for day in self.manifest.read()[1] if before is None or day < before]
 
-    def _slice(self, held: dict[str, str]) -> DataFrame:
+    def _slice(self, held: dict[str, str], buckets: int | None) -> DataFrame:
         """Current rows of these buckets, given the folder of each, with their ``bucket``."""
         places = {number: self._part(folder, True, number) for number, folder in held.items()}
-        if not self.buckets:
+        if not buckets:
             return self.spark.read.schema(self._schema()).parquet(*places.values()).withColumn("bucket", F.lit(0))
         # Parquet files do not say how they are bucketed; an external table definition does.
-        name, keys = self._table_name(json.dumps(held, sort_keys=True)), ", ".join(KEYS)
+        name, keys = self._table_name(json.dumps([buckets, held], sort_keys=True)), ", ".join(KEYS)
         if not self.spark.catalog.tableExists(name):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema())
             parts = " ".join(f"PARTITION (bucket = {number}) LOCATION '{place}'" for number, place in places.items())
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}, bucket INT) USING parquet PARTITIONED BY (bucket) "
-                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/_tables/{name}'"
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{self.path}/_tables/{name}'"
             )
             self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
         return self.spark.table(name)
@@ -307,7 +353,7 @@ class CoreTable:
         if not known:
             return None
         held = self._held(known[-1])
-        rows = self._slice(held).drop("bucket") if known[-1]["current"] else self.spark.read.parquet(self._part(held["0"], True, "0"))
+        rows = self._slice(held, self._number(known[-1])).drop("bucket") if known[-1]["current"] else self.spark.read.parquet(self._part(held["0"], True, "0"))
         return rows.withColumn("is_current", F.lit(True))
 
     @staticmethod
@@ -378,79 +424,97 @@ class CoreTable:
         return self._versions(self.current(before=snapshot), self._unique(batch, latest_by), now)
 
     @staticmethod
-    def _unique(batch: DataFrame, latest_by: str | None) -> DataFrame:
-        return batch if latest_by is None else deduplicate_by_key(batch, KEYS, latest_by, tie_breaks=["record_hash"])
+    def _unique(batch: DataFrame, latest_by: str | None, stored: bool = False) -> DataFrame:
+        one = deduplicate_stored if stored else deduplicate_by_key
+        return batch if latest_by is None else one(batch, KEYS, latest_by, tie_breaks=["record_hash"])
 
     @staticmethod
     def _versions(before: DataFrame | None, batch: DataFrame, now: str) -> DataFrame:
-        return first_versions(batch, now) if before is None else merge_current(before, batch, now)
+        if before is None:
+            return first_versions(batch, now)
+        return with_lists(merge_current(without_lists(before), without_lists(batch), now)).select(*before.columns)
 
-    def changes(self, held: dict[str, str], batch: DataFrame) -> dict[str, tuple[int, int]]:
+    def changes(self, held: dict[str, str], batch: DataFrame, buckets: int | None) -> dict[str, tuple[int, int]]:
         """Keys that a batch opens and changes, by bucket; buckets with neither are left out.
 
         Reads the keys and hashes of the current rows only; one row per bucket comes back.
         """
-        old = self._slice(held).select(*KEYS, F.col("record_hash").alias("old_hash"), F.lit(True).alias("known"))
+        old = self._slice(held, buckets).select(*KEYS, F.col("record_hash").alias("old_hash"), F.lit(True).alias("known"))
         paired = batch.select(*KEYS, "record_hash").join(old, KEYS, "left")
         differs = F.col("known") & ~F.col("record_hash").eqNullSafe(F.col("old_hash"))
-        counted = paired.groupBy(self.bucket().alias("bucket")).agg(
+        counted = paired.groupBy(self.bucket(buckets).alias("bucket")).agg(
             F.count_if(F.col("known").isNull()).alias("opened"), F.count_if(differs).alias("changed")
         )
         return {str(r["bucket"]): (r["opened"], r["changed"]) for r in counted.where("opened + changed > 0").collect()}
 
-    def _write(self, earlier: dict | None, batch: DataFrame, snapshot: str, now: str, latest_by: str | None) -> tuple[dict, dict]:
+    def _write(
+        self, earlier: dict | None, batch: DataFrame, snapshot: str, now: str, latest_by: str | None, stored: bool = False
+    ) -> tuple[dict, dict]:
         """Writes a new folder with the buckets that the batch touches; its manifest entry and the rows current, opened
         and closed."""
-        batch = self._unique(batch, latest_by).persist()
+        batch, made = self._unique(batch, latest_by, stored), None
+        if not stored:
+            made = scratch_path(self.spark, "batch")
+            batch.write.option("compression", "zstd").parquet(made)
+            batch = self.spark.read.schema(batch.schema).parquet(made)
         try:
-            held = self._held(earlier) if earlier else {}
+            held, buckets = (self._held(earlier), self._number(earlier)) if earlier else ({}, self.buckets)
             folder = new_load(snapshot)
             if earlier:
-                touched = self.changes(held, batch)
+                touched = self.changes(held, batch, buckets)
                 opened, closed = (sum(x[k] for x in touched.values()) for k in (0, 1))
                 entry = {"folder": folder, "slice": {**held, **dict.fromkeys(touched, folder)}, "closed": closed > 0}
                 if touched:
                     numbers = [int(n) for n in touched]
-                    before = self._slice(held).where(F.col("bucket").isin(numbers)).drop("bucket").withColumn("is_current", F.lit(True))
-                    self._put(self._versions(before, batch.where(self.bucket().isin(numbers)), now), folder, spread=False)
+                    before = self._slice(held, buckets).where(F.col("bucket").isin(numbers)).drop("bucket").withColumn("is_current", F.lit(True))
+                    # A condition on all buckets would only be carried along.
+                    part = batch if len(numbers) == buckets else batch.where(self.bucket(buckets).isin(numbers))
+                    self._put(self._versions(before, part, now), folder, buckets, spread=False)
                 counts = {"current": earlier["current"] + opened, "opened": opened + closed, "closed": closed}
             else:
                 rows = first_versions(batch, now)
-                found = {r["bucket"]: r["count"] for r in batch.groupBy(self.bucket().alias("bucket")).count().collect()}
+                if buckets:
+                    size = batch.agg(F.sum(row_bytes(batch.schema))).first()[0] or 0
+                    while buckets * BUCKET_BYTES < size:
+                        buckets *= 2
+                found = {r["bucket"]: r["count"] for r in batch.groupBy(self.bucket(buckets).alias("bucket")).count().collect()}
                 self._remember_schema(rows)
                 if found:
-                    self._put(rows, folder, spread=True)
+                    self._put(rows, folder, buckets, spread=True)
                 else:  # no row, no folder: readers still need the columns
                     rows.drop("is_current").write.parquet(self._part(folder, True, "0"))
                 numbers, current = sorted(found) or [0], sum(found.values())
                 entry = {"folder": folder, "slice": {str(n): folder for n in numbers}, "closed": False}
                 counts = {"current": current, "opened": current, "closed": 0}
-            return {**entry, "current": counts["current"], "at": str(now)}, counts
+            return {**entry, "current": counts["current"], "at": str(now), "buckets": buckets}, counts
         finally:
-            batch.unpersist()
+            if made:
+                remove(self.spark, made)
 
-    def _put(self, rows: DataFrame, folder: str, spread: bool) -> None:
+    def _put(self, rows: DataFrame, folder: str, buckets: int | None, spread: bool) -> None:
         place = f"{self.path}/{folder}"
-        rows = rows.withColumn("bucket", self.bucket())
-        if not self.buckets:
+        rows = rows.withColumn("bucket", self.bucket(buckets))
+        if not buckets:
             rows.sortWithinPartitions("is_current", "content_type", "published_at").write.partitionBy("is_current", "bucket").parquet(place)
             return
         # A join with bucketed rows leaves one bucket per task; a first load has no such join.
         if spread:
-            rows = rows.repartition(self.buckets, *KEYS)
+            rows = with_lists(without_lists(rows).repartition(buckets, *KEYS))
         name = self._table_name(f"{folder}|write")
         (
-            rows.write.partitionBy("is_current", "bucket").bucketBy(self.buckets, *KEYS).sortBy(*KEYS)
-            .option("path", place).option("partitionOverwriteMode", "static").saveAsTable(name)
+            rows.write.partitionBy("is_current", "bucket").bucketBy(buckets, *KEYS).sortBy(*KEYS)
+            .option("path", place).option("compression", "zstd").option("partitionOverwriteMode", "static").saveAsTable(name)
         )
         self.spark.sql(f"DROP TABLE {name}")
 
     def load(
         self, batch: DataFrame, snapshot: str, now: str, latest_by: str | None = None,
-        replay: Callable[[str], tuple[DataFrame, str]] | None = None,
+        replay: Callable[[str], tuple[DataFrame, str]] | None = None, stored: bool = False,
     ) -> dict:
         """Merge one batch, keyed by load date. Returns its rows current, opened and closed.
 
+        ``stored``: batches come straight from Parquet files, only filtered and projected since.
+
         If later dates are loaded already, ``replay`` must give each one's batch and time; they are merged again
         after this one, and the new folders of all become visible at once.
         """
@@ -463,7 +527,7 @@ class CoreTable:
         made, result = {}, None
         for day in [snapshot, *later]:
             own_batch, own_now = (batch, now) if day == snapshot else replay(day)
-            made[day], counts = self._write(before, own_batch, day, own_now, latest_by)
+            made[day], counts = self._write(before, own_batch, day, own_now, latest_by, stored)
             before = made[day] if made[day]["current"] else None
             result = result or counts
         self.manifest.publish(number, {**loads, **made})
