@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.plans import temporal, volume
 from tidewire.session import scratch_path
+from tidewire.sources import bronze
 from tidewire.streaming import incremental, stateful
 
 SCHEMA = "content_id string, content_type string, published_at timestamp, day date"
@@ -123,3 +124,18 @@ def test_a_compaction_that_breaks_off_changes_nothing(spark, monkeypatch):
 def test_no_counts_yet(spark):
     with pytest.raises(ValueError):
         stateful.read_windows(spark, scratch_path(spark, "none"), ["content_type"])
+
+
+def test_a_batch_of_landed_records_is_written_and_not_held(spark, monkeypatch):
+    def held(*_, **__):
+        raise AssertionError("a batch was held in memory")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", held)
+    root, out = scratch_path(spark, "landed"), scratch_path(spark, "stream")
+    good = '{"id":"%d","title":"T","url":"https://a.example.com/x","news_site":"s","summary":"x","published_at":"2026-02-01T00:00:00Z"}'
+    lines = [good % 1, good % 2, "no json"]
+    bronze.land_lines(spark.createDataFrame([(x, "2026-02-01") for x in lines], "value string, ingest_date string"), root, "articles")
+    incremental.ingest_once(spark, root, out, "r")
+    assert sorted(r.content_id for r in spark.read.parquet(f"{out}/gold").collect()) == ["articles_1", "articles_2"]
+    assert [r.raw_payload for r in spark.read.parquet(f"{out}/quarantine").collect()] == ["no json"]
+    assert not list(pathlib.Path(out.removeprefix("file:")).glob("_checked/*/*.parquet"))
