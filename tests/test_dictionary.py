@@ -53,3 +53,13 @@ def test_topics_against_the_small_form(spark, monkeypatch):
         small = X.enrich_text(df, topics=topics, match=match).collect()
         assert [(r.title, r.topic_name, r.keywords) for r in rows] == [(r.title, r.topic_name, r.keywords) for r in small]
         assert len({r.topic_name for r in rows}) > 5
+
+
+def test_names_that_are_keywords_and_entities_are_searched_once(spark):
+    names = [f"name{n}x" for n in range(D.LARGE + 20)] + ["two words"]
+    topics = {"A": names[::2], "B": names[1::2]}
+    rows = spark.createDataFrame([("a NAME7x and", "two words name118x"), (None, None), ("", "name1")], "title string, summary string")
+    one, other = X.enrich_text(rows, topics, topics), X.enrich_text(rows, topics, {"E": [*names[::2], *names[1::2], "absent"]})
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    searches = [str(d._jdf.queryExecution().optimizedPlan().toString()).count("(?=(") for d in (one, other)]
+    assert searches[0] == searches[1] - 1

@@ -87,17 +87,20 @@ def names_found(text: Column, names: Iterable[str]) -> Column:
     return F.array_distinct(F.flatten(F.transform(found, lambda n: F.coalesce(inner(n), F.array(n)))))
 
 
-def names_in_order(text: Column, names: Iterable[str]) -> Column:
-    """The different names that occur in the text, in the order of ``names``."""
+def names_in_order(text: Column, names: Iterable[str], found: Column | None = None) -> Column:
+    """The different names that occur in the text, in the order of ``names``; ``found``: those, where they are known."""
     order = {name: at for at, name in enumerate(dict.fromkeys(names))}
     place = NameTable(order, "int")
-    placed = F.transform(names_found(text, order), lambda n: F.struct(place(n).alias("at"), n.alias("name")))
+    placed = F.transform(names_found(text, order) if found is None else found, lambda n: F.struct(place(n).alias("at"), n.alias("name")))
     return F.transform(F.array_sort(placed), lambda x: x["name"])
 
 
-def topic_totals(lowered: Column, joined: Column, topics: Mapping[str, Iterable[str]], match: str = "substring") -> Column:
+def topic_totals(
+    lowered: Column, joined: Column, topics: Mapping[str, Iterable[str]], match: str = "substring", found: Column | None = None
+) -> Column:
     """(minus, topic) of each topic that scored: two points per keyword that occurs, one for each of a keyword's
-    different words that is a token. ``joined`` is the token list as ',a,b,c,'."""
+    different words that is a token. ``joined`` is the token list as ',a,b,c,'; ``found``: the keywords that occur, where
+    these are known."""
     phrases: dict[str, dict[int, int]] = {}
     words: dict[str, dict[int, int]] = {}
     for number, keywords in enumerate(topics.values()):
@@ -109,12 +112,12 @@ def topic_totals(lowered: Column, joined: Column, topics: Mapping[str, Iterable[
                 token_points = words.setdefault(f",{word},", {})
                 token_points[number] = token_points.get(number, 0) + 1
 
-    def points(text: Column, table: dict[str, dict[int, int]]) -> Column:
+    def points(text: Column, table: dict[str, dict[int, int]], found: Column | None = None) -> Column:
         rows = {name: [{"topic": t, "points": n} for t, n in by.items()] for name, by in table.items()}
         known = NameTable(rows, "array<struct<topic:int,points:int>>")
-        return F.flatten(F.transform(names_found(text, table), lambda n: known(n)))
+        return F.flatten(F.transform(names_found(text, table) if found is None else found, lambda n: known(n)))
 
-    hits = F.concat(points(lowered if match == "substring" else joined, phrases), points(joined, words))
+    hits = F.concat(points(lowered if match == "substring" else joined, phrases, found), points(joined, words))
 
     def totals(all_hits: Column) -> Column:
         topic = F.array_distinct(F.transform(all_hits, lambda h: h["topic"]))
