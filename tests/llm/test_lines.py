@@ -128,3 +128,25 @@ def test_template_lines_are_ruled_out_together(monkeypatch):
     p["at"][:3] = 1  # these may be alike
     p = p[np.lexsort((p["at_line"], p["at"]))]
     assert {(int(a), int(b)) for y, x, _ in lines.similar(p, 80) for a, b in zip(y, x, strict=True)} == {(1, 0), (2, 0), (2, 1)}
+
+
+def test_long_unlike_lines_are_ruled_out_by_their_maps():
+    """Pairs of lines of 100 words of which 80 are shared (a Jaccard similarity of 0.67): few are left to be verified."""
+    draw, block, n = random.Random(3), lines.Block(), 400
+    common = vocabulary(3, 400)  # so the shared words are the rarer ones
+    for i in range(n):
+        shared = [f"w{draw.getrandbits(40)}" for _ in range(80)]
+        for k in range(2):
+            block.add(2 * i + k, 0, " ".join(shared + draw.sample(common, 20)))
+    row = {"block": 7, **block.packed()}
+    row |= {"totals": [row["counts"]], "firsts": [pack(np.ones(2 * n, bool))]}
+    p = lines.unpacked_postings([{"block": 7, **lines.packed_postings(lines.prefixes(row, 80))}])
+    left = sum(len(y) for y, _, _ in lines.similar(p, 80))
+    p["high"] = 0  # as with a map of half the width
+    assert 3 * left < sum(len(y) for y, _, _ in lines.similar(p, 80))
+
+
+def test_texts_are_dealt_without_a_sort(spark):
+    docs = documents(spark, ["x y z", "x y z"])
+    plan = lines.dedup_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=shuffle_hash" in plan

@@ -7,7 +7,7 @@ itself removed makes no difference.
 Equal sets are found by a 128-bit hash. For the others, words are ordered by rarity over all lines, and by hash among
 equally rare ones. Two similar sets share a word among the first few of this order (prefix filter), lengths that differ
 little (length filter) and enough words from the shared one on (positional filter); words that only one line has are
-left out, and a 64-bit parity map bounds the difference of two sets from below. Words that more than ``HOT`` lines have
+left out, and a 128-bit parity map bounds the difference of two sets from below. Words that more than ``HOT`` lines have
 are filed in pairs: sets whose first shared word is that frequent share a second one at least as frequent within one more
 place of the prefix. Nothing is left out. The list of a pair has no bound and lies in one shard; in it, lines of the same
 size and place are ruled out together, and other lines are compared in pairs. What passes is verified on the words.
@@ -49,8 +49,9 @@ HOT = 5000
 NO_ID = (1 << 63) - 1
 POSTINGS_PER_SHARD = 1 << 19
 PAIRS_AT_ONCE = 1 << 18
+ASKED_AT_ONCE = 1 << 14  # pairs of a block that are sent to be verified in one part
 POSTING = np.dtype([
-    ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
+    ("key", "<u8"), ("map", "<u8"), ("high", "<u8"), ("doc", "<i8"), ("tie", "<i8"), ("line", "<i4"), ("at_line", "<i4"), ("n", "<i4"), ("at", "<i4"), ("block", "<i8")
 ])
 SENT = [f for f in POSTING.names if f != "block"]  # a posting says its line's number in the block as at_line
 CANDIDATE_SCHEMA = "shard int, block_y long, at_y int, block_x long, at_x int, differ int, more boolean, kept binary"
@@ -210,7 +211,9 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     word = order[np.sort((owner << 32) | rarity[unpack(row["tokens"], "<i4")]) & 0xFFFFFFFF]
     starts = np.cumsum(sizes) - sizes
     at, n, count = np.arange(len(word)) - starts[owner], sizes[owner], totals[word]
-    maps = np.bitwise_xor.reduceat(np.uint64(1) << (mixed(own[word]) >> np.uint64(58)), starts)
+    bit = mixed(own[word]) >> np.uint64(57)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    low, high = (np.bitwise_xor.reduceat(np.where(half, one, np.uint64(0)), starts) for half in (bit < 64, bit >= 64))
     reach = n - -(-percent * n // 100) + 1
     # Smaller sets are similar to equal ones only, and those are found by their hash.
     can = (n * 100 >= percent * (n + 1)) & first_lines(row)[owner]
@@ -228,7 +231,8 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     key, first = np.concatenate(keys), np.concatenate(first)
     line = owner[first]
     out = np.empty(len(key), POSTING)
-    out["key"], out["at"], out["n"], out["map"], out["at_line"] = key, at[first], sizes[line], maps[line], line
+    out["key"], out["at"], out["n"], out["at_line"] = key, at[first], sizes[line], line
+    out["map"], out["high"] = low[line], high[line]
     out["doc"], out["tie"], out["line"] = (x[line] for x in line_places(row))
     out["block"] = row["block"]
     return out[np.argsort(key, kind="stable")]
@@ -303,10 +307,10 @@ def similar(p: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
     They share a key, and lengths, places and maps allow the similarity.
     """
-    n, maps = p["n"].astype(np.int64), p["map"]
+    n, low, high = p["n"].astype(np.int64), p["map"], p["high"]
     for x, y in possible(p, percent):
         need = overlap(n[x], n[y], percent)
-        differ = np.bitwise_count(maps[x] ^ maps[y]).astype(np.int64)
+        differ = np.bitwise_count(low[x] ^ low[y]).astype(np.int64) + np.bitwise_count(high[x] ^ high[y])
         same_doc = (p["doc"][x] == p["doc"][y]) & (p["tie"][x] == p["tie"][y])
         fits = (differ <= n[x] + n[y] - 2 * need) & ~(same_doc & (p["line"][x] == p["line"][y]))
         x, y, differ = x[fits], y[fits], differ[fits]
@@ -396,9 +400,10 @@ def confirmed(pairs: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
     asked_x = pairs.select(F.col("block_x").alias("block"), F.struct(F.col("at_x").alias("at")).alias("x"))
     asked_x = asked_x.groupBy("block").agg(F.collect_set("x").alias("asked"))  # as large as the block
     sets = source.join(asked_x, "block").mapInArrow(fetch, "block long, at int, words binary").toDF(*X, "words_x")
-    # In parts, as a block may have many more pairs than lines.
-    part = F.pmod(F.xxhash64(*X), F.lit(8))
-    asked_y = pairs.groupBy(F.col("block_y").alias("block"), part).agg(
+    # In parts, where a block has many more pairs than lines.
+    parts = pairs.groupBy("block_y").agg(F.ceil(F.count("*") / ASKED_AT_ONCE).alias("parts"))
+    part = F.pmod(F.xxhash64(*Y, *X), F.col("parts"))
+    asked_y = pairs.join(parts, "block_y").groupBy(F.col("block_y").alias("block"), part).agg(
         F.collect_list(F.struct(F.col("at_y").alias("at"), *X)).alias("asked")
     ).select("block", "asked")
     sent = source.join(asked_y, "block").mapInArrow(fetch, "block long, at int, block_x long, at_x int, words binary")
@@ -474,7 +479,8 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id
 def without_lines(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns, with the removed lines taken out of the text, and ``removed_lines``: their numbers, or null.
 
-    Of rows without id that have the same text, one loses the lines said for it and the others lose all.
+    Of rows without id that have the same text, one loses the lines said for it and the others lose all. Texts are dealt
+    once, to what is removed from them, and not sorted. The plan is the same at every size: both sides grow alike.
     """
 
     @F.pandas_udf("string")
@@ -497,7 +503,7 @@ def without_lines(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", t
         F.split(F.col(text), "\n"), lambda x, i: F.when(F.btrim(x, F.lit(BLANKS)) != "", i)
     ), lambda i: i.isNotNull())
     gone = F.when(F.col("removed_copy") & (F.size(every) > 0), every).otherwise(F.col("removed_lines"))
-    return rows.join(table, same, "left").withColumn("removed_lines", gone).drop(
+    return rows.join(table.hint("shuffle_hash"), same, "left").withColumn("removed_lines", gone).drop(
         "removed_doc", "removed_rid", "removed_copy"
     ).withColumn(text, cut(F.col(text), F.col("removed_lines")))
 

@@ -92,10 +92,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, the numbers of those removed, and the hash of the text that is left."""
     small_batches(spark)
-    left = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("whole", F.col("text")))
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines")
+    left = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", n_lines))
     gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
     return left.select(
-        "doc_id", F.size(F.split(F.coalesce("whole", F.lit("")), "\n")).cast("long").alias("n_lines"),
+        "doc_id", "n_lines",
         F.size(gone).cast("long").alias("n_removed"), F.array_join(gone.cast("array<string>"), ",").alias("removed"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("left_sha256"),
     )
