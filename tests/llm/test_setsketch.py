@@ -108,3 +108,15 @@ def test_shared_shingles(spark):
     found = ["a b c", "b c d", "x y", "x y", "z"]
     texts = spark.createDataFrame(list(enumerate(found)), "vid long, text string")
     assert dict(setsketch.shared_shingles(texts, 2).collect()) == {0: 1, 1: 1, 2: 1, 3: 1, 4: 0}
+
+
+def test_noisy_copies_are_tested_a_few_times_each(spark, monkeypatch):
+    """No step tests all pairs of a bucket: a class meets one other per band, and later one centre per band."""
+    tested, verified = [], setsketch.verified
+    monkeypatch.setattr(setsketch, "verified", lambda pairs, *more: tested.append(pairs.count()) or verified(pairs, *more))
+    draw, vocab = random.Random(15), vocabulary(15, 3000)
+    base = " ".join(draw.choice(vocab) for _ in range(140))
+    found = [family(draw, vocab, base, draw.randint(0, 30)) for _ in range(250)]
+    rows = sorted(setsketch.near_duplicates(documents(spark, found), size=2).collect())
+    assert [tuple(r)[1:] for r in rows] == expected(found, 2)
+    assert len(tested) == 2 and sum(tested) <= 2 * setsketch.BANDS * len(found)

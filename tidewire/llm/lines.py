@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialized
-from .setsketch import mixed
+from .shingles import mixed
 from .tallies import (
     answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges,
     unpack, unpack_sorted,

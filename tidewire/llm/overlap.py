@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialized
 from .graph import components
-from .setsketch import shingle_sets
+from .shingles import shingle_sets
 from .tallies import (
     BLOCK_TOKENS, answers, bucketed, dealt, dropped, gathered, pack, pack_sorted, shard_count, unpack, unpack_sorted,
 )
@@ -442,20 +442,13 @@ def with_roots(blocks: DataFrame, reached: DataFrame) -> DataFrame:
     return materialized(blocks.sparkSession, placed, "overlap-roots")
 
 
-def similarity_classes(
-    docs: DataFrame, *, size: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(key, n_shingles, component_id) per row: documents are linked if their shingle sets have a Jaccard similarity of
-    ``threshold`` (hundredths) or more; component_id is the smallest id that can be reached."""
-    spark = docs.sparkSession
-    percent = round(threshold * 100)
-    own = shingled(docs, size, percent, key, text)
-    classes = own.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.max("least").alias("least"),
-        F.first("shingles", ignorenulls=True).alias("shingles"),
-    )
-    classes = materialized(spark, classes, "overlap-classes")
-    blocks = index_blocks(classes.filter("shingles IS NOT NULL"), percent)
+def grouped(classes: DataFrame, percent: int) -> DataFrame:
+    """(digest, root) of the classes (digest, n, shingles, least) that are linked with others, a written table.
+
+    ``shingles`` are packed, sorted and different; ``least`` is the smallest of them; root is the same within a component.
+    """
+    spark = classes.sparkSession
+    blocks = index_blocks(classes, percent)
     numbers = [r[0] for r in blocks.select("block").collect()]  # one number per block of a million shingles
     shards = shard_count(spark, blocks.agg(F.sum(F.octet_length("keys"))).first()[0] or 0, 1 << 23)
 
@@ -473,9 +466,26 @@ def similarity_classes(
     vids = blocks.select("block", F.posexplode(F.expr(
         "transform(sequence(0, int(octet_length(digests) / 16) - 1), i -> substring(digests, 16 * i + 1, 16))"
     )).alias("at", "digest")).select((F.shiftleft("block", 22) + F.col("at")).alias("vid"), "digest")
-    tree = vids.join(reached.withColumnRenamed("id", "vid"), "vid").join(classes.select("digest", "id"), "digest")
-    tree = materialized(spark, tree.select("digest", "root", "id"), "overlap-tree")
+    tree = materialized(spark, vids.join(reached.withColumnRenamed("id", "vid"), "vid").select("digest", "root"), "overlap-tree")
     dropped(blocks)
+    return tree
+
+
+def similarity_classes(
+    docs: DataFrame, *, size: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(key, n_shingles, component_id) per row: documents are linked if their shingle sets have a Jaccard similarity of
+    ``threshold`` (hundredths) or more; component_id is the smallest id that can be reached."""
+    spark = docs.sparkSession
+    percent = round(threshold * 100)
+    own = shingled(docs, size, percent, key, text)
+    classes = own.filter("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.max("least").alias("least"),
+        F.first("shingles", ignorenulls=True).alias("shingles"),
+    )
+    classes = materialized(spark, classes, "overlap-classes")
+    tree = grouped(classes.filter("shingles IS NOT NULL"), percent).join(classes.select("digest", "id"), "digest")
+    tree = materialized(spark, tree, "overlap-tree")
     linked = tree.join(tree.groupBy("root").agg(F.min("id").alias("smallest")), "root").select("digest", "smallest")
     smallest = classes.select("digest", "id").join(linked, "digest", "left").select(
         "digest", F.coalesce("smallest", "id").alias("smallest")

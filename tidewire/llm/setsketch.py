@@ -10,9 +10,9 @@ registers estimates their similarity, and pairs estimated within 0.2 of the thre
 Documents with equal sets are one class from the start. In a bucket each class is first compared with one other only.
 For buckets that are then still apart in components, the shingles that a class shares with any other such class are
 counted: no overlap can exceed them. Each class is compared with the one that shares most of its set; what is apart even
-then is compared pair by pair, as far as the shared shingles allow a link. So every pair that shares a bucket is in one
-component, or tested, or impossible, and a large group of noisy copies costs a few comparisons per copy. Nothing is
-capped.
+then, and shares enough of its set, is searched by the inverted lists of ``overlap`` on the full sets, which gives a link
+per component and not per pair. So every pair that shares a bucket is in one component, or tested, or impossible, and no
+step makes all pairs of a large group of noisy copies. Nothing is capped.
 
 Empty and blank texts and null texts have no shingles and are linked with nothing. Fewer words than a shingle count as
 one shingle. Rows with a null id are kept and have no component. Repeated rows share their component; rows that have the
@@ -27,14 +27,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialized
+from . import overlap
 from .graph import components
-from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, distinct, pack, pack_sorted, shard_count, unpack
+from .shingles import mixed, shingle_sets
+from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, pack, pack_sorted, shard_count, unpack
 from .words import bounded
 
 REGISTERS, BAND = 128, 4
@@ -43,46 +44,6 @@ BASE, RATE, TOP = 1.001, 20.0, 65535
 MARGIN = 0.2
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer: every input bit affects every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def tokenised(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Different words, the word number of every token, and the position at which each text starts (and the end)."""
-    numbers: dict[bytes, int] = {}
-    parts, starts = [], [0]
-    for text in texts:
-        words = (text or "").encode().lower().split()
-        parts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words)))
-        starts.append(starts[-1] + len(words))
-    return list(numbers), np.concatenate(parts) if parts else np.empty(0, np.int64), np.array(starts)
-
-
-def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
-    """The sorted different 64-bit shingle hashes of each text."""
-    words, tokens, starts = tokenised(texts)
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)[tokens] if words else np.empty(0, np.uint64)
-    n = max(0, len(hashes) - size + 1)
-    windows = np.full(n, size, np.uint64)
-    for k in range(size):
-        windows = mixed(windows * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n])
-    sets = []
-    for a, z in zip(starts[:-1], starts[1:], strict=True):
-        if z - a >= size:
-            sets.append(distinct(windows[a : z - size + 1]))
-        elif z > a:
-            short = np.full(1, z - a, np.uint64)
-            for h in hashes[a:z]:
-                short = mixed(short * np.uint64(0x9E3779B97F4A7C15) + h)
-            sets.append(short)
-        else:
-            sets.append(np.empty(0, np.uint64))
-    return sets
-
-
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """Registers of each set, one row of 16-bit integers per set."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -256,6 +217,23 @@ def shared_shingles(texts: DataFrame, size: int) -> DataFrame:
     return materialized(spark, blocks.join(totals, "block").mapInArrow(count, "vid long, shared long"), "near-shared")
 
 
+def packed_sets(size: int):
+    """A function for mapInArrow over (vid, text): the shingles of each text and the smallest of them."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(1).to_pylist(), size)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array([pack_sorted(s) for s in sets], pa.binary()),
+                    pa.array([int(s[0].astype(np.int64)) for s in sets], pa.int64()),
+                ],
+                names=["vid", "shingles", "least"],
+            )
+
+    return read
+
+
 def near_duplicates(
     docs: DataFrame, *, size: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -315,12 +293,12 @@ def near_duplicates(
     reached = components(links)
 
     apart = still_apart(apart.drop("root"), reached)
-    sides = [apart.select("bucket", F.col("vid").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "shared", "root")]) for s in "ab"]
-    across = sides[0].join(sides[1], "bucket").filter(
-        (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & possible(lambda c: F.col(f"{c}_a"), lambda c: F.col(f"{c}_b"))
-    )
-    rest = across.select("a", "b").distinct().join(star.unionByName(tested), ["a", "b"], "left_anti")
-    more = confirmed(materialized(spark, rest, "near-rest"))
+    asking = bounded(materialized(spark, apart.filter(100 * F.col("shared") >= percent * F.col("n")).select("vid").distinct(), "near-rest"))
+    sets = texts.join(asking, "vid").mapInArrow(packed_sets(size), "vid long, shingles binary, least long")
+    sets = materialized(spark, sets.join(classes.select("vid", "digest", "n"), "vid"), "near-sets")
+    found = overlap.grouped(sets, percent).join(sets.select("vid", "digest"), "digest").select("vid", F.col("root").alias("found"))
+    more = found.groupBy("found").agg(F.min("vid").alias("a")).join(found.withColumnRenamed("vid", "b"), "found")
+    more = materialized(spark, more.filter("a != b").select("a", "b"), "near-links")
     if not more.isEmpty():
         reached = components(links.unionByName(more))
     reached = materialized(spark, reached, "near-reached")
