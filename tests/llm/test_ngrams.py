@@ -1,4 +1,6 @@
+import glob
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -142,3 +144,32 @@ def test_registered_query_scores_with_trigrams(spark, tmp_path):
     rows = sorted(queries.op2_katz_scores(spark, str(tmp_path)).collect())
     model = Katz([tokens_of(texts[r["doc_id"]]) for r in rows if not r["held_out"]], 3)
     assert [r["score"] for r in rows] == pytest.approx([model.score(tokens_of(texts[r["doc_id"]])) for r in rows])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_no_shard_ends_within_a_history(spark, seed):
+    """Shards that are no power of two once cut the n-grams of a history, whose sums then came from one part only."""
+    texts = corpus(150, seed=seed)
+    train = [tokens_of(t) for i, t in enumerate(texts) if i % 3]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        rows = sorted(ngrams.katz_scores(documents(spark, texts), F.col("doc_id") % 3 != 0, order=3).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    model = Katz(train, 3)
+    assert [r["score"] for r in rows] == pytest.approx([model.score(tokens_of(t)) for t in texts], rel=1e-9)
+
+
+def test_lower_orders_leave_no_tables_and_training_texts_ask_for_no_sums(spark):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://").removeprefix("file:")
+    there = set(glob.glob(f"{shared}/ngrams-*"))
+    texts = corpus(80)
+    rows = sorted(ngrams.katz_scores(documents(spark, texts), F.lit(True), order=3).collect())
+    model = Katz([tokens_of(t) for t in texts], 3)
+    assert [r["score"] for r in rows] == pytest.approx([model.score(tokens_of(t)) for t in texts], rel=1e-9)
+    left = set(glob.glob(f"{shared}/ngrams-*")) - there
+    assert ["-".join(os.path.basename(p).split("-")[:2]) for p in left] == ["ngrams-3"]
+    told = spark.read.parquet(*left).filter("kind = 'answer'")
+    assert told.count() > 0 and told.filter("sums IS NOT NULL OR extra IS NOT NULL OR keys IS NOT NULL").count() == 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -1,18 +1,23 @@
 """Katz backoff language model, trained and evaluated in tables.
 
 Texts become blocks of numbered tokens. Order by order, blocks send their different n-grams with training counts to
-shards; a shard adds them up, writes its part of the n-gram table and answers every block with the totals, in the order
-asked. From the counts of counts come Good-Turing discounts (counts up to 5); from sums per history over its seen words
-come backoff weights that make each distribution add up to one: what discounting frees is shared among unseen words in
-proportion to the next lower order. Below single words stands one unknown word, which takes what is left there. Where
-nothing is freed (all counts undiscounted), the history counts one more token, so that unseen words keep a chance.
+shards; a shard adds them up and answers every block with the totals, in the order asked. From the counts of counts come
+Good-Turing discounts (counts up to 5); from sums per history over its seen words come backoff weights that make each
+distribution add up to one: what discounting frees is shared among unseen words in proportion to the next lower order.
+Below single words stands one unknown word, which takes what is left there. Where nothing is freed (all counts
+undiscounted), the history counts one more token, so that unseen words keep a chance.
+
+Only what a block cannot know by itself is sent. A history is followed as often as it occurs (the end has nothing after
+it), so its tokens are its own count of the order before; that some of its counts are discounted is told by a mark per
+n-gram. Sums go to a block for those histories only after which it has an n-gram that its own training texts lack.
 
 Scoring goes down recursively per token: a seen n-gram has its discounted share, an unseen one the history's weight
 times the lower order, an unseen history the lower order itself.
 
 Histories with many tokens are dealt by whole n-gram, others by history, so that no shard has to hold a frequent
 history; their partial sums are added in a second step. Blocks, shards and their number follow the data, and a block has
-each n-gram once. The order is a parameter; ids of histories and words must fit 63 bits together.
+each n-gram once. The order is a parameter; ids of histories and words must fit 63 bits together. What is answered for an
+order lies beside the blocks for the orders above; the shards' own tables and shuffles go once it does.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; each text ends with one end token and starts after start
 marks. Null texts are empty: one end token. Without training texts everything is unknown. Rows are scored one by one, so
@@ -34,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove, scratch_path, shuffles_removed
 from .tallies import bucketed, dealt, pack, pack_sorted, shard_count, shard_edges, summed, unpack, unpack_sorted
 
 BLOCK_TOKENS = 1 << 19  # what a task holds some twenty numbers for
@@ -44,8 +49,8 @@ END = b"\n"
 ODD = 0x9E3779B97F4A7C15
 BLOCK_FIELDS = ("keys", "counts", "tokens", "sizes", "ids", "missing", "train")
 MERGED_SCHEMA = (
-    "kind string, shard int, block long, hot boolean, keys binary, counts binary, extra binary, found long, "
-    "count_counts array<long>, tokens long"
+    "kind string, shard int, block long, hot boolean, keys binary, counts binary, extra binary, marks binary, sums binary, "
+    "found long, count_counts array<long>, tokens long"
 )
 
 
@@ -126,6 +131,16 @@ class Level:
         total = self.tokens if self.freed > 0 else self.tokens + 1
         return np.where(counts > 0, self.discounted(counts) / total, (self.freed if self.freed > 0 else 1) / total)
 
+    def frees(self, marks: np.ndarray) -> np.ndarray:
+        """Whether discounting frees anything after histories, by which of the counts 1 to 5 their words have (bits)."""
+        return (marks & sum(1 << r for r, d in enumerate(self.discounts) if d < 1)) > 0
+
+    def backoff(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens and backoff weights of histories with these sums."""
+        freed = sums["n"] @ np.array([(1 - d) * r for r, d in enumerate(self.discounts, 1)])
+        total = np.where(freed > 0, sums["tokens"], sums["tokens"] + 1)
+        return total, np.where(freed > 0, freed, 1.0) / total / np.maximum(1 - sums["lower"], 1e-300)
+
 
 def good_turing(n: list[int]) -> tuple[float, ...]:
     """Katz discounts of the counts 1 to 5, from how many n-grams have the counts 1 to 6; 1 where undefined."""
@@ -146,7 +161,7 @@ def scrambled(x: np.ndarray, bits: int) -> np.ndarray:
 
 def merged_row(kind: str, shard: int, block: int | None = None, hot: bool = False, **more) -> dict:
     return {"kind": kind, "shard": shard, "block": block, "hot": hot, "keys": None, "counts": None, "extra": None,
-            "found": None, "count_counts": None, "tokens": None, **more}
+            "marks": None, "sums": None, "found": None, "count_counts": None, "tokens": None, **more}
 
 
 def merged_frame(rows: list[dict]) -> pd.DataFrame:
@@ -154,29 +169,37 @@ def merged_frame(rows: list[dict]) -> pd.DataFrame:
     return frame.astype({"block": "Int64", "found": "Int64", "tokens": "Int64"})
 
 
-def add_up(group: pd.DataFrame, shard: int, hot: bool, before: int = 0) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]:
-    """The table row and the answers for the parts of one shard; its keys, totals and the order of first mention."""
+def add_up(
+    group: pd.DataFrame, shard: int, hot: bool, before: int = 0, ids: bool = True
+) -> tuple[dict, list[dict], np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The size and the answers for the parts of one shard; its keys, totals and each part's places among them.
+
+    Blocks ask in the order of the keys, so the ids of those that are in training rise.
+    """
     keys, totals, places = summed(group)
     seen = totals > 0
-    index = np.where(seen, np.cumsum(seen) - 1 + before, -1)
-    rows = [merged_row(
-        "table", shard, hot=hot, keys=pack_sorted(keys[seen]), counts=pack(totals[seen]), found=int(seen.sum()),
-        tokens=int(totals.sum()), count_counts=np.bincount(totals[seen], minlength=TOP_DISCOUNTED + 2)[1 : TOP_DISCOUNTED + 2].tolist(),
-    )]
-    for block, p in zip(group["block"], places, strict=True):
-        rows.append(merged_row("answer", shard, int(block), hot, counts=pack(totals[p]), extra=pack(index[p])))
-    return rows, keys, totals, np.concatenate(places)
+    index = (np.cumsum(seen) - 1 + before).astype(np.uint64)
+    size = merged_row(
+        "table", shard, hot=hot, found=int(seen.sum()), tokens=int(totals.sum()),
+        count_counts=np.bincount(totals[seen], minlength=TOP_DISCOUNTED + 2)[1 : TOP_DISCOUNTED + 2].tolist(),
+    )
+    told = [
+        merged_row("answer", shard, int(block), hot, counts=pack(totals[p]), extra=pack_sorted(index[p[seen[p]]]) if ids else None)
+        for block, p in zip(group["block"], places, strict=True)
+    ]
+    return size, told, keys, totals, places
 
 
 def merge_words(group: pd.DataFrame) -> pd.DataFrame:
-    return merged_frame(add_up(group, int(group["shard"].iloc[0]), False)[0])
+    size, told, *_ = add_up(group, int(group["shard"].iloc[0]), False)
+    return merged_frame([size, *told])
 
 
-def stored(df: DataFrame, order: int) -> DataFrame:
-    """Writes what the shards of an order made, a table partitioned by kind."""
+def stored(df: DataFrame, order: int) -> tuple[DataFrame, str]:
+    """Writes what the shards of an order made, a table partitioned by kind; and its path."""
     path = scratch_path(df.sparkSession, f"ngrams-{order}")
     df.write.partitionBy("kind").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def level_of(merged: DataFrame) -> Level:
@@ -194,9 +217,9 @@ def answered(merged: DataFrame, order: int) -> DataFrame:
     sizes = merged.filter("kind = 'table'").groupBy("shard").agg(F.sum("found").alias("found"))
     line = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     shift = sizes.select("shard", F.coalesce(F.sum("found").over(line), F.lit(0)).alias("shift"))
-    parts = merged.filter("kind = 'answer'").select("block", "shard", "hot", "counts", "extra").join(F.broadcast(shift), "shard")
-    column = f"answers_{order}"
-    return parts.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("hot", "shard", "shift", "counts", "extra"))).alias(column))
+    fields = ("hot", "shard", "counts", "extra", "marks", "sums")
+    parts = merged.filter("kind = 'answer'").select("block", *fields).join(F.broadcast(shift), "shard")
+    return parts.groupBy("block").agg(F.array_sort(F.collect_list(F.struct(*fields, "shift"))).alias(f"answers_{order}"))
 
 
 def concatenated(answers: list[dict], hot: bool | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -204,11 +227,13 @@ def concatenated(answers: list[dict], hot: bool | None = None) -> tuple[np.ndarr
     chosen = [a for a in answers if hot is None or a["hot"] == hot]
     if not chosen:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    ids = []
-    for a in chosen:
-        own = unpack(a["extra"], "<i8")
-        ids.append(np.where(own >= 0, own + a["shift"], -1))
-    return np.concatenate([unpack(a["counts"], "<i8") for a in chosen]), np.concatenate(ids)
+    counts, ids = [unpack(a["counts"], "<i8") for a in chosen], []
+    for a, c in zip(chosen, counts, strict=True):
+        own = np.full(len(c), -1)
+        if a["extra"] is not None:  # not after the last order
+            own[c > 0] = unpack_sorted(a["extra"]).astype(np.int64) + a["shift"]
+        ids.append(own)
+    return np.concatenate(counts), np.concatenate(ids)
 
 
 class Walk:
@@ -232,37 +257,46 @@ class Walk:
         counts = np.empty_like(self.gram_count)
         counts[1:] = self.gram_count[:-1]
         counts[self.first] = HOT_HISTORY + 1
-        self.history, self.hot = history, counts > HOT_HISTORY
+        self.before, hot_history = counts, counts > HOT_HISTORY
         self.history_bits, self.word_bits = int(self.found + 1).bit_length(), max(1, int(self.words).bit_length())
         if self.history_bits + self.word_bits > 63:
             raise ValueError("too many different n-grams for this order")
         self.asked = {}
         spread = scrambled(np.maximum(history, 0), self.history_bits)
+        unsure = (history >= 0) & ~hot_history
         for hot in (False, True):
-            at = np.flatnonzero((history >= 0) & (self.word >= 0) & (self.hot == hot))
+            at = np.flatnonzero((history >= 0) & (self.word >= 0) & (hot_history == hot))
             word = self.word[at].astype(np.uint64)
             if hot:
                 key = scrambled((history[at].astype(np.uint64) << np.uint64(self.word_bits)) | word, self.history_bits + self.word_bits)
             else:
                 key = (spread[at] << np.uint64(self.word_bits)) | word
             keys, first, place = np.unique(key, return_index=True, return_inverse=True)
-            self.asked[hot] = (at, keys, first, place)
-        self.with_history = np.flatnonzero(history >= 0)
-        self.histories, self.history_place = np.unique(spread[self.with_history], return_inverse=True)
+            learnt = np.bincount(place[self.train[at]], minlength=len(keys)).astype("<i8")
+            unsure[at[learnt[place] > 0]] = False
+            self.asked[hot] = (at, keys, first, place, learnt)
+        self.unsure, self.hot_at = np.flatnonzero(unsure), np.flatnonzero(hot_history)
+        self.wanted, self.wanted_place = np.unique(spread[self.unsure], return_inverse=True)
+        self.hot_histories, self.hot_place = np.unique(spread[self.hot_at], return_inverse=True)
 
     def climb(self, answers: list[dict], weights: list[dict], level: Level) -> None:
         """Takes up what the shards answered for the order that ``step`` asked about."""
         counts, ids = np.zeros(len(self.p), np.int64), np.full(len(self.p), -1)
-        for hot, (at, _, _, place) in self.asked.items():
+        for hot, (at, _, _, place, _) in self.asked.items():
             totals, own = concatenated(answers, hot)
             counts[at], ids[at] = totals[place], own[place]
-        weight, total = np.ones(len(self.p)), np.ones(len(self.p))
+        weight, total = np.ones(len(self.p)), np.ones(len(self.p), np.int64)
+        if marks := [unpack(a["marks"], "u1") for a in answers if not a["hot"]]:
+            at, _, _, place, _ = self.asked[False]
+            total[at] = self.before[at] + ~level.frees(np.concatenate(marks))[place]
+        if sums := [unpack(a["sums"], SUMS) for a in answers if a["sums"] is not None]:
+            weight[self.unsure] = level.backoff(np.concatenate(sums))[1][self.wanted_place]
         if weights:
-            weight[self.with_history] = np.concatenate([unpack(w["extra"], "<f8") for w in weights])[self.history_place]
-            total[self.with_history] = np.concatenate([unpack(w["counts"], "<i8") for w in weights])[self.history_place]
+            weight[self.hot_at] = np.concatenate([unpack(w["extra"], "<f8") for w in weights])[self.hot_place]
+            total[self.hot_at] = np.concatenate([unpack(w["counts"], "<i8") for w in weights])[self.hot_place]
         self.p = np.where(counts > 0, level.discounted(counts) / total, weight * self.p)
-        self.gram, self.gram_count, self.found = ids, counts, level.found
-        del self.asked, self.history, self.hot, self.with_history, self.histories, self.history_place
+        self.gram, self.gram_count, self.total, self.found = ids, counts, total, level.found
+        del self.asked, self.before, self.unsure, self.hot_at, self.wanted, self.wanted_place, self.hot_histories, self.hot_place
 
 
 def walked(row: dict, levels: list[Level]) -> Walk:
@@ -277,7 +311,7 @@ def ask(levels: list[Level], shards: int) -> Callable:
     """A function for mapInArrow: what blocks ask of the shards of the next order."""
     schema = pa.schema([
         ("shard", pa.int32()), ("block", pa.int64()), ("hot", pa.bool_()), ("keys", pa.binary()), ("counts", pa.binary()),
-        ("lower", pa.binary()), ("lower_at", pa.binary()), ("bits", pa.int32()), ("word_bits", pa.int32()),
+        ("lower", pa.binary()), ("lower_at", pa.binary()), ("wanted", pa.binary()), ("bits", pa.int32()), ("word_bits", pa.int32()),
     ])
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,22 +319,27 @@ def ask(levels: list[Level], shards: int) -> Callable:
             for row in batch.to_pylist():
                 walk = walked(row, levels)
                 walk.step()
-                bits = walk.history_bits + walk.word_bits
+                bits, history_bits = walk.history_bits + walk.word_bits, walk.history_bits
                 common = {"block": row["block"], "bits": bits, "word_bits": walk.word_bits}
                 parts = []
-                for hot, (at, keys, first, place) in walk.asked.items():
-                    counts = np.bincount(place[walk.train[at]], minlength=len(keys)).astype("<i8")
-                    edges, one = shard_edges(keys, shards, bits), at[first]
+                wants = shard_edges(walk.wanted, shards, history_bits)
+                for hot, (at, keys, first, _, counts) in walk.asked.items():
+                    # No shard ends within a history that is dealt as a whole.
+                    edges = shard_edges(keys, shards, bits) if hot else shard_edges(keys >> np.uint64(walk.word_bits), shards, history_bits)
+                    one = at[first]
                     for s in range(shards):
-                        if (a := edges[s]) < (z := edges[s + 1]):
+                        a, z = edges[s], edges[s + 1]
+                        wanted = walk.wanted[wants[s] : wants[s + 1]] if not hot else walk.wanted[:0]
+                        if a < z or len(wanted):
                             parts.append(common | {
                                 "shard": s, "hot": hot, "keys": pack_sorted(keys[a:z]), "counts": pack(counts[a:z]),
-                                **lower_order(walk, one[a:z], len(levels)),
+                                "wanted": pack_sorted(wanted) if len(wanted) else None,
+                                **lower_order(walk, one[a:z][counts[a:z] > 0], len(levels)),
                             })
-                # Histories go to the shard that has their n-grams, unless these are dealt one by one.
-                edges = shard_edges(walk.histories << np.uint64(walk.word_bits), shards, bits)
+                # Frequent histories go to the shard that adds up their partial sums.
+                edges = shard_edges(walk.hot_histories, shards, history_bits)
                 parts += [
-                    common | {"shard": s, "hot": None, "keys": pack_sorted(walk.histories[edges[s] : edges[s + 1]])}
+                    common | {"shard": s, "hot": None, "keys": pack_sorted(walk.hot_histories[edges[s] : edges[s + 1]])}
                     for s in range(shards) if edges[s] < edges[s + 1]
                 ]
                 yield pa.RecordBatch.from_pylist(parts, schema)
@@ -309,14 +348,17 @@ def ask(levels: list[Level], shards: int) -> Callable:
 
 
 def lower_order(walk: Walk, at: np.ndarray, order: int) -> dict[str, bytes | None]:
-    """The lower-order chances of the tokens at these places: the words' counts say them for single words."""
+    """What gives the lower-order chances of the tokens at these places: counts and, but for single words, their
+    histories' tokens. The lower n-grams are in training, as theirs are."""
     if order == 1:
         return {"lower": None, "lower_at": pack(walk.counts[at])}
-    values, place = np.unique(walk.p[at], return_inverse=True)
-    return {"lower": pack(values), "lower_at": pack(place.astype("<i8"))}
+    return {"lower": pack(walk.total[at]), "lower_at": pack(walk.gram_count[at])}
 
 
-ASKED_SCHEMA = "shard int, block long, hot boolean, keys binary, counts binary, lower binary, lower_at binary, bits int, word_bits int"
+ASKED_SCHEMA = (
+    "shard int, block long, hot boolean, keys binary, counts binary, lower binary, lower_at binary, wanted binary, "
+    "bits int, word_bits int"
+)
 SUMS = np.dtype([("history", "<u8"), ("tokens", "<i8"), ("lower", "<f8"), ("n", "<i8", (TOP_DISCOUNTED,))])
 
 
@@ -332,12 +374,32 @@ def history_sums(history: np.ndarray, totals: np.ndarray, lower: np.ndarray) ->
     return out
 
 
-def merge_grams(shards: int, words: Level) -> Callable:
-    """A function for applyInPandas: adds up a shard's n-grams and answers the blocks. ``words``: the level of single words."""
+def history_marks(history: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Which of the counts 1 to 5 the n-grams of each one's history have, as bits; histories are sorted."""
+    marks = np.where((totals > 0) & (totals <= TOP_DISCOUNTED), 1 << np.maximum(totals - 1, 0), 0).astype(np.uint8)
+    if not len(marks):
+        return marks
+    new = np.concatenate([[True], history[1:] != history[:-1]])
+    return np.bitwise_or.reduceat(marks, np.flatnonzero(new))[np.cumsum(new) - 1]
+
+
+def sums_of(names: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """The sums of these histories, 0 for those that have none."""
+    out = np.zeros(len(names), SUMS)
+    if len(sums):
+        at = np.minimum(np.searchsorted(sums["history"], names), len(sums) - 1)
+        known = sums["history"][at] == names
+        out[known] = sums[at[known]]
+    out["history"] = 0  # the block knows which it asked for
+    return out
+
+
+def merge_grams(shards: int, levels: list[Level], last: bool) -> Callable:
+    """A function for applyInPandas: adds up a shard's n-grams and answers the blocks. ``levels``: of the lower orders."""
 
-    def chances(values: bytes | None, at: bytes) -> np.ndarray:
-        at = unpack(at, "<i8")
-        return words.word_chance(at) if values is None else unpack(values, "<f8")[at]
+    def chances(tokens: bytes | None, counts: bytes) -> np.ndarray:
+        counts = unpack(counts, "<i8")
+        return levels[0].word_chance(counts) if tokens is None else levels[-1].discounted(counts) / unpack(tokens, "<i8")
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         shard, bits, word_bits = int(group["shard"].iloc[0]), int(group["bits"].iloc[0]), int(group["word_bits"].iloc[0])
@@ -346,23 +408,29 @@ def merge_grams(shards: int, words: Level) -> Callable:
             part = group[group["hot"].map(lambda h: h is not None and h == hot)]
             if not len(part):
                 continue
-            made, keys, totals, mention = add_up(part, shard, hot, before)
-            rows += made
-            before += made[0]["found"]
+            size, told, keys, totals, places = add_up(part, shard, hot, before, not last)
+            before += size["found"]
+            rows.append(size)
             lower = np.empty(len(keys))
-            lower[mention] = np.concatenate([chances(*x) for x in zip(part["lower"], part["lower_at"], strict=True)])
+            for place, counts, *given in zip(places, part["counts"], part["lower"], part["lower_at"], strict=True):
+                lower[place[unpack(counts, "<i8") > 0]] = chances(*given)
             seen = totals > 0
-            keys, totals, lower = keys[seen], totals[seen], lower[seen]
             if hot:
-                whole = (keys * np.uint64(pow(ODD, -1, 1 << 64))) & np.uint64((1 << bits) - 1)
-                keys = scrambled(whole >> np.uint64(word_bits), bits - word_bits) << np.uint64(word_bits)
-                order = np.argsort(keys, kind="stable")
-                keys, totals, lower = keys[order], totals[order], lower[order]
-            edges = shard_edges(keys, shards, bits)
-            for s in range(shards):
-                if (a := edges[s]) < (z := edges[s + 1]):
-                    sums = history_sums(keys[a:z] >> np.uint64(word_bits), totals[a:z], lower[a:z])
-                    rows.append(merged_row("sums", s, hot=hot, extra=pack(sums)))
+                whole = (keys[seen] * np.uint64(pow(ODD, -1, 1 << 64))) & np.uint64((1 << bits) - 1)
+                sums = history_sums(scrambled(whole >> np.uint64(word_bits), bits - word_bits), totals[seen], lower[seen])
+                edges = shard_edges(sums["history"], shards, bits - word_bits)
+                rows += [
+                    merged_row("sums", s, hot=hot, sums=pack(sums[edges[s] : edges[s + 1]]))
+                    for s in range(shards) if edges[s] < edges[s + 1]
+                ]
+            else:
+                history = keys >> np.uint64(word_bits)
+                marks, sums = history_marks(history, totals), history_sums(history[seen], totals[seen], lower[seen])
+                for answer, place, wanted in zip(told, places, part["wanted"], strict=True):
+                    answer["marks"] = pack(marks[place])
+                    if isinstance(wanted, bytes):
+                        answer["sums"] = pack(sums_of(unpack_sorted(wanted), sums))
+            rows += told
         for block, keys in zip(group["block"], group["keys"].where(group["hot"].isna()), strict=True):
             if isinstance(keys, bytes):
                 rows.append(merged_row("history", shard, int(block), keys=keys))
@@ -372,46 +440,46 @@ def merge_grams(shards: int, words: Level) -> Callable:
 
 
 def weigh(level: Level) -> Callable:
-    """Backoff weights of a shard's histories, for every block that asked for them."""
+    """Tokens and backoff weights of a shard's frequent histories, for every block that asked for them."""
 
     def weights(group: pd.DataFrame) -> pd.DataFrame:
         shard = int(group["shard"].iloc[0])
-        parts = [unpack(x, SUMS) for x in group["extra"][group["kind"] == "sums"]]
-        sums = np.concatenate(parts) if parts else np.empty(0, SUMS)
-        names, place = np.unique(sums["history"], return_inverse=True)
-        tokens = np.bincount(place, sums["tokens"], len(names)).astype(np.int64)
-        lower = np.bincount(place, sums["lower"], len(names))
-        freed = sum(
-            (1 - d) * (r + 1) * np.bincount(place, sums["n"][:, r], len(names)) for r, d in enumerate(level.discounts)
-        ) if len(names) else np.empty(0)
-        total = np.where(freed > 0, tokens, tokens + 1)
-        weight = np.where(freed > 0, freed, 1.0) / total / np.maximum(1 - lower, 1e-300)
+        parts = [unpack(x, SUMS) for x in group["sums"][group["kind"] == "sums"]]
+        parts = np.concatenate(parts) if parts else np.empty(0, SUMS)
+        names, place = np.unique(parts["history"], return_inverse=True)
+        sums = np.zeros(len(names), SUMS)
+        sums["history"] = names
+        for field in ("tokens", "lower", "n"):
+            np.add.at(sums[field], place, parts[field])
         rows = []
         for block, keys in zip(group["block"], group["keys"], strict=True):
-            if not isinstance(keys, bytes):
-                continue
-            keys = unpack_sorted(keys)
-            at = np.minimum(np.searchsorted(names, keys), max(len(names) - 1, 0))
-            known = names[at] == keys if len(names) else np.zeros(len(keys), bool)
-            rows.append((int(block), shard, pack(np.where(known, total[at], 1).astype("<i8") if len(names) else np.ones(len(keys), "<i8")),
-                         pack(np.where(known, weight[at], 1.0) if len(names) else np.ones(len(keys)))))
+            if isinstance(keys, bytes):
+                total, weight = level.backoff(sums_of(unpack_sorted(keys), sums))
+                rows.append((int(block), shard, pack(total), pack(weight)))
         return pd.DataFrame(rows, columns=["block", "shard", "counts", "extra"])
 
     return weights
 
 
-def next_order(blocks: DataFrame, known: list[DataFrame], levels: list[Level], shards: int) -> tuple[Level, list[DataFrame]]:
-    """Counts one more order; its level and what blocks get to know (answers and weights)."""
+def next_order(blocks: DataFrame, known: list[DataFrame], levels: list[Level], shards: int, last: bool) -> tuple[Level, DataFrame, str]:
+    """Counts one more order; its level, what blocks get to know (answers and weights) and the path this is read from."""
     order = len(levels) + 1
     frame = reduce(lambda a, b: a.join(b, "block", "left"), known, blocks)
     asked = frame.mapInArrow(ask(levels, shards), ASKED_SCHEMA)
-    merged = stored(asked.groupBy("shard").applyInPandas(merge_grams(shards, levels[0]), MERGED_SCHEMA), order)
+    merged, path = stored(asked.groupBy("shard").applyInPandas(merge_grams(shards, levels, last), MERGED_SCHEMA), order)
     level = level_of(merged)
-    told = merged.filter("kind IN ('sums', 'history')").select("kind", "shard", "block", "keys", "extra").groupBy("shard").applyInPandas(
+    told = merged.filter("kind IN ('sums', 'history')").select("kind", "shard", "block", "keys", "sums").groupBy("shard").applyInPandas(
         weigh(level), "block long, shard int, counts binary, extra binary"
     )
     weights = told.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "counts", "extra"))).alias(f"weights_{order}"))
-    return level, [answered(merged, order), weights]
+    return level, answered(merged, order).join(weights, "block", "full"), path
+
+
+def beside(told: DataFrame, order: int, path: str) -> DataFrame:
+    """What blocks get to know of an order, written so that it is not moved again; the table it came from goes."""
+    kept = bucketed(told, f"answers_{order}", "block")
+    remove(told.sparkSession, path)
+    return kept
 
 
 def katz_scores(
@@ -426,11 +494,13 @@ def katz_scores(
     blocks = text_blocks(docs, train, key, text)
     size = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0  # some two bytes a token
     shards = shard_count(spark, size // 2)
-    merged = stored(dealt(blocks, shards).groupBy("shard").applyInPandas(merge_words, MERGED_SCHEMA), 1)
-    levels, known = [level_of(merged)], [answered(merged, 1)]
-    for _ in range(2, order + 1):
-        level, told = next_order(blocks, known, levels, shards)
-        levels, known = [*levels, level], known + told
+    with shuffles_removed(spark):
+        merged, path = stored(dealt(blocks, shards).groupBy("shard").applyInPandas(merge_words, MERGED_SCHEMA), 1)
+        levels, known = [level_of(merged)], [answered(merged, 1)]
+        for n in range(2, order + 1):
+            known[-1] = beside(known[-1], n - 1, path)
+            level, told, path = next_order(blocks, known, levels, shards, n == order)
+            levels, known = [*levels, level], [*known, told]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = levels[0]
