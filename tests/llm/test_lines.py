@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, lower_ascii, vocabulary, words
 
@@ -150,3 +151,41 @@ def test_texts_are_dealt_without_a_sort(spark):
     docs = documents(spark, ["x y z", "x y z"])
     plan = lines.dedup_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=shuffle_hash" in plan
+
+
+def test_words_are_hashed_together(monkeypatch):
+    """Words once were looked up and hashed one by one, the larger part of the operator's time."""
+    called = []
+    digest = lines.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(lines.xxhash, "xxh3_64_intdigest", lambda w: called.append(w) or digest(w))
+    found = [*texts(seed=5), None, " \t\n\x0b\x0c\r", "A\u00a0b\x1cC\x85d É é \0 a\0", "y" * 256 + " " + "Y" * 257]
+    block = lines.Block()
+    for i, t in enumerate(found):
+        block.add(i, -i, t)
+    row = block.packed()
+    assert set(called) == {b"y" * 257}
+    every = [(i, k, frozenset(words(lower_ascii(x)))) for i, t in enumerate(found) if t for k, x in enumerate(t.split("\n"))]
+    every = [x for x in every if x[2]]
+    own, sizes = lines.unpack_sorted(row["keys"]), lines.unpack(row["sizes"], "<i4")
+    ends, tokens = np.cumsum(sizes), lines.unpack(row["tokens"], "<i4")
+    got = [frozenset(own[tokens[z - n : z]].tolist()) for z, n in zip(ends, sizes, strict=True)]
+    hashed = lambda s: frozenset(lines.word_hashes(pa.array(sorted(s), pa.string())).tolist())
+    assert got == [hashed(s) for _, _, s in every] and len(own) == len(set().union(*(s for _, _, s in every)))
+    assert lines.unpack(row["doc"], "<i8").tolist() == [i for i, _, _ in every]
+    assert lines.unpack(row["rid"], "<i8").tolist() == [-i for i, _, _ in every]
+    assert lines.unpack(row["line"], "<i4").tolist() == [k for _, k, _ in every]
+
+
+def test_pieces_are_bounded_and_slices_hash_alike(monkeypatch):
+    monkeypatch.setattr(lines, "PIECE_BYTES", 10)
+    found = ["abcd", None, "efgh", "ijkl", "m" * 50, "", "n", "o p"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(8), pa.int64()), pa.array(range(8), pa.int64()), pa.array(found)], names=["doc", "rid", "text"]
+    )
+    made = [p.column(2).to_pylist() for p in lines.pieces(batch)]
+    assert made == [["abcd", None, "efgh"], ["ijkl"], ["m" * 50], ["", "n", "o p"]]
+    at_once, by_piece = lines.Block(), lines.Block()
+    at_once.add_rows(*batch.columns)
+    for p in lines.pieces(batch):
+        by_piece.add_rows(*p.columns)
+    assert at_once.packed() == by_piece.packed()

@@ -16,7 +16,7 @@ Each line first names, per word, only its most similar earlier line; lines for w
 their candidates in a second pass. Groups of many similar lines so cost a few pairs per line.
 
 Texts are read twice: once into blocks of numbered words, which stay where they are while small answers are joined to
-them, and once to take lines out. Words are compared by a 64-bit hash.
+them, and once to take lines out. Words are compared by a 64-bit hash, taken of all words of some rows together.
 
 Blank lines are kept and match nothing. Null ids come last, by the hash of their text, and are documents of their own: of
 those with the same text all but one lose all their lines. Null texts have no lines. Lines at the same place of rows that
@@ -25,12 +25,12 @@ share an id are not compared with each other; so rows with the same id and text
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -45,6 +45,9 @@ from .tallies import (
 from .words import BLANKS
 
 BLOCK_TOKENS = 1 << 19
+PIECE_BYTES = 1 << 19  # a block may have so many more
+LONG_WORD = 256
+ALL_BITS = np.uint64((1 << 64) - 1)
 HOT = 5000
 NO_ID = (1 << 63) - 1
 POSTINGS_PER_SHARD = 1 << 19
@@ -64,38 +67,69 @@ def overlap(n_x: np.ndarray, n_y: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n_x + n_y) // (100 + percent))
 
 
+def lowered_words(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all lines, A-Z lower-cased, and how many each line has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(lines))
+    words, owner = parts.flatten(), pc.list_parent_indices(parts)
+    full = pc.greater(pc.binary_length(words), 0)  # blanks around a line leave empty ones
+    return words.filter(full), np.bincount(owner.filter(full).to_numpy(), minlength=len(lines))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash per word: eight bytes at a time are mixed in, for all words together; long words go one by one."""
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, "<i8")[words.offset : words.offset + len(words) + 1]
+    size = np.diff(offsets)
+    padded = np.concatenate([np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))  # from every byte on
+    out = mixed(size.astype(np.uint64))
+    at, left, done = offsets[:-1], size, 0
+    live = np.flatnonzero(left <= LONG_WORD)
+    while len(live):
+        more = left[live] - done
+        part = eight[at[live] + done] & (ALL_BITS >> (8 * np.maximum(8 - more, 0)).astype(np.uint64))
+        out[live] = mixed((out[live] ^ part) + np.uint64(0x9E3779B97F4A7C15))
+        done += 8
+        live = live[more > 8]
+    for i in np.flatnonzero(left > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(padded[offsets[i] : offsets[i + 1]].tobytes())
+    return out
+
+
 class Block:
     """Lines of some documents, with words numbered in the order of their hashes."""
 
     def __init__(self) -> None:
-        self.words: dict[bytes, int] = defaultdict()
-        self.words.default_factory = self.words.__len__
-        self.places: list[tuple[int, int, int]] = []
-        self.sizes: list[int] = []
-        self.tokens: list[np.ndarray] = []
+        self.words: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
         self.size = 0
 
     def add(self, doc: int, rid: int, text: str | None) -> None:
-        words: list[bytes] = []
-        for number, line in enumerate((text or "").encode().lower().split(b"\n")):
-            if found := line.split():
-                self.places.append((doc, rid, number))
-                self.sizes.append(len(found))
-                words += found
-        self.tokens.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+        self.add_rows(pa.array([doc], pa.int64()), pa.array([rid], pa.int64()), pa.array([text], pa.string()))
+
+    def add_rows(self, doc: pa.Array, rid: pa.Array, text: pa.Array) -> None:
+        parts = pc.split_pattern(text, "\n")  # none of null
+        row = pc.list_parent_indices(parts).to_numpy()
+        words, sizes = lowered_words(parts.flatten())
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else row
+        number = np.arange(len(row)) - np.repeat(first, np.diff(first, append=len(row)))
+        full = sizes > 0
+        row = row[full]
+        self.places.append(np.array([doc.to_numpy()[row], rid.to_numpy()[row], number[full]], np.int64))
+        self.words.append(word_hashes(words))
+        self.sizes.append(sizes[full])
         self.size += len(words)
 
     def packed(self) -> dict[str, bytes]:
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
-        order = np.argsort(hashes)
-        own = hashes[order]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        once = distinct((owner << 32) | rank[np.concatenate(self.tokens)])
+        own, rank = np.unique(np.concatenate(self.words), return_inverse=True)
+        sizes = np.concatenate(self.sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        once = distinct((owner << 32) | rank)
         sizes, words = np.bincount(once >> 32), once & 0xFFFFFFFF
         a, b = (np.add.reduceat(mixed(own[words] + np.uint64(salt)), np.cumsum(sizes) - sizes) for salt in (1, 2))
-        doc, rid, line = np.array(self.places, np.int64).T
+        doc, rid, line = np.concatenate(self.places, axis=1)
         return {
             "keys": pack_sorted(own), "counts": pack(np.bincount(words, minlength=len(own)).astype("<i8")),
             "tokens": pack(words.astype("<i4")), "sizes": pack(sizes.astype("<i4")), "doc": pack(doc), "rid": pack(rid),
@@ -109,6 +143,17 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(doc.alias("doc"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts have some ``PIECE_BYTES`` together, or one row with more."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(), dtype=np.int64)
+    low = 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + PIECE_BYTES, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def line_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Blocks of lines with their words, a written table."""
 
@@ -124,8 +169,8 @@ def line_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                block.add(*row)
+            for piece in pieces(batch):
+                block.add_rows(*piece.columns)
                 if block.size >= BLOCK_TOKENS:
                     yield done()
         if block.size:
@@ -204,22 +249,27 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     """The postings of one block's first lines, sorted by key; ``row`` has the block and what it was answered."""
     own, sizes = unpack_sorted(row["keys"]), unpack(row["sizes"], "<i4").astype(np.int64)
     totals = np.concatenate([unpack(t, "<i8") for t in row["totals"]])
-    order = np.lexsort((own, totals))
+    order = np.argsort(totals, kind="stable")  # the words come by hash
     rarity = np.empty(len(order), np.int64)
     rarity[order] = np.arange(len(order))
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    word = order[np.sort((owner << 32) | rarity[unpack(row["tokens"], "<i4")]) & 0xFFFFFFFF]
-    starts = np.cumsum(sizes) - sizes
-    at, n, count = np.arange(len(word)) - starts[owner], sizes[owner], totals[word]
-    bit = mixed(own[word]) >> np.uint64(57)
+    starts, tokens = np.cumsum(sizes) - sizes, unpack(row["tokens"], "<i4")
+    bit = mixed(own) >> np.uint64(57)
     one = np.uint64(1) << (bit & np.uint64(63))
-    low, high = (np.bitwise_xor.reduceat(np.where(half, one, np.uint64(0)), starts) for half in (bit < 64, bit >= 64))
-    reach = n - -(-percent * n // 100) + 1
+    low, high = (np.bitwise_xor.reduceat(np.where(half, one, np.uint64(0))[tokens], starts) for half in (bit < 64, bit >= 64))
+    reach = sizes - -(-percent * sizes // 100) + 1
     # Smaller sets are similar to equal ones only, and those are found by their hash.
-    can = (n * 100 >= percent * (n + 1)) & first_lines(row)[owner]
-    single = np.flatnonzero(can & (at < reach) & (count > 1) & (count <= HOT))
+    can = (sizes * 100 >= percent * (sizes + 1)) & first_lines(row)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    ranked = np.sort((owner << 32) | rarity[tokens])
+    # Of each line only the words up to one beyond its reach count.
+    some = np.where(can, np.minimum(reach + 1, sizes), 0)
+    owner = np.repeat(np.arange(len(sizes)), some)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(some) - some, some)
+    word = order[ranked[starts[owner] + at] & 0xFFFFFFFF]
+    count = totals[word]
+    single = np.flatnonzero((at < reach[owner]) & (count > 1) & (count <= HOT))
+    hot = np.flatnonzero(count > HOT)
     keys, first = [own[word[single]]], [single]
-    hot = np.flatnonzero(can & (at <= reach) & (count > HOT))
     for step in range(1, len(hot)):  # pairs of frequent words of a line; ends when no line has so many
         left, right = hot[:-step], hot[step:]
         same = owner[left] == owner[right]
@@ -229,13 +279,15 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
         keys.append(mixed(own[word[left]] * np.uint64(3) + own[word[right]]))
         first.append(left)
     key, first = np.concatenate(keys), np.concatenate(first)
+    by_key = np.argsort(key, kind="stable")
+    key, first = key[by_key], first[by_key]
     line = owner[first]
     out = np.empty(len(key), POSTING)
     out["key"], out["at"], out["n"], out["at_line"] = key, at[first], sizes[line], line
     out["map"], out["high"] = low[line], high[line]
     out["doc"], out["tie"], out["line"] = (x[line] for x in line_places(row))
     out["block"] = row["block"]
-    return out[np.argsort(key, kind="stable")]
+    return out
 
 
 def packed_postings(p: np.ndarray) -> dict[str, bytes]:
