@@ -189,3 +189,35 @@ def test_pieces_are_bounded_and_slices_hash_alike(monkeypatch):
     for p in lines.pieces(batch):
         by_piece.add_rows(*p.columns)
     assert at_once.packed() == by_piece.packed()
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 20, 1 << 63])
+def test_sort_order_is_that_of_a_stable_sort(spread):
+    draw = np.random.default_rng(5)
+    # Many equal keys, and keys that differ in the low bits only, where their places are sorted.
+    near = draw.integers(0, 300, 3000).astype(np.uint64) + np.uint64(spread)
+    keys = np.concatenate([near, draw.integers(0, 2**64, 3000, np.uint64), near, near[:1] * 0])
+    assert (lines.sort_order(keys) == np.argsort(keys, kind="stable")).all()
+    assert (lines.sort_order(near) == np.argsort(near, kind="stable")).all()
+    own, rank = lines.ranked(keys)
+    expected_own, expected_rank = np.unique(keys, return_inverse=True)
+    assert (own == expected_own).all() and (rank == expected_rank).all()
+    assert len(lines.sort_order(keys[:0])) == 0 and (lines.sort_order(keys[:1] * 0) == [0]).all()
+
+
+def test_words_and_postings_are_sorted_as_numbers(monkeypatch):
+    block = lines.Block()
+    for doc, text in enumerate(texts()):
+        block.add(doc, doc, text)
+    monkeypatch.setattr(np, "unique", None)  # sorts places, which takes several times as long
+    row = {"block": 0, **block.packed()}
+    monkeypatch.undo()
+    counts = lines.unpack(row["counts"], "<i8")
+    order, starts = lines.own_sets(row)
+    p = lines.prefixes(row | {"totals": [pack(counts + 1)], "firsts": [pack(np.ones(len(starts), bool))]}, 80)
+    halves = [{"block": b, **lines.packed_postings(x)} for b, x in ((1, p[::2]), (0, p[1::2]))]
+    monkeypatch.setattr(np, "lexsort", None)
+    found = lines.unpacked_postings(halves)
+    monkeypatch.undo()
+    assert len(found) == len(p) > 100
+    assert (np.lexsort((found["block"], found["at"], found["n"], found["key"])) == np.arange(len(p))).all()

@@ -97,6 +97,32 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     return out
 
 
+def sort_order(keys: np.ndarray) -> np.ndarray:
+    """Where the sorted keys, none below 0, come from; equal keys stay in their order.
+
+    Sorting numbers is quicker than sorting places, so the places are sorted as the low bits of the keys. Keys that
+    differ in these bits only are put in order afterwards.
+    """
+    if not len(keys):
+        return np.empty(0, np.int64)
+    keys = keys.astype(np.uint64)
+    keys <<= np.uint64(64 - max(1, int(keys.max()).bit_length()))
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    found = keys[order]
+    return order[np.argsort(found, kind="stable")] if (found[1:] < found[:-1]).any() else order
+
+
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different values, and each value's place among them."""
+    order = sort_order(values)
+    found = values[order]
+    new = np.concatenate([[True], found[1:] != found[:-1]])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return found[new], rank
+
+
 class Block:
     """Lines of some documents, with words numbered in the order of their hashes."""
 
@@ -123,7 +149,7 @@ class Block:
         self.size += len(words)
 
     def packed(self) -> dict[str, bytes]:
-        own, rank = np.unique(np.concatenate(self.words), return_inverse=True)
+        own, rank = ranked(np.concatenate(self.words))
         sizes = np.concatenate(self.sizes)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         once = distinct((owner << 32) | rank)
@@ -260,12 +286,12 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
     # Smaller sets are similar to equal ones only, and those are found by their hash.
     can = (sizes * 100 >= percent * (sizes + 1)) & first_lines(row)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    ranked = np.sort((owner << 32) | rarity[tokens])
+    by_rarity = np.sort((owner << 32) | rarity[tokens])
     # Of each line only the words up to one beyond its reach count.
     some = np.where(can, np.minimum(reach + 1, sizes), 0)
     owner = np.repeat(np.arange(len(sizes)), some)
     at = np.arange(len(owner)) - np.repeat(np.cumsum(some) - some, some)
-    word = order[ranked[starts[owner] + at] & 0xFFFFFFFF]
+    word = order[by_rarity[starts[owner] + at] & 0xFFFFFFFF]
     count = totals[word]
     single = np.flatnonzero((at < reach[owner]) & (count > 1) & (count <= HOT))
     hot = np.flatnonzero(count > HOT)
@@ -279,7 +305,7 @@ def prefixes(row: dict, percent: int) -> np.ndarray:
         keys.append(mixed(own[word[left]] * np.uint64(3) + own[word[right]]))
         first.append(left)
     key, first = np.concatenate(keys), np.concatenate(first)
-    by_key = np.argsort(key, kind="stable")
+    by_key = sort_order(key)
     key, first = key[by_key], first[by_key]
     line = owner[first]
     out = np.empty(len(key), POSTING)
@@ -295,9 +321,9 @@ def packed_postings(p: np.ndarray) -> dict[str, bytes]:
 
 
 def unpacked_postings(rows: list[dict]) -> np.ndarray:
-    """The postings of several blocks, by key, set size and place."""
+    """The postings of several blocks, by key, set size and place; equal ones by block, and in one as they come."""
     parts = []
-    for row in rows:
+    for row in sorted(rows, key=lambda row: row["block"]):
         key = unpack_sorted(row["key"])
         part = np.empty(len(key), POSTING)
         part["key"], part["block"] = key, row["block"]
@@ -305,7 +331,8 @@ def unpacked_postings(rows: list[dict]) -> np.ndarray:
             part[f] = unpack(row[f], POSTING[f].str)
         parts.append(part)
     p = np.concatenate(parts)
-    return p[np.lexsort((p["at_line"], p["block"], p["at"], p["n"], p["key"]))]
+    by_place = sort_order((p["n"].astype(np.int64) << 32) | p["at"])
+    return p[by_place[sort_order(p["key"][by_place])]]
 
 
 def postings(answered: DataFrame, shards: int, percent: int) -> DataFrame:
