@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tallies import KEPT
+
 CACHE_WORDS = 150_000
 SPACE = r" \t\n\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 FILE_SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the vocabulary's library
@@ -182,10 +184,13 @@ def native(packed: bytes) -> bytes:
 
 @lru_cache(maxsize=2)
 def load(file: str) -> Bpe:
-    """One encoder per Python worker and file."""
+    """One encoder per Python worker and file, until another operator tidies up."""
     return Bpe(file)
 
 
+KEPT.append(load)
+
+
 def encode_documents(docs: DataFrame, file: str, *, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """All columns and the ids of the text (array of int)."""
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..session import materialized
 from .shingles import mixed
 from .tallies import (
-    answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges,
+    answers, bucketed, dealt, distinct, dropped, gathered, pack, pack_sorted, shard_count, shard_edges, tidied,
     unpack, unpack_sorted,
 )
 from .words import BLANKS
@@ -184,6 +184,7 @@ def line_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Blocks of lines with their words, a written table."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidied()
         made, block = 0, Block()
 
         def done() -> pa.RecordBatch:
@@ -512,9 +513,14 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, key: str = "doc_id
     size = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0  # some two bytes a word, a posting per five
     shards = shard_count(spark, size // 10, POSTINGS_PER_SHARD)
     flags = materialized(spark, first_places(blocks, shards), "line-firsts")
+
+    def name(group: pd.DataFrame) -> pd.DataFrame:
+        tidied()
+        return closest(group, percent)
+
     answered = blocks.join(answers(dealt(blocks, shards)), "block").join(flags, "block")
     first = postings(answered, shards, percent).groupBy("shard").applyInPandas(
-        lambda group: closest(group, percent), CANDIDATE_SCHEMA
+        name, CANDIDATE_SCHEMA
     )
     first = materialized(spark, first, "line-closest")
     named_pairs = first.filter("kept IS NULL")

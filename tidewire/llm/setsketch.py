@@ -35,7 +35,7 @@ from ..session import materialized
 from . import overlap
 from .graph import components
 from .shingles import mixed, shingle_sets
-from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, pack, pack_sorted, shard_count, unpack
+from .tallies import BLOCK_TOKENS, answers, bucketed, dealt, pack, pack_sorted, shard_count, tidied, unpack
 from .words import bounded
 
 REGISTERS, BAND = 128, 4
@@ -93,6 +93,7 @@ def sketch_table(docs: DataFrame, size: int, key: str = "doc_id", text: str = "t
     key_type = docs.schema[key].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidied()
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), size)
             rows = sketches(sets)

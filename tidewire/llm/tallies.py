@@ -7,13 +7,15 @@ its shard at most once per block, so frequent keys make no hot shard, and the nu
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,26 @@ from ..session import remove, scratch_path
 
 BLOCK_TOKENS = 1 << 20
 SHARD_KEYS = 2 << 20
+KEPT: list[Callable] = []  # functions whose lru_cache keeps a large table from task to task
+LAST_TIDIED: list[int | None] = []  # the stage in which this worker was tidied last
+
+
+def tidied() -> None:
+    """Gives back what a Python worker holds from earlier stages: large tables of other operators, and free memory.
+
+    Workers outlive their tasks. Called as a task begins, it acts once for each worker and stage.
+    """
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if LAST_TIDIED == [stage]:
+        return
+    LAST_TIDIED[:] = [stage]
+    for table in KEPT:
+        table.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
